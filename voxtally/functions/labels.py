@@ -33,9 +33,12 @@ def clean_label(label: Column) -> Column:
     text = strip(label)
     spaced = r"^(.*?)\s+[-–]\s+(.*)$"
     tight = r"^([^-–]*)[-–](.*)$"
-    pattern = F.when(text.rlike(spaced), F.lit(spaced)).otherwise(F.lit(tight))
-    left = title_case(strip(F.regexp_extract(text, pattern, 1)))
-    right = title_case(strip(F.regexp_extract(text, pattern, 2)))
+
+    def part(group: int) -> Column:
+        return title_case(strip(F.when(text.rlike(spaced), F.regexp_extract(text, spaced, group))
+                                .otherwise(F.regexp_extract(text, tight, group))))
+
+    left, right = part(1), part(2)
     mood = F.regexp_extract(left, "^(Great|Poor) Experience With$", 1)
     return (
         F.when(~text.rlike("[-–]"), title_case(text))

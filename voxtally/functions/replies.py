@@ -51,10 +51,9 @@ def parse_reply(
         for name, allowed in enums.items():
             if name in required:
                 invalid = invalid | F.exists(rows, _outside(name, allowed))
-    closed = F.col("_text").rlike(r"[}\]]$")
     reason = (
         F.when(F.col(reply).isNull() | (F.col("_text") == ""), "missing")
-        .when((F.col(f"_reply.{corrupt}").isNotNull()) & ~closed, "truncated")
+        .when(F.col(f"_reply.{corrupt}").isNotNull() & _cut_off(F.col("_text")), "truncated")
         .when(F.col(f"_reply.{corrupt}").isNotNull() | F.col("_reply").isNull(), "malformed")
         .when(F.coalesce(missing, F.lit(True)), "missing")
         .when(F.coalesce(invalid, F.lit(True)), "invalid")
@@ -66,6 +65,14 @@ def parse_reply(
     return good, rejects
 
 
+def _cut_off(text: Column) -> Column:
+    """JSON text that ends inside a string or before its brackets are closed."""
+    bare = F.regexp_replace(text, r'"[^"\\]*+(?:\\.[^"\\]*+)*+"', "")
+    opened = F.length(F.regexp_replace(bare, r"[^\[{]", ""))
+    closed = F.length(F.regexp_replace(bare, r"[^\]}]", ""))
+    return bare.contains('"') | (opened > closed)
+
+
 def _incomplete(names: list[str]):
     def check(row: Column) -> Column:
         found = row.isNull()

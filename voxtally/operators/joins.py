@@ -62,8 +62,9 @@ def topic_candidates(phrases: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def new_only(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is not in `seen`."""
-    return df.join(seen.select(f"`{key}`").distinct(), key, "left_anti")
+    """Rows whose key is not in `seen`; NULL counts as a key like any other."""
+    known = seen.select(F.col(f"`{key}`").alias("_seen")).distinct()
+    return df.join(known, F.col(f"`{key}`").eqNullSafe(F.col("_seen")), "left_anti")
 
 
 def in_topics(df: DataFrame, topics: DataFrame) -> DataFrame:

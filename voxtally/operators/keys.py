@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from voxtally.session import shared_path
 
-_PART = F.shiftright("_slot", 33)
-_POSITION = F.col("_slot").bitwiseAND(F.lit((1 << 33) - 1))
+# monotonically_increasing_id holds the partition above this bit and the position below it.
+_SLOT_BITS = 33
 
 
 def _slotted(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
@@ -23,7 +23,8 @@ def _slotted(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     (df.repartitionByRange(*order).sortWithinPartitions(*order)
        .withColumn("_slot", F.monotonically_increasing_id())
        .write.parquet(path))
-    return df.sparkSession.read.parquet(path).withColumn("_part", _PART)
+    return df.sparkSession.read.parquet(path).withColumn(
+        "_part", F.shiftright("_slot", _SLOT_BITS))
 
 
 def dense_id(
@@ -37,7 +38,7 @@ def dense_id(
     offsets = df.sparkSession.createDataFrame(
         [(part, offset) for (part, _), offset in zip(sizes, before)], "_part bigint, _offset bigint")
     return (rows.join(F.broadcast(offsets), "_part")
-            .withColumn(name, F.col("_offset") + _POSITION)
+            .withColumn(name, F.col("_offset") + F.col("_slot").bitwiseAND((1 << _SLOT_BITS) - 1))
             .drop("_part", "_slot", "_offset"))
 
 

@@ -13,6 +13,13 @@ from voxtally.operators.joins import new_only
 from voxtally.sources.files import read_folder_or_empty
 
 
+def batch_folder(spark: SparkSession, number: int) -> str:
+    """Name of a micro-batch. The stream id is kept in the checkpoint: it survives a restart, and a
+    new checkpoint never writes over the folders of an old one.
+    """
+    return f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}-{number}"
+
+
 def start_ingest(
     spark: SparkSession, source: str, sink: str, checkpoint: str, schema: StructType,
     id_col: str, text_col: str, fmt: str = "parquet", rules=KEYWORD_RULES, **options,
@@ -21,20 +28,21 @@ def start_ingest(
 
     A micro-batch is reduced to one row per id before it meets the stored ids, so copies of one id
     never gather in a task, and no state grows with the history. The batch is written to a folder
-    of its own, and its ids are compared with the other folders only: a repeated batch after a
-    crash overwrites itself with the same rows.
+    of its own, named by stream and batch, and its ids are compared with the other folders only: a
+    repeated batch after a crash overwrites itself with the same rows.
     """
     stored = StructType(list(schema.fields)).add("label", "string").add("main_entity", "string")
 
     def append(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
         order = [F.col(f"`{c}`").asc_nulls_last() for c in schema.names if c != id_col]
-        single = keep_first(batch.where(F.col(f"`{id_col}`").isNotNull()), id_col, order)
+        single = keep_first(batch, id_col, order)
+        folder = batch_folder(session, number)
         seen = read_folder_or_empty(session, sink, StructType(list(stored.fields)).add(
-            "ingest", "long")).where(F.col("ingest") < number)
+            "ingest", "string")).where(F.col("ingest") != folder)
         fresh = keyword_classify(new_only(single, seen, id_col), text_col, rules)
         fresh.select(*[f"`{c}`" for c in stored.names]).write.mode("overwrite").parquet(
-            f"{sink}/ingest={number}")
+            f"{sink}/ingest={folder}")
 
     stream = spark.readStream.format(fmt).schema(schema).options(**options).load(source)
     return (stream.writeStream.foreachBatch(append)
