@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from voxtally.functions.text import let, strip
+
 _TIME = "[ H:mm[:ss]]"
 # (shape, format). A format is only tried on text of its shape, because a failed parse is far
 # dearer than a regular expression. Day-first shapes come before month-first ones.
@@ -32,19 +34,24 @@ def parse_mixed(text: Column) -> Column:
     Year-first text is read as ISO, other numeric text day first, and month first where day first
     is impossible.
     """
-    text = F.trim(text)
-    tidy = _tidy(text)
+    text = strip(text)
     iso = F.regexp_replace(text, r"^(\d{4})[/.](\d{1,2})[/.]", "$1-$2-")
-    parsed = F.when(text.rlike(_YEAR_FIRST), iso.try_cast("timestamp_ntz"))
-    for shape, fmt in MIXED_SHAPES:
-        parsed = parsed.when(
-            tidy.rlike(shape), F.try_to_timestamp(tidy, F.lit(fmt)).cast("timestamp_ntz"))
+    return F.when(text.rlike(_YEAR_FIRST), iso.try_cast("timestamp_ntz")).otherwise(
+        let(_tidy(text), _by_shape))
+
+
+def _by_shape(tidy: Column) -> Column:
+    parsed = F.lit(None).cast("timestamp_ntz")
+    for shape, fmt in reversed(MIXED_SHAPES):
+        parsed = F.when(
+            tidy.rlike(shape), F.try_to_timestamp(tidy, F.lit(fmt)).cast("timestamp_ntz")
+        ).otherwise(parsed)
     return parsed
 
 
 def parse_utc(text: Column) -> Column:
     """Instant from text; an offset in the text is honoured, without one the text is UTC."""
-    text = F.trim(text)
+    text = strip(text)
     full = F.when(F.length(text) <= 10, F.concat(text, F.lit("T00:00:00"))).otherwise(text)
     iso = F.when(full.rlike(_ZONE), full).otherwise(F.concat(full, F.lit("Z")))
     mixed = F.convert_timezone(F.lit("UTC"), F.current_timezone(), parse_mixed(text))

@@ -4,13 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+# Everything Python's str.strip() takes for white space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 # Word or single punctuation mark; used to count tokens.
 TOKEN_PATTERN = r"\p{L}[\p{L}\p{N}]*|\p{N}+|[^\s\p{L}\p{N}]"
 
 
 def strip(text: Column) -> Column:
     """Remove all leading and trailing white space, not only blanks."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.trim(text, F.lit(WHITE_SPACE))
+
+
+def let(value: Column, use) -> Column:
+    """`use(value)` with `value` computed once, however often `use` refers to it."""
+    return F.transform(F.array(value), use)[0]
 
 
 def normalise(text: Column) -> Column:

@@ -23,12 +23,26 @@ def _hits(text: Column, keywords: Sequence[str], word_boundary: bool) -> Column:
     if word_boundary:
         inner = "|".join(re.escape(k) for k in needed)
         return text.rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{inner})(?![\p{{L}}\p{{N}}])")
-    found = text.contains(needed[0])
-    for keyword in needed[1:]:
+    plain = [k for k in needed if k[0].isascii()]
+    other = [k for k in needed if not k[0].isascii()]
+    found = F.lit(False)
+    for keyword in plain:
         found = found | text.contains(keyword)
+    if other:
+        hit = F.lit(False)
+        for keyword in other:
+            hit = hit | text.contains(keyword)
+        found = found | (F.col("_foreign") & hit)
     return found
 
 
+def _initial_range(rules: Sequence[Rule]) -> str | None:
+    """Character range around the first letters of all keywords outside ASCII."""
+    letters = [k.lower()[0] for _, _, keywords in rules for k in keywords
+               if not k.lower()[0].isascii()]
+    return f"[{min(letters)}-{max(letters)}]" if letters else None
+
+
 def keyword_classify(
     df: DataFrame, text_col: str, rules: Sequence[Rule] = KEYWORD_RULES,
     word_boundary: bool = False,
@@ -40,6 +54,9 @@ def keyword_classify(
     """
     lowered = df.withColumn("_lower", F.lower(f"`{text_col}`"))
     text = F.col("_lower")
+    # One scan for the initials of the keywords in other scripts spares most texts their scans.
+    initials = _initial_range(rules)
+    lowered = lowered.withColumn("_foreign", text.rlike(initials) if initials else F.lit(False))
     rule = F.when(text.isNull(), F.lit(None).cast("int"))
     for i, (_, _, keywords) in enumerate(rules):
         rule = rule.when(_hits(text, keywords, word_boundary), i + 1)
@@ -51,7 +68,7 @@ def keyword_classify(
         lowered.withColumn("_rule", rule)
         .withColumn("label", F.try_element_at(labels, F.col("_rule")))
         .withColumn("main_entity", F.try_element_at(entities, F.col("_rule")))
-        .drop("_lower", "_rule"))
+        .drop("_lower", "_foreign", "_rule"))
 
 
 def classify_fallback(

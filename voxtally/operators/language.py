@@ -31,13 +31,6 @@ SCRIPTS = (
 UNKNOWN = "unknown"
 
 
-def language_scores(tokens: Column, profiles: Mapping[str, str]) -> list[Column]:
-    """Per language the number of tokens that are function words of it."""
-    return [
-        F.size(F.filter(tokens, _member(text.split()))).alias(code)
-        for code, text in profiles.items()]
-
-
 def _member(vocabulary: list[str]):
     return lambda token: token.isin(*vocabulary)
 
@@ -51,35 +44,27 @@ def detect_language(
     most function words in the text; ties go to the earlier profile. No evidence is `unknown`.
     """
     text = F.col(f"`{text_col}`")
-    latin = F.regexp_count(text, F.lit(r"\p{IsLatin}"))
-    letters = F.regexp_count(text, F.lit(r"\p{L}"))
-    script = F.when(latin * 2 > letters, F.lit(None).cast("string"))
+    latin = F.length(F.regexp_replace(text, r"[^\p{IsLatin}]+", ""))
+    letters = F.length(F.regexp_replace(text, r"[^\p{L}]+", ""))
+    script = F.when(~text.rlike(r"[\p{L}&&[^\p{IsLatin}]]"), F.lit(None).cast("string")).when(
+        latin * 2 > letters, F.lit(None).cast("string"))
     for code, pattern in SCRIPTS:
         script = script.when(text.rlike(pattern), code)
-    # All profiles are scored in one pass over the words: each word adds to the languages it is in.
-    owners: dict[str, list[str]] = {}
-    for code, vocabulary in profiles.items():
-        for word in vocabulary.split():
-            owners.setdefault(word, []).append(code)
-    codes = F.flatten(F.transform(
-        F.filter(words(text), lambda t: t.isin(*owners)),
-        lambda t: F.split(literal_map({w: " ".join(c) for w, c in owners.items()})[t], " ")))
+    # One pass keeps the words of any profile, the passes per language then see few words.
+    known = sorted({word for vocabulary in profiles.values() for word in vocabulary.split()})
     ranked = F.array(*[
-        F.struct((-F.size(F.filter(F.col("_codes"), _equals(code)))).alias("score"),
+        F.struct((-F.size(F.filter("_known", _member(vocabulary.split())))).alias("score"),
                  F.lit(i).alias("rank"), F.lit(code).alias("code"))
-        for i, code in enumerate(profiles)])
+        for i, (code, vocabulary) in enumerate(profiles.items())])
     code = F.coalesce(
         F.col("_script"), F.when(F.col("_best.score") < 0, F.col("_best.code")), F.lit(UNKNOWN))
     return (
-        df.withColumn("_script", script).withColumn("_codes", codes)
+        df.withColumn("_script", script)
+        .withColumn("_known", F.filter(words(text), _member(known)))
         .withColumn("_best", F.array_min(ranked))
         .withColumn("lang_code", code)
         .withColumn("lang_name", language_name(F.col("lang_code")))
-        .drop("_script", "_codes", "_best"))
-
-
-def _equals(code: str):
-    return lambda value: value == code
+        .drop("_script", "_known", "_best"))
 
 
 def language_name(code: Column) -> Column:
