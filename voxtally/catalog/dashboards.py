@@ -167,7 +167,10 @@ def final_airlines(spark, sf_dir):
     write_table(_social(spark, sf_dir).withColumn(
         "Original Review Language", F.lit(None).cast("string")), stored)
     prepared = reviews(spark, sf_dir).withColumn("date", F.date_format("ts", "yyyy-MM-dd"))
-    labelled = labelled_phrases(spark, sf_dir)
+    # Extraction is stored once; phrases and labels are both read from it, as in a real run.
+    phrases = shared_path(spark, "phrases")
+    write_table(labelled_phrases(spark, sf_dir), phrases)
+    labelled = spark.read.parquet(phrases)
     final = final_table(
         labelled.drop("subtopic"),
         labelled.select(F.col("phrase_id").alias("id"), "subtopic"),

@@ -115,4 +115,4 @@ def infer_resumable(
     for i in range(slices):
         part = todo if slices == 1 else todo.where(F.pmod(F.xxhash64(key), F.lit(slices)) == i)
         infer(part).select(*schema.names).write.parquet(f"{store}/run={run_id}-{i}")
-    return spark.read.schema(schema).parquet(store)
+    return read_folder_or_empty(spark, store, schema)

@@ -1,19 +1,49 @@
 """Lookups and joins.
 
-No join carries a broadcast hint: Spark broadcasts a side only when its measured size is below
-`spark.sql.autoBroadcastJoinThreshold` and otherwise uses a sort-merge join, whose hot partitions
-adaptive execution splits.
+Joins on record or phrase ids carry no hint: Spark picks the strategy from measured sizes, and
+adaptive execution splits hot partitions. Joins on a topic have few and hot keys; they go through
+`join_bounded`, which measures the small side first.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
 from voxtally.functions.choose import literal_map
 
 
+MAX_BROADCAST_BYTES = 32 << 20
+SALTS = 64
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of a table as JSON text, an upper bound for what a broadcast of it holds in strings."""
+    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
+    return df.agg(size).collect()[0][0] or 0
+
+
+def join_bounded(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
+    max_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """Join a large table to a lookup table on few, possibly hot keys.
+
+    The lookup side is measured. Up to `max_bytes` it is broadcast. Beyond that it is repeated per
+    salt and the rows of the large side are spread over the salts by their hash, so that a key that
+    holds a third of the rows still fans out over many tasks. Both ways give the same rows; `how`
+    must keep the left side whole or filter it (inner, left, left_semi, left_anti).
+    """
+    if measured_bytes(right) <= max_bytes:
+        return left.join(F.broadcast(right), list(on), how)
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)))
+    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(
+        repeated.withColumn("_salt", F.col("_salt").cast("bigint")), [*on, "_salt"], how
+    ).drop("_salt")
+
+
 def join_labels(phrases: DataFrame, labels: DataFrame) -> DataFrame:
     """Add `subtopic` by `phrase_id`; a phrase without label keeps NULL. Repeated labels of an id
     do not multiply the phrase: the smallest one counts.
@@ -39,7 +69,7 @@ def lookup_inner(
     A dict becomes a literal map, no join. A table has the columns `col` and `target`.
     """
     if isinstance(table, DataFrame):
-        return df.join(table.select(col, target).dropDuplicates([col]), col)
+        return join_bounded(df, table.select(col, target).dropDuplicates([col]), [col])
     return df.withColumn(target, F.try_element_at(literal_map(table), F.col(f"`{col}`"))).where(
         F.col(target).isNotNull())
 
@@ -54,11 +84,13 @@ def unmapped(df: DataFrame, col: str, table: Mapping[str, str] | DataFrame) -> D
 
 def topic_candidates(phrases: DataFrame, labels: DataFrame) -> DataFrame:
     """Add `candidates`, the sorted labels of the phrase's topic and type; phrases whose topic has
-    no labels drop out. The list is the topic's share of the taxonomy, not of the data.
+    no labels drop out. The list goes into a prompt, so labels that are too many are an error.
     """
+    if measured_bytes(labels) > MAX_BROADCAST_BYTES:
+        raise ValueError("the labels do not fit a prompt")
     lists = labels.groupBy("topic", "type").agg(
         F.array_sort(F.collect_set("subtopic")).alias("candidates"))
-    return phrases.join(lists, ["topic", "type"])
+    return join_bounded(phrases, lists, ["topic", "type"])
 
 
 def new_only(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:
@@ -69,4 +101,4 @@ def new_only(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:
 
 def in_topics(df: DataFrame, topics: DataFrame) -> DataFrame:
     """Rows whose topic is in the table of valid topics."""
-    return df.join(topics.select("topic"), "topic", "left_semi")
+    return join_bounded(df, topics.select("topic"), ["topic"], "left_semi")

@@ -46,7 +46,8 @@ def detect_language(
     text = F.col(f"`{text_col}`")
     latin = F.length(F.regexp_replace(text, r"[^\p{IsLatin}]+", ""))
     letters = F.length(F.regexp_replace(text, r"[^\p{L}]+", ""))
-    script = F.when(~text.rlike(r"[\p{L}&&[^\p{IsLatin}]]"), F.lit(None).cast("string")).when(
+    # Up to U+024F all letters are Latin: one cheap scan settles most texts.
+    script = F.when(~text.rlike(r"[^\x00-\u024F]"), F.lit(None).cast("string")).when(
         latin * 2 > letters, F.lit(None).cast("string"))
     for code, pattern in SCRIPTS:
         script = script.when(text.rlike(pattern), code)
@@ -81,7 +82,7 @@ def translate(
     """
     text = F.col(f"`{text_col}`")
     keyed = df.withColumn("_key", F.sha2(text, 256))
-    distinct = keyed.where(text.isNotNull()).groupBy("_key").agg(F.first(text).alias("_text"))
+    distinct = keyed.where(text.isNotNull()).select("_key", text.alias("_text")).distinct()
 
     def numbered(prompt, lines):
         return predict(prompt, ["\n".join(f"{i}. {line}" for i, line in enumerate(lines, 1))])

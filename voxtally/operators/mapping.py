@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from voxtally.constants import OTHERS, SUBTOPIC_BATCH
 from voxtally.functions.prompts import inject, render_record
 from voxtally.functions.replies import parse_reply
-from voxtally.functions.text import words
+from voxtally.functions.text import let, words
 from voxtally.operators.infer import infer_batches, infer_resumable
-from voxtally.operators.joins import topic_candidates
+from voxtally.operators.joins import (
+    MAX_BROADCAST_BYTES, join_bounded, measured_bytes, topic_candidates,
+)
 from voxtally.schemas import REPLY_SUBTOPICS, SUBTOPIC_LABELS
 
 
@@ -20,38 +22,57 @@ def _closest(candidates: Column, tokens: Column, default: str) -> Column:
     scored = F.transform(candidates, lambda c: F.struct(
         (-F.size(F.array_intersect(c["tokens"], tokens))).alias("score"),
         c["label"].alias("label")))
-    best = F.array_min(scored)
-    return F.when(best["score"] < 0, best["label"]).when(
-        candidates.isNotNull(), F.lit(default))
+    return let(F.array_min(scored), lambda best: F.when(best["score"] < 0, best["label"]).when(
+        best.isNotNull(), F.lit(default)))
 
 
-def map_by_overlap(phrases: DataFrame, labels: DataFrame) -> DataFrame:
+def map_by_overlap(
+    phrases: DataFrame, labels: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
     """Add `subtopic`: the label of the phrase's topic and type that shares most words with it.
 
-    No shared word gives `Others`, a topic without labels gives NULL. The labels of a topic travel
-    as one list, so a phrase is decided inside its row and phrases are never multiplied.
+    No shared word gives `Others`, a topic without labels gives NULL. While the measured labels stay
+    below `max_bytes`, those of a topic travel as one list: a phrase is decided inside its row, and
+    phrases are neither shuffled nor multiplied. A larger label table is joined by word.
     """
-    lists = (
-        labels.select("topic", "type", F.struct(
-            F.col("subtopic").alias("label"), words(F.col("subtopic")).alias("tokens"))
-            .alias("entry"))
-        .groupBy("topic", "type").agg(F.collect_set("entry").alias("_candidates")))
+    entries = labels.select("topic", "type", "subtopic").distinct().withColumn(
+        "tokens", words(F.col("subtopic")))
+    if measured_bytes(entries) > max_bytes:
+        return _overlap_by_word(phrases, entries)
+    lists = entries.groupBy("topic", "type").agg(F.collect_list(
+        F.struct(F.col("subtopic").alias("label"), "tokens")).alias("_candidates"))
     return (
-        phrases.join(lists, ["topic", "type"], "left")
+        join_bounded(phrases, lists, ["topic", "type"], "left")
         .withColumn("_tokens", words(F.col("pp_mod")))
         .withColumn("subtopic", _closest(F.col("_candidates"), F.col("_tokens"), OTHERS))
         .drop("_candidates", "_tokens"))
 
 
+def _overlap_by_word(phrases: DataFrame, entries: DataFrame) -> DataFrame:
+    """The same labels from an equi-join on (topic, type, word), for any number of labels."""
+    keys = ["topic", "type", "pp_mod"]
+    distinct = phrases.select(*keys).distinct()
+    by_word = entries.select("topic", "type", "subtopic", F.explode(
+        F.array_distinct("tokens")).alias("word"))
+    asked = distinct.select(*keys, F.explode(F.array_distinct(words(F.col("pp_mod")))).alias("word"))
+    best = (
+        join_bounded(asked, by_word, ["topic", "type", "word"])
+        .groupBy(*keys, "subtopic").agg(F.count("*").alias("n"))
+        .groupBy(*keys).agg(F.min(F.struct(-F.col("n"), "subtopic"))["subtopic"].alias("_best")))
+    known = entries.select("topic", "type", F.lit(OTHERS).alias("_default")).distinct()
+    same = [phrases[k].eqNullSafe(best[k]) for k in keys]
+    joined = phrases.join(best, same, "left").select(phrases["*"], "_best")
+    return (join_bounded(joined, known, ["topic", "type"], "left")
+            .withColumn("subtopic", F.coalesce("_best", "_default")).drop("_best", "_default"))
+
+
 def map_fixed(phrases: DataFrame, labels: Sequence[str], default: str = "Other") -> DataFrame:
     """Add `subtopic` from one fixed label list for all topics (survey form)."""
-    from voxtally.functions.text import words as tokens_of
-
     entries = F.array(*[
-        F.struct(F.lit(label).alias("label"), tokens_of(F.lit(label)).alias("tokens"))
+        F.struct(F.lit(label).alias("label"), words(F.lit(label)).alias("tokens"))
         for label in labels])
     return (
-        phrases.withColumn("_tokens", tokens_of(F.col("pp_mod")))
+        phrases.withColumn("_tokens", words(F.col("pp_mod")))
         .withColumn("subtopic", _closest(entries, F.col("_tokens"), default))
         .drop("_tokens"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 
 def count_by(df: DataFrame, *keys: str) -> DataFrame:
@@ -56,10 +56,23 @@ def vocabulary(col: str, *frames: DataFrame) -> DataFrame:
     return merged.distinct().orderBy(col)
 
 
-def string_agg_list(df: DataFrame, group: Sequence[str], col: str, name: str) -> DataFrame:
-    """Distinct values per group as one `, ` line, for vocabularies that fit a prompt."""
-    return df.groupBy(*group).agg(
-        F.array_join(F.array_sort(F.collect_set(col)), ", ").alias(name))
+def string_agg_list(
+    df: DataFrame, group: Sequence[str], col: str, name: str, max_values: int = 10_000,
+) -> DataFrame:
+    """Distinct values per group as one `, ` line, for vocabularies that fit a prompt.
+
+    A group with more than `max_values` values is an error; it is found out before more than that
+    are gathered.
+    """
+    order = Window.partitionBy(*group).orderBy(col)
+    values = (df.select(*group, col).na.drop(subset=[col]).distinct()
+              .withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= max_values + 1))
+    lists = values.groupBy(*group).agg(F.array_sort(F.collect_list(col)).alias("_values"))
+    line = F.when(
+        F.size("_values") > max_values,
+        F.raise_error(F.lit(f"more than {max_values} values of {col} in a group")).cast("string"),
+    ).otherwise(F.array_join("_values", ", "))
+    return lists.select(*group, line.alias(name))
 
 
 def feedback_rollup(final: DataFrame, *keys: str) -> DataFrame:

@@ -34,10 +34,14 @@ AIRPORTS = FinalConfig(AIRPORT_COLUMNS, AIRPORT_TOPIC_RENAMES)
 
 
 def review_metadata(reviews: DataFrame) -> DataFrame:
-    """Metadata of prepared site reviews under the names of the dashboard table."""
+    """Metadata of prepared site reviews under the names of the dashboard table. A typed date is
+    taken as it is, so that the date filter reaches the scan.
+    """
+    typed = dict(reviews.dtypes)["date"] == "date"
+    day = F.col("date") if typed else strict_day(F.col("date"))
     return reviews.select(
         F.col("review_unique_id").alias("Review_No"), "data_source", "airline",
-        strict_day(F.col("date")).alias("date"), F.col("ratings").alias("rating"),
+        day.alias("date"), F.col("ratings").alias("rating"),
         F.col("review_language").alias(LANGUAGE), F.col("raw_text").alias(ORIGINAL),
         F.col("translated_text").alias(TRANSLATED))
 

@@ -13,7 +13,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.parquet.filterPushdown": "true",
+    # Beyond this size the JVM does not compile a generated method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

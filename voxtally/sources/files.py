@@ -69,7 +69,9 @@ def read_folder_or_empty(
     """All files of a folder; a missing or empty folder is an empty frame of the same schema."""
     if matching_files(spark, f"{path}/*.{fmt}") or matching_files(spark, f"{path}/*=*"):
         reader = spark.read.schema(schema)
-        return reader.options(**CSV_OPTIONS).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
+        stored = reader.options(**CSV_OPTIONS).csv(path) if fmt == "csv" else reader.format(
+            fmt).load(path)
+        return stored.select(*[f"`{name}`" for name in schema.names])
     return spark.createDataFrame([], schema)
 
 
