@@ -17,7 +17,7 @@ from voxtally.operators.classify import classify_fallback, keyword_classify
 from voxtally.operators.extract import model_extract, rule_extract
 from voxtally.operators.infer import infer_batches
 from voxtally.operators.language import SCRIPTS, detect_language, enrich_language, translate
-from voxtally.operators.mapping import map_by_model, map_fixed
+from voxtally.operators.mapping import map_by_model, map_fixed, map_fixed_by_model
 from voxtally.operators.phrases import explode_phrases
 from voxtally.operators.survey import induce_topics
 from voxtally.operators.taxonomy_jobs import clean_labels, expand_seed
@@ -244,6 +244,36 @@ def survey_map_fixed(spark, sf_dir):
     return map_fixed(phrases, SURVEY_LABELS).select("phrase_id", "topic", "pp_mod", "subtopic")
 
 
+def standardising_model(labels):
+    """Survey label stand-in: phrases with `the` get the first label, others a label of no list."""
+    first = labels[0]
+
+    def predict(instruction, messages):
+        import json
+
+        answers = []
+        for message in messages:
+            item, topic = message.rsplit("\n", 1)
+            phrase = item.split(": ", 1)[1]
+            answers.append({"pain_point": phrase, "topic": topic.split(": ", 1)[1],
+                            "subtopic": first if "the" in phrase else "Anything"})
+        return json.dumps({"reviews": answers}, ensure_ascii=False)
+
+    return predict
+
+
+@query("survey_map_by_model", f"""
+WITH {PHRASES}
+SELECT phrase_id, topic, pp_mod, CASE WHEN contains(pp_mod, 'the') THEN {quoted(SURVEY_LABELS[0])} ELSE 'Other' END AS subtopic
+FROM phrases""")
+def survey_map_by_model(spark, sf_dir):
+    phrases = explode_phrases(phrase_source(spark, sf_dir), "doc_id", "text", PAIN)
+    return map_fixed_by_model(
+        phrases, SURVEY_LABELS, "Sort each {item_singular} into one of: {subtopics}",
+        standardising_model(SURVEY_LABELS), shared_path(spark, "labels")).select(
+        "phrase_id", "topic", "pp_mod", "subtopic")
+
+
 @query("clean_labels", """
 SELECT upper(p_type) AS type, p_brand AS service,
        CASE p_type WHEN 'SMALL' THEN 'Great Experience with - ' || p_name WHEN 'LARGE' THEN p_name
@@ -270,7 +300,7 @@ def expand(spark, sf_dir):
         import json
 
         kind, service = (line.split(": ", 1)[1] for line in messages[0].split("\n"))
-        return json.dumps({"type": kind, "gaca_services": service, "subtopics": [
+        return json.dumps({"type": kind, "service": service, "subtopics": [
             {"root_subtopic": f"{service} Desk", "positive_mods": [],
              "negative_mods": ["slow", "closed"]}]})
 

@@ -9,7 +9,7 @@ from voxtally.catalog.registry import (
 )
 from voxtally.constants import EXTRACTION_BATCH, PAIN, SUBTOPIC_BATCH
 from voxtally.operators.extract import rule_extract
-from voxtally.operators.keys import batch_id, batch_id_within, dense_id
+from voxtally.operators.keys import batch_id, batch_id_within, dense_id, global_phrase_key
 from voxtally.operators.phrases import explode_phrases, stack_phrases
 from voxtally.session import shared_path
 from voxtally.sources.files import append_if_exists, write_table
@@ -28,6 +28,15 @@ def phrase_id(spark, sf_dir):
         "phrase_id", "pp_mod")
 
 
+@query("phrase_id_global", f"""
+WITH {PHRASES}
+SELECT "Review_No" || '-' || (row_number() OVER (ORDER BY pp_mod, phrase_id) - 1) AS phrase_id, pp_mod
+FROM phrases""")
+def phrase_id_global(spark, sf_dir):
+    phrases = explode_phrases(phrase_source(spark, sf_dir), "doc_id", "text", PAIN)
+    return global_phrase_key(phrases, ["pp_mod", "phrase_id"]).select("phrase_id", "pp_mod")
+
+
 @query("batch_number", f"""
 SELECT doc_id, text, (row_number() OVER (ORDER BY doc_id) - 1) // {EXTRACTION_BATCH} + 1 AS batch
 FROM documents""")

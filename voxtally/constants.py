@@ -105,12 +105,12 @@ AIRPORT_COLUMNS = (
 
 # Frequent function words per Latin-script language (own selection).
 STOP_WORDS = {
-    "en": "the of and to in is that it for was with be by this are from not have you at on they we were",
-    "fr": "le la les et des du une est que qui pour dans pas par sur avec au ne ce il je vous nous",
-    "de": "der die und den von zu das mit sich auf ist nicht für ein eine dem im als auch es wir ich",
-    "es": "el los las que y en del se por con una su para al lo como más pero sus este es muy no",
-    "it": "il di che è per un una sono con non del della gli alla nel anche ho più ma molto",
-    "pt": "o os do da em um uma não com para por mais dos das ao foi muito são ele você",
+    "en": "the of and to a in is that it for was with be by this are from not have you at on they we were or an as he",
+    "fr": "de le la les et des du un une en est que qui pour dans pas par sur avec au ne ce il je vous nous",
+    "de": "der die und in den von zu das mit sich des auf ist nicht für ein eine dem im als auch es wir ich",
+    "es": "de la el los las que y en un del se por con una su para al lo como más pero sus este es muy no",
+    "it": "il di la e che è per un una sono con non del della gli alla nel anche ho più ma molto",
+    "pt": "de a e que o os do da em um uma não com para por mais dos das ao foi muito são ele você",
     "nl": "het een van en de dat niet zijn met voor op aan er maar ook bij naar wij ik was",
     "tr": "ve bir bu için ile çok da de daha olarak gibi ama ne kadar sonra değil var ben",
     "sv": "och att det som en på är av för med den till inte har jag ett om men var",
@@ -123,7 +123,7 @@ STOP_WORDS = {
     "hr": "i je u na se da za su od ne što kao ali nije bio iz",
     "id": "yang dan di dari untuk dengan pada ini itu tidak adalah saya ke akan ada",
     "af": "die en van het is nie in dat vir met op wat ek was om",
-    "ca": "el la els les i de que en per amb un una no és són del al molt",
+    "ca": "el la els les i de que en per amb un una no és són del al molt però això",
     "cy": "y yr a i yn o ar mae gan am wedi ei eu fod bod",
     "so": "iyo waa in ka ku oo la ay u ah uu ayaa soo si",
     "uz": "va bu bir bilan uchun ham edi deb emas bo'lgan lekin",

@@ -41,7 +41,8 @@ def clean_label(label: Column) -> Column:
     left, right = part(1), part(2)
     mood = F.regexp_extract(left, "^(Great|Poor) Experience With$", 1)
     return (
-        F.when(~text.rlike("[-–]"), title_case(text))
+        F.when(text.isNull(), F.lit(None).cast("string"))
+        .when(~text.rlike("[-–]"), title_case(text))
         .when(left == "", right)
         .when(mood != "", F.concat_ws(" ", mood, right, F.lit("Experience")))
         .otherwise(F.concat_ws(" ", left, right))

@@ -79,3 +79,14 @@ def phrase_key(record: Column, topic_pos: Column, kind: Column, phrase_pos: Colu
     """Stable phrase id, built from where the phrase stands and not from a running index."""
     return F.concat_ws("-", record.cast("string"), topic_pos.cast("string"),
                        F.when(kind == "Pain Point", "p").otherwise("d"), phrase_pos.cast("string"))
+
+
+def global_phrase_key(
+    phrases: DataFrame, order: Sequence[Column | str], name: str = "phrase_id",
+) -> DataFrame:
+    """`<record id>-<running index>` over all phrases in `order`, for tables that were keyed so.
+    A late record shifts the ids behind it; prefer the stable key.
+    """
+    numbered = dense_id(phrases, order, 0, "_index")
+    return numbered.withColumn(
+        name, F.concat_ws("-", F.col("Review_No"), F.col("_index"))).drop("_index")

@@ -6,7 +6,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from voxtally.constants import OTHERS, SUBTOPIC_BATCH
+from voxtally.constants import DELIGHT, OTHERS, PAIN, SUBTOPIC_BATCH, SURVEY_BATCH
+from voxtally.functions.choose import coerce_to_set
 from voxtally.functions.prompts import inject, render_record
 from voxtally.functions.replies import parse_reply
 from voxtally.functions.text import let, words
@@ -14,7 +15,9 @@ from voxtally.operators.infer import infer_batches, infer_resumable
 from voxtally.operators.joins import (
     MAX_BROADCAST_BYTES, join_bounded, measured_bytes, topic_candidates,
 )
-from voxtally.schemas import REPLY_SUBTOPICS, SUBTOPIC_LABELS
+from voxtally.schemas import (
+    REPLY_SUBTOPICS, REPLY_SURVEY_DELIGHTS, REPLY_SURVEY_PAINS, SUBTOPIC_LABELS,
+)
 
 
 def _closest(candidates: Column, tokens: Column, default: str) -> Column:
@@ -111,3 +114,43 @@ def map_by_model(
     answers = infer_resumable(distinct, "id", ask, store, SUBTOPIC_LABELS, slices)
     unique = answers.groupBy(F.col("id").alias("_key")).agg(F.min("subtopic").alias("subtopic"))
     return keyed.join(unique, "_key", "left").drop("_key")
+
+
+def map_fixed_by_model(
+    phrases: DataFrame, labels: Sequence[str], template: str, predict: Callable, store: str,
+    default: str = "Other", size: int = SURVEY_BATCH, slices: int = 1, **infer_options,
+) -> DataFrame:
+    """Add `subtopic` by a model that picks from one fixed label list (survey form).
+
+    The reply names a phrase by its text and topic, not by an id. Each distinct (topic, type,
+    phrase) is asked once and joined back; an answer outside the list is `default`, a phrase the
+    model rewords stays open for the next run.
+    """
+    keyed = phrases.withColumn(
+        "_key", F.sha2(F.concat_ws("\u0001", "topic", "type", "pp_mod"), 256))
+    distinct = keyed.select(F.col("_key").alias("id"), "topic", "type", "pp_mod").distinct()
+
+    def ask(part: DataFrame) -> DataFrame:
+        answers = [_ask_fixed(part, kind, field, schema) for kind, field, schema in (
+            (PAIN, "pain_point", REPLY_SURVEY_PAINS), (DELIGHT, "mod", REPLY_SURVEY_DELIGHTS))]
+        return answers[0].unionByName(answers[1])
+
+    def _ask_fixed(part: DataFrame, kind: str, field: str, schema) -> DataFrame:
+        asked = part.where(F.col("type") == kind)
+        prompt = (template.replace("{item_singular}", kind.lower())
+                  .replace("{subtopics}", ", ".join(labels)))
+        messages = asked.select("id", render_record(
+            (kind, F.col("pp_mod")), ("Current_Topic", F.col("topic"))).alias("message"))
+        replies = infer_batches(messages, "id", "message", predict, prompt, size=size,
+                                **infer_options)
+        good, _ = parse_reply(replies.where("ok"), "reply", schema)
+        given = (
+            good.select("record_ids", F.inline("reviews"))
+            .withColumn("id", F.sha2(F.concat_ws("\u0001", "topic", F.lit(kind), field), 256))
+            .where(F.array_contains("record_ids", F.col("id")))
+            .groupBy("id").agg(F.min("subtopic").alias("subtopic")))
+        return given.withColumn("subtopic", coerce_to_set(F.col("subtopic"), labels, default))
+
+    answers = infer_resumable(distinct, "id", ask, store, SUBTOPIC_LABELS, slices)
+    unique = answers.groupBy(F.col("id").alias("_key")).agg(F.min("subtopic").alias("subtopic"))
+    return keyed.join(unique, "_key", "left").drop("_key")

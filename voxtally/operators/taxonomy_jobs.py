@@ -12,20 +12,24 @@ from voxtally.functions.prompts import render_record
 from voxtally.functions.replies import parse_reply
 from voxtally.functions.text import concat_label, join_or_null
 from voxtally.operators.infer import infer_batches
-from voxtally.schemas import REPLY_CLEAN_LABELS, REPLY_TAXONOMY
+from voxtally.schemas import reply_clean_labels, reply_taxonomy
 
 
-def expand_seed(df: DataFrame, instruction: str, predict: Callable, **infer_options) -> DataFrame:
-    """Distinct (CATEGORY_NAME, TYPE) to taxonomy rows, one model call per pair."""
+def expand_seed(
+    df: DataFrame, instruction: str, predict: Callable, service: str = "service", **infer_options,
+) -> DataFrame:
+    """Distinct (CATEGORY_NAME, TYPE) to taxonomy rows, one model call per pair. `service` names the
+    category in message and reply.
+    """
     pairs = df.select("CATEGORY_NAME", "TYPE").na.drop().distinct()
     messages = pairs.select(
         F.concat_ws("|", "TYPE", "CATEGORY_NAME").alias("id"),
-        render_record(("type", F.col("TYPE")), ("service", F.col("CATEGORY_NAME")))
+        render_record(("type", F.col("TYPE")), (service, F.col("CATEGORY_NAME")))
         .alias("message"))
     replies = infer_batches(messages, "id", "message", predict, instruction, size=1,
                             **infer_options)
-    good, _ = parse_reply(replies.where("ok"), "reply", REPLY_TAXONOMY)
-    return good.select("type", F.col("gaca_services").alias("topic"), F.inline("subtopics")).select(
+    good, _ = parse_reply(replies.where("ok"), "reply", reply_taxonomy(service))
+    return good.select("type", F.col(service).alias("topic"), F.inline("subtopics")).select(
         "type", "topic", "root_subtopic",
         join_or_null(F.col("negative_mods")).alias("negative_mods"),
         join_or_null(F.col("positive_mods")).alias("positive_mods"))
@@ -40,7 +44,7 @@ def combined_label(df: DataFrame) -> DataFrame:
 
 def clean_labels(
     df: DataFrame, predict: Callable | None = None, instruction: str = "",
-    size: int = CLEANUP_BATCH, **infer_options,
+    size: int = CLEANUP_BATCH, service: str = "service", **infer_options,
 ) -> DataFrame:
     """`type, topic, subtopic` to readable labels: by rule, or by a model when one is given."""
     rows = combined_label(df)
@@ -50,10 +54,10 @@ def clean_labels(
             clean_label(F.col("subtopic")).alias("cleaned_subtopic"))
     messages = rows.select("type", "topic", "subtopic").distinct().select(
         F.concat_ws("|", "type", "topic", "subtopic").alias("id"),
-        render_record(("type", F.col("type")), ("service", F.col("topic")),
+        render_record(("type", F.col("type")), (service, F.col("topic")),
                       ("subtopic", F.col("subtopic"))).alias("message"))
     replies = infer_batches(messages, "id", "message", predict, instruction, size=size,
                             **infer_options)
-    good, _ = parse_reply(replies.where("ok"), "reply", REPLY_CLEAN_LABELS)
+    good, _ = parse_reply(replies.where("ok"), "reply", reply_clean_labels(service))
     return good.select(F.inline("Subtopics")).select(
-        "type", F.col("gaca_service").alias("service"), "old_subtopic", "cleaned_subtopic")
+        "type", F.col(service).alias("service"), "old_subtopic", "cleaned_subtopic")

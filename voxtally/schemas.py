@@ -42,14 +42,22 @@ REPLY_SURVEY_PAINS = StructType(
 REPLY_SURVEY_DELIGHTS = StructType(
     [_list("reviews", StructType(_strings("mod", "topic", "subtopic")))])
 REPLY_CLASSES = StructType([_list("tweets", StructType(_strings("id", "label", "main_entity")))])
-REPLY_TAXONOMY = StructType(
-    _strings("type", "gaca_services")
-    + [_list("subtopics", StructType(
-        _strings("root_subtopic")
-        + [_list("positive_mods", StringType()), _list("negative_mods", StringType())]))])
-REPLY_CLEAN_LABELS = StructType(
-    [_list("Subtopics", StructType(
-        _strings("type", "gaca_service", "cleaned_subtopic", "old_subtopic")))])
+
+
+def reply_taxonomy(service: str = "service") -> StructType:
+    """Reply to a seed category; `service` is the name the prompt gives the category field."""
+    return StructType(
+        _strings("type", service)
+        + [_list("subtopics", StructType(
+            _strings("root_subtopic")
+            + [_list("positive_mods", StringType()), _list("negative_mods", StringType())]))])
+
+
+def reply_clean_labels(service: str = "service") -> StructType:
+    """Reply to a label clean-up batch; `service` as above."""
+    return StructType([_list("Subtopics", StructType(
+        _strings("type", service, "cleaned_subtopic", "old_subtopic")))])
+
 
 EXTRACTION = StructType(
     _strings("review_id", "sentiment", "topic")
