@@ -19,7 +19,12 @@ _LABEL, _ENTITY = rules_sql("text")
 
 def _stream(spark, sf_dir, name):
     schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return spark.readStream.schema(schema).parquet(_export(sf_dir, name))
+
+
+def _export(sf_dir, name):
+    """Pattern for a table that is one file or a folder of files."""
+    return f"{sf_dir}/{name}.parquet*"
 
 
 @query("stream_ingest", f"""
@@ -29,11 +34,11 @@ def stream_ingest(spark, sf_dir):
     sink, checkpoint = shared_path(spark, "sink"), shared_path(spark, "checkpoint")
     schema = table(spark, sf_dir, "documents").select("text", "doc_id").schema
     for _ in range(2):  # the second run finds nothing new
-        start_ingest(spark, sf_dir, sink, checkpoint, schema, "text", "text",
-                     pathGlobFilter="documents.parquet").awaitTermination()
+        start_ingest(spark, _export(sf_dir, "documents"), sink, checkpoint, schema, "text",
+                     "text").awaitTermination()
     # A new stream over the same export sees only known ids.
-    start_ingest(spark, sf_dir, sink, shared_path(spark, "checkpoint"), schema, "text", "text",
-                 pathGlobFilter="documents.parquet").awaitTermination()
+    start_ingest(spark, _export(sf_dir, "documents"), sink, shared_path(spark, "checkpoint"),
+                 schema, "text", "text").awaitTermination()
     return spark.read.parquet(sink).select("text", "doc_id", "label", "main_entity")
 
 

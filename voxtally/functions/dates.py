@@ -34,7 +34,10 @@ def parse_mixed(text: Column) -> Column:
     Year-first text is read as ISO, other numeric text day first, and month first where day first
     is impossible.
     """
-    text = strip(text)
+    return let(strip(text), _mixed)
+
+
+def _mixed(text: Column) -> Column:
     iso = F.regexp_replace(text, r"^(\d{4})[/.](\d{1,2})[/.]", "$1-$2-")
     return F.when(text.rlike(_YEAR_FIRST), iso.try_cast("timestamp_ntz")).otherwise(
         let(_tidy(text), _by_shape))
@@ -51,10 +54,13 @@ def _by_shape(tidy: Column) -> Column:
 
 def parse_utc(text: Column) -> Column:
     """Instant from text; an offset in the text is honoured, without one the text is UTC."""
-    text = strip(text)
+    return let(strip(text), _utc)
+
+
+def _utc(text: Column) -> Column:
     full = F.when(F.length(text) <= 10, F.concat(text, F.lit("T00:00:00"))).otherwise(text)
     iso = F.when(full.rlike(_ZONE), full).otherwise(F.concat(full, F.lit("Z")))
-    mixed = F.convert_timezone(F.lit("UTC"), F.current_timezone(), parse_mixed(text))
+    mixed = F.convert_timezone(F.lit("UTC"), F.current_timezone(), _mixed(text))
     return F.when(text.rlike(_YEAR_FIRST), iso.try_cast("timestamp")).otherwise(
         mixed.cast("timestamp"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from voxtally.functions.staging import computed
 from voxtally.functions.text import strip
 
 
@@ -37,11 +38,8 @@ def parse_reply(
     corrupt = "_corrupt"
     typed = StructType([*schema.fields, StructField(corrupt, StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
-    # A generated row is where Spark stops merging expressions: without it every use of the parsed
-    # reply below would parse the text again.
-    bare = df.select("*", F.inline(F.array(F.struct(strip_fence(F.col(reply)).alias("_text")))))
-    parsed = bare.select("*", F.inline(F.array(F.struct(
-        F.from_json("_text", typed, options).alias("_reply")))))
+    bare = computed(df, _text=strip_fence(F.col(reply)))
+    parsed = computed(bare, _reply=F.from_json("_text", typed, options))
 
     lists = [f for f in schema.fields if hasattr(f.dataType, "elementType")]
     missing = F.lit(False)
@@ -61,7 +59,7 @@ def parse_reply(
         .when(F.coalesce(missing, F.lit(True)), "missing")
         .when(F.coalesce(invalid, F.lit(True)), "invalid")
     )
-    judged = parsed.select("*", F.inline(F.array(F.struct(reason.alias("reject_reason")))))
+    judged = computed(parsed, reject_reason=reason)
     good = judged.where(F.col("reject_reason").isNull()).select(
         *df.columns, *[F.col(f"_reply.{f.name}").alias(f.name) for f in schema.fields])
     rejects = judged.where(F.col("reject_reason").isNotNull()).select(*df.columns, "reject_reason")

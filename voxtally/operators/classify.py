@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from voxtally.constants import KEYWORD_RULES, NO_RULE, POST_ENTITIES, POST_LABELS
 from voxtally.functions.prompts import render_record
 from voxtally.functions.replies import parse_reply
+from voxtally.functions.staging import computed
 from voxtally.operators.infer import infer_batches
 from voxtally.schemas import REPLY_CLASSES
 
@@ -65,7 +66,7 @@ def keyword_classify(
     labels = F.array(*[F.lit(label) for label, _ in outcomes])
     entities = F.array(*[F.lit(entity) for _, entity in outcomes])
     return (
-        lowered.withColumn("_rule", rule)
+        computed(lowered, _rule=rule)
         .withColumn("label", F.try_element_at(labels, F.col("_rule")))
         .withColumn("main_entity", F.try_element_at(entities, F.col("_rule")))
         .drop("_lower", "_foreign", "_rule"))

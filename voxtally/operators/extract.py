@@ -17,11 +17,13 @@ Entry = tuple[str, str, str]  # phrase, "pain" or "delight", topic
 
 def rule_extract(
     df: DataFrame, id_col: str, text_col: str, lexicon: Sequence[Entry], limit: int = 3,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Deterministic extraction by a phrase lexicon, column expressions only.
 
     Per topic at most `limit` pains and delights in lexicon order; a record without a hit is one
-    neutral row of topic `Others`. It has the shape of a model's result, not its quality.
+    neutral row of topic `Others`. It has the shape of a model's result, not its quality. Columns in
+    `keep` travel along, which saves a join back on the record id.
     """
     topics = list(dict.fromkeys(topic for _, _, topic in lexicon))
     lowered = df.withColumn("_lower", F.lower(f"`{text_col}`"))
@@ -37,8 +39,10 @@ def rule_extract(
     for i, topic in enumerate(topics):
         columns[f"_pain{i}"] = found(topic, "pain")
         columns[f"_delight{i}"] = found(topic, "delight")
-    hits = lowered.select(F.col(f"`{id_col}`").cast("string").alias("review_id"), "_lower").select(
-        "review_id", *[col.alias(name) for name, col in columns.items()])
+    kept = [F.col(f"`{name}`") for name in keep]
+    hits = lowered.select(
+        F.col(f"`{id_col}`").cast("string").alias("review_id"), "_lower", *kept).select(
+        "review_id", *kept, *[col.alias(name) for name, col in columns.items()])
 
     def total(prefix: str) -> Column:
         sizes = [F.size(f"{prefix}{i}") for i in range(len(topics))]
@@ -57,14 +61,14 @@ def rule_extract(
     balance = total("_delight") - total("_pain")
     return (
         hits.select(
-            "review_id",
+            "review_id", *kept,
             F.when(balance > 0, "positive").when(balance < 0, "negative").otherwise("neutral")
             .alias("sentiment"),
             details.alias("_details"))
-        .select("review_id", "sentiment", F.posexplode(
+        .select("review_id", *kept, "sentiment", F.posexplode(
             F.when(F.size("_details") > 0, F.col("_details")).otherwise(none))
             .alias("topic_pos", "_detail"))
-        .select("review_id", "sentiment", "topic_pos", "_detail.*"))
+        .select("review_id", *kept, "sentiment", "topic_pos", "_detail.*"))
 
 
 def model_extract(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from voxtally.constants import DELIGHT, PAIN
@@ -41,8 +43,11 @@ def explode_phrases(
         .drop("topic_pos", "phrase_pos"))
 
 
-def stack_phrases(df: DataFrame, id_col: str = "review_id") -> DataFrame:
+def stack_phrases(
+    df: DataFrame, id_col: str = "review_id", keep: Sequence[str] = (),
+) -> DataFrame:
     """Pain points and moments of delight as rows, in a single pass over the extraction."""
+    kept = [F.col(f"`{name}`") for name in keep]
     topic_pos = F.col("topic_pos") if "topic_pos" in df.columns else F.lit(0)
 
     def tagged(value: str, label: str) -> Column:
@@ -54,7 +59,7 @@ def stack_phrases(df: DataFrame, id_col: str = "review_id") -> DataFrame:
     both = F.concat(tagged("pain_points", PAIN), tagged("moments_of_delight", DELIGHT))
     return (
         df.select(F.col(id_col).cast("string").alias("Review_No"), "sentiment", "topic",
-                  topic_pos.alias("topic_pos"), F.inline(both))
+                  *kept, topic_pos.alias("topic_pos"), F.inline(both))
         .withColumn("pp_mod", normalise(F.col("pp_mod")))
         .where(F.col("pp_mod") != "")
         .withColumn("phrase_id", phrase_key(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from voxtally.constants import KEYWORD_RULES, MIN_DATE, PLACE_CODES
 from voxtally.functions.dates import day_text, parse_mixed, parse_utc
+from voxtally.functions.staging import computed
 from voxtally.functions.text import token_count, word_count
 from voxtally.operators.classify import keyword_classify
 from voxtally.operators.dedup import distinct_rows, keep_first, keep_latest
@@ -40,7 +41,7 @@ def prep_places(
     Duplicates are removed last of the row-wise steps, so only rows that stay are shuffled.
     """
     dated = since(
-        df.withColumn("published_at_datetime_x", parse_utc(F.col("PUBLISHED AT DATETIME"))),
+        computed(df, published_at_datetime_x=parse_utc(F.col("PUBLISHED AT DATETIME"))),
         "published_at_datetime_x", min_date)
     rows = distinct_rows(lookup_inner(dated, "PLACE NAME", codes, "Airport"))
     named = project(

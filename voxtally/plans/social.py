@@ -20,17 +20,19 @@ def social_final(
 ) -> DataFrame:
     """Posts of one label as rows of the dashboard table of that label.
 
-    Extraction and labels are decided inside the row, so only one join on the post id remains.
-    Posts have no rating.
+    Language, extraction and labels are all decided inside the row and the post's columns travel
+    along, so nothing is joined back and no text is shuffled. Posts have no rating.
     """
-    chosen = posts.where(F.col("label") == label)
-    phrases = map_by_overlap(
-        stack_phrases(rule_extract(chosen, "INTERNAL UNIQUE ID", "CONTENT", lexicon)), labels)
-    meta = enrich_language(chosen.select(
-        F.col("`INTERNAL UNIQUE ID`").alias("Review_No"),
-        F.col("main_entity").alias(entity_column),
-        day_text(utc_day(F.col("`PUBLISHED AT`"))).alias("date"),
-        F.lit(None).cast("double").alias("rating"),
-        F.lit(source).alias("data_source"),
-        F.col("CONTENT").alias("Original Review")), translator=translator)
-    return phrases.join(meta, "Review_No").select(*[f"`{c}`" for c in config.columns])
+    meta = enrich_language(
+        posts.where(F.col("label") == label).select(
+            F.col("`INTERNAL UNIQUE ID`").alias("post"),
+            F.col("main_entity").alias(entity_column),
+            day_text(utc_day(F.col("`PUBLISHED AT`"))).alias("date"),
+            F.lit(None).cast("double").alias("rating"),
+            F.lit(source).alias("data_source"),
+            F.col("CONTENT").alias("Original Review")),
+        translator=translator)
+    keep = [c for c in meta.columns if c != "post"]
+    extraction = rule_extract(meta, "post", "Original Review", lexicon, keep=keep)
+    phrases = map_by_overlap(stack_phrases(extraction, keep=keep), labels)
+    return phrases.select(*[f"`{c}`" for c in config.columns])
