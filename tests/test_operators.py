@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from voxtally.constants import KEYWORD_RULES
-from voxtally.operators import joins, mapping
 from voxtally.operators.classify import keyword_classify
 from voxtally.operators.dedup import keep_first, keep_latest
 from voxtally.operators.extract import rule_extract

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from voxtally.catalog.aggregates import LABELLED, labelled_phrases, rules_sql
 from voxtally.catalog.models import comments
 from voxtally.catalog.registry import (
-    LEXICON, REVIEWS, extraction_sql, overlap_sql, query, quoted, reviews, stacked_sql, table,
-    taxonomy,
+    LEXICON, REVIEWS, extraction_sql, overlap_sql, query, quoted, reviews, stacked_sql, taxonomy,
 )
 from voxtally.catalog.textual import _MIXED, written_dates
 from voxtally.constants import AIRPORT_COLUMNS, LANGUAGE_NAMES, POST_LABELS
 from voxtally.operators.extract import rule_extract
+from voxtally.operators.mapping import map_by_overlap
+from voxtally.operators.phrases import stack_phrases
 from voxtally.plans.final import (
     AIRLINES, AIRPORTS, FinalConfig, final_table, place_metadata, review_metadata,
 )
@@ -187,9 +188,6 @@ SELECT l."Review_No", l.sentiment, CASE l.topic WHEN 'Baggage' THEN 'Baggage Ser
        p.text AS "Translated Review", l.subtopic
 FROM labelled l JOIN places p ON CAST(p.review_no AS VARCHAR) = l."Review_No" """)
 def final_airports(spark, sf_dir):
-    from voxtally.operators.mapping import map_by_overlap
-    from voxtally.operators.phrases import stack_phrases
-
     places = prep_places(raw_places(spark, sf_dir), PLACES, MIN_DAY)
     phrases = map_by_overlap(
         stack_phrases(rule_extract(places, "Review_No", "text", LEXICON)),

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from voxtally.catalog.aggregates import labelled_phrases, rules_sql
 from voxtally.catalog.joining import PART_LABELS, part_taxonomy
 from voxtally.catalog.registry import (
-    LEXICON, PHRASES, TAXONOMY_ROWS, extraction_sql, label_rows, overlap_sql, phrase_source, query,
-    quoted, stacked_sql, table, taxonomy, values,
+    LEXICON, PHRASES, extraction_sql, overlap_sql, phrase_source, query, quoted, stacked_sql, table,
+    values,
 )
-from voxtally.constants import OTHERS, PAIN, STOP_WORDS
+from voxtally.constants import LANGUAGE_NAMES, OTHERS, PAIN, STOP_WORDS
 from voxtally.functions.prompts import render_record
 from voxtally.functions.text import join_or_null
 from voxtally.operators.classify import classify_fallback, keyword_classify
@@ -39,7 +39,7 @@ def _detect_sql() -> str:
         f"WHEN regexp_matches(text, {quoted(p.replace('{Is', '{'))}) THEN {quoted(c)}"
         for c, p in SCRIPTS)
     names = "CASE lang_code WHEN 'unknown' THEN 'Unknown' " + " ".join(
-        f"WHEN {quoted(c)} THEN {quoted(n)}" for c, n in _names()) + " ELSE lang_code END"
+        f"WHEN {quoted(c)} THEN {quoted(n)}" for c, n in LANGUAGE_NAMES.items()) + " ELSE lang_code END"
     return rf"""tokens AS (
   SELECT doc_id, text, string_split_regex(lower(text), '[^\p{{L}}]+') AS tokens,
          len(regexp_extract_all(text, '\p{{Latin}}')) AS latin, len(regexp_extract_all(text, '\p{{L}}')) AS letters
@@ -53,12 +53,6 @@ coded AS (
 detected AS (SELECT doc_id, text, lang_code, {names} AS lang_name FROM coded)"""
 
 
-def _names():
-    from voxtally.constants import LANGUAGE_NAMES
-
-    return LANGUAGE_NAMES.items()
-
-
 @query("detect_language", f"WITH {_detect_sql()} SELECT doc_id, lang_code, lang_name FROM detected")
 def detect(spark, sf_dir):
     return detect_language(table(spark, sf_dir, "documents"), "text").select(

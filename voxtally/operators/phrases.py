@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from voxtally.constants import DELIGHT, PAIN
-from voxtally.functions.text import normalise
+from voxtally.functions.text import normalise, strip
 from voxtally.operators.keys import phrase_key
 
 
@@ -35,8 +35,8 @@ def explode_phrases(
         df.select(F.col(id_col).cast("string").alias("Review_No"), "sentiment", "topic",
                   topic_pos.alias("topic_pos"),
                   F.posexplode(_as_list(df, value_col)).alias("phrase_pos", "pp_mod"))
+        .where(strip(F.col("pp_mod")) != "")
         .withColumn("pp_mod", normalise(F.col("pp_mod")))
-        .where(F.col("pp_mod") != "")
         .withColumn("type", F.lit(type_label))
         .withColumn("phrase_id", phrase_key(
             F.col("Review_No"), F.col("topic_pos"), F.col("type"), F.col("phrase_pos")))
@@ -60,8 +60,8 @@ def stack_phrases(
     return (
         df.select(F.col(id_col).cast("string").alias("Review_No"), "sentiment", "topic",
                   *kept, topic_pos.alias("topic_pos"), F.inline(both))
+        .where(strip(F.col("pp_mod")) != "")
         .withColumn("pp_mod", normalise(F.col("pp_mod")))
-        .where(F.col("pp_mod") != "")
         .withColumn("phrase_id", phrase_key(
             F.col("Review_No"), F.col("topic_pos"), F.col("type"), F.col("phrase_pos")))
         .drop("topic_pos", "phrase_pos"))
