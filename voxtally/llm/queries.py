@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voxtally.llm.common import table
+from voxtally.llm.common import crc_of_id, table
+from voxtally.llm.languages import detect_languages, fit_languages
 from voxtally.llm.near_duplicates import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,3 +49,13 @@ FROM documents d LEFT JOIN sized s ON s.doc_id = d.doc_id LEFT JOIN least_id l O
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op9_languages")
+def op9_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_of_id("doc_id") % 4 == 2
+    model = fit_languages(docs.where(~held_out))
+    return detect_languages(docs, model).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score",
+        F.size("spans").alias("n_spans"))
