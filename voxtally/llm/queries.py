@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from voxtally.llm.common import crc_of_id, table
 from voxtally.llm.languages import detect_languages, fit_languages
 from voxtally.llm.near_duplicates import near_duplicates
+from voxtally.llm.secrets import as_text, fit_on_documents, scan_secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -59,3 +60,14 @@ def op9_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect_languages(docs, model).select(
         "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score",
         F.size("spans").alias("n_spans"))
+
+
+@query("op2_secrets")
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = scan_secrets(docs, fit_on_documents(docs))
+    kind = lambda name: F.size(F.filter("secrets", lambda s: s["kind"] == name)).cast("bigint")
+    return found.select(
+        "doc_id", kind("assign").alias("n_assign"), kind("access").alias("n_access"), kind("hex").alias("n_hex"),
+        F.sha2(as_text(F.filter("secrets", lambda s: s["kind"] != "random")), 256).alias("base_sha256"),
+        as_text(F.col("secrets")).alias("spans"), kind("random").alias("n_random"))
