@@ -10,6 +10,7 @@ from voxtally.llm.common import crc_of_id, table
 from voxtally.llm.languages import detect_languages, fit_languages
 from voxtally.llm.near_duplicates import near_duplicates
 from voxtally.llm.secrets import as_text, fit_on_documents, scan_secrets
+from voxtally.llm.warc import read_archives, save_archives, write_archives
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -71,3 +72,21 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", kind("assign").alias("n_assign"), kind("access").alias("n_access"), kind("hex").alias("n_hex"),
         F.sha2(as_text(F.filter("secrets", lambda s: s["kind"] != "random")), 256).alias("base_sha256"),
         as_text(F.col("secrets")).alias("spans"), kind("random").alias("n_random"))
+
+
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, {5 * block + 1}, 5))::INT >> {15 - 5 * i}) & 31), 1)"
+    for block in range(8) for i in range(4))
+
+
+@query("op6_warc", f"""
+WITH hashed AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS size, sha1(coalesce(html, '')) AS h FROM pages),
+firsts AS (SELECT h, min(page_id) AS f FROM hashed GROUP BY h)
+SELECT page_id, size::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> f THEN f END AS refers_to
+FROM hashed JOIN firsts USING (h)
+""")
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = save_archives(write_archives(table(spark, sf_dir, "pages")))
+    return read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
