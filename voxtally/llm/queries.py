@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from voxtally.llm.binary_search import search, sign_codes
 from voxtally.llm.common import crc_of_id, table
 from voxtally.llm.languages import detect_languages, fit_languages
 from voxtally.llm.near_duplicates import near_duplicates
@@ -90,3 +91,21 @@ FROM hashed JOIN firsts USING (h)
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = save_archives(write_archives(table(spark, sf_dir, "pages")))
     return read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _half(first: int) -> str:
+    return (f"list_sum(list_transform(range({first}, {first + 32}), "
+            f"lambda i: CASE WHEN embedding[i + 1] > 0 THEN 1::BIGINT << (i - {first}) ELSE 0 END))::BIGINT")
+
+
+@query("op7_nearest_codes", f"""
+WITH codes AS (SELECT vec_id, {_half(0)} AS lo, {_half(32)} AS hi FROM embeddings WHERE len(embedding) = 64),
+ranked AS (
+  SELECT q.vec_id AS query_id, v.vec_id, bit_count(xor(q.lo, v.lo)) + bit_count(xor(q.hi, v.hi)) AS distance
+  FROM codes q JOIN codes v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank FROM ranked)
+SELECT query_id, vec_id, rank, distance::BIGINT AS distance FROM numbered WHERE rank <= 10
+""")
+def op7_nearest_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = table(spark, sf_dir, "embeddings").select("vec_id", sign_codes("embedding").alias("code"))
+    return search(codes, codes.where("vec_id % 100 = 0"))
