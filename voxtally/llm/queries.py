@@ -10,6 +10,7 @@ from voxtally.llm.binary_search import search, sign_codes
 from voxtally.llm.common import crc_of_id, table
 from voxtally.llm.languages import detect_languages, fit_languages
 from voxtally.llm.near_duplicates import near_duplicates
+from voxtally.llm.quality import fit_quality, score_quality
 from voxtally.llm.secrets import as_text, fit_on_documents, scan_secrets
 from voxtally.llm.warc import read_archives, save_archives, write_archives
 
@@ -109,3 +110,12 @@ SELECT query_id, vec_id, rank, distance::BIGINT AS distance FROM numbered WHERE
 def op7_nearest_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = table(spark, sf_dir, "embeddings").select("vec_id", sign_codes("embedding").alias("code"))
     return search(codes, codes.where("vec_id % 100 = 0"))
+
+
+@query("op4_quality")
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = crc_of_id("doc_id") % 3 == 1
+    model = fit_quality(docs, labels.where(~held_out))
+    return score_quality(docs, model).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
