@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from voxtally.llm.binary_search import search, sign_codes
 from voxtally.llm.common import crc_of_id, table
+from voxtally.llm.fingerprints import compare_with_next
 from voxtally.llm.languages import detect_languages, fit_languages
 from voxtally.llm.near_duplicates import near_duplicates
 from voxtally.llm.quality import fit_quality, score_quality
@@ -119,3 +120,8 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_quality(docs, labels.where(~held_out))
     return score_quality(docs, model).select(
         "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query("op8_fingerprints")
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_next(table(spark, sf_dir, "documents"))
