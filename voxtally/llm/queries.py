@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from voxtally.llm.binary_search import search, sign_codes
@@ -11,6 +12,7 @@ from voxtally.llm.common import crc_of_id, table
 from voxtally.llm.fingerprints import compare_with_next
 from voxtally.llm.languages import detect_languages, fit_languages
 from voxtally.llm.near_duplicates import near_duplicates
+from voxtally.llm.packing import pack
 from voxtally.llm.quality import fit_quality, score_quality
 from voxtally.llm.secrets import as_text, fit_on_documents, scan_secrets
 from voxtally.llm.warc import read_archives, save_archives, write_archives
@@ -125,3 +127,8 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_fingerprints")
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_next(table(spark, sf_dir, "documents"))
+
+
+@query("op3_packing")
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
