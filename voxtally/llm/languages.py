@@ -242,3 +242,21 @@ def detect_languages(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_i
 
     return (docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
                 .mapInArrow(label, _RESULT).withColumnRenamed("id", doc_id))
+
+
+def keep_known_languages(docs: DataFrame, model: LanguageModel, text: str = "text", least_score: float = 0.25) -> DataFrame:
+    """The rows of `docs` whose text has a language: not `und`, and a score of `least_score` or more.
+
+    All columns pass unchanged; no shuffle.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = [
+                lang != UNKNOWN and score >= least_score
+                for group in _groups(batch.column(at).to_pylist()) for lang, score, _ in label_texts(group, shared.value)]
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -163,3 +163,14 @@ def near_duplicates(
                          F.when(F.col("id").isNotNull(), F.col("class_id")).alias("class_id"),
                          component.alias("component_id"),
                          F.coalesce(F.col("id") == component, F.lit(True)).alias("kept")))
+
+
+def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how: int) -> DataFrame:
+    """The rows of `docs` but those that have a smaller id in their group; all columns pass unchanged.
+
+    Rows that share an id stay or go together; rows without an id stay.
+    """
+    found = near_duplicates(docs, doc_id, text, **how)
+    gone = settle(found.where("NOT kept").select(F.col(doc_id).alias("_gone")).distinct(), "removed")
+    few = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    return docs.join(few, docs[doc_id] == F.col("_gone"), "left_anti")

@@ -11,6 +11,7 @@ from voxtally.llm.binary_search import search, sign_codes
 from voxtally.llm.common import crc_of_id, table
 from voxtally.llm.fingerprints import compare_with_next
 from voxtally.llm.languages import detect_languages, fit_languages
+from voxtally.llm.mixing import mix_sources
 from voxtally.llm.near_duplicates import near_duplicates
 from voxtally.llm.packing import pack
 from voxtally.llm.quality import fit_quality, score_quality
@@ -132,3 +133,35 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_packing")
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op1_mixing", """
+WITH RECURSIVE numbered AS (
+  SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5(doc_id::VARCHAR), doc_id) - 1 AS r FROM documents),
+counts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+weighed AS (SELECT source, n, least(n * 100, (sum(n) OVER ())::BIGINT * 25) AS w FROM counts),
+slotted AS (
+  SELECT source, n, greatest(1, (4000 * w + sum(w) OVER ()) // (2 * sum(w) OVER ()))::BIGINT AS q,
+    row_number() OVER (ORDER BY source) AS i FROM weighed),
+one AS (SELECT list(q ORDER BY i) AS q, sum(q)::BIGINT AS period, count(*) AS m FROM slotted),
+steps AS (
+  SELECT -1::BIGINT AS t, list_transform(q, lambda x: 0::BIGINT) AS done, 0::BIGINT AS i, q, period, m FROM one
+  UNION ALL
+  SELECT t + 1, list_transform(done, lambda c, k: CASE WHEN k = p THEN c + 1 ELSE c END), p, q, period, m
+  FROM (
+    SELECT *, list_min(list_transform(
+      list_filter(range(1, m + 1), lambda k: done[k] < q[k] AND done[k] * period < (t + 2) * q[k]),
+      lambda k: (((done[k] + 1) * period + q[k] - 1) // q[k]) * m + k - 1)) % m + 1 AS p
+    FROM steps WHERE t + 1 < period)),
+turns AS (SELECT i, t, row_number() OVER (PARTITION BY i ORDER BY t) - 1 AS j FROM steps WHERE t >= 0),
+plan AS (SELECT s.*, o.period FROM slotted s, one o),
+horizon AS (
+  SELECT min((b // q) * p.period + t.t) AS horizon FROM (SELECT *, (n + 7) // 8 AS b FROM plan) p
+  JOIN turns t ON t.i = p.i AND t.j = p.b % p.q),
+placed AS (
+  SELECT d.doc_id, d.source, d.r // 8 AS block, d.r % 8 AS place, ((d.r // 8) // p.q) * p.period + t.t AS slot
+  FROM numbered d JOIN plan p ON p.source = d.source JOIN turns t ON t.i = p.i AND t.j = (d.r // 8) % p.q)
+SELECT doc_id, source, block, place, slot, slot < horizon AS in_mix FROM placed, horizon
+""")
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))

@@ -156,19 +156,23 @@ def _tagged(n: int, kind: str) -> Column:
         s["start"].alias("start"), F.lit(n).alias("kind_no"), s["end"].alias("end"), F.lit(kind).alias("kind")))
 
 
-def scan_secrets(docs: DataFrame, model: SecretModel, text: str = "text") -> DataFrame:
-    """`docs` with secrets: array of (start, kind_no, end, kind) by start, then kind.
+def scan_secrets(docs: DataFrame, model: SecretModel, text: str = "text", into: str = "secrets") -> DataFrame:
+    """`docs` with a column `into`: array of (start, kind_no, end, kind) by start, then kind.
 
     Kinds are those in KINDS: the three base patterns, and runs of 16 or more letters, digits and
     + / _ = - whose log-likelihood ratio under the two Markov models reaches the threshold and that
     touch no base span. Places are code points, the end exclusive. One narrow pass in SQL
     functions, no shuffle. A null text counts as empty and has no span; other columns, repeated rows
-    and their order stay as they are. `docs` may not have a column called `secrets`.
+    and their order stay as they are. `docs` may not have
+    a column called as `into`.
     """
-    based = with_base_spans(docs.select(F.struct("*").alias("_row"), F.col(text).alias("_text")), "_text")
-    runs = computed(based, _runs=_matches(F.coalesce("_text", F.lit("")), CANDIDATE))
+    # Columns get neutral names meanwhile, so that none of theirs clashes.
+    own = [f"_c{i}" for i in range(len(docs.columns))]
+    body = F.coalesce(own[docs.columns.index(text)], F.lit(""))
+    based = with_base_spans(docs.toDF(*own), own[docs.columns.index(text)])
+    runs = computed(based, _runs=_matches(body, CANDIDATE))
     base = F.concat("assign", "access", "hex")
-    placed = _located(F.col("_text"), CANDIDATE, F.col("_runs"))
+    placed = _located(body, CANDIDATE, F.col("_runs"))
     apart = lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
     # Places are only worked out for texts that have a random run at all.
     is_random = F.exists("_runs", lambda run: _ratio(run, model) >= model.threshold)
@@ -176,7 +180,7 @@ def scan_secrets(docs: DataFrame, model: SecretModel, text: str = "text") -> Dat
         placed, lambda s, i: (_ratio(F.get(F.col("_runs"), i), model) >= model.threshold) & apart(s)))
         .otherwise(F.expr("CAST(array() AS array<struct<start:int,end:int>>)")))
     tagged = [_tagged(n, kind) for n, kind in enumerate(KINDS)]
-    return judged.select("_row.*", F.array_sort(F.concat(*tagged)).alias("secrets"))
+    return judged.select(*[F.col(c).alias(name) for c, name in zip(own, docs.columns)], F.array_sort(F.concat(*tagged)).alias(into))
 
 
 def as_text(spans: Column) -> Column:
