@@ -14,6 +14,7 @@ from voxtally.llm.languages import detect_languages, fit_languages
 from voxtally.llm.mixing import mix_sources
 from voxtally.llm.near_duplicates import near_duplicates
 from voxtally.llm.packing import pack
+from voxtally.llm.passages import repeated_passages
 from voxtally.llm.quality import fit_quality, score_quality
 from voxtally.llm.secrets import as_text, fit_on_documents, scan_secrets
 from voxtally.llm.warc import read_archives, save_archives, write_archives
@@ -165,3 +166,8 @@ SELECT doc_id, source, block, place, slot, slot < horizon AS in_mix FROM placed,
 """)
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
+
+
+@query("op5_passages")
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
