@@ -105,5 +105,5 @@ def keep_mixture(docs: DataFrame, placed: DataFrame, *, doc_id: str = "doc_id",
     """
     ends = (placed.where("NOT in_mix").groupBy(F.col(source).alias("_s")).agg(F.min(_order_key(doc_id)).alias("_end")))
     ends = settle(ends, "boundaries")
-    inside = F.col("_end").isNull() | (_order_key(doc_id) < F.col("_end"))
-    return docs.join(F.broadcast(ends), F.col(source).eqNullSafe(F.col("_s")), "left").where(inside).select(docs["*"])
+    inside = ends["_end"].isNull() | (_order_key(doc_id) < ends["_end"])
+    return docs.join(F.broadcast(ends), docs[source].eqNullSafe(ends["_s"]), "left").where(inside).select(docs["*"])

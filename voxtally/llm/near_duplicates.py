@@ -173,4 +173,4 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     found = near_duplicates(docs, doc_id, text, **how)
     gone = settle(found.where("NOT kept").select(F.col(doc_id).alias("_gone")).distinct(), "removed")
     few = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    return docs.join(few, docs[doc_id] == F.col("_gone"), "left_anti")
+    return docs.join(few, docs[doc_id] == gone["_gone"], "left_anti")
