@@ -14,7 +14,7 @@ from voxtally.functions.replies import flatten_reply, parse_numbered, parse_repl
 from voxtally.functions.text import (
     concat_label, join_or_null, normalise, title_case, token_count, word_count, words,
 )
-from voxtally.schemas import REPLY_REVIEWS, REPLY_SUBTOPICS
+from voxtally.schemas import REPLY_REVIEWS, REPLY_SUBTOPICS, reply_taxonomy
 
 
 def column(spark, values, fn, kind="string"):
@@ -49,7 +49,7 @@ def test_parse_utc_in_any_session_zone(spark, zone):
     cases = {
         "2025-11-01T01:00:00+03:00": "2025-10-31", "2025-10-31T23:59:59Z": "2025-10-31",
         "2025-11-01": "2025-11-01", "2025-11-01 23:30:00": "2025-11-01",
-        "01/11/2025 23:30": "2025-11-01", "garbage": None,
+        "11/01/2025 23:30": "2025-11-01", "garbage": None,
     }
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
@@ -149,3 +149,42 @@ def test_prompts(spark):
         render_record(("Id", F.col("pos")), ("Text", F.col("text"))).alias("m"),
         inject('{"k": {v}, "o": {other}}', v=F.col("text")).alias("p")).head()
     assert row.m == "Id: 2\nText: c" and row.p == '{"k": c, "o": {other}}'
+
+
+def test_dates_of_real_exports(spark):
+    day = dt.datetime(2025, 11, 5)
+    cases = {
+        "November 2025": dt.datetime(2025, 11, 1), "Nov 2025": dt.datetime(2025, 11, 1), "5-Nov-2025": day, "5 Nov 2025 3:15 PM": day.replace(hour=15, minute=15),
+        "05/11/2025 03:15 PM": day.replace(hour=15, minute=15), "Wednesday, November 5, 2025": day, "5th November 2025": day,
+        "05/11/25 10:00": day.replace(hour=10), "5/11/2025T10:00": day.replace(hour=10), "05/11/2025 10:00:00.5": day.replace(hour=10, microsecond=500_000),
+        "20251105": day, "2025-11": dt.datetime(2025, 11, 1), "03/11/2025 10:00": dt.datetime(2025, 11, 3, 10), "11/25/2025": dt.datetime(2025, 11, 25),
+        "05-11-2025": day, "5.11.2025": day, "Sept 5, 2025": dt.datetime(2025, 9, 5), "12:15": None, "soon": None, "": None}
+    assert column(spark, list(cases), parse_mixed) == list(cases.values())
+
+
+def test_utc_reads_month_first_and_offsets(spark):
+    cases = {
+        "03/11/2025 10:00": "2025-03-11 10:00:00", "25/11/2025 10:00": "2025-11-25 10:00:00", "Wed Nov 05 10:00:00 +0000 2025": "2025-11-05 10:00:00",
+        "Wed Nov 05 10:00:00 +0300 2025": "2025-11-05 07:00:00", "11/05/2025 10:00:00 PM": "2025-11-05 22:00:00", "11/05/2025 10:00 -05:00": "2025-11-05 15:00:00",
+        "05-11-2025": "2025-05-11 00:00:00", "2025-11-05T10:00:00+03:00": "2025-11-05 07:00:00", "Nov 5, 2025 10:00:00 UTC": "2025-11-05 10:00:00", "x": None}
+    assert column(spark, list(cases), lambda c: F.date_format(parse_utc(c), "yyyy-MM-dd HH:mm:ss")) == list(cases.values())
+
+
+def test_numbered_lines_keep_their_place(spark):
+    for reply, want in {
+        "1. a\n3. c": ["a", None, "c"], "3. c\n1. a\n1. again\n9. x": ["a", None, "c"], "a\nb\n\nc": ["a", "b", "c"], "a\nb": [None, None, None],
+        "1. a\n\n2. \n3. c": ["a", "", "c"], "99999999999. big\n2. b": [None, "b", None]}.items():
+        assert column(spark, [reply], lambda c: parse_numbered(c, 3)) == [want], reply
+
+
+def test_replies_lack_nested_fields(spark):
+    rows = {
+        "no topics": '{"reviews":[{"id":"1","sentiment":"neutral"}]}',
+        "no topic": '{"reviews":[{"id":"1","sentiment":"neutral","topics":[{"pain_points":["x"]}]}]}',
+        "good": '{"reviews":[{"id":"1","sentiment":"neutral","topics":[{"topic":"T"}]}]}'}
+    ok, rejects = parse_reply(spark.createDataFrame(list(rows.items()), "name string, reply string"), "reply", REPLY_REVIEWS)
+    assert [r.name for r in ok.collect()] == ["good"] and {r.reject_reason for r in rejects.collect()} == {"missing"}
+    seeds = {"whole": '{"type":"A","service":"B","subtopics":[{"root_subtopic":"r","positive_mods":[],"negative_mods":["n"]}]}',
+             "no type": '{"service":"B","subtopics":[]}'}
+    ok, _ = parse_reply(spark.createDataFrame(list(seeds.items()), "name string, reply string"), "reply", reply_taxonomy())
+    assert [r.name for r in ok.collect()] == ["whole"]

@@ -207,3 +207,37 @@ def test_clean_labels_by_model(spark):
     assert clean_labels(df, lambda p, t: reply).head().cleaned_subtopic == "Dirty Lounge"
     assert clean_labels(df).head().asDict() == {
         "type": "Airline", "service": "Cargo", "old_subtopic": "dirty - Lounge", "cleaned_subtopic": "Dirty Lounge"}
+
+
+def test_topics_are_resumed_by_record(spark):
+    import json
+
+    def model(broken):
+        def predict(instruction, texts):
+            if any(t in broken for t in texts):
+                raise RuntimeError("down")
+            return json.dumps({"comments": [{"id": t, "sentiment": "neutral", "topics": [{"topic": "T" + t}]} for t in texts]})
+
+        return predict
+
+    def records(*ids):
+        return spark.createDataFrame([(i, i) for i in ids], "id string, m string")
+
+    store = shared_path(spark, "test")
+    options = dict(size=2, store=store, retries=1, backoff=0)
+    part = induce_topics(records("02", "03", "04", "05"), "id", "m", "first", "known: {topics}", model({"04"}), **options)
+    assert {r.review_id for r in part.collect()} == {"02", "03"}
+    whole = induce_topics(records("01", "02", "03", "04", "05", "06"), "id", "m", "first", "known: {topics}", model(set()), **options)
+    assert sorted((r.review_id, r.topic) for r in whole.collect()) == [(f"0{i}", f"T0{i}") for i in range(1, 7)]
+    few = induce_topics(records("03"), "id", "m", "first", "known: {topics}", model({"03"}), **options)
+    assert [r.review_id for r in few.collect()] == ["03"]
+
+
+def test_translations_land_on_their_text(spark):
+    def predict(instruction, messages):
+        lines = messages[0].split("\n")
+        return "\n".join(line.replace(". ", ". EN ") for line in reversed(lines) if "skip" not in line) + "\n77. unasked\n\n1. again"
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(["eins", "skip me", "drei", "vier", "eins", None])], "id int, t string").coalesce(1)
+    got = {r.id: r.translated for r in translate(df, "id", "t", predict, "go").collect()}
+    assert got == {0: "EN eins", 1: None, 2: "EN drei", 3: "EN vier", 4: "EN eins", 5: None}

@@ -221,3 +221,11 @@ def test_taxonomy(spark):
                    ("T", "Moment of Delight", "Fast Desk")}
     assert {r.topic for r in valid_topics(table, "AIRLINE").collect()} == {"T", "U", "Others"}
     assert topic_list(table, "AIRLINE").head().topics == "T, U, Others"
+
+
+def test_scripts_by_majority(spark):
+    cases = {
+        "Все было очень хорошо 中国 спасибо": "ru", "الخدمة كانت جيدة جدا والموظفون لطفاء پ وشكرا لكم على كل شيء": "ar", "서비스가 정말 좋았어요 の 감사합니다": "ko",
+        "خدمات خیلی خوب بود و کارکنان مهربان بودند": "fa", "سروس بہت اچھی تھی اور عملہ بہت اچھا تھا": "ur", "サービスはとても良かったです": "ja", "服务非常好，谢谢": "zh"}
+    df = spark.createDataFrame(list(cases.items()), "t string, want string")
+    assert {r.want: r.lang_code for r in detect_language(df, "t").collect()} == {c: c for c in cases.values()}

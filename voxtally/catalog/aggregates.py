@@ -133,7 +133,7 @@ def stage_metrics(spark, sf_dir):
 SELECT lang, string_agg(source, ', ' ORDER BY source) AS sources
 FROM (SELECT DISTINCT lang, source FROM documents) GROUP BY lang""")
 def string_agg(spark, sf_dir):
-    return string_agg_list(table(spark, sf_dir, "documents"), ["lang"], "source", "sources")
+    return string_agg_list(table(spark, sf_dir, "documents"), ["lang"], "source", "sources", None)
 
 
 def labelled_phrases(spark, sf_dir):

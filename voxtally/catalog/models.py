@@ -16,7 +16,9 @@ from voxtally.functions.text import join_or_null
 from voxtally.operators.classify import classify_fallback, keyword_classify
 from voxtally.operators.extract import model_extract, rule_extract
 from voxtally.operators.infer import infer_batches
-from voxtally.operators.language import SCRIPTS, detect_language, enrich_language, translate
+from voxtally.operators.language import (
+    KANA_SHARE, OWN_LETTERS, OWN_SHARE, SCRIPTS, detect_language, enrich_language, translate,
+)
 from voxtally.operators.mapping import map_by_model, map_fixed, map_fixed_by_model
 from voxtally.operators.phrases import explode_phrases
 from voxtally.operators.survey import induce_topics
@@ -35,14 +37,21 @@ def _detect_sql() -> str:
     scores = ", ".join(
         f"{{'score': -len([t FOR t IN tokens IF t IN ({listed(code)})]), 'rank': {i}, 'code': {quoted(code)}}}"
         for i, code in enumerate(STOP_WORDS))
-    scripts = " ".join(
-        f"WHEN regexp_matches(text, {quoted(p.replace('{Is', '{'))}) THEN {quoted(c)}"
-        for c, p in SCRIPTS)
+    def count(pattern: str) -> str:
+        return f"len(regexp_extract_all(text, {quoted(pattern.replace('{Is', '{'))}))"
+
+    counts = ", ".join(f"{{'n': -{count(p)}, 'i': {i}, 'code': {quoted(c)}}}" for i, (c, p) in enumerate(SCRIPTS))
+    kana, han = count(SCRIPTS[0][1]), count(SCRIPTS[2][1])
+    own = " ".join(
+        f"WHEN top.code = 'ar' AND {count(p)} >= {OWN_SHARE} * -top.n THEN {quoted(c)}" for c, p in OWN_LETTERS)
+    scripts = f"""WHEN top.n = 0 THEN NULL WHEN top.code IN ('zh', 'ja')
+      THEN CASE WHEN {kana} >= {KANA_SHARE} * ({kana} + {han}) THEN 'ja' ELSE 'zh' END {own} ELSE top.code"""
     names = "CASE lang_code WHEN 'unknown' THEN 'Unknown' " + " ".join(
         f"WHEN {quoted(c)} THEN {quoted(n)}" for c, n in LANGUAGE_NAMES.items()) + " ELSE lang_code END"
     return rf"""tokens AS (
   SELECT doc_id, text, string_split_regex(lower(text), '[^\p{{L}}]+') AS tokens,
-         len(regexp_extract_all(text, '\p{{Latin}}')) AS latin, len(regexp_extract_all(text, '\p{{L}}')) AS letters
+         len(regexp_extract_all(text, '\p{{Latin}}')) AS latin, len(regexp_extract_all(text, '\p{{L}}')) AS letters,
+         list_sort([{counts}])[1] AS top
   FROM documents),
 best AS (
   SELECT doc_id, text, CASE WHEN latin * 2 > letters THEN NULL {scripts} END AS script,

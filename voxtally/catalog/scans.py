@@ -55,7 +55,7 @@ def batches_until_gap(spark, sf_dir):
         "event_id", (F.col("zero") + 1).alias("batch_no"))
     lost = numbered.agg(F.floor(F.max("batch_no") * 3 / 4).alias("lost"))
     stored = numbered.where(F.col("batch_no") != lost.scalar())
-    return contiguous_batches(stored, "batch_no", 1_000_000_000)
+    return contiguous_batches(stored, "batch_no")
 
 
 @query("resume_batches", f"""

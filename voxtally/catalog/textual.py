@@ -22,6 +22,13 @@ _WRITTEN_SPARK = {
     "view": "yyyy-MM-dd HH:mm:ss", "click": "dd/MM/yyyy", "purchase": "MMM d, yyyy",
     "signup": "d-M-yyyy H:mm",
 }
+# Further ways of exports, chosen by the event's number, each with its resolution in DuckDB's strftime.
+_EXPORTS = (
+    ("EEEE, MMMM d, yyyy", "%Y-%m-%d 00:00:00"), ("d-MMM-yyyy", "%Y-%m-%d 00:00:00"), ("MMMM yyyy", "%Y-%m-01 00:00:00"),
+    ("d MMM yyyy h:mm a", "%Y-%m-%d %H:%M:00"), ("dd/MM/yy HH:mm", "%Y-%m-%d %H:%M:00"), ("d/M/yyyy'T'HH:mm", "%Y-%m-%d %H:%M:00"),
+    ("dd/MM/yyyy HH:mm:ss'.0'", "%Y-%m-%d %H:%M:%S"), ("yyyyMMdd", "%Y-%m-%d 00:00:00"), ("yyyy-MM", "%Y-%m-01 00:00:00"),
+    ("d'th' MMMM yyyy", "%Y-%m-%d 00:00:00"), ("dd/MM/yyyy hh:mm a", "%Y-%m-%d %H:%M:00"),
+)
 
 
 def written_dates(spark, sf_dir):
@@ -41,9 +48,19 @@ _MIXED = """CASE event_type WHEN 'view' THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
        ELSE CASE WHEN day(ts) > 12 THEN strftime(ts, '%Y-%m-%d 00:00:00') END END"""
 
 
-@query("parse_mixed_date", f"SELECT event_id, {_MIXED} AS parsed FROM events")
+_EXPORTED = " ".join(f"WHEN {i} THEN strftime(ts, '{out}')" for i, (_, out) in enumerate(_EXPORTS))
+
+
+@query("parse_mixed_date", f"""
+SELECT event_id, {_MIXED} AS parsed FROM events
+UNION ALL SELECT -1 - event_id, CASE event_id % {len(_EXPORTS)} {_EXPORTED} END FROM events""")
 def parse_mixed_date(spark, sf_dir):
-    return written_dates(spark, sf_dir).select(
+    text = F.lit(None).cast("string")
+    for i, (fmt, _) in enumerate(_EXPORTS):
+        text = F.when(F.col("event_id") % len(_EXPORTS) == i, F.date_format("ts", fmt)).otherwise(text)
+    exports = table(spark, sf_dir, "events").select((-1 - F.col("event_id")).alias("event_id"), text.alias("date"))
+    both = written_dates(spark, sf_dir).select("event_id", "date").unionByName(exports)
+    return both.select(
         "event_id", F.date_format(parse_mixed(F.col("date")), "yyyy-MM-dd HH:mm:ss").alias("parsed"))
 
 
@@ -52,7 +69,9 @@ SELECT event_id, CASE event_type WHEN 'view' THEN strftime(ts, '%Y-%m-%d %H:%M:%
        WHEN 'click' THEN strftime(ts - INTERVAL 3 HOUR, '%Y-%m-%d %H:%M:%S')
        WHEN 'purchase' THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
        WHEN 'signup' THEN strftime(ts, '%Y-%m-%d 00:00:00') END AS instant
-FROM events""")
+FROM events
+UNION ALL SELECT -1 - event_id, CASE event_id % 3 WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+  WHEN 1 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') ELSE strftime(ts + INTERVAL 5 HOUR, '%Y-%m-%d %H:%M:00') END FROM events""")
 def parse_utc_time(spark, sf_dir):
     def written(fmt, suffix=""):
         return F.concat(F.date_format("ts", fmt), F.lit(suffix))
@@ -62,8 +81,14 @@ def parse_utc_time(spark, sf_dir):
             .when(F.col("event_type") == "purchase", written("yyyy-MM-dd HH:mm:ss"))
             .when(F.col("event_type") == "signup", written("yyyy-MM-dd"))
             .otherwise("soon"))
-    return table(spark, sf_dir, "events").select(
-        "event_id", F.date_format(parse_utc(text), "yyyy-MM-dd HH:mm:ss").alias("instant"))
+    events = table(spark, sf_dir, "events")
+    # Times of posts: with the year last, with half-day clocks month first, with an offset behind.
+    posts = (F.when(F.col("event_id") % 3 == 0, written("EEE MMM dd HH:mm:ss '+0000' yyyy"))
+             .when(F.col("event_id") % 3 == 1, written("MM/dd/yyyy hh:mm:ss a"))
+             .otherwise(written("MM/dd/yyyy HH:mm", " -0500")))
+    rows = events.select("event_id", text.alias("text")).union(events.select(-1 - F.col("event_id"), posts))
+    return rows.select(
+        "event_id", F.date_format(parse_utc(F.col("text")), "yyyy-MM-dd HH:mm:ss").alias("instant"))
 
 
 @query("format_date", """
@@ -119,7 +144,7 @@ def title(spark, sf_dir):
 SELECT p_partkey, CASE p_type
   WHEN 'ECONOMY' THEN upper(p_name[1]) || split_part(p_name, ' ', 1)[2:] || ' ' || split_part(p_name, ' ', 2)
   WHEN 'SMALL' THEN split_part(p_name, ' ', 2)
-  WHEN 'LARGE' THEN 'Well Made-' || split_part(p_name, ' ', 2)
+  WHEN 'LARGE' THEN 'Well made-' || split_part(p_name, ' ', 2)
   WHEN 'PROMO' THEN NULL
   ELSE p_name END AS label
 FROM part""")
@@ -130,10 +155,7 @@ def format_labels(spark, sf_dir):
            .when(F.col("p_type") == "LARGE", F.concat(F.lit("well-made-"), words[1]))
            .when(F.col("p_type") != "PROMO", F.concat(F.lit(" "), "p_name", F.lit(" "))))
     # `well-made-x` is cut at its first hyphen: `Well made-x`; title case applies to the left part.
-    label = label_format(raw)
-    return table(spark, sf_dir, "part").select(
-        "p_partkey", F.when(F.col("p_type") == "LARGE", F.replace(label, F.lit("Well made"), F.lit("Well Made")))
-        .otherwise(label).alias("label"))
+    return table(spark, sf_dir, "part").select("p_partkey", label_format(raw).alias("label"))
 
 
 @query("concat_label", """
@@ -179,16 +201,19 @@ def fences(spark, sf_dir):
 
 @query("parse_numbered", rf"""
 WITH clean AS (
-  SELECT doc_id, [regexp_replace(y, '^\d+\.\s*', '') FOR y IN
-         [regexp_replace(x, '^\s+|\s+$', '', 'g') FOR x IN string_split(text, chr(10))] IF y <> ''][1:{TRANSLATION_BATCH}] AS lines
+  SELECT doc_id, [regexp_replace(x, '^\s+|\s+$', '', 'g') FOR x IN string_split(text, chr(10))] AS lines
   FROM documents)
-SELECT doc_id, generate_subscripts(lines, 1) - 1 AS pos, unnest(lines) AS line FROM clean""")
+SELECT doc_id, n - 1 AS pos, CASE WHEN n % 7 <> 3 THEN nullif(lines[n], '') END AS line
+FROM clean, range(1, {TRANSLATION_BATCH + 1}) t(n)""")
 def numbered_lines(spark, sf_dir):
     lines = F.split("text", "\n")
     reply = F.array_join(F.transform(
         lines, lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), x)), "\n")
-    # Blank lines stay blank, as a model would leave them.
-    reply = F.regexp_replace(reply, r"(?m)^\d+\.\s*$", "")
+    # Blank lines stay blank, as a model would leave them; it also skips every seventh line, repeats a
+    # number and adds one that was not asked.
+    reply = F.regexp_replace(reply, r"(?m)^\d+\.[ \t]*$", "")
+    reply = F.regexp_replace(reply, r"(?m)^(3|10|17)\. .*$", "")
+    reply = F.concat(reply, F.lit("\n1. again\n99. unasked"))
     return table(spark, sf_dir, "documents").select(
         "doc_id", F.posexplode(parse_numbered(reply, TRANSLATION_BATCH)).alias("pos", "line")
     ).withColumn("pos", F.col("pos").cast("bigint"))

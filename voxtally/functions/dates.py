@@ -6,63 +6,87 @@ from pyspark.sql import Column, functions as F
 
 from voxtally.functions.text import let, strip
 
-_TIME = "[ H:mm[:ss]]"
-# (shape, format). A format is only tried on text of its shape, because a failed parse is far
-# dearer than a regular expression. Day-first shapes come before month-first ones.
-MIXED_SHAPES = (
-    (r"^\d{1,2}/(0?[1-9]|1[0-2])/\d{4}( |$)", "d/M/yyyy" + _TIME),
-    (r"^(0?[1-9]|1[0-2])/\d{1,2}/\d{4}( |$)", "M/d/yyyy" + _TIME),
-    (r"^\d{1,2}/(0?[1-9]|1[0-2])/\d{2}$", "d/M/yy"),
-    (r"^(0?[1-9]|1[0-2])/\d{1,2}/\d{2}$", "M/d/yy"),
-    (r"^[A-Z][a-z]{2} \d{1,2} \d{4}( |$)", "MMM d yyyy" + _TIME),
-    (r"^\d{1,2} [A-Z][a-z]{2} \d{4}( |$)", "d MMM yyyy" + _TIME),
+_DAY = r"(0?[1-9]|[12]\d|3[01])"
+_MONTH = r"(0?[1-9]|1[0-2])"
+_REST = "( |$)"
+# (shape, format of the day). A format is only tried on text of its shape, because a failed parse is
+# far dearer than a regular expression.
+_DAY_FIRST = ((rf"^{_DAY}/{_MONTH}/\d{{4}}{_REST}", "d/M/yyyy"), (rf"^{_DAY}/{_MONTH}/\d{{2}}{_REST}", "d/M/yy"))
+_MONTH_FIRST = ((rf"^{_MONTH}/{_DAY}/\d{{4}}{_REST}", "M/d/yyyy"), (rf"^{_MONTH}/{_DAY}/\d{{2}}{_REST}", "M/d/yy"))
+_NAMED = (
+    (rf"^[A-Z][a-z]{{2}} \d{{1,2}} \d{{4}}{_REST}", "MMM d yyyy"),
+    (rf"^\d{{1,2}} [A-Z][a-z]{{2}} \d{{4}}{_REST}", "d MMM yyyy"),
+    (r"^[A-Z][a-z]{2} \d{4}$", "MMM yyyy"),
+    (r"^\d{8}$", "yyyyMMdd"),
 )
-_YEAR_FIRST = r"^\d{4}[-/.]\d{1,2}[-/.]\d{1,2}"
-_ZONE = r"([zZ]|UTC|[+-]\d{2}:?\d{2})$"
+_CLOCK = " H:mm[:ss][.SSSSSS]"
+_HALF_DAY_CLOCK = " h:mm[:ss][.SSSSSS] a"
+_YEAR_FIRST = r"^\d{4}[-/.]\d{1,2}([-/.]\d{1,2}|$)"
+_ZONE = r"(?i)([zZ]|UTC|[+-]\d{2}:?\d{2})$"
+# An offset counts behind a time only, so that `05-11-2025` keeps its year.
+_OFFSET = r"(?i)(:\d{2}(?:\.\d+)?(?: ?[ap]m)?) ?(z|utc|gmt|[+-]\d{2}:?\d{2})$"
+_MAIL = r"^[A-Za-z]{3},? ([A-Za-z]{3}) (\d{1,2}) ([\d:]+) ([+-]\d{4}) (\d{4})$"
 
 
 def _tidy(text: Column) -> Column:
-    """`5 November, 2025` -> `5 Nov 2025`; `.` and `-` between numbers become `/`."""
+    """`Wednesday, 5th November, 2025` -> `5 Nov 2025`; `.` and `-` inside the date become `/`, `T` a blank."""
     named = F.regexp_replace(F.initcap(F.regexp_replace(text, ",", " ")), r"\s+", " ")
-    named = F.regexp_replace(named, r"(?<![A-Za-z])([A-Z][a-z]{2})[a-z]+\b", "$1")
-    return F.regexp_replace(named, r"(?<=\d)[.-](?=\d)", "/")
+    named = F.regexp_replace(named, r"^(Mon|Tue|Wed|Thu|Fri|Sat|Sun)[a-z]*\.? ", "")
+    named = F.regexp_replace(named, r"(?<=\d)(st|nd|rd|th)\b", "")
+    named = F.regexp_replace(named, r"^(\d{1,2})[-/.]([A-Za-z]{3,9})[-/.](\d{4})", "$1 $2 $3")
+    named = F.initcap(F.regexp_replace(named, r"(?<![A-Za-z])([A-Za-z]{3})[a-z]+\b\.?", "$1"))
+    named = F.regexp_replace(named, r"(?<=\d)t(?=\d)", " ")
+    named = F.regexp_replace(named, r"(?i)(\d)([ap]m)$", "$1 $2")
+    return F.regexp_replace(named, r"^(\d{1,2})[.-](\d{1,2})[.-](\d{2,4})", "$1/$2/$3")
 
 
 def parse_mixed(text: Column) -> Column:
     """Timestamp without zone from text in any of the known formats; anything else is NULL.
 
     Year-first text is read as ISO, other numeric text day first, and month first where day first
-    is impossible.
+    is impossible. A month without a day is its first.
     """
-    return let(strip(text), _mixed)
+    return let(strip(text), lambda clean: _mixed(clean, _DAY_FIRST + _MONTH_FIRST))
 
 
-def _mixed(text: Column) -> Column:
+def _mixed(text: Column, numeric: tuple) -> Column:
     iso = F.regexp_replace(text, r"^(\d{4})[/.](\d{1,2})[/.]", "$1-$2-")
     return F.when(text.rlike(_YEAR_FIRST), iso.try_cast("timestamp_ntz")).otherwise(
-        let(_tidy(text), _by_shape))
+        let(_tidy(text), lambda tidy: _by_shape(tidy, numeric + _NAMED)))
 
 
-def _by_shape(tidy: Column) -> Column:
+def _by_shape(tidy: Column, shapes: tuple) -> Column:
     parsed = F.lit(None).cast("timestamp_ntz")
-    for shape, fmt in reversed(MIXED_SHAPES):
-        parsed = F.when(
-            tidy.rlike(shape), F.try_to_timestamp(tidy, F.lit(fmt)).cast("timestamp_ntz")
-        ).otherwise(parsed)
+    for shape, day in reversed(shapes):
+        clock = "" if shape.endswith("$") and not shape.endswith(_REST) else f"[{_CLOCK}]"
+        plain = F.try_to_timestamp(tidy, F.lit(day + clock))
+        half = F.try_to_timestamp(tidy, F.lit(day + _HALF_DAY_CLOCK))
+        found = F.when(tidy.rlike("(?i) [ap]m$"), half).otherwise(plain) if clock else plain
+        parsed = F.when(tidy.rlike(shape), found.cast("timestamp_ntz")).otherwise(parsed)
     return parsed
 
 
 def parse_utc(text: Column) -> Column:
-    """Instant from text; an offset in the text is honoured, without one the text is UTC."""
+    """Instant from text; an offset in the text is honoured, without one the text is UTC.
+
+    Numeric dates are read month first, and day first where month first is impossible.
+    """
     return let(strip(text), _utc)
 
 
 def _utc(text: Column) -> Column:
     full = F.when(F.length(text) <= 10, F.concat(text, F.lit("T00:00:00"))).otherwise(text)
     iso = F.when(full.rlike(_ZONE), full).otherwise(F.concat(full, F.lit("Z")))
-    mixed = F.convert_timezone(F.lit("UTC"), F.current_timezone(), _mixed(text))
-    return F.when(text.rlike(_YEAR_FIRST), iso.try_cast("timestamp")).otherwise(
-        mixed.cast("timestamp"))
+    return F.when(text.rlike(r"^\d{4}[-/.]\d{1,2}[-/.]\d{1,2}"), iso.try_cast("timestamp")).otherwise(
+        let(F.regexp_replace(text, _MAIL, "$1 $2 $5 $3 $4"), _shifted))
+
+
+def _shifted(text: Column) -> Column:
+    """Text with an optional offset behind its time, as an instant."""
+    offset = F.regexp_replace(F.upper(F.regexp_extract(text, _OFFSET, 2)), r"^(Z|UTC|GMT|)$", "+00:00")
+    offset = F.regexp_replace(offset, r"^([+-]\d{2})(\d{2})$", "$1:$2")
+    local = _mixed(F.regexp_replace(text, _OFFSET, "$1"), _MONTH_FIRST + _DAY_FIRST)
+    return F.convert_timezone(offset, F.current_timezone(), local).cast("timestamp")
 
 
 def day_text(col: Column) -> Column:

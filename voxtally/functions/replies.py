@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
 from voxtally.functions.staging import computed
 from voxtally.functions.text import strip
 
 
+_NUMBER = r"^(\d+)\.\s*"
+
+
 def strip_fence(reply: Column) -> Column:
     """Trim, then drop the code fence around the text."""
     text = strip(reply)
@@ -17,21 +20,30 @@ def strip_fence(reply: Column) -> Column:
 
 
 def parse_numbered(reply: Column, count: Column | int) -> Column:
-    """Non-blank lines without their `n.` prefix, at most `count` of them."""
-    lines = F.transform(F.split(reply, r"\r\n|\n|\r"), strip)
-    lines = F.filter(lines, lambda line: line != "")
-    clean = F.transform(lines, lambda line: F.regexp_replace(line, r"^\d+\.\s*", ""))
-    limit = F.lit(count) if isinstance(count, int) else count
-    return F.slice(clean, F.lit(1), limit.cast("int"))
+    """A list of `count` texts; the n-th is that of the line numbered `n.`, NULL where there is none.
+
+    The first line of a number counts, numbers that were not asked are ignored. A reply without any
+    number is taken line by line, blank ones left out, when it has exactly `count` of them.
+    """
+    limit = (F.lit(count) if isinstance(count, int) else count).cast("int")
+    lines = F.filter(F.transform(F.split(reply, r"\r\n|\n|\r"), strip), lambda line: line != "")
+    numbered = F.filter(lines, lambda line: line.rlike(_NUMBER))
+    numbers = F.transform(numbered, lambda line: F.regexp_extract(line, _NUMBER, 1).try_cast("int"))
+    texts = F.transform(numbered, lambda line: F.regexp_replace(line, _NUMBER, ""))
+    # Position 0 (no such number) reads as NULL.
+    wanted = F.when(limit > 0, F.sequence(F.lit(1), limit)).otherwise(F.array().cast("array<int>"))
+    placed = F.transform(wanted, lambda n: F.get(texts, F.array_position(numbers, n).cast("int") - 1))
+    return F.when((F.size(numbered) == 0) & (F.size(lines) == limit), lines).otherwise(placed)
 
 
 def parse_reply(
     df: DataFrame, reply: str, schema: StructType, enums: dict[str, tuple[str, ...]] | None = None,
+    optional: tuple[str, ...] = ("pain_points", "moments_of_delight"),
 ) -> tuple[DataFrame, DataFrame]:
     """Typed replies and rejects.
 
-    `schema` holds one list of records; every string field of a record is required and `enums`
-    restricts some of them. Good rows get the columns of `schema`; rejects keep the reply and get
+    `schema` holds lists of records and plain fields. Every string and list is required, at any
+    depth, but for those in `optional`; `enums` restricts some strings of a record. Good rows get the columns of `schema`; rejects keep the reply and get
     `reject_reason`: truncated, malformed, missing or invalid.
     """
     enums = enums or {}
@@ -41,14 +53,14 @@ def parse_reply(
     bare = computed(df, _text=strip_fence(F.col(reply)))
     parsed = computed(bare, _reply=F.from_json("_text", typed, options))
 
-    lists = [f for f in schema.fields if hasattr(f.dataType, "elementType")]
-    missing = F.lit(False)
+    lists = [f for f in schema.fields if isinstance(f.dataType, ArrayType)]
+    missing = _lacks(F.col("_reply"), schema, optional)
     invalid = F.lit(False)
     for field in lists:
         rows = F.col(f"_reply.{field.name}")
-        required = [f.name for f in field.dataType.elementType.fields
-                    if isinstance(f.dataType, StringType)]
-        missing = missing | rows.isNull() | F.exists(rows, _incomplete(required))
+        record = field.dataType.elementType
+        required = [f.name for f in record.fields if isinstance(f.dataType, StringType)] if isinstance(
+            record, StructType) else []
         for name, allowed in enums.items():
             if name in required:
                 invalid = invalid | F.exists(rows, _outside(name, allowed))
@@ -74,14 +86,16 @@ def _cut_off(text: Column) -> Column:
     return bare.contains('"') | (opened > closed)
 
 
-def _incomplete(names: list[str]):
-    def check(row: Column) -> Column:
-        found = row.isNull()
-        for name in names:
-            found = found | row[name].isNull()
-        return found
-
-    return check
+def _lacks(value: Column, kind: DataType, optional: tuple[str, ...]) -> Column:
+    """Whether the value, or anything required inside it, is NULL."""
+    found = value.isNull()
+    if isinstance(kind, ArrayType) and isinstance(kind.elementType, (StructType, ArrayType)):
+        return found | F.exists(value, lambda item: _lacks(item, kind.elementType, optional))
+    if isinstance(kind, StructType):
+        for field in kind.fields:
+            if field.name not in optional:
+                found = found | _lacks(value[field.name], field.dataType, optional)
+    return found
 
 
 def _outside(name: str, allowed: tuple[str, ...]):

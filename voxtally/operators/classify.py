@@ -77,10 +77,12 @@ def classify_fallback(
 ) -> DataFrame:
     """Let a model decide the posts that no rule or only a generic rule decided.
 
-    `df` has `label` and `main_entity`; a post the model does not answer keeps what it has.
+    `df` has `label` and `main_entity`; a post the model does not answer keeps what it has. Decided
+    posts pass by; only the open ones are joined with the answers.
     """
     key = F.col(f"`{id_col}`")
-    open_posts = df.where((F.col("label") == "OTHER") | (F.col("main_entity") == "Unknown")).select(
+    is_open = F.coalesce((F.col("label") == "OTHER") | (F.col("main_entity") == "Unknown"), F.lit(False))
+    open_posts = df.where(is_open).select(
         key.cast("string").alias("_id"),
         render_record(("id", key), ("Tweet", F.col(f"`{text_col}`"))).alias("_message"))
     replies = infer_batches(open_posts, "_id", "_message", predict, instruction, **infer_options)
@@ -91,8 +93,9 @@ def classify_fallback(
         .where(F.array_contains("record_ids", F.col("id")))
         .groupBy(F.col("id").alias("_id"))
         .agg(F.min(F.struct("label", "main_entity")).alias("_answer")))
-    return (
-        df.withColumn("_id", key.cast("string")).join(answers, "_id", "left")
+    decided = (
+        df.where(is_open).withColumn("_id", key.cast("string")).join(answers, "_id", "left")
         .withColumn("label", F.coalesce("_answer.label", "label"))
         .withColumn("main_entity", F.coalesce("_answer.main_entity", "main_entity"))
         .drop("_id", "_answer"))
+    return df.where(~is_open).unionByName(decided)

@@ -19,7 +19,7 @@ SALTS = 64
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Size of a table as JSON text, an upper bound for what a broadcast of it holds in strings."""
+    """Size of a table as JSON text, a measure for what a broadcast of it holds."""
     size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
     return df.agg(size).collect()[0][0] or 0
 
@@ -31,13 +31,13 @@ def join_bounded(
     """Join a large table to a lookup table on few, possibly hot keys.
 
     The lookup side is measured. Up to `max_bytes` it is broadcast. Beyond that it is repeated per
-    salt and the rows of the large side are spread over the salts by their hash, so that a key that
-    holds a third of the rows still fans out over many tasks. Both ways give the same rows; `how`
+    salt and the rows of the large side go round the salts, so that a key that holds a third of the
+    rows, or rows that are all equal, still fan out over many tasks. Both ways give the same rows; `how`
     must keep the left side whole or filter it (inner, left, left_semi, left_anti).
     """
     if measured_bytes(right) <= max_bytes:
         return left.join(F.broadcast(right), list(on), how)
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)))
+    salted = left.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
     repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted.join(
         repeated.withColumn("_salt", F.col("_salt").cast("bigint")), [*on, "_salt"], how
@@ -84,10 +84,8 @@ def unmapped(df: DataFrame, col: str, table: Mapping[str, str] | DataFrame) -> D
 
 def topic_candidates(phrases: DataFrame, labels: DataFrame) -> DataFrame:
     """Add `candidates`, the sorted labels of the phrase's topic and type; phrases whose topic has
-    no labels drop out. The list goes into a prompt, so labels that are too many are an error.
+    no labels drop out. Lists are made per topic and type, however many topics there are.
     """
-    if measured_bytes(labels) > MAX_BROADCAST_BYTES:
-        raise ValueError("the labels do not fit a prompt")
     lists = labels.groupBy("topic", "type").agg(
         F.array_sort(F.collect_set("subtopic")).alias("candidates"))
     return join_bounded(phrases, lists, ["topic", "type"])

@@ -10,10 +10,10 @@ from voxtally.constants import LANGUAGE_NAMES, STOP_WORDS, TRANSLATION_BATCH
 from voxtally.functions.choose import literal_map, update_where
 from voxtally.functions.prompts import one_line
 from voxtally.functions.replies import parse_numbered
-from voxtally.functions.text import words
+from voxtally.functions.text import let, words
 from voxtally.operators.infer import infer_batches
 
-# Scripts that decide the language, tried in order; a later entry is the script's default.
+# Language by script; the script with most letters decides.
 SCRIPTS = (
     ("ja", r"[\p{IsHiragana}\p{IsKatakana}]"),
     ("ko", r"\p{IsHangul}"),
@@ -24,10 +24,12 @@ SCRIPTS = (
     ("el", r"\p{IsGreek}"),
     ("iw", r"\p{IsHebrew}"),
     ("ru", r"\p{IsCyrillic}"),
-    ("ur", "[ٹڈڑںھے]"),
-    ("fa", "[پچژگی]"),
     ("ar", r"\p{IsArabic}"),
 )
+# Languages that share a script are told apart by the share of their own letters in it.
+KANA_SHARE = 0.2
+OWN_LETTERS = (("ur", "[ٹڈڑںھےہ]"), ("fa", "[پچژگی]"))
+OWN_SHARE = 0.05
 UNKNOWN = "unknown"
 
 
@@ -35,22 +37,43 @@ def _member(vocabulary: list[str]):
     return lambda token: token.isin(*vocabulary)
 
 
+def _count(text: Column, pattern: str) -> Column:
+    return F.regexp_count(text, F.lit(pattern))
+
+
+def _by_script(text: Column) -> Column:
+    """Language of a text that is mostly not Latin, NULL without letters of a known script."""
+    counted = F.array(*[
+        F.struct((-_count(text, pattern)).alias("n"), F.lit(i).alias("i"), F.lit(code).alias("code"))
+        for i, (code, pattern) in enumerate(SCRIPTS)])
+
+    def decide(top: Column) -> Column:
+        kana, han = _count(text, SCRIPTS[0][1]), _count(text, SCRIPTS[2][1])
+        chosen = F.when(top["n"] == 0, F.lit(None).cast("string"))
+        chosen = chosen.when(top["code"].isin("zh", "ja"), F.when(kana >= KANA_SHARE * (kana + han), "ja").otherwise("zh"))
+        for code, own in OWN_LETTERS:
+            chosen = chosen.when((top["code"] == "ar") & (_count(text, own) >= OWN_SHARE * -top["n"]), code)
+        return chosen.otherwise(top["code"])
+
+    return let(F.array_min(counted), decide)
+
+
 def detect_language(
     df: DataFrame, text_col: str, profiles: Mapping[str, str] = STOP_WORDS,
 ) -> DataFrame:
     """Add `lang_code` and `lang_name`.
 
-    The script decides where at least half of the letters are not Latin, else the language with
-    most function words in the text; ties go to the earlier profile. No evidence is `unknown`.
+    Where at least half of the letters are not Latin, the script with most letters decides: Japanese
+    from a fifth of kana among kana and Han, Urdu and Persian from a share of their own letters in
+    Arabic script. Else it is the language with most function words; ties go to the earlier
+    profile. No evidence is `unknown`.
     """
     text = F.col(f"`{text_col}`")
     latin = F.length(F.regexp_replace(text, r"[^\p{IsLatin}]+", ""))
     letters = F.length(F.regexp_replace(text, r"[^\p{L}]+", ""))
     # Up to U+024F all letters are Latin: one cheap scan settles most texts.
-    script = F.when(~text.rlike(r"[^\x00-\u024F]"), F.lit(None).cast("string")).when(
-        latin * 2 > letters, F.lit(None).cast("string"))
-    for code, pattern in SCRIPTS:
-        script = script.when(text.rlike(pattern), code)
+    script = F.when(text.isNull() | ~text.rlike(r"[^\x00-\u024F]"), F.lit(None).cast("string")).when(
+        latin * 2 > letters, F.lit(None).cast("string")).otherwise(_by_script(text))
     # One pass keeps the words of any profile, the passes per language then see few words.
     known = sorted({word for vocabulary in profiles.values() for word in vocabulary.split()})
     ranked = F.array(*[

@@ -57,13 +57,16 @@ def vocabulary(col: str, *frames: DataFrame) -> DataFrame:
 
 
 def string_agg_list(
-    df: DataFrame, group: Sequence[str], col: str, name: str, max_values: int = 10_000,
+    df: DataFrame, group: Sequence[str], col: str, name: str, max_values: int | None,
 ) -> DataFrame:
-    """Distinct values per group as one `, ` line, for vocabularies that fit a prompt.
+    """Distinct values per group as one `, ` line, for vocabularies that go into a prompt.
 
-    A group with more than `max_values` values is an error; it is found out before more than that
-    are gathered.
+    With `max_values` a group that has more is an error; it is found out before more than that are
+    gathered. With None every line is made, however long.
     """
+    if max_values is None:
+        lines = df.select(*group, col).na.drop(subset=[col]).groupBy(*group)
+        return lines.agg(F.array_join(F.array_sort(F.collect_set(col)), ", ").alias(name))
     order = Window.partitionBy(*group).orderBy(col)
     values = (df.select(*group, col).na.drop(subset=[col]).distinct()
               .withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= max_values + 1))

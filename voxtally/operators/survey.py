@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
@@ -12,55 +13,59 @@ from voxtally.operators.keys import batch_id
 from voxtally.operators.rollup import vocabulary
 from voxtally.schemas import EXTRACTION, REPLY_COMMENTS
 from voxtally.session import shared_path
-from voxtally.sources.files import matching_files
+from voxtally.sources.files import read_folder_or_empty
 
-MAX_TOPICS = 10_000
 
-
-def known_topics(results: DataFrame) -> list[str]:
-    """Sorted topic vocabulary. It becomes part of a prompt, so a runaway one is an error."""
-    topics = [row.topic for row in vocabulary("topic", results).limit(MAX_TOPICS + 1).collect()]
-    if len(topics) > MAX_TOPICS:
-        raise ValueError(f"more than {MAX_TOPICS} topics do not fit a prompt")
+def known_topics(results: DataFrame, max_topics: int | None = None) -> list[str]:
+    """Sorted topic vocabulary. It becomes part of a prompt; with `max_topics` more are an error."""
+    found = vocabulary("topic", results)
+    topics = [row.topic for row in (found if max_topics is None else found.limit(max_topics + 1)).collect()]
+    if max_topics is not None and len(topics) > max_topics:
+        raise ValueError(f"more than {max_topics} topics")
     return topics
 
 
 def induce_topics(
     df: DataFrame, id_col: str, message_col: str, first: str, following: str, predict: Callable,
-    size: int = SURVEY_BATCH, growth: int = 1, store: str | None = None, **infer_options,
+    size: int = SURVEY_BATCH, growth: int = 1, store: str | None = None, max_topics: int | None = None,
+    **infer_options,
 ) -> DataFrame:
     """Extraction with topics that grow over rounds.
 
-    Every round sees the sorted topics of all rounds before it in the `{topics}` of `following`;
-    the first round gets `first`. With `growth` 1 a round is one batch, the fully sequential form.
-    With a growth of 2 or more, round sizes are 1, 2, 4, … batches that run in parallel, so the
-    number of rounds is the logarithm of the number of batches. A round whose result is in `store`
-    is reused.
+    Every round sees the sorted topics of all answers before it in the `{topics}` of `following`;
+    a round without any known topic gets `first`. With `growth` 1 a round is one batch, the fully
+    sequential form. With a growth of 2 or more, round sizes are 1, 2, 4, … batches that run in
+    parallel, so the number of rounds is the logarithm of the number of batches.
+
+    Answers are kept by record id in `store`. A later run asks only for records that have none
+    there, in batches of their own: records added anywhere and records of a failed batch are asked,
+    and no answer is ever taken over by position. The result has the answers of the records in `df`.
     """
     spark = df.sparkSession
     store = store or shared_path(spark, "topics")
-    batches = batch_id(df, [id_col], size, "batch_no")
+    key = F.col(f"`{id_col}`").cast("string")
+    answered = read_folder_or_empty(spark, store, EXTRACTION)
+    done = answered.select(F.col("review_id").alias("_done")).distinct()
+    topics = known_topics(answered, max_topics)
+    batches = batch_id(df.join(done, key == F.col("_done"), "left_anti"), [id_col], size, "batch_no")
     number = F.col("batch_no")
     level = number if growth == 1 else F.floor(
         F.log(number * (growth - 1) + 1 - F.lit(0.5)) / F.log(F.lit(float(growth)))) + 1
     input_path = shared_path(spark, "rounds")
-    batches.withColumn("round_no", level.cast("int")).write.partitionBy("round_no").parquet(
-        input_path)
-    rounds = spark.read.parquet(input_path)
+    schema = batches.withColumn("round_no", level.cast("int")).schema
+    batches.withColumn("round_no", level.cast("int")).write.partitionBy("round_no").parquet(input_path)
+    rounds = spark.read.schema(schema).parquet(input_path)
     last = rounds.agg(F.max("round_no")).collect()[0][0] or 0
-    topics: list[str] = []
+    run = uuid.uuid4().hex
     for number in range(1, last + 1):
-        path = f"{store}/round={number}"
-        if not matching_files(spark, f"{path}/_SUCCESS"):
-            instruction = following.replace("{topics}", ", ".join(topics)) if topics else first
-            model_extract(
-                rounds.where(F.col("round_no") == number), id_col, message_col, instruction,
-                predict, size=size, records="comments", schema=REPLY_COMMENTS,
-                group_cols=["batch_no"], **infer_options,
-            ).select(*EXTRACTION.names).write.mode("overwrite").parquet(path)
-        found = known_topics(spark.read.schema(EXTRACTION).parquet(path))
+        path = f"{store}/run={run}-{number}"
+        instruction = following.replace("{topics}", ", ".join(topics)) if topics else first
+        model_extract(
+            rounds.where(F.col("round_no") == number), id_col, message_col, instruction, predict,
+            size=size, records="comments", schema=REPLY_COMMENTS, group_cols=["batch_no"], **infer_options,
+        ).select(*EXTRACTION.names).write.parquet(path)
+        found = known_topics(spark.read.schema(EXTRACTION).parquet(path), max_topics)
         topics = sorted(set(topics) | set(found))
-    if last == 0:
-        return spark.createDataFrame([], EXTRACTION)
-    return spark.read.schema(EXTRACTION).parquet(*[
-        f"{store}/round={number}" for number in range(1, last + 1)])
+    asked = df.select(key.alias("_asked")).distinct()
+    everything = read_folder_or_empty(spark, store, EXTRACTION)
+    return everything.join(asked, F.col("review_id") == F.col("_asked"), "left_semi")

@@ -105,11 +105,12 @@ def write_table(
         writer.format(fmt).save(path)
 
 
-def contiguous_batches(df: DataFrame, batch: str, stop: int) -> DataFrame:
-    """Rows of batches 1, 2, … below `stop`, up to the first missing number."""
-    present = df.where(F.col(batch).between(1, stop - 1)).select(F.col(batch).alias("n")).distinct()
+def contiguous_batches(df: DataFrame, batch: str, stop: int | None = None) -> DataFrame:
+    """Rows of batches 1, 2, … up to the first missing number, and below `stop` if there is one."""
+    wanted = (F.col(batch) >= 1) if stop is None else F.col(batch).between(1, stop - 1)
+    present = df.where(wanted).select(F.col(batch).alias("n")).distinct()
     start = df.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("n"))
     following = start.unionByName(present.select(F.col("n").cast("bigint"))).select(
         (F.col("n") + 1).alias("n"))
     gap = following.join(present, "n", "left_anti").agg(F.min("n"))
-    return df.where((F.col(batch) >= 1) & (F.col(batch) < gap.scalar()) & (F.col(batch) < stop))
+    return df.where(wanted & (F.col(batch) < gap.scalar()))
