@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from voxtally.catalog.aggregates import LABELLED, labelled_phrases, rules_sql
 from voxtally.catalog.models import comments
 from voxtally.catalog.registry import (
-    LEXICON, REVIEWS, extraction_sql, overlap_sql, query, quoted, reviews, stacked_sql, taxonomy,
+    LEXICON, REVIEWS, detect_sql, extraction_sql, overlap_sql, query, quoted, reviews, stacked_sql, taxonomy,
 )
 from voxtally.catalog.textual import _MIXED, written_dates
 from voxtally.constants import AIRPORT_COLUMNS, LANGUAGE_NAMES, POST_LABELS
@@ -139,16 +139,18 @@ chosen AS (SELECT * FROM ruled WHERE label = 'AIRLINE'),
 {extraction_sql('chosen', 'review_unique_id', 'raw_text', 'post_extraction')},
 {stacked_sql('post_extraction', 'post_phrases')},
 {overlap_sql('post_phrases', 'post_labelled')},
+{detect_sql('chosen', 'review_unique_id', 'raw_text')},
 social AS (
   SELECT p."Review_No", p.sentiment, p.topic, p.pp_mod, p.subtopic, p.type, 'X' AS data_source,
-         c.entity AS airline, strftime(c.ts, '%Y-%m-%d') AS date, c.raw_text AS "Original Review",
-         c.raw_text AS "Translated Review"
-  FROM post_labelled p JOIN chosen c ON c.review_unique_id = p."Review_No")"""
+         c.entity AS airline, strftime(c.ts, '%Y-%m-%d') AS date, NULL::DOUBLE AS rating,
+         d.lang_name AS "Original Review Language", c.raw_text AS "Original Review", c.raw_text AS "Translated Review"
+  FROM post_labelled p JOIN chosen c ON c.review_unique_id = p."Review_No"
+  JOIN detected d ON d.review_unique_id = p."Review_No")"""
 
 
 @query("social_final", f"WITH {REVIEWS}, {SOCIAL} SELECT * FROM social")
 def social(spark, sf_dir):
-    return _social(spark, sf_dir).drop("rating", "Original Review Language")
+    return _social(spark, sf_dir)
 
 
 # --- dashboard tables ----------------------------------------------------------------------------
@@ -156,27 +158,25 @@ def social(spark, sf_dir):
 @query("final_airlines", f"""
 WITH {REVIEWS}, {SOCIAL}, {LABELLED}
 SELECT l."Review_No", l.sentiment, l.topic, l.pp_mod, l.subtopic, l.type, r.data_source, r.airline,
-       strftime(r.ts, '%Y-%m-%d') AS date, {_LANGUAGES} AS "Original Review Language",
+       strftime(r.ts, '%Y-%m-%d') AS date, r.ratings AS rating, {_LANGUAGES} AS "Original Review Language",
        r.raw_text AS "Original Review", r.translated_text AS "Translated Review"
 FROM labelled l JOIN reviews r ON r.review_unique_id = l."Review_No"
 WHERE CAST(r.ts AS DATE) >= DATE '2024-01-02'
 UNION ALL
-SELECT "Review_No", sentiment, topic, pp_mod, subtopic, type, data_source, airline, date, NULL,
-       "Original Review", "Translated Review" FROM social""")
+SELECT "Review_No", sentiment, topic, pp_mod, subtopic, type, data_source, airline, date, rating,
+       "Original Review Language", "Original Review", "Translated Review" FROM social""")
 def final_airlines(spark, sf_dir):
     stored = shared_path(spark, "social")
-    write_table(_social(spark, sf_dir).withColumn(
-        "Original Review Language", F.lit(None).cast("string")), stored)
-    prepared = reviews(spark, sf_dir).withColumn("date", F.date_format("ts", "yyyy-MM-dd"))
+    write_table(_social(spark, sf_dir), stored)
+    prepared = reviews(spark, sf_dir).withColumn("date", F.to_date("ts"))
     # Extraction is stored once; phrases and labels are both read from it, as in a real run.
     phrases = shared_path(spark, "phrases")
     write_table(labelled_phrases(spark, sf_dir), phrases)
     labelled = spark.read.parquet(phrases)
-    final = final_table(
+    return final_table(
         labelled.drop("subtopic"),
         labelled.select(F.col("phrase_id").alias("id"), "subtopic"),
         review_metadata(prepared), FinalConfig(AIRLINES.columns, min_date=MIN_DAY), stored)
-    return final.drop("rating")
 
 
 @query("final_airports", f"""

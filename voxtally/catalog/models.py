@@ -7,18 +7,16 @@ from pyspark.sql import functions as F
 from voxtally.catalog.aggregates import labelled_phrases, rules_sql
 from voxtally.catalog.joining import PART_LABELS, part_taxonomy
 from voxtally.catalog.registry import (
-    LEXICON, PHRASES, extraction_sql, overlap_sql, phrase_source, query, quoted, stacked_sql, table,
+    LEXICON, PHRASES, detect_sql, extraction_sql, overlap_sql, phrase_source, query, quoted, stacked_sql, table,
     values,
 )
-from voxtally.constants import LANGUAGE_NAMES, OTHERS, PAIN, STOP_WORDS
+from voxtally.constants import OTHERS, PAIN
 from voxtally.functions.prompts import render_record
 from voxtally.functions.text import join_or_null
 from voxtally.operators.classify import classify_fallback, keyword_classify
 from voxtally.operators.extract import model_extract, rule_extract
 from voxtally.operators.infer import infer_batches
-from voxtally.operators.language import (
-    KANA_SHARE, OWN_LETTERS, OWN_SHARE, SCRIPTS, detect_language, enrich_language, translate,
-)
+from voxtally.operators.language import detect_language, enrich_language, translate
 from voxtally.operators.mapping import map_by_model, map_fixed, map_fixed_by_model
 from voxtally.operators.phrases import explode_phrases
 from voxtally.operators.survey import induce_topics
@@ -30,39 +28,7 @@ from voxtally.sources.taxonomy import taxonomy_labels
 
 # --- language ------------------------------------------------------------------------------------
 
-def _detect_sql() -> str:
-    def listed(code: str) -> str:
-        return ", ".join(quoted(w) for w in STOP_WORDS[code].split())
-
-    scores = ", ".join(
-        f"{{'score': -len([t FOR t IN tokens IF t IN ({listed(code)})]), 'rank': {i}, 'code': {quoted(code)}}}"
-        for i, code in enumerate(STOP_WORDS))
-    def count(pattern: str) -> str:
-        return f"len(regexp_extract_all(text, {quoted(pattern.replace('{Is', '{'))}))"
-
-    counts = ", ".join(f"{{'n': -{count(p)}, 'i': {i}, 'code': {quoted(c)}}}" for i, (c, p) in enumerate(SCRIPTS))
-    kana, han = count(SCRIPTS[0][1]), count(SCRIPTS[2][1])
-    own = " ".join(
-        f"WHEN top.code = 'ar' AND {count(p)} >= {OWN_SHARE} * -top.n THEN {quoted(c)}" for c, p in OWN_LETTERS)
-    scripts = f"""WHEN top.n = 0 THEN NULL WHEN top.code IN ('zh', 'ja')
-      THEN CASE WHEN {kana} >= {KANA_SHARE} * ({kana} + {han}) THEN 'ja' ELSE 'zh' END {own} ELSE top.code"""
-    names = "CASE lang_code WHEN 'unknown' THEN 'Unknown' " + " ".join(
-        f"WHEN {quoted(c)} THEN {quoted(n)}" for c, n in LANGUAGE_NAMES.items()) + " ELSE lang_code END"
-    return rf"""tokens AS (
-  SELECT doc_id, text, string_split_regex(lower(text), '[^\p{{L}}]+') AS tokens,
-         len(regexp_extract_all(text, '\p{{Latin}}')) AS latin, len(regexp_extract_all(text, '\p{{L}}')) AS letters,
-         list_sort([{counts}])[1] AS top
-  FROM documents),
-best AS (
-  SELECT doc_id, text, CASE WHEN latin * 2 > letters THEN NULL {scripts} END AS script,
-         list_sort([{scores}])[1] AS best
-  FROM tokens),
-coded AS (
-  SELECT doc_id, text, coalesce(script, CASE WHEN best.score < 0 THEN best.code END, 'unknown') AS lang_code FROM best),
-detected AS (SELECT doc_id, text, lang_code, {names} AS lang_name FROM coded)"""
-
-
-@query("detect_language", f"WITH {_detect_sql()} SELECT doc_id, lang_code, lang_name FROM detected")
+@query("detect_language", f"WITH {detect_sql()} SELECT doc_id, lang_code, lang_name FROM detected")
 def detect(spark, sf_dir):
     return detect_language(table(spark, sf_dir, "documents"), "text").select(
         "doc_id", "lang_code", "lang_name")
@@ -89,7 +55,7 @@ def translate_rows(spark, sf_dir):
 
 
 @query("enrich_language", rf"""
-WITH {_detect_sql()}
+WITH {detect_sql()}
 SELECT doc_id, lang_name AS "Original Review Language",
        CASE WHEN lang_code = 'en' THEN text ELSE 'EN ' || {_ONE_LINE} END AS "Translated Review"
 FROM detected""")

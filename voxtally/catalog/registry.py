@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from voxtally.constants import LANGUAGE_NAMES, STOP_WORDS
+from voxtally.operators.language import KANA_SHARE, OWN_LETTERS, OWN_SHARE, SCRIPTS
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -201,3 +204,37 @@ def overlap_sql(source: str = "stacked", name: str = "labelled") -> str:
   FROM {source} s
   LEFT JOIN {name}_best b ON b.topic = s.topic AND b.type = s.type AND b.pp_mod = s.pp_mod
   LEFT JOIN {name}_topics t ON t.topic = s.topic AND t.type = s.type)"""
+
+
+def detect_sql(relation: str = "documents", key: str = "doc_id", column: str = "text") -> str:
+    """CTEs up to `detected`: key, text, lang_code, lang_name; the rules of `detect_language`."""
+    def listed(code: str) -> str:
+        return ", ".join(quoted(w) for w in STOP_WORDS[code].split())
+
+    scores = ", ".join(
+        f"{{'score': -len([t FOR t IN tokens IF t IN ({listed(code)})]), 'rank': {i}, 'code': {quoted(code)}}}"
+        for i, code in enumerate(STOP_WORDS))
+
+    def count(pattern: str) -> str:
+        return f"len(regexp_extract_all(text, {quoted(pattern.replace('{Is', '{'))}))"
+
+    counts = ", ".join(f"{{'n': -{count(p)}, 'i': {i}, 'code': {quoted(c)}}}" for i, (c, p) in enumerate(SCRIPTS))
+    kana, han = count(SCRIPTS[0][1]), count(SCRIPTS[2][1])
+    own = " ".join(
+        f"WHEN top.code = 'ar' AND {count(p)} >= {OWN_SHARE} * -top.n THEN {quoted(c)}" for c, p in OWN_LETTERS)
+    scripts = f"""WHEN top.n = 0 THEN NULL WHEN top.code IN ('zh', 'ja')
+      THEN CASE WHEN {kana} >= {KANA_SHARE} * ({kana} + {han}) THEN 'ja' ELSE 'zh' END {own} ELSE top.code"""
+    names = "CASE lang_code WHEN 'unknown' THEN 'Unknown' " + " ".join(
+        f"WHEN {quoted(c)} THEN {quoted(n)}" for c, n in LANGUAGE_NAMES.items()) + " ELSE lang_code END"
+    return rf"""tokens AS (
+  SELECT {key}, {column} AS text, string_split_regex(lower({column}), '[^\p{{L}}]+') AS tokens,
+         len(regexp_extract_all({column}, '\p{{Latin}}')) AS latin, len(regexp_extract_all({column}, '\p{{L}}')) AS letters,
+         list_sort([{counts.replace('(text,', '(' + column + ',')}])[1] AS top
+  FROM {relation}),
+best AS (
+  SELECT {key}, text, CASE WHEN latin * 2 > letters THEN NULL {scripts} END AS script,
+         list_sort([{scores}])[1] AS best
+  FROM tokens),
+coded AS (
+  SELECT {key}, text, coalesce(script, CASE WHEN best.score < 0 THEN best.code END, 'unknown') AS lang_code FROM best),
+detected AS (SELECT {key}, text, lang_code, {names} AS lang_name FROM coded)"""
