@@ -241,3 +241,14 @@ def test_translations_land_on_their_text(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(["eins", "skip me", "drei", "vier", "eins", None])], "id int, t string").coalesce(1)
     got = {r.id: r.translated for r in translate(df, "id", "t", predict, "go").collect()}
     assert got == {0: "EN eins", 1: None, 2: "EN drei", 3: "EN vier", 4: "EN eins", 5: None}
+
+
+def test_prompts_do_not_travel_with_rows(spark):
+    df = spark.createDataFrame([("a", "1", "x"), ("b", "2", "y"), ("c", "3", "z")], "g string, id string, m string")
+    plans = {}
+    for name, instruction in (("text", "go"), ("groups", {("a",): "for a", ("b",): "for b"})):
+        asked = infer_batches(df, "id", "m", lambda p, t: f"{p}:{t[0]}", instruction, ["g"], json_reply=False)
+        plans[name] = asked._jdf.queryExecution().executedPlan().toString()
+        assert "_prompt" not in plans[name]
+        want = {"text": {"go:x", "go:y", "go:z"}, "groups": {"for a:x", "for b:y"}}[name]
+        assert {r.reply for r in asked.collect()} == want

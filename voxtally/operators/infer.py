@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
@@ -15,7 +15,8 @@ REPLY_SCHEMA = "record_ids array<string>, ok boolean, attempts int, reply string
 
 
 def infer_batches(
-    df: DataFrame, id_col: str, message_col: str, predict: Callable, instruction: str | Column = "",
+    df: DataFrame, id_col: str, message_col: str, predict: Callable,
+    instruction: str | Column | Mapping[tuple, str] = "",
     group_cols: Sequence[str] = (), size: int = EXTRACTION_BATCH, retries: int = RETRIES,
     backoff: float = BACKOFF_SECONDS, parallelism: int | None = None, factory: bool = False,
     json_reply: bool = True,
@@ -28,13 +29,21 @@ def infer_batches(
     holds one batch. With `group_cols` a batch never mixes groups; the rows are range-partitioned
     by group and id, which spreads a hot group over many tasks.
 
+    An instruction as text, or as a mapping from group values to text, goes to the tasks once and not
+    with every row; records of a group that the mapping lacks are not asked. Only an instruction
+    that is a column travels with the rows.
+
     A failing call is retried, as is a JSON reply cut off in the middle. What still fails is a row
     with `ok = false` and the error; the run goes on.
     """
-    prompt = F.lit(instruction) if isinstance(instruction, str) else instruction
+    carried = [instruction.alias("_prompt")] if isinstance(instruction, Column) else []
     rows = df.select(
         *group_cols, F.col(f"`{id_col}`").cast("string").alias("_id"),
-        F.col(f"`{message_col}`").alias("_message"), prompt.alias("_prompt"))
+        F.col(f"`{message_col}`").alias("_message"), *carried)
+    by_column = bool(carried)
+    constant = instruction if isinstance(instruction, str) else None
+    shared = None if by_column or constant is not None else df.sparkSession.sparkContext.broadcast(
+        dict(instruction))
     if group_cols:
         count = [parallelism] if parallelism else []
         rows = rows.repartitionByRange(*count, *group_cols, "_id").sortWithinPartitions(
@@ -53,6 +62,7 @@ def infer_batches(
         import pandas as pd
 
         call = predict() if factory else predict
+        prompts = shared.value if shared else {}
 
         def cut_off(text):
             bare = re.sub(r"^```[a-zA-Z]*\n|\n```$", "", text.strip()).strip()
@@ -86,6 +96,11 @@ def infer_batches(
         for part in parts:
             done = []
             for row in part.itertuples(index=False, name=None):
+                if not by_column:
+                    text = constant if shared is None else prompts.get(row[:-2])
+                    if text is None:
+                        continue
+                    row = (*row, text)
                 if batch and (len(batch) == size or row[:-3] != batch[0][:-3]
                               or row[-1] != batch[0][-1]):
                     done.append(answer(batch))

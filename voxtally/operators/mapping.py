@@ -93,14 +93,19 @@ def map_by_model(
         "_key", F.sha2(F.concat_ws("\u0001", "topic", "type", "pp_mod"), 256))
     distinct = keyed.select(F.col("_key").alias("id"), "topic", "type", "pp_mod").distinct()
 
+    lists = labels.groupBy("topic", "type").agg(F.array_sort(F.collect_set("subtopic")).alias("candidates"))
+    prompt = inject(template, type=F.lower("type"), subtopics=F.array_join("candidates", ", "))
+    by_topic = lists.select("topic", "type", prompt.alias("prompt"))
+    # One prompt per topic goes to the tasks apart from the phrases, unless there are too many.
+    prompts = None
+    if measured_bytes(by_topic) <= MAX_BROADCAST_BYTES:
+        prompts = {(row.topic, row.type): row.prompt for row in by_topic.collect()}
+
     def ask(part: DataFrame) -> DataFrame:
-        asked = topic_candidates(part, labels)
-        messages = asked.select(
-            "topic", "type", "id",
-            render_record(("id", F.col("id")), ("phrase", F.col("pp_mod"))).alias("message"),
-            inject(template, type=F.lower("type"),
-                   subtopics=F.array_join("candidates", ", ")).alias("prompt"))
-        replies = infer_batches(messages, "id", "message", predict, F.col("prompt"),
+        message = render_record(("id", F.col("id")), ("phrase", F.col("pp_mod"))).alias("message")
+        asked = part if prompts is not None else join_bounded(part, by_topic, ["topic", "type"])
+        messages = asked.select("topic", "type", "id", message, *([] if prompts is not None else ["prompt"]))
+        replies = infer_batches(messages, "id", "message", predict, F.col("prompt") if prompts is None else prompts,
                                 ["topic", "type"], size, **infer_options)
         good, _ = parse_reply(replies.where("ok"), "reply", REPLY_SUBTOPICS)
         answers = (
