@@ -72,39 +72,39 @@ phrases AS (
 # --- lexicon and taxonomy of the rule extractor (own small tables) --------------------------------
 
 LEXICON = (
-    ("trash", "pain", "Services and public facilities"),
-    ("disgusting", "pain", "Services and public facilities"),
-    ("worthless", "pain", "Flights"),
-    ("pathetic", "pain", "Boarding Services"),
-    ("stupid", "pain", "Boarding Services"),
-    ("loser", "pain", "Customer Service"),
-    ("moron", "pain", "Customer Service"),
-    ("idiot", "pain", "Customer Service"),
-    ("clown", "pain", "Customer Service"),
+    ("trash", "pain", "Halls and Shops"),
+    ("disgusting", "pain", "Halls and Shops"),
+    ("worthless", "pain", "Journey"),
+    ("pathetic", "pain", "Gate and Queue"),
+    ("stupid", "pain", "Gate and Queue"),
+    ("loser", "pain", "Help Desk"),
+    ("moron", "pain", "Help Desk"),
+    ("idiot", "pain", "Help Desk"),
+    ("clown", "pain", "Help Desk"),
     ("scum", "pain", "Baggage"),
-    ("gate", "delight", "Boarding Services"),
-    ("thanedble", "delight", "Customer Service"),
-    ("thatin", "delight", "Flights"),
-    ("orantion", "delight", "Flights"),
+    ("gate", "delight", "Gate and Queue"),
+    ("thanedble", "delight", "Help Desk"),
+    ("thatin", "delight", "Journey"),
+    ("orantion", "delight", "Journey"),
     ("rewh", "delight", "Baggage"),
-    ("hehely", "delight", "Services and public facilities"),
-    ("éque", "delight", "Customer Service"),
-    ("ciónue", "delight", "Flights"),
-    ("ciónas", "pain", "Flights"),
+    ("hehely", "delight", "Halls and Shops"),
+    ("éque", "delight", "Help Desk"),
+    ("ciónue", "delight", "Journey"),
+    ("ciónas", "pain", "Journey"),
     ("ench", "delight", "Baggage"),
-    ("keit", "pain", "Customer Service"),
+    ("keit", "pain", "Help Desk"),
 )
 
 # topic, root subtopic, negative modifiers, positive modifiers
 TAXONOMY_ROWS = (
-    ("Services and public facilities", "Cleanliness", "trash everywhere, disgusting, Poor Experience with", "hehely, Great Experience with"),
-    ("Services and public facilities", "Waiting Area", "crowded, disgusting", "roomy, hehely"),
-    ("Flights", "Punctuality", "worthless, ciónas", "thatin, ciónue"),
-    ("Flights", "Cabin", "worn, Poor Experience with", "orantion, thatin"),
-    ("Boarding Services", "Gate", "pathetic, closed", "gate open, Great Experience with"),
-    ("Boarding Services", "Queue", "stupid, long", "short"),
-    ("Customer Service", "Staff", "loser, moron, idiot", "thanedble, éque"),
-    ("Customer Service", "Hotline", "clown, keit, Poor Experience with", "thanedble line"),
+    ("Halls and Shops", "Cleanliness", "trash everywhere, disgusting, Poor Experience with", "hehely, Great Experience with"),
+    ("Halls and Shops", "Waiting Area", "crowded, disgusting", "roomy, hehely"),
+    ("Journey", "Punctuality", "worthless, ciónas", "thatin, ciónue"),
+    ("Journey", "Cabin", "worn, Poor Experience with", "orantion, thatin"),
+    ("Gate and Queue", "Gate", "pathetic, closed", "gate open, Great Experience with"),
+    ("Gate and Queue", "Queue", "stupid, long", "short"),
+    ("Help Desk", "Staff", "loser, moron, idiot", "thanedble, éque"),
+    ("Help Desk", "Hotline", "clown, keit, Poor Experience with", "thanedble line"),
     ("Baggage", "Belt", "scum, slow", "rewh, ench"),
     ("Baggage", "Tracking", "lost", "rewh tracked"),
 )

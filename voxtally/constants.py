@@ -129,3 +129,6 @@ STOP_WORDS = {
     "uz": "va bu bir bilan uchun ham edi deb emas bo'lgan lekin",
     "fil": "ang ng sa na mga ay at ko ito hindi para niya kung",
 }
+
+# Fixed value: the code fence around a reply.
+FENCE = r"^```[a-zA-Z]*\n|\n```$"

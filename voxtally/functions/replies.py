@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
+from voxtally.constants import FENCE
 from voxtally.functions.staging import computed
 from voxtally.functions.text import strip
 
@@ -15,7 +16,7 @@ _NUMBER = r"^(\d+)\.\s*"
 def strip_fence(reply: Column) -> Column:
     """Trim, then drop the code fence around the text."""
     text = strip(reply)
-    bare = strip(F.regexp_replace(text, r"(?i)^```[a-z]*\n|\n```$", ""))
+    bare = strip(F.regexp_replace(text, FENCE, ""))
     return F.when(text.startswith("```"), bare).otherwise(text)
 
 

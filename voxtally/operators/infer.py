@@ -8,7 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from voxtally.constants import BACKOFF_SECONDS, EXTRACTION_BATCH, RETRIES
+from voxtally.constants import BACKOFF_SECONDS, EXTRACTION_BATCH, FENCE, RETRIES
 from voxtally.sources.files import read_folder_or_empty
 
 REPLY_SCHEMA = "record_ids array<string>, ok boolean, attempts int, reply string, error string"
@@ -65,7 +65,7 @@ def infer_batches(
         prompts = shared.value if shared else {}
 
         def cut_off(text):
-            bare = re.sub(r"^```[a-zA-Z]*\n|\n```$", "", text.strip()).strip()
+            bare = re.sub(FENCE, "", text.strip()).strip()
             try:
                 json.loads(bare)
             except json.JSONDecodeError as err:

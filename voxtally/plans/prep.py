@@ -36,7 +36,10 @@ def prep_reviews(
 def prep_places(
     df: DataFrame, codes: Mapping[str, str] = PLACE_CODES, min_date: str = MIN_DATE,
 ) -> DataFrame:
-    """Distinct map reviews from `min_date` on, with airport code and a running number.
+    """Distinct map reviews from `min_date` on, with airport code, a content key and a running number.
+
+    `Review_No` is for display: a review that arrives late shifts the numbers behind it. `Review_Key`,
+    a hash of the review's own values, never changes; use it for stores of model answers and phrase ids.
 
     Duplicates are removed last of the row-wise steps, so only rows that stay are shuffled.
     """
@@ -52,7 +55,8 @@ def prep_places(
          "origin"])
     order = ["published_at_datetime_x", "Airport", "text", "original_text", "score_x", "lang",
              "origin"]
-    return dense_id(named, order, name="Review_No").select("Review_No", *named.columns)
+    key = F.sha2(F.to_json(F.struct(*[F.col(c) for c in order])), 256)
+    return dense_id(named, order, name="Review_No").select("Review_No", key.alias("Review_Key"), *named.columns)
 
 
 def prep_posts(
