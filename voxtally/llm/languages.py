@@ -9,6 +9,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from voxtally.llm.common import bounded_sample
@@ -71,10 +72,11 @@ def _trigrams(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return at, bucket, np.flatnonzero(padded[at] == 0)
 
 
-def _groups(texts: list[str | None], chars: int = 1_000_000) -> Iterator[list[str]]:
+def _groups(texts: pa.Array, chars: int = 200_000) -> Iterator[list[str]]:
+    """The texts of a column in groups of about `chars` characters, so that a worker holds little at a time."""
     group, size = [], 0
     for text in texts:
-        group.append(text or "")
+        group.append(text.as_py() or "")
         size += len(group[-1])
         if size >= chars:
             yield group
@@ -89,11 +91,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[str, np.ndarray] = {}
     scripts: dict[str, np.ndarray] = {}
     for batch in batches:
-        by_lang: dict[str, list[str]] = {}
-        for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            by_lang.setdefault(lang, []).append(text)
-        for lang, texts in by_lang.items():
-            for group in _groups(texts):
+        for lang in batch.column(1).unique().to_pylist():
+            for group in _groups(batch.column(0).filter(pc.equal(batch.column(1), lang))):
                 codes, _ = _codes(group)
                 _, bucket, _ = _trigrams(codes)
                 sums[lang] = sums.get(lang, 0) + np.bincount(bucket, minlength=BUCKETS)
@@ -231,7 +230,7 @@ def detect_languages(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_i
         known = shared.value
         for batch in batches:
             done = 0
-            for group in _groups(batch.column(1).to_pylist()):
+            for group in _groups(batch.column(1)):
                 found = list(label_texts(group, known))
                 yield pa.record_batch([
                     batch.column(0).slice(done, len(group)), pa.array([x[0] for x in found], pa.string()),
@@ -256,7 +255,7 @@ def keep_known_languages(docs: DataFrame, model: LanguageModel, text: str = "tex
         for batch in batches:
             good = [
                 lang != UNKNOWN and score >= least_score
-                for group in _groups(batch.column(at).to_pylist()) for lang, score, _ in label_texts(group, shared.value)]
+                for group in _groups(batch.column(at)) for lang, score, _ in label_texts(group, shared.value)]
             yield batch.filter(pa.array(good, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
