@@ -107,12 +107,12 @@ class Paragraphs:
         return out
 
 
-def _grouped(batch: pa.RecordBatch, chars: int = 500_000) -> Iterator[tuple[list, list[str | None]]]:
+def _grouped(batch: pa.RecordBatch, chars: int = 200_000) -> Iterator[tuple[list, list[str | None]]]:
     ids, texts, size = [], [], 0
-    for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-        ids.append(key)
-        texts.append(text)
-        size += len(text or "")
+    for key, text in zip(batch.column(0), batch.column(1)):
+        ids.append(key.as_py())
+        texts.append(text.as_py())
+        size += len(texts[-1] or "")
         if size >= chars:
             yield ids, texts
             ids, texts, size = [], [], 0
@@ -133,7 +133,7 @@ def _signer(bands: int, rows: int, width: int) -> Callable:
                 if not len(found.unit):
                     continue
                 # Copies within a task send their keys once, so a very common paragraph stays cheap.
-                if len(seen) > 1_000_000:
+                if len(seen) > 200_000:
                     seen.clear()
                 fresh = []
                 for u in found.unit.tolist():
