@@ -87,7 +87,7 @@ TEXTS = [
 def test_tokens_equal_the_tokenizer():
     reference = Tokenizer.from_file(VOCABULARY)
     reference.encode_special_tokens = True
-    coder = ByteTokens(VOCABULARY, memory=5)
+    coder = ByteTokens(VOCABULARY)
     for text in filter(None, TEXTS):
         assert coder.of(text).tolist() == reference.encode(text, add_special_tokens=False).ids
 
@@ -196,7 +196,7 @@ def test_codes_and_segments(spark):
     assert [r.c for r in table.select(sign_codes("v").alias("c")).collect()] == [
         sum(1 << i for i in range(64) if vector[i] > 0) - (1 << 64), None, None]
     for n in (1, 100, 10**5, 10**9):
-        assert sum(width for _, width in _segments(64, n)) == 64
+        assert sum(width for _, width in _segments(64, n, 11)) == 64
 
 
 def test_pipeline_on_planted_rows(spark, tmp_path):
