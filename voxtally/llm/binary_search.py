@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -12,6 +13,9 @@ BITS = 64
 K = 10
 #: Up to so many masks (12 bytes each) of one round are broadcast; beyond, they are joined by shuffle.
 BROADCAST_MASKS = 1_000_000
+#: Radii that the second round asks for together, and segments that a later round asks in.
+FIRST_RADIUS = 2
+STEP = 2
 
 
 def sign_codes(vector: str, bits: int = BITS) -> Column:
@@ -21,9 +25,33 @@ def sign_codes(vector: str, bits: int = BITS) -> Column:
         (x, i) -> IF(x > 0 AND NOT isnan(x), shiftleft(1L, i), 0L)), 0L, (a, b) -> a | b) END""")
 
 
-def _segments(bits: int, n: int) -> list[tuple[int, int]]:
-    """(first bit, width) of about bits / log2(n) segments, so that a bucket holds about one code."""
-    m = min(bits, max(1, round(bits / math.log2(max(n, 2)))))
+def _expected_distance(bits: int, n: int, k: int) -> int:
+    """Distance within which k of n random codes are expected."""
+    within = 0.0
+    for d in range(bits + 1):
+        within += math.comb(bits, d) / 2.0**bits
+        if n * within >= k:
+            return d
+    return bits
+
+
+def _segments(bits: int, n: int, k: int) -> list[tuple[int, int]]:
+    """(first bit, width) of the number of segments that costs least.
+
+    The cost of a number is that of the values asked for until the expected k-th distance is
+    covered, each with the codes that share it.
+    """
+    far = _expected_distance(bits, n, k)
+
+    def cost(m: int) -> float:
+        width = -(-bits // m)
+        radius, more = divmod(far + 1, m)  # all segments up to radius - 1, then so many at `radius`
+        asked = m * sum(math.comb(width, r) for r in range(min(radius, width + 1)))
+        if more and radius <= width:
+            asked += more * math.comb(width, radius)
+        return asked * (1 + n / 2.0**width)
+
+    m = min(range(1, bits + 1), key=cost)
     edges = [bits * i // m for i in range(m + 1)]
     return [(a, b - a) for a, b in zip(edges, edges[1:])]
 
@@ -46,6 +74,16 @@ def _wider(masks: DataFrame) -> DataFrame:
     return more.select("seg", "width", F.expr("mask | shiftleft(1L, b)").alias("mask"), F.expr("b + 1").alias("free"))
 
 
+def _steps(segments: int, last: int) -> Iterator[tuple[int, int, int, int]]:
+    """(least radius, radius, first segment, end): equal values, small radii at once, then a few segments at a time."""
+    yield 0, 0, 0, segments
+    if last:
+        yield 1, min(FIRST_RADIUS, last), 0, segments
+    for radius in range(FIRST_RADIUS + 1, last + 1):
+        for low in range(0, segments, STEP):
+            yield radius, radius, low, min(low + STEP, segments)
+
+
 def _nearest(found: DataFrame, keep: int) -> DataFrame:
     order = Window.partitionBy("query").orderBy("distance", "least_id")
     return found.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= keep).drop("_r")
@@ -57,11 +95,11 @@ def search(
     """(query_id, vec_id, rank, distance): the k nearest rows of `vectors` for each row of `queries`, itself left out.
 
     Both frames have a bigint id and a bigint code. Exact; ties go to the smaller id. Codes are cut
-    into segments, and a table by (segment, value) is the index. In round r every open query asks,
-    in each of the m segments, for the values at distance r; what it finds is verified on the whole
-    code. By then every code within m * (r + 1) - 1 has been seen, so a query is closed as soon as
-    its k-th verified distance is no more than that; the others go on, at most until all values were
-    asked for.
+    into m segments, and a table by (segment, value) is the index. Every open query asks for the
+    values at distance r in one segment after another, with growing r; what it finds is verified on
+    the whole code. After s segments at radius r every code within m * r + s - 1 has been seen, so a
+    query is closed as soon as its k-th verified distance is no more than that; the others go on, at
+    most until all values were asked for, and take nothing farther than the k-th they have.
 
     Equal codes are searched once and only their k + 1 least ids are kept, which is all that can
     rank, so a code that a third of the rows share costs no more than another. Rows with a null id
@@ -76,28 +114,40 @@ def search(
                  .groupBy("code").agg(F.sort_array(F.collect_set("id")).alias("ids")))
     codes = settle(lists.select("code", "ids", F.get("ids", 0).alias("least_id"), F.size("ids").alias("n")), "codes")
     total = codes.count()
-    segments = _segments(bits, total)
+    segments = _segments(bits, total, keep)
     index = settle(_by_segment(codes.select("code", "least_id", "n"), "code", segments), "index")
-    open_ = settle(asked.select("query").distinct(), "open")
+    open_ = settle(asked.select("query").distinct().withColumn("bound", F.lit(bits)), "open")
     best = spark.createDataFrame([], "query bigint, code bigint, least_id bigint, n int, distance int")
-    closed, masks = None, _masks(spark, segments)
-    for radius in range(max(width for _, width in segments) + 1):
+    closed, masks, last = None, _masks(spark, segments), max(width for _, width in segments)
+    for first, radius, low, high in _steps(len(segments), last):
         if total == 0 or open_.isEmpty():
             break
-        count = sum(math.comb(width, radius) for _, width in segments)
-        some = F.broadcast(masks) if count <= BROADCAST_MASKS else masks
+        asking = masks if radius == 0 else None
+        for _ in range(first, radius + 1) if radius and low == 0 else ():
+            masks = settle(_wider(masks), "masks")
+            asking = masks if asking is None else asking.union(masks)
+        asking = (masks if asking is None else asking).where(F.col("seg").between(low, high - 1))
+        count = sum(math.comb(width, r) for _, width in segments[low:high] for r in range(first, radius + 1))
+        some = F.broadcast(asking) if count <= BROADCAST_MASKS else asking
         probes = (_by_segment(open_, "query", segments).join(some.select("seg", "mask"), "seg")
-                  .select("query", "seg", F.col("val").bitwiseXOR(F.col("mask")).alias("val")))
-        hits = probes.join(index, ["seg", "val"]).select(
-            "query", "code", "least_id", "n", F.bit_count(F.col("query").bitwiseXOR(F.col("code"))).alias("distance"))
+                  .select("query", "bound", "seg", F.col("val").bitwiseXOR(F.col("mask")).alias("val")))
+        # What is farther than the k-th distance so far never leaves the join.
+        probe, entry = probes.alias("p"), index.alias("i")
+        distance = F.expr("bit_count(p.query ^ i.code)")
+        hits = probe.join(entry, F.expr("p.seg = i.seg AND p.val = i.val") & (distance <= F.col("p.bound"))).select(
+            "p.query", "i.code", "i.least_id", "i.n", distance.alias("distance"))
         best = settle(_nearest(hits.union(best.select(hits.columns)).distinct(), keep), "nearest")
-        covered = len(segments) * (radius + 1) - 1
-        sure = best.where(F.col("distance") <= covered).groupBy("query").agg(F.sum("n").alias("n")).where(F.col("n") >= keep)
-        done = best.join(sure.select("query"), "query", "left_semi")
+        # A code not seen yet is more than `radius` away in the segments asked, and at least that in the others.
+        covered = len(segments) * radius + high - 1
+        near = F.sum(F.when(F.col("distance") <= covered, F.col("n")).otherwise(0))
+        state = best.groupBy("query").agg((near >= keep).alias("sure"), F.when(F.sum("n") >= keep, F.max("distance")).otherwise(bits).alias("bound"))
+        state = settle(state, "state")
+        sure = state.where("sure").select("query")
+        done = best.join(sure, "query", "left_semi")
         closed = done if closed is None else closed.union(done)
-        open_ = settle(open_.join(sure.select("query"), "query", "left_anti"), "open")
-        best = best.join(sure.select("query"), "query", "left_anti")
-        masks = settle(_wider(masks), "masks")
+        left = open_.select("query").join(state, "query", "left").where("NOT coalesce(sure, false)")
+        open_ = settle(left.select("query", F.coalesce("bound", F.lit(bits)).alias("bound")), "open")
+        best = best.join(sure, "query", "left_anti")
     result = best if closed is None else closed.union(best)
     each = (result.select("query", "code", "distance").join(codes.select("code", "ids"), "code")
                   .select("query", "distance", F.explode("ids").alias(vec_id)))
