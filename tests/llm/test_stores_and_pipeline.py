@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from voxtally.llm.binary_search import _segments, search, sign_codes
-from voxtally.llm.mixing import keep_mixture, mix_sources
+from voxtally.llm.mixing import keep_mixture, mix_sources, share_whole_sources
 from voxtally.llm.packing import ByteTokens, Shard, pack
 from voxtally.llm.warc import (
     BadArchive, dictionary_frame, export_archives, make_record, parse_record, payload_digest, read_archive, read_archives,
@@ -171,6 +171,19 @@ def test_mixture_edges(spark):
     assert mix_sources(odd.limit(0)).count() == 0 and keep_mixture(odd.limit(0), mix_sources(odd.limit(0))).count() == 0
 
 
+def test_small_sources_do_not_end_the_mixture(spark):
+    sizes = {"hot": 30_000, **{f"s{k}": 9_000 for k in range(5)}, "one": 1, None: 3}
+    rows = [(100_000 * k + i, s) for k, (s, n) in enumerate(sizes.items()) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string").repartition(5)
+    placed = share_whole_sources(mix_sources(docs))
+    assert placed.count() == len(rows)
+    kept = {r.source: r["count"] for r in keep_mixture(docs, placed).groupBy("source").count().collect()}
+    assert kept == {**sizes, "hot": -(-len(rows) // 4)}
+    lone = docs.where("source = 's1'")
+    assert keep_mixture(lone, share_whole_sources(mix_sources(lone))).count() == 9_000
+    assert share_whole_sources(mix_sources(docs.limit(0))).count() == 0
+
+
 def brute_neighbours(rows, k):
     out = set()
     for q, x in rows:

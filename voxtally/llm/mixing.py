@@ -93,6 +93,29 @@ def mix_sources(
         F.coalesce(F.col("slot") < F.lit(horizon), F.lit(False)).alias("in_mix"))
 
 
+def share_whole_sources(placed: DataFrame, *, source: str = "source", block_rows: int = BLOCK_ROWS, most_percent: int = MOST_PERCENT) -> DataFrame:
+    """`placed` with in_mix by exact integer weights: only what a source has above its capped share is out.
+
+    The slots of a period are rounded to one block at least, and in_mix of `mix_sources` ends where
+    the first source does, so a source of a few rows ends it early. Here no rounding enters and a
+    source that has run out leaves the others going: every source keeps its rows in their order up to
+    its weight. A source of no more than `most_percent` of all rows stays whole, a larger one keeps
+    that many. Where all are larger, they go on evenly until the least of them has run out.
+    `block_rows` is that of `mix_sources`; rows without a slot stay out.
+    """
+    counts = placed.where("slot IS NOT NULL").groupBy(F.col(source).alias("_s")).agg(F.count("*").alias("_n"))
+    counts = settle(counts, "shares")
+    total, least = counts.agg(F.sum("_n"), F.min("_n")).first()
+    if not total:
+        return placed
+    # Rounded up, so that no source with a weight is left without a row.
+    quota = max(-(-total * most_percent // 100), least)
+    small = F.broadcast(counts.select("_s", F.least("_n", F.lit(quota)).alias("_quota")))
+    inside = F.col("block") * block_rows + F.col("place") < F.col("_quota")
+    return (placed.join(small, F.col(source).eqNullSafe(F.col("_s")), "left")
+                  .withColumn("in_mix", F.coalesce(inside, F.lit(False)) & F.col("slot").isNotNull()).drop("_s", "_quota"))
+
+
 def _order_key(doc_id: str) -> Column:
     return F.struct(F.coalesce(F.md5(F.col(doc_id).cast("string")), F.lit("")).alias("h"), F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(1 << 63))).alias("id"))
 
