@@ -184,6 +184,16 @@ def test_small_sources_do_not_end_the_mixture(spark):
     assert share_whole_sources(mix_sources(docs.limit(0))).count() == 0
 
 
+def test_near_copies_at_082_leave_the_pipeline(spark):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(104)]
+    # 100 shingles of five words each, of which the last 10 differ: 90 of 110 are shared.
+    other = words[:94] + [f"v{i}" for i in range(10)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(other)), (3, "x y z")], "doc_id bigint, text string")
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()} == {1, 3}
+
+
 def brute_neighbours(rows, k):
     out = set()
     for q, x in rows:
