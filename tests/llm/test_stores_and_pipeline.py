@@ -92,6 +92,14 @@ def test_tokens_equal_the_tokenizer():
         assert coder.of(text).tolist() == reference.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_and_long_blanks_equal_the_tokenizer():
+    reference, coder = Tokenizer.from_file(VOCABULARY), ByteTokens(VOCABULARY, added=True)
+    assert coder.of("a<|endoftext|>b").tolist() == [64, 50256, 65]
+    blanks = [c * n for c in (" ", "\n", "\u3000") for n in (9_999, 10_000, 1_000_000)]
+    for text in ["<|endoftext|>", " <|endoftext|> x", "<|endoftext", *blanks, "x" + blanks[2] + "y", " \n\t" * 300_000 + "x"]:
+        assert coder.of(text).tolist() == reference.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("window, shard", [(1024, 256), (64, 8)])
 def test_packing_is_whole_and_gapless(spark, window, shard):
     reference = Tokenizer.from_file(VOCABULARY)

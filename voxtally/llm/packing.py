@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
@@ -24,6 +25,10 @@ B = 0.75
 # Fixed value: the pre-tokenising pattern of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# The fast coder fails somewhere above 300,000 blanks.
+LONG_BLANK = 10_000
+_BLANK = re.compile(r"\s{64,}")
+
 
 def _byte_letters() -> dict[str, int]:
     """The letters that a byte-level vocabulary writes bytes with: printable ones stand for themselves,
@@ -36,11 +41,19 @@ def _byte_letters() -> dict[str, int]:
 class ByteTokens:
     """Token ids of a byte-level BPE vocabulary file (the JSON of the tokenizers library).
 
-    Ids of such a vocabulary are its merge ranks, so a ranked coder gives the same ids faster.
+    Ids of such a vocabulary are its merge ranks, so a ranked coder gives the same ids faster. Texts
+    with a long run of white space, on which that coder's pattern overflows its stack, are left to
+    the tokenizers library. With `added`, so are texts that hold an added token of the file, such as
+    <|endoftext|>, which is then one id; otherwise its letters are ordinary text.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added: bool = False) -> None:
         import tiktoken
+        from tokenizers import Tokenizer
+
+        self._whole = Tokenizer.from_file(path)
+        self._whole.encode_special_tokens = not added
+        self._added = [t.content for t in self._whole.get_added_tokens_decoder().values()] if added else []
 
         letters = _byte_letters()
         with open(path, encoding="utf-8") as file:
@@ -52,15 +65,18 @@ class ByteTokens:
     def of(self, text: str) -> np.ndarray:
         if not text:
             return np.empty(0, np.uint16)
+        long = any(m.end() - m.start() >= LONG_BLANK for m in _BLANK.finditer(text))
+        if long or any(token in text for token in self._added):
+            return np.array(self._whole.encode(text, add_special_tokens=False).ids, np.uint16)
         return np.array(self._coder.encode_ordinary(text), np.uint16)
 
 
 _TOKENISED = "doc_id bigint, tokens bigint, tail binary, terms binary, counts binary, crcs array<bigint>, near bigint"
 
 
-def _tokenise(path: str, window: int) -> Callable:
+def _tokenise(path: str, window: int, added: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = ByteTokens(path)
+        coder = ByteTokens(path, added)
         names = [part.split()[0] for part in _TOKENISED.split(", ")]
         kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.int64())
         for batch in batches:
@@ -226,10 +242,12 @@ def _packer(statistics, window: int, shard: int) -> Callable:
 
 def pack(
     docs: DataFrame, tokenizer_path: str, *, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, shard: int = SHARD,
+    added: bool = False,
 ) -> DataFrame:
     """Pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    A document's ids are those of the vocabulary file, then id 0. Whole windows of a long document
+    A document's ids are those of the vocabulary file, then id 0; `added` reads the file's added
+    tokens in a text as their ids, as the tokenizers library does by default. Whole windows of a long document
     are sequences of their own; its rest, and every shorter document, goes to a shard of about
     `shard` pieces. The rows are range-partitioned by a term hash, so that lexical neighbours sit
     close; shards follow each other in a partition, and what does not fill a window moves on to the
@@ -243,7 +261,7 @@ def pack(
     """
     spark = docs.sparkSession
     slim = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    rows = settle(slim.mapInArrow(_tokenise(tokenizer_path, window), _TOKENISED), "tokens")
+    rows = settle(slim.mapInArrow(_tokenise(tokenizer_path, window, added), _TOKENISED), "tokens")
     sums = (rows.select("terms", "tokens").mapInArrow(_frequencies, "term bigint, n bigint")
                 .groupBy("term").agg(F.sum("n").alias("n")).toArrow())
     terms, n = sums.column("term").to_numpy(), sums.column("n").to_numpy()

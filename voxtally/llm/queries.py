@@ -133,7 +133,7 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_packing")
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), added=True)
 
 
 @query("op1_mixing", """
