@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from voxtally.llm.fingerprints import closed_syncmers, code_points, compare_with_next, fingerprint, fingerprint_documents, likeness, matched_places
+from voxtally.llm.fingerprints import closed_syncmers, code_points, compare_with_next, fingerprint, fingerprint_documents, from_text, likeness, matched_places
 from voxtally.llm.languages import LanguageModel, _path, detect_languages, fit_languages, keep_known_languages, label_texts
 from voxtally.llm.quality import Features, dual_coordinate_descent, fit_quality, log_count_ratios, score_quality
 from voxtally.llm.secrets import as_text, fit_on_documents, fit_secrets, redact, scan_secrets
@@ -181,6 +181,21 @@ def test_fingerprints(spark):
     assert len({r.fingerprint for r in got if r.doc_id == 3}) == 1 and {r.n_chars for r in got if r.doc_id < 3} == {0, 1}
 
 
+def test_long_texts_keep_the_anchors_of_a_shared_passage(spark):
+    draw = random.Random(12)
+    prose = lambda n: "".join(draw.choice("abcdefghij klmnop") for _ in range(n))
+    passage = prose(300)
+    a, b = prose(60_000) + passage + prose(40_000), prose(10_000) + passage + prose(80_000)
+    got = {r.doc_id: r for r in compare_with_next(spark.createDataFrame([(1, a), (2, b)], "doc_id bigint, text string")).collect()}
+    marks = [from_text(got[i].fingerprint) for i in (1, 2)]
+    for mark, text in zip(marks, (a, b)):
+        whole = fingerprint(text)
+        assert mark[0].tolist() == whole[0].tolist() and mark[1].tolist() == whole[1].tolist()
+    inside = [(x, y) for x, y in matched_places(*marks) if x - y == 50_000 and 60_000 <= x < 60_300]
+    assert len(inside) > 40 and got[1].near_next == likeness(marks[0][0], marks[1][0]) > 0
+    assert [len(x) for x in from_text("")] == [0, 0]
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 50])
 def test_comparison_with_the_next_document(spark, n):
     draw = random.Random(n)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from base64 import b64decode, b64encode
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,13 +17,14 @@ from voxtally.llm.shingles import mix
 #: Length of the anchors and of the substrings that choose them, in code points.
 K = 12
 S = 5
-#: Anchors that a fingerprint keeps.
-ANCHORS = 96
 #: Texts below this length also get short anchors, of which an edit leaves some.
 SHORT = 96
 SHORT_K = 4
 SHORT_S = 2
 
+#: Characters of fingerprints after which a task hands its rows on.
+OUT_CHARS = 4_000_000
+
 _PRIME = np.uint64(0x100000001B3)
 
 
@@ -59,8 +61,8 @@ def closed_syncmers(codes: np.ndarray, k: int = K, s: int = S) -> tuple[np.ndarr
     return at, (mix(hashed) >> np.uint64(32)).astype(np.uint32)
 
 
-def fingerprint(text: str, k: int = K, s: int = S, anchors: int = ANCHORS) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, positions): the least `anchors` distinct anchor hashes with their first places.
+def fingerprint(text: str, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, positions): all distinct anchor hashes, ascending, with their first places.
 
     A text without any anchor (tiny ones) is one anchor as a whole; an empty text has none.
     """
@@ -74,20 +76,40 @@ def fingerprint(text: str, k: int = K, s: int = S, anchors: int = ANCHORS) -> tu
     if not len(at):
         return np.array([xxh32_intdigest(text.encode("utf-8", "surrogatepass"))], np.uint32), np.zeros(1, np.int64)
     kept, first = np.unique(hashed, return_index=True)
-    return kept[:anchors], at[first[:anchors]]
+    return kept, at[first]
 
 
 def as_text(mark: tuple[np.ndarray, np.ndarray]) -> str:
-    """hash.position in hexadecimal, comma-joined, by hash."""
-    return ",".join(map("%08x.%x".__mod__, zip(mark[0].tolist(), mark[1].tolist())))
+    """Base64 of a byte w, then by place: the hashes (4 bytes each), the steps from place to place (w bytes each).
 
+    All little-endian; w is 1, 2, 4 or 8 and the first step is from 0. See `from_text`.
+    """
+    if not len(mark[0]):
+        return ""
+    order = np.argsort(mark[1], kind="stable")
+    steps = np.diff(mark[1][order], prepend=0)
+    width = next(w for w in (1, 2, 4, 8) if int(steps.max()) < 1 << 8 * w)
+    packed = bytes([width]) + mark[0][order].astype("<u4").tobytes() + steps.astype(f"<u{width}").tobytes()
+    return b64encode(packed).decode("ascii")
+
+
+def from_text(packed: str) -> tuple[np.ndarray, np.ndarray]:
+    """The (hashes, positions) that `as_text` packed."""
+    if not packed:
+        return np.empty(0, np.uint32), np.empty(0, np.int64)
+    data = b64decode(packed)
+    n = (len(data) - 1) // (4 + data[0])
+    hashes, steps = np.frombuffer(data, "<u4", n, 1), np.frombuffer(data, f"<u{data[0]}", n, 1 + 4 * n)
+    order = np.argsort(hashes, kind="stable")
+    return hashes[order].astype(np.uint32), np.cumsum(steps.astype(np.int64))[order]
 
-def likeness(a: np.ndarray, b: np.ndarray, anchors: int = ANCHORS) -> float:
-    """Jaccard of two anchor sets from their least hashes; 1 for two empty ones, exact for short texts."""
+
+def likeness(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard of two whole anchor sets; 1 for two empty ones."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    both = np.union1d(a, b)[:anchors]
-    return float((np.isin(both, a, assume_unique=True) & np.isin(both, b, assume_unique=True)).sum() / len(both))
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return shared / (len(a) + len(b) - shared)
 
 
 def matched_places(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> list[tuple[int, int]]:
@@ -100,11 +122,13 @@ def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     """(id, n_chars, fingerprint) per row; a null text counts as empty. Row by row, no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t.as_py() or "" for t in batch.column(1)]
-            yield pa.record_batch([
-                batch.column(0), pa.array([len(t) for t in texts], pa.int64()),
-                pa.array([as_text(fingerprint(t, **how)) for t in texts], pa.string())], ["id", "n_chars", "fingerprint"])
+        for whole in batches:
+            for start in range(0, whole.num_rows, 500):
+                batch = whole.slice(start, 500)
+                texts = [t.as_py() or "" for t in batch.column(1)]
+                yield pa.record_batch([
+                    batch.column(0), pa.array([len(t) for t in texts], pa.int64()),
+                    pa.array([as_text(fingerprint(t, **how)) for t in texts], pa.string())], ["id", "n_chars", "fingerprint"])
 
     return (docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
                 .mapInArrow(run, "id bigint, n_chars bigint, fingerprint string").withColumnRenamed("id", doc_id))
@@ -122,10 +146,9 @@ _COMPARED = "id bigint, n_chars bigint, edited_sha256 string, fingerprint string
 def _walk(how: dict[str, int]) -> Callable:
     """Compare each document with the next in a stream that is sorted by bucket, copy, id, text."""
     names = [part.split()[0] for part in _COMPARED.split(", ")]
-    anchors = how.get("anchors", ANCHORS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, rows = None, []
+        before, rows, held = None, [], 0
 
         def out() -> pa.RecordBatch:
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
@@ -141,10 +164,12 @@ def _walk(how: dict[str, int]) -> Callable:
                     other = fingerprint(changed, **how)
                     rows.append((
                         old_key, len(old_body), hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest(), as_text(old_mark),
-                        as_text(other), likeness(old_mark[0], other[0], anchors), likeness(old_mark[0], mark[0], anchors)))
-                    if len(rows) >= 1000:
+                        as_text(other), likeness(old_mark[0], other[0]), likeness(old_mark[0], mark[0])))
+                    held += len(rows[-1][3]) + len(rows[-1][4])
+                    if len(rows) >= 1000 or held >= OUT_CHARS:
                         yield out()
                         rows.clear()
+                        held = 0
                 before = None if copy else (bucket, key, body, mark)
         if rows:
             yield out()
