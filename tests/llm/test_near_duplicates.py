@@ -144,6 +144,28 @@ def test_passages_are_found_wherever_they_stand(spark):
     assert repeated_passages(frame(spark, [])).count() == 0
 
 
+def test_inline_passages_with_and_without_full_stops(spark):
+    words = lambda k, n: [f"q{k}x{i}" for i in range(n)]
+    rows, inside = [], {}
+    for k in range(12):
+        passage = words(f"p{k}", 51)
+        if k % 2:
+            passage = [w + "." * (i % 9 == 4) for i, w in enumerate(passage)]
+        for d in (2 * k, 2 * k + 1):
+            front = " ".join(words(f"a{d}", 10 + 7 * d))
+            inside[d] = (len(front) + 1, len(front) + 1 + len(" ".join(passage)))
+            rows.append((d, front + " " + " ".join(passage + words(f"b{d}", 30))))
+    got = {r.doc_id: r for r in repeated_passages(frame(spark, rows)).collect()}
+    assert set(got) == set(inside)
+    for d, (a, b) in inside.items():
+        assert a <= got[d].start < got[d].end <= b and got[d].words >= 51 - 2 * 11 and got[d].kept == (d % 2 == 0)
+
+
+def test_units_hash_all_their_words():
+    texts = [" ".join(f"w{i}" for i in range(40)), " ".join(f"w{i}" for i in range(39)) + " end"]
+    assert len(set(Paragraphs(texts).unit.tolist())) == 2
+
+
 def test_paragraph_places_and_copies_in_one_document(spark):
     text = "Über a b.\n\n  c d\x0be  \n" + LONG
     found = Paragraphs([None, text, "", LONG])

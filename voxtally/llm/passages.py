@@ -21,6 +21,10 @@ ROWS = 3
 LEAST_WORDS = 24
 #: A line is cut behind one of so many sentence ends, chosen by its last two words.
 CUT = 4
+#: Words of the runs that are compared wherever they stand in a line, and how many follow each other
+#: until one is chosen: a copy of RUN + STEP - 1 words always holds a chosen one.
+RUN = 24
+STEP = 12
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _powers = np.ones(1, np.uint64)
@@ -37,10 +41,41 @@ def tune_bands(percent: int = PERCENT, rows: int = ROWS, recall: float = RECALL)
 def _power_table(n: int) -> np.ndarray:
     global _powers
     if len(_powers) < n:
-        _powers = np.cumprod(np.concatenate([[1], np.full(n, _MULTIPLIER)]).astype(np.uint64), dtype=np.uint64)
+        _powers = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, _MULTIPLIER)]), dtype=np.uint64)
     return _powers
 
 
+def _sliding(values: np.ndarray, n: int, pick: np.ufunc) -> np.ndarray:
+    """pick (minimum or maximum) over every n values that follow each other."""
+    covered = 1
+    while covered < n:
+        step = min(covered, n - covered)
+        values = pick(values[:-step], values[step:])
+        covered += step
+    return values
+
+
+def _winnowed(hashed: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first words, hashes) of the chosen runs of RUN words; no run spans two texts."""
+    m = len(hashed) - RUN + 1
+    if m <= 0:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    powers = _power_table(RUN)
+    whole = np.zeros(m, np.uint64)
+    for i in range(RUN):
+        whole += hashed[i : i + m] * powers[i]
+    last = np.uint64(0xFFFFFFFFFFFFFFFF)
+    valid = owner[RUN - 1 :] == owner[:m]
+    # The last runs of a text are not valid, more than STEP of them, so no stretch reaches into the next.
+    padded = np.full(m + 2 * (STEP - 1), last)
+    padded[STEP - 1 : STEP - 1 + m] = np.where(valid, mix(whole), last)
+    # A run is least in some stretch when the greatest of the minima around it is its own.
+    top = _sliding(_sliding(padded, STEP, np.minimum), STEP, np.maximum)
+    own = padded[STEP - 1 : STEP - 1 + m]
+    at = np.flatnonzero(valid & (top == own))
+    return at, own[at].view(np.int64)
+
+
 class Paragraphs:
     """Paragraphs of a few texts, as arrays.
 
@@ -48,7 +83,11 @@ class Paragraphs:
     two words pick. The choice looks at nothing else, so a passage has the same inner paragraphs
     wherever it stands. `text`, `position`, `start`, `end` (code points), `words` and `unit` (a
     64-bit hash of the words, in order) have one entry per paragraph; `shingles` are grouped by
-    paragraph from `first` on.
+    paragraph from `first` on. `word` is the number of its first word in the text.
+
+    `runs` holds (text, start, end, word, hash) of runs of RUN words, chosen by winnowing: the least
+    hash of every STEP that follow each other. Whether a run is chosen depends on the words around
+    it only, so the same passage has the same runs in the middle of any line.
     """
 
     def __init__(self, texts: list[str | None], width: int = WIDTH) -> None:
@@ -76,7 +115,14 @@ class Paragraphs:
         self.start, self.end = starts[a] - text_starts[self.text], ends[b - 1] - text_starts[self.text]
         if not n:
             self.position, self.unit, self.first, self.shingles = a, np.empty(0, np.int64), a, hashed
+            self.word, self.runs = a, (a, a, a, a, np.empty(0, np.int64))
             return
+        owner = np.searchsorted(text_starts, starts, side="right") - 1
+        before = np.searchsorted(owner, np.arange(len(texts)))
+        self.word = a - before[self.text]
+        at, chosen = _winnowed(hashed, owner)
+        self.runs = (
+            owner[at], starts[at] - text_starts[owner[at]], ends[at + RUN - 1] - text_starts[owner[at]], at - before[owner[at]], chosen)
         _, at, count = np.unique(self.text, return_index=True, return_counts=True)
         self.position = np.arange(len(a)) - np.repeat(at, count)
         rank = np.arange(n) - np.repeat(a, self.words)
@@ -120,7 +166,7 @@ def _grouped(batch: pa.RecordBatch, chars: int = 200_000) -> Iterator[tuple[list
         yield ids, texts
 
 
-_PARAGRAPHS = "id bigint, position int, start bigint, end bigint, words int, unit bigint, keys array<bigint>"
+_PARAGRAPHS = "id bigint, position int, start bigint, end bigint, words int, unit bigint, keys array<bigint>, word int, inline boolean"
 
 
 def _signer(bands: int, rows: int, width: int) -> Callable:
@@ -144,13 +190,19 @@ def _signer(bands: int, rows: int, width: int) -> Callable:
                 yield pa.record_batch([
                     pa.array([ids[t] for t in found.text.tolist()], pa.int64()), pa.array(found.position, pa.int32()),
                     pa.array(found.start, pa.int64()), pa.array(found.end, pa.int64()), pa.array(found.words, pa.int32()),
-                    pa.array(found.unit), keys], names)
+                    pa.array(found.unit), keys, pa.array(found.word, pa.int32()), pa.array(np.zeros(len(found.unit), bool))], names)
+                owner, start, end, word, unit = found.runs
+                n = len(unit)
+                yield pa.record_batch([
+                    pa.array([ids[t] for t in owner.tolist()], pa.int64()), pa.nulls(n, pa.int32()), pa.array(start, pa.int64()),
+                    pa.array(end, pa.int64()), pa.array(np.full(n, RUN), pa.int32()), pa.array(unit), pa.nulls(n, pa.list_(pa.int64())),
+                    pa.array(word, pa.int32()), pa.array(np.ones(n, bool))], names)
 
     return run
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b) from rows sorted by key and unit: the least unit of a key with each other one. One row is carried over."""
+    """(key, a, b) from rows sorted by key and unit: the least unit of a key with each other one. One row is carried over."""
     key = center = None
     for batch in batches:
         keys, units = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -161,7 +213,7 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centers = np.concatenate([[center if center is not None else 0], units[new]])[group]
         key, center = keys[-1], centers[-1]
         kept = centers != units
-        yield pa.record_batch([pa.array(centers[kept]), pa.array(units[kept])], ["a", "b"])
+        yield pa.record_batch([pa.array(keys[kept]), pa.array(centers[kept]), pa.array(units[kept])], ["key", "a", "b"])
 
 
 def _sets(width: int) -> Callable:
@@ -190,8 +242,9 @@ def repeated_passages(
     as many as `recall` needs at `percent`, bring paragraphs together; each is paired with the least
     one of its bucket (a sorted stream, no group is held), pairs are confirmed by exact Jaccard on the
     whole paragraphs, and components of confirmed pairs are clusters. Equal paragraphs are one from
-    the start (64-bit hash of their words). A cluster in two or more documents repeats; neighbouring
-    repeated paragraphs of a text form one passage, reported from `least_words` words on, so headers,
+    the start (64-bit hash of their words). A cluster in two or more documents repeats, and so does a
+    chosen run of 24 words, by which copies in the middle of lines are found; neighbouring or
+    overlapping repeated paragraphs and runs of a text form one passage, reported from `least_words` words on, so headers,
     footers and chance sentences stay. `kept` is true where no cluster of the passage stands in a
     document with a smaller id: what a removal would leave.
 
@@ -201,30 +254,53 @@ def repeated_passages(
     """
     bands = tune_bands(percent, rows, recall)
     slim = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text")).where("id IS NOT NULL")
-    spots = settle(slim.mapInArrow(_signer(bands, rows, width), _PARAGRAPHS), "paragraphs")
+    both = settle(slim.mapInArrow(_signer(bands, rows, width), _PARAGRAPHS), "paragraphs")
+    spots = both.where("NOT inline").drop("inline")
     keyed = spots.where("size(keys) > 0").select(F.explode("keys").alias("key"), "unit")
-    pairs = settle(
-        keyed.repartition("key").sortWithinPartitions("key", "unit").mapInArrow(_stars, "a bigint, b bigint").distinct(), "pairs")
+    stars = settle(
+        keyed.repartition("key").sortWithinPartitions("key", "unit").mapInArrow(_stars, "key bigint, a bigint, b bigint").distinct(), "stars")
+    pairs = settle(stars.select("a", "b").distinct(), "pairs")
     nodes = pairs.selectExpr("a unit").union(pairs.selectExpr("b unit")).distinct()
     nodes = settle(nodes, "units")
     where = settle(spots.join(_few(nodes), "unit", "left_semi").groupBy("unit").agg(F.min("id").alias("id")).select("id").distinct(), "holders")
     sets = slim.join(_few(where), "id", "left_semi").mapInArrow(_sets(width), "node bigint, hashes array<bigint>")
     sets = settle(sets.join(_few(nodes.selectExpr("unit node")), "node", "left_semi").dropDuplicates(["node"]), "sets")
     links = settle(verify(pairs, sets, percent), "links")
-    clusters = connected_components(links, "a", "b").withColumnRenamed("node", "unit")
-    marked = (spots.drop("keys").join(_few(clusters), "unit", "left")
+    found = connected_components(links, "a", "b")
+    clusters = found.withColumnRenamed("node", "unit")
+    marked = (spots.drop("keys", "position").join(_few(clusters), "unit", "left")
                    .withColumn("cluster", F.coalesce("component", "unit")).drop("component", "unit"))
     marked = settle(marked, "clusters")
+    whole = _islands(_repeated(marked).select("id", "start", "end", "word", "words", F.array("cluster").alias("clusters"), "kept"))
+    inline = _repeated(both.where("inline").selectExpr("id", "start", "end", "word", "words", "unit cluster"))
+    inline = inline.select("id", "start", "end", "word", "words", F.array("cluster").alias("clusters"), "kept")
+    # Runs inside repeated paragraphs tell nothing new.
+    order = Window.partitionBy("id").orderBy("word", F.col("inline"))
+    reach = F.max(F.when(~F.col("inline"), F.expr("word + words"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    spans = whole.withColumn("inline", F.lit(False)).unionByName(inline.withColumn("inline", F.lit(True))).withColumn("reach", reach)
+    spans = spans.where("NOT inline OR reach IS NULL OR reach < word + words").drop("inline", "reach")
+    return (_islands(spans).where(F.col("words") >= least_words)
+            .select(F.col("id").alias(doc_id), "start", "end", "words", "clusters", "kept"))
+
+
+def _repeated(marked: DataFrame) -> DataFrame:
+    """The rows whose cluster stands in two or more documents, with kept: none of them has a smaller id."""
     common = (marked.groupBy("cluster").agg(F.min("id").alias("first"), F.max("id").alias("last"))
                     .where("first < last").drop("last"))
-    hits = marked.join(_few(settle(common, "repeated")), "cluster")
-    order = Window.partitionBy("id").orderBy("position", "start")
-    runs = hits.withColumn("run", F.col("position") - F.row_number().over(order))
-    return (runs.groupBy("id", "run").agg(
-                F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"),
-                F.sort_array(F.collect_set("cluster")).alias("clusters"), F.min(F.col("first") == F.col("id")).alias("kept"))
-            .where(F.col("words") >= least_words)
-            .select(F.col("id").alias(doc_id), "start", "end", "words", "clusters", "kept"))
+    return marked.join(_few(settle(common, "repeated")), "cluster").withColumn("kept", F.col("first") == F.col("id"))
+
+
+def _islands(spans: DataFrame) -> DataFrame:
+    """Spans of a document that overlap or follow each other without a word between become one."""
+    order = Window.partitionBy("id").orderBy("word", "words", "start")
+    before = F.max(F.expr("word + words")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opened = spans.withColumn("new", F.coalesce(F.col("word") > before, F.lit(True)).cast("int"))
+    return (opened.withColumn("island", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+                  .groupBy("id", "island").agg(
+                      F.min("start").alias("start"), F.max("end").alias("end"), F.min("word").alias("word"),
+                      (F.max(F.expr("word + words")) - F.min("word")).cast("bigint").alias("words"),
+                      F.sort_array(F.array_distinct(F.flatten(F.collect_list("clusters")))).alias("clusters"), F.min("kept").alias("kept"))
+                  .drop("island"))
 
 
 def without_passages(text: Column, spans: Column) -> Column:
