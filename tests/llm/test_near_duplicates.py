@@ -166,6 +166,17 @@ def test_units_hash_all_their_words():
     assert len(set(Paragraphs(texts).unit.tolist())) == 2
 
 
+def test_near_copies_that_meet_only_under_a_foreign_centre(spark):
+    # Paragraphs of one template, in twins that differ by one word.
+    words = lambda t, swap: " ".join(f"u{t}v{i}" if i in swap else f"w{i}" for i in range(80))
+    rows = []
+    for t in range(150):
+        own = {t % 3 + 4, 25 + t % 5, 60 + t % 7}
+        rows += [(2 * t, words(t, own)), (2 * t + 1, words(t, own).replace("w45", f"z{t}"))]
+    clusters = {r.doc_id: r.clusters for r in repeated_passages(frame(spark, rows)).collect()}
+    assert sum(clusters.get(2 * t) != clusters.get(2 * t + 1, 0) for t in range(150)) <= 1
+
+
 def test_paragraph_places_and_copies_in_one_document(spark):
     text = "Über a b.\n\n  c d\x0be  \n" + LONG
     found = Paragraphs([None, text, "", LONG])

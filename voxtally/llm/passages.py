@@ -11,7 +11,7 @@ from xxhash import xxh64_intdigest
 
 from voxtally.llm.common import settle
 from voxtally.llm.components import connected_components
-from voxtally.llm.near_duplicates import BROADCAST_IDS, _lists, verify
+from voxtally.llm.near_duplicates import BROADCAST_IDS, _lists, untested_pairs, verify
 from voxtally.llm.shingles import WIDTH, mix
 
 PERCENT = 80
@@ -241,7 +241,8 @@ def repeated_passages(
     Paragraphs (see `Paragraphs`) are compared by their shingles of `width` words. MinHash bands,
     as many as `recall` needs at `percent`, bring paragraphs together; each is paired with the least
     one of its bucket (a sorted stream, no group is held), pairs are confirmed by exact Jaccard on the
-    whole paragraphs, and components of confirmed pairs are clusters. Equal paragraphs are one from
+    whole paragraphs, and components of confirmed pairs are clusters; pairs of a bucket that its star
+    did not try and that are in different components follow by prefix filter. Equal paragraphs are one from
     the start (64-bit hash of their words). A cluster in two or more documents repeats, and so does a
     chosen run of 24 words, by which copies in the middle of lines are found; neighbouring or
     overlapping repeated paragraphs and runs of a text form one passage, reported from `least_words` words on, so headers,
@@ -267,6 +268,10 @@ def repeated_passages(
     sets = settle(sets.join(_few(nodes.selectExpr("unit node")), "node", "left_semi").dropDuplicates(["node"]), "sets")
     links = settle(verify(pairs, sets, percent), "links")
     found = connected_components(links, "a", "b")
+    crowded = stars.selectExpr("key", "a center", "b node").join(sets.selectExpr("node", "CAST(size(hashes) AS bigint) n"), "node")
+    more = settle(verify(untested_pairs(crowded, found, sets, percent), sets, percent), "links")
+    if not more.isEmpty():
+        found = connected_components(links.union(more), "a", "b")
     clusters = found.withColumnRenamed("node", "unit")
     marked = (spots.drop("keys", "position").join(_few(clusters), "unit", "left")
                    .withColumn("cluster", F.coalesce("component", "unit")).drop("component", "unit"))
