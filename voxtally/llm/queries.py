@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from voxtally.llm.binary_search import search, sign_codes
 from voxtally.llm.common import crc_of_id, table
+from voxtally.llm.exact_duplicates import exact_duplicates
 from voxtally.llm.fingerprints import compare_with_next
+from voxtally.llm.hadamard import cluster_vectors
 from voxtally.llm.languages import detect_languages, fit_languages
+from voxtally.llm.merkle import build_manifest, fold, proof_text, row_digest
 from voxtally.llm.mixing import mix_sources
 from voxtally.llm.near_duplicates import near_duplicates
 from voxtally.llm.packing import pack
@@ -171,3 +174,123 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_passages")
 def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query("op11_exact_duplicates", r"""
+WITH normal AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+equal AS (SELECT t, min(doc_id) AS keep_id, count(*) AS n FROM normal GROUP BY t)
+SELECT doc_id, keep_id, n::BIGINT AS group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
+FROM normal JOIN equal USING (t)
+""")
+def op11_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+MANIFEST_VALUES = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def _field_sql(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE octet_length(encode({value}::VARCHAR)) || ':' || {value} END"
+
+
+def _row_sql(text: str) -> str:
+    return f"sha256({' || '.join(_field_sql(v if v != 'text' else text) for v in MANIFEST_VALUES)})"
+
+
+_LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query("op12_merkle_manifest", f"""
+WITH RECURSIVE crc_steps AS (
+  SELECT list(list_reduce(list_concat([b], range(8)), lambda c, i: xor(c >> 1, 3988292384 * (c & 1))) ORDER BY b) AS step
+  FROM (SELECT unnest(range(256))::BIGINT AS b)),
+leaves AS (
+  SELECT doc_id, coalesce('=' || lang, '-') AS tree, {_row_sql('text')} AS leaf,
+    CASE WHEN xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda c, x: xor(c >> 8, step[xor(c & 255, x) + 1])), 4294967295) % 3 = 0 THEN {_row_sql(_LOWER_SQL)} ELSE {_row_sql('text')} END AS start,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS place
+  FROM documents, crc_steps),
+up AS (
+  SELECT 0 AS level, tree, place, leaf AS h, count(*) OVER (PARTITION BY tree) AS n FROM leaves
+  UNION ALL
+  SELECT level + 1, tree, place // 8, sha256(string_agg(h, '' ORDER BY place)), (max(n) + 7) // 8
+  FROM up WHERE n > 1 GROUP BY level, tree, place // 8),
+heights AS (SELECT max(level) AS height FROM up),
+tops AS (
+  SELECT 1 + height AS level, '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS place, h, count(*) OVER () AS n, tree AS low
+  FROM up, heights WHERE n = 1),
+above AS (
+  SELECT level, tree, place, h, n FROM tops
+  UNION ALL
+  SELECT level + 1, tree, place // 8, sha256(string_agg(h, '' ORDER BY place)), (max(n) + 7) // 8
+  FROM above WHERE n > 1 GROUP BY level, tree, place // 8),
+nodes AS (SELECT * FROM up UNION ALL SELECT * FROM above),
+way AS (
+  SELECT doc_id, 0 AS level, tree, place FROM leaves
+  UNION ALL
+  SELECT w.doc_id, CASE WHEN x.n > 1 THEN w.level + 1 ELSE t.level END, CASE WHEN x.n > 1 THEN w.tree ELSE '' END,
+    CASE WHEN x.n > 1 THEN w.place // 8 ELSE t.place END
+  FROM way w JOIN nodes x ON x.level = w.level AND x.tree = w.tree AND x.place = w.place LEFT JOIN tops t ON t.low = w.tree
+  WHERE x.n > 1 OR w.tree <> ''),
+proofs AS (
+  SELECT w.doc_id, string_agg(s.h, '' ORDER BY w.level, s.place) AS proof
+  FROM way w JOIN nodes s ON s.level = w.level AND s.tree = w.tree AND s.place // 8 = w.place // 8 AND s.place <> w.place GROUP BY w.doc_id),
+folded AS (
+  SELECT doc_id, 0 AS level, tree, place, start AS h FROM leaves
+  UNION ALL
+  SELECT f.doc_id, any_value(CASE WHEN s.n > 1 THEN f.level + 1 ELSE t.level END), any_value(CASE WHEN s.n > 1 THEN f.tree ELSE '' END),
+    any_value(CASE WHEN s.n > 1 THEN f.place // 8 ELSE t.place END),
+    CASE WHEN max(s.n) > 1 THEN sha256(string_agg(CASE WHEN s.place = f.place THEN f.h ELSE s.h END, '' ORDER BY s.place)) ELSE any_value(f.h) END
+  FROM folded f JOIN nodes s ON s.level = f.level AND s.tree = f.tree AND s.place // 8 = f.place // 8 LEFT JOIN tops t ON t.low = f.tree
+  WHERE s.n > 1 OR f.tree <> '' GROUP BY f.doc_id, f.level),
+ends AS (SELECT doc_id, h FROM folded WHERE tree = '' QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY level DESC) = 1),
+root AS (SELECT h FROM above WHERE n = 1)
+SELECT l.doc_id, l.leaf, t.h AS subroot, r.h AS root, sha256(coalesce(p.proof, '')) AS proof_sha256, e.h AS folded_root, e.h = r.h AS verified
+FROM leaves l JOIN tops t ON t.low = l.tree CROSS JOIN root r JOIN ends e ON e.doc_id = l.doc_id LEFT JOIN proofs p ON p.doc_id = l.doc_id
+""")
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    upper = "".join(map(chr, range(ord("A"), ord("Z") + 1)))
+    original = row_digest(*[F.col(v) for v in MANIFEST_VALUES])
+    tampered = row_digest(*[F.translate(v, upper, upper.lower()) if v == "text" else F.col(v) for v in MANIFEST_VALUES])
+    start = F.when(crc_of_id("doc_id") % 3 == 0, tampered).otherwise(original)
+    proofs = build_manifest(docs, MANIFEST_VALUES, carry={"start": start}).proofs()
+    folded = proofs.withColumn("folded_root", fold(F.col("start"), F.col("path")))
+    return folded.select("doc_id", "leaf", "subroot", "root", F.sha2(proof_text(F.col("path")), 256).alias("proof_sha256"),
+                         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def _rounds_sql(rounds: int) -> str:
+    """Assignment and movement of the centres, one pair of expressions per round."""
+    nearest = """
+  SELECT vec_id, arg_min(i, d * 100 + i) AS cluster, min(d)::BIGINT AS distance
+  FROM (SELECT v.vec_id, c.i, list_sum(list_transform(range(1, 65), lambda j: (v.x[j] - c.x[j]) * (v.x[j] - c.x[j])))::BIGINT AS d
+        FROM whole v CROSS JOIN c{k} c) GROUP BY vec_id"""
+    moved = """
+  SELECT c.i, coalesce(m.x, c.x) AS x FROM c{k} c LEFT JOIN (
+    SELECT cluster, list(y ORDER BY j) AS x FROM (
+      SELECT a.cluster, j, floor(sum(v.x[j]) / count(*))::BIGINT AS y
+      FROM a{k} a JOIN whole v USING (vec_id), range(1, 65) r(j) GROUP BY a.cluster, j) GROUP BY cluster) m ON m.cluster = c.i"""
+    parts = []
+    for k in range(rounds + 1):
+        parts.append(f"a{k} AS ({nearest.format(k=k)})")
+        if k < rounds:
+            parts.append(f"c{k + 1} AS ({moved.format(k=k)})")
+    return ",\n".join(parts)
+
+
+@query("op13_hadamard_clusters", f"""
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS i, x FROM whole
+  QUALIFY row_number() OVER (ORDER BY sha256('1:' || vec_id)) <= 16),
+{_rounds_sql(3)}
+SELECT a.vec_id, a.cluster::INT AS cluster, a.distance, sum(a.distance) OVER (PARTITION BY a.cluster)::BIGINT AS cluster_inertia,
+  sum(a.distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a3 a JOIN c3 c ON c.i = a.cluster
+""")
+def op13_hadamard_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
