@@ -19,9 +19,11 @@ from voxtally.operators.infer import infer_batches
 from voxtally.operators.language import detect_language, enrich_language, translate
 from voxtally.operators.mapping import map_by_model, map_fixed, map_fixed_by_model
 from voxtally.operators.phrases import explode_phrases
+from voxtally.operators.runlog import RunLog
 from voxtally.operators.survey import induce_topics
 from voxtally.operators.taxonomy_jobs import clean_labels, expand_seed
 from voxtally.plans.survey import survey_flow, survey_messages
+from voxtally.schemas import EXTRACTED
 from voxtally.session import shared_path
 from voxtally.sources.taxonomy import taxonomy_labels
 
@@ -44,10 +46,10 @@ def english_model():
     return predict
 
 
-_ONE_LINE = r"regexp_replace(regexp_replace(text, '\s*[\r\n]+\s*', ' ', 'g'), '\s+$', '')"
+ONE_LINE = r"regexp_replace(regexp_replace(text, '\s*[\r\n]+\s*', ' ', 'g'), '\s+$', '')"
 
 
-@query("translate_batches", f"SELECT doc_id, 'EN ' || {_ONE_LINE} AS translated FROM documents")
+@query("translate_batches", f"SELECT doc_id, 'EN ' || {ONE_LINE} AS translated FROM documents")
 def translate_rows(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return translate(docs, "doc_id", "text", english_model(), "Translate to English.").select(
@@ -57,7 +59,7 @@ def translate_rows(spark, sf_dir):
 @query("enrich_language", rf"""
 WITH {detect_sql()}
 SELECT doc_id, lang_name AS "Original Review Language",
-       CASE WHEN lang_code = 'en' THEN text ELSE 'EN ' || {_ONE_LINE} END AS "Translated Review"
+       CASE WHEN lang_code = 'en' THEN text ELSE 'EN ' || {ONE_LINE} END AS "Translated Review"
 FROM detected""")
 def enrich(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(
@@ -152,6 +154,47 @@ def infer(spark, sf_dir):
         F.explode("record_ids").alias("id"), "source", "ok", "attempts", "error")
 
 
+def unsteady_model(down):
+    """Extraction stand-in for groups: sources in `down` cannot be reached, `src3` answers with broken JSON, `src5`
+    leaves out the messages with an even number.
+    """
+    def predict(instruction, messages):
+        import json
+
+        if instruction in down:
+            raise RuntimeError("busy")
+        if instruction == "src3":
+            return '{"reviews": [}]}'
+        ids = [message.split("\n", 1)[0].split(": ", 1)[1] for message in messages]
+        return json.dumps({"reviews": [
+            {"id": i, "sentiment": "neutral", "topics": []} for i in ids if instruction != "src5" or int(i) % 2]})
+
+    return predict
+
+
+@query("infer_failures", """
+WITH failed AS (
+  SELECT doc_id, source, CASE source WHEN 'src7' THEN 'call' WHEN 'src3' THEN 'malformed' ELSE 'unanswered' END AS reason
+  FROM documents WHERE source IN ('src3', 'src7') OR (source = 'src5' AND doc_id % 2 = 0))
+SELECT run, CAST(doc_id AS VARCHAR) AS review_id, reason, CASE reason WHEN 'call' THEN 'RuntimeError: busy' END AS error,
+       CASE reason WHEN 'call' THEN 2 ELSE 1 END AS attempts
+FROM failed, (VALUES (1), (2)) r(run) WHERE run = 1 OR source <> 'src7'""")
+def infer_failures(spark, sf_dir):
+    """What is open after a run in which a source could not be reached, and after the next one."""
+    store = shared_path(spark, "answers")
+    log = RunLog(spark, store, "review_id", EXTRACTED)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", render_record(
+        ("Review_Number", F.col("doc_id")), ("Review", F.col("text"))).alias("message"))
+    found = []
+    for run, down in ((1, ("src7",)), (2, ())):
+        model_extract(docs, "doc_id", "message", F.col("source"), unsteady_model(down), store=store,
+                      group_cols=["source"], retries=2, backoff=0.0)
+        path = shared_path(spark, "failures")
+        log.failures().withColumn("run", F.lit(run)).write.parquet(path)
+        found.append(spark.read.parquet(path).select("run", "review_id", "reason", "error", "attempts"))
+    return found[0].unionByName(found[1])
+
+
 # --- labels --------------------------------------------------------------------------------------
 
 @query("map_subtopic", f"""

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voxtally.catalog.aggregates import rules_sql
-from voxtally.catalog.registry import LEXICON, extraction_sql, query, table
+from voxtally.catalog.models import ONE_LINE, english_model
+from voxtally.catalog.registry import LEXICON, detect_sql, extraction_sql, query, table
 from voxtally.functions.text import join_or_null
 from voxtally.operators.extract import rule_extract
+from voxtally.operators.language import LANGUAGE_COLUMNS, translate
 from voxtally.schemas import EXTRACTION
 from voxtally.session import shared_path
 from voxtally.streaming.inference import start_inference
@@ -28,18 +30,24 @@ def _export(sf_dir, name):
 
 
 @query("stream_ingest", f"""
-WITH single AS (SELECT text, min(doc_id) AS doc_id FROM documents GROUP BY text)
-SELECT text, doc_id, {_LABEL} AS label, {_ENTITY} AS main_entity FROM single""")
+WITH single AS (SELECT text, min(doc_id) AS doc_id FROM documents GROUP BY text),
+{detect_sql('single')}
+SELECT text, doc_id, {_LABEL} AS label, {_ENTITY} AS main_entity, lang_name AS "Original Review Language",
+       CASE WHEN lang_code = 'en' THEN text ELSE 'EN ' || {ONE_LINE} END AS "Translated Review"
+FROM detected""")
 def stream_ingest(spark, sf_dir):
     sink, checkpoint = shared_path(spark, "sink"), shared_path(spark, "checkpoint")
+    answers = shared_path(spark, "translations")
     schema = table(spark, sf_dir, "documents").select("text", "doc_id").schema
-    for _ in range(2):  # the second run finds nothing new
-        start_ingest(spark, _export(sf_dir, "documents"), sink, checkpoint, schema, "text",
-                     "text").awaitTermination()
-    # A new stream over the same export sees only known ids.
-    start_ingest(spark, _export(sf_dir, "documents"), sink, shared_path(spark, "checkpoint"),
-                 schema, "text", "text").awaitTermination()
-    return spark.read.parquet(sink).select("text", "doc_id", "label", "main_entity")
+
+    def translator(rows):
+        return translate(rows, "doc_id", "_foreign", english_model(), "Translate to English.", store=answers)
+
+    # The second run finds nothing new, and a new stream over the same export sees only known ids.
+    for folder in (checkpoint, checkpoint, shared_path(spark, "checkpoint")):
+        start_ingest(spark, _export(sf_dir, "documents"), sink, folder, schema, "text", "text",
+                     translator=translator).awaitTermination()
+    return spark.read.parquet(sink).select("text", "doc_id", "label", "main_entity", *LANGUAGE_COLUMNS)
 
 
 @query("stream_resume", f"""

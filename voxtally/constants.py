@@ -1,8 +1,9 @@
 """Values that results depend on."""
 
-# First day of the reporting period, batch sizes, retry settings.
+# First day of the reporting period, batch sizes, phrases per topic and side, retry settings.
 MIN_DATE = "2025-11-01"
 EXTRACTION_BATCH = 50
+EXTRACTION_LIMIT = 3
 SUBTOPIC_BATCH = 150
 SURVEY_BATCH = 150
 TRANSLATION_BATCH = 20

@@ -7,10 +7,12 @@ from pyspark.sql.types import ArrayType, DataType, StringType, StructField, Stru
 
 from voxtally.constants import FENCE
 from voxtally.functions.staging import computed
-from voxtally.functions.text import strip
+from voxtally.functions.text import let, strip
 
 
-_NUMBER = r"^(\d+)\.\s*"
+# A line that starts with `7.` or `7)`, but not with a decimal such as `7.5`.
+_NUMBER = r"^\s*(\d{1,9})[.)](?!\d)\s*"
+_BEFORE_NUMBER = r"(?m)^(?=[^\S\r\n]*\d{1,9}[.)](?!\d))"
 
 
 def strip_fence(reply: Column) -> Column:
@@ -20,21 +22,40 @@ def strip_fence(reply: Column) -> Column:
     return F.when(text.startswith("```"), bare).otherwise(text)
 
 
+def numbered_texts(reply: Column) -> Column:
+    """The numbered texts of a reply in their order, as array<struct<number, place, text>>.
+
+    The reply is cut before each line that starts with a number, so a text that wraps keeps its further
+    lines, joined by a blank. What stands before the first number is left out.
+    """
+    parts = F.split(reply, _BEFORE_NUMBER)
+    flat = lambda part: strip(F.regexp_replace(F.regexp_replace(part, _NUMBER, ""), r"\s*[\r\n]+\s*", " "))
+    read = F.transform(parts, lambda part, i: F.struct(
+        F.regexp_extract(part, _NUMBER, 1).try_cast("int").alias("number"), i.alias("place"), flat(part).alias("text")))
+    return F.filter(read, lambda part: part["number"].isNotNull())
+
+
 def parse_numbered(reply: Column, count: Column | int) -> Column:
-    """A list of `count` texts; the n-th is that of the line numbered `n.`, NULL where there is none.
+    """A list of `count` texts; the n-th is that behind the number `n.` or `n)`, NULL where there is none.
 
-    The first line of a number counts, numbers that were not asked are ignored. A reply without any
-    number is taken line by line, blank ones left out, when it has exactly `count` of them.
+    The first text of a number counts, numbers that were not asked are ignored, wrapped lines belong to
+    the number above them. A reply without any number is taken line by line, blank ones left out, when it
+    has exactly `count` of them. The reply is read once, whatever the count.
     """
     limit = (F.lit(count) if isinstance(count, int) else count).cast("int")
-    lines = F.filter(F.transform(F.split(reply, r"\r\n|\n|\r"), strip), lambda line: line != "")
-    numbered = F.filter(lines, lambda line: line.rlike(_NUMBER))
-    numbers = F.transform(numbered, lambda line: F.regexp_extract(line, _NUMBER, 1).try_cast("int"))
-    texts = F.transform(numbered, lambda line: F.regexp_replace(line, _NUMBER, ""))
-    # Position 0 (no such number) reads as NULL.
     wanted = F.when(limit > 0, F.sequence(F.lit(1), limit)).otherwise(F.array().cast("array<int>"))
-    placed = F.transform(wanted, lambda n: F.get(texts, F.array_position(numbers, n).cast("int") - 1))
-    return F.when((F.size(numbered) == 0) & (F.size(lines) == limit), lines).otherwise(placed)
+
+    def placed(texts: Column) -> Column:
+        # An empty place for each wanted number sorts behind its texts; the first entry of a number stays.
+        empty = F.transform(wanted, lambda n: F.struct(
+            n.alias("number"), F.lit(2**31 - 1).alias("place"), F.lit(None).cast("string").alias("text")))
+        asked = F.filter(texts, lambda t: (t["number"] >= 1) & (t["number"] <= limit))
+        return let(F.sort_array(F.concat(asked, empty)), lambda row: F.transform(
+            F.filter(row, lambda t, i: (i == 0) | (F.get(row, i - 1)["number"] != t["number"])), lambda t: t["text"]))
+
+    lines = F.filter(F.transform(F.split(reply, r"\r\n|\n|\r"), strip), lambda line: line != "")
+    return let(numbered_texts(reply), lambda texts: F.when(F.size(texts) > 0, placed(texts)).otherwise(
+        let(lines, lambda plain: F.when(F.size(plain) == limit, plain).otherwise(placed(texts)))))
 
 
 def parse_reply(

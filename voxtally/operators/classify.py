@@ -12,7 +12,8 @@ from voxtally.functions.prompts import render_record
 from voxtally.functions.replies import parse_reply
 from voxtally.functions.staging import computed
 from voxtally.operators.infer import infer_batches
-from voxtally.schemas import REPLY_CLASSES
+from voxtally.operators.runlog import SLICE_ROWS, open_log
+from voxtally.schemas import POST_CLASSES, REPLY_CLASSES
 
 Rule = tuple[str, str, Sequence[str]]
 
@@ -73,26 +74,32 @@ def keyword_classify(
 
 
 def classify_fallback(
-    df: DataFrame, id_col: str, text_col: str, instruction: str, predict, **infer_options,
+    df: DataFrame, id_col: str, text_col: str, instruction: str, predict, store: str | None = None,
+    slice_rows: int = SLICE_ROWS, **infer_options,
 ) -> DataFrame:
     """Let a model decide the posts that no rule or only a generic rule decided.
 
     `df` has `label` and `main_entity`; a post the model does not answer keeps what it has. Decided
-    posts pass by; only the open ones are joined with the answers.
+    posts pass by; only the open ones are joined with the answers, which are kept in `store` by post.
     """
     key = F.col(f"`{id_col}`")
     is_open = F.coalesce((F.col("label") == "OTHER") | (F.col("main_entity") == "Unknown"), F.lit(False))
     open_posts = df.where(is_open).select(
-        key.cast("string").alias("_id"),
+        key.cast("string").alias("id"),
         render_record(("id", key), ("Tweet", F.col(f"`{text_col}`"))).alias("_message"))
-    replies = infer_batches(open_posts, "_id", "_message", predict, instruction, **infer_options)
-    good, _ = parse_reply(replies.where("ok"), "reply", REPLY_CLASSES,
-                          {"label": POST_LABELS, "main_entity": POST_ENTITIES})
-    answers = (
-        good.select("record_ids", F.inline("tweets"))
-        .where(F.array_contains("record_ids", F.col("id")))
-        .groupBy(F.col("id").alias("_id"))
-        .agg(F.min(F.struct("label", "main_entity")).alias("_answer")))
+    log = open_log(df.sparkSession, store, "classes", "id", POST_CLASSES)
+
+    def ask(part: DataFrame) -> DataFrame:
+        return infer_batches(part, "id", "_message", predict, instruction, **infer_options)
+
+    def read(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
+        good, rejects = parse_reply(replies.where("ok"), "reply", REPLY_CLASSES,
+                                    {"label": POST_LABELS, "main_entity": POST_ENTITIES})
+        given = good.select("record_ids", F.inline("tweets")).where(F.array_contains("record_ids", F.col("id")))
+        return given.groupBy("id").agg(F.min(F.struct("label", "main_entity")).alias("a")).select("id", "a.*"), rejects
+
+    answers = log.run(open_posts, ask, read, slice_rows).select(
+        F.col("id").alias("_id"), F.struct("label", "main_entity").alias("_answer"))
     decided = (
         df.where(is_open).withColumn("_id", key.cast("string")).join(answers, "_id", "left")
         .withColumn("label", F.coalesce("_answer.label", "label"))

@@ -6,17 +6,18 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from voxtally.constants import EXTRACTION_BATCH, OTHERS, SENTIMENTS
+from voxtally.constants import EXTRACTION_BATCH, EXTRACTION_LIMIT, OTHERS, SENTIMENTS
 from voxtally.functions.choose import coerce_to_set
 from voxtally.functions.replies import flatten_reply, parse_reply
 from voxtally.operators.infer import infer_batches
-from voxtally.schemas import REPLY_REVIEWS
+from voxtally.operators.runlog import SLICE_ROWS, open_log
+from voxtally.schemas import EXTRACTED, REPLY_REVIEWS
 
 Entry = tuple[str, str, str]  # phrase, "pain" or "delight", topic
 
 
 def rule_extract(
-    df: DataFrame, id_col: str, text_col: str, lexicon: Sequence[Entry], limit: int = 3,
+    df: DataFrame, id_col: str, text_col: str, lexicon: Sequence[Entry], limit: int = EXTRACTION_LIMIT,
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Deterministic extraction by a phrase lexicon, column expressions only.
@@ -74,17 +75,36 @@ def rule_extract(
 def model_extract(
     df: DataFrame, id_col: str, message_col: str, instruction: str, predict: Callable,
     topics: Sequence[str] | None = None, size: int = EXTRACTION_BATCH, records: str = "reviews",
-    schema=REPLY_REVIEWS, **infer_options,
+    schema=REPLY_REVIEWS, store: str | None = None, slice_rows: int = SLICE_ROWS,
+    limit: int = EXTRACTION_LIMIT, **infer_options,
 ) -> DataFrame:
     """Extraction by a model: batches out, typed rows back.
 
-    A topic outside `topics` becomes `Others`. Answers for ids that were not asked are ignored, of
-    a repeated id the first answer counts, an unanswered id has no row and stays open for the next
-    run. An answered record without topics has one row with NULL topic.
+    A topic outside `topics` becomes `Others`, and of pains and delights the first `limit` of a topic count.
+    Answers for ids that were not asked are ignored, of a repeated id the first answer counts, an unanswered id has
+    no row and stays open for the next run. An answered record without topics has one row with NULL topic.
+    Answers are kept in `store` (a run log) by record; the result has those of the records in `df`.
     """
-    replies = infer_batches(df, id_col, message_col, predict, instruction, size=size,
-                            **infer_options)
-    good, _ = parse_reply(replies.where("ok"), "reply", schema, {"sentiment": SENTIMENTS})
+    key = F.col(f"`{id_col}`").cast("string")
+    groups = list(infer_options.get("group_cols", ()))
+    messages = df.select(*groups, key.alias("review_id"), F.col(f"`{message_col}`").alias("_message"))
+    log = open_log(df.sparkSession, store, "extraction", "review_id", EXTRACTED)
+
+    def ask(part: DataFrame) -> DataFrame:
+        return infer_batches(part, "review_id", "_message", predict, instruction, size=size, **infer_options)
+
+    answers = log.run(messages, ask, lambda replies: _read_extraction(replies, topics, records, schema, limit), slice_rows)
+    columns = ["review_id", "sentiment", "topic", "topic_pos", "pain_points", "moments_of_delight"]
+    if store is None:
+        return answers.select(columns)
+    asked = df.select(key.alias("review_id")).distinct()
+    return answers.join(asked, "review_id", "left_semi").select(columns)
+
+
+def _read_extraction(
+    replies: DataFrame, topics: Sequence[str] | None, records: str, schema, limit: int,
+) -> tuple[DataFrame, DataFrame]:
+    good, rejects = parse_reply(replies.where("ok"), "reply", schema, {"sentiment": SENTIMENTS})
     # Within a batch an id repeats at most in one reply, so the first one is found in the row.
     first = F.transform(F.col(records), lambda r: r["id"])
     asked = good.withColumn("_first", first).withColumn(records, F.filter(
@@ -94,6 +114,8 @@ def model_extract(
     topic = F.col("topic")
     if topics is not None:
         topic = F.when(topic.isNotNull(), coerce_to_set(topic, topics, OTHERS))
-    return flat.select(
+    answers = flat.select(
         F.col("id").alias("review_id"), "sentiment", topic.alias("topic"),
-        F.coalesce("topic_pos", F.lit(0)).alias("topic_pos"), "pain_points", "moments_of_delight")
+        F.coalesce("topic_pos", F.lit(0)).alias("topic_pos"), F.slice("pain_points", 1, limit).alias("pain_points"),
+        F.slice("moments_of_delight", 1, limit).alias("moments_of_delight"))
+    return answers, rejects

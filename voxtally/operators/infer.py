@@ -9,8 +9,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from voxtally.constants import BACKOFF_SECONDS, EXTRACTION_BATCH, FENCE, RETRIES
+from voxtally.operators.idstore import IdStore
+from voxtally.session import shared_path
 from voxtally.sources.files import read_folder_or_empty
 
+#: Records per commit.
+SLICE_ROWS = 100_000
 REPLY_SCHEMA = "record_ids array<string>, ok boolean, attempts int, reply string, error string"
 
 
@@ -116,18 +120,27 @@ def infer_batches(
 
 def infer_resumable(
     df: DataFrame, key: str, infer: Callable[[DataFrame], DataFrame], store: str,
-    schema: StructType, slices: int = 1,
+    schema: StructType, slices: int | None = None,
 ) -> DataFrame:
     """Run `infer` on the records whose key is not stored yet and return all stored rows.
 
     Work is skipped by record key and not by batch position, so new or reordered input never takes
-    over an old answer. Each slice of the keys is committed on its own: a crash loses at most one.
+    over an old answer. Stored keys are found through an id store beside the answers, so a run reads the
+    buckets its known keys are in and not the answers. Each slice of the keys, one per SLICE_ROWS
+    records unless told otherwise, is committed on its own: a crash loses at most one.
     """
     spark = df.sparkSession
-    done = read_folder_or_empty(spark, store, schema)
-    todo = df.join(done.select(key).distinct(), key, "left_anti")
+    ids = IdStore(spark, f"{store}/_ids", key, df.schema[key].dataType.simpleString())
+    ids.catch_up(store, "run", "parquet")
+    ids.merge()
+    path = shared_path(spark, "open")
+    todo = ids.unseen(df)
+    todo.write.parquet(path)
+    todo = spark.read.schema(todo.schema).parquet(path)
+    slices = slices or max(1, -(-todo.count() // SLICE_ROWS))
     run_id = uuid.uuid4().hex
     for i in range(slices):
         part = todo if slices == 1 else todo.where(F.pmod(F.xxhash64(key), F.lit(slices)) == i)
         infer(part).select(*schema.names).write.parquet(f"{store}/run={run_id}-{i}")
+    ids.catch_up(store, "run", "parquet")
     return read_folder_or_empty(spark, store, schema)

@@ -7,11 +7,15 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from voxtally.constants import LANGUAGE_NAMES, STOP_WORDS, TRANSLATION_BATCH
-from voxtally.functions.choose import literal_map, update_where
+from voxtally.functions.choose import literal_map
 from voxtally.functions.prompts import one_line
 from voxtally.functions.replies import parse_numbered
+from voxtally.functions.staging import computed
 from voxtally.functions.text import let, words
 from voxtally.operators.infer import infer_batches
+from voxtally.operators.runlog import SLICE_ROWS, open_log
+from voxtally.schemas import TRANSLATIONS
+from voxtally.session import shared_path
 
 # Language by script; the script with most letters decides.
 SCRIPTS = (
@@ -31,6 +35,7 @@ KANA_SHARE = 0.2
 OWN_LETTERS = (("ur", "[ٹڈڑںھےہ]"), ("fa", "[پچژگی]"))
 OWN_SHARE = 0.05
 UNKNOWN = "unknown"
+LANGUAGE_COLUMNS = ("Original Review Language", "Translated Review")
 
 
 def _member(vocabulary: list[str]):
@@ -82,13 +87,13 @@ def detect_language(
         for i, (code, vocabulary) in enumerate(profiles.items())])
     code = F.coalesce(
         F.col("_script"), F.when(F.col("_best.score") < 0, F.col("_best.code")), F.lit(UNKNOWN))
-    return (
+    scored = (
         df.withColumn("_script", script)
         .withColumn("_known", F.filter(words(text), _member(known)))
-        .withColumn("_best", F.array_min(ranked))
-        .withColumn("lang_code", code)
-        .withColumn("lang_name", language_name(F.col("lang_code")))
-        .drop("_script", "_known", "_best"))
+        .withColumn("_best", F.array_min(ranked)))
+    # A later filter on the language reads the column and does not score the text again.
+    return computed(scored, lang_code=code).withColumn("lang_name", language_name(F.col("lang_code"))).drop(
+        "_script", "_known", "_best")
 
 
 def language_name(code: Column) -> Column:
@@ -98,25 +103,36 @@ def language_name(code: Column) -> Column:
 
 def translate(
     df: DataFrame, id_col: str, text_col: str, predict: Callable, instruction: str,
-    size: int = TRANSLATION_BATCH, **infer_options,
+    size: int = TRANSLATION_BATCH, store: str | None = None, slice_rows: int = SLICE_ROWS, **infer_options,
 ) -> DataFrame:
     """Add `translated`. Each distinct text is sent once, in numbered batches; a line the reply
     lacks and a failed batch leave NULL.
+
+    Answers are kept by text in `store` (a run log; of its own without one) before the result is returned, so
+    using the result twice asks once, and a later run asks only for what has no answer. Rows without a text
+    pass by; only rows with one are joined, by a key that is never NULL.
     """
     text = F.col(f"`{text_col}`")
-    keyed = df.withColumn("_key", F.sha2(text, 256))
-    distinct = keyed.where(text.isNotNull()).select("_key", text.alias("_text")).distinct()
+    spoken = df.where(text.isNotNull()).withColumn("_key", F.sha2(text, 256))
+    lines = spoken.select(F.col("_key").alias("text_key"), one_line(text).alias("_line")).distinct()
+    log = open_log(df.sparkSession, store, "translations", "text_key", TRANSLATIONS)
+
+    def numbered(prompt, texts):
+        return predict(prompt, ["\n".join(f"{i}. {line}" for i, line in enumerate(texts, 1))])
+
+    def ask(part: DataFrame) -> DataFrame:
+        return infer_batches(part, "text_key", "_line", numbered, instruction, size=size, json_reply=False, **infer_options)
 
-    def numbered(prompt, lines):
-        return predict(prompt, ["\n".join(f"{i}. {line}" for i, line in enumerate(lines, 1))])
+    def read(replies: DataFrame) -> DataFrame:
+        texts = F.when(F.col("ok"), parse_numbered(F.col("reply"), F.size("record_ids")))
+        rows = replies.select("ok", "error", "attempts", F.inline(F.arrays_zip(
+            F.col("record_ids").alias("text_key"), texts.alias("translated"))))
+        reason = F.when(~F.col("ok"), "call").when(F.col("translated").isNull(), "unanswered")
+        return rows.withColumn("reason", reason)
 
-    replies = infer_batches(
-        distinct.select("_key", one_line(F.col("_text")).alias("_line")), "_key", "_line",
-        numbered, instruction, size=size, json_reply=False, **infer_options)
-    lines = replies.where("ok").select(F.inline(F.arrays_zip(
-        F.col("record_ids").alias("_key"),
-        parse_numbered(F.col("reply"), F.size("record_ids")).alias("translated"))))
-    return keyed.join(lines, "_key", "left").drop("_key")
+    answers = log.run(lines, ask, read, slice_rows).withColumnRenamed("text_key", "_key")
+    silent = df.where(text.isNull()).withColumn("translated", F.lit(None).cast("string"))
+    return spoken.join(answers, "_key", "left").drop("_key").unionByName(silent)
 
 
 def enrich_language(
@@ -125,18 +141,21 @@ def enrich_language(
 ) -> DataFrame:
     """Add `Original Review Language` and `Translated Review`.
 
-    English rows copy their text. Other rows get the column `translated` that `translator` adds to
-    them; without a translator they copy their text as well.
+    English rows copy their text and pass in a union, without a shuffle. Other rows are written once,
+    with their text in `_foreign`, and get the column `translated` that `translator` adds to them; without a
+    translator they copy their text as well.
     """
     tagged = detect_language(df, text_col)
     text = F.col(f"`{text_col}`")
     if translator is None:
         done = tagged.withColumn("Translated Review", text)
     else:
-        foreign = F.col("lang_code") != "en"
-        source = tagged.withColumn("_foreign", F.when(foreign, text))
-        done = translator(source).withColumn(
-            "Translated Review", update_where(text, foreign, F.col("translated"))
-        ).drop("_foreign", "translated")
+        path = shared_path(df.sparkSession, "foreign")
+        foreign = tagged.where(F.col("lang_code") != "en").withColumn("_foreign", text)
+        foreign.write.parquet(path)
+        held = df.sparkSession.read.schema(foreign.schema).parquet(path)
+        translated = translator(held).withColumn("Translated Review", F.col("translated")).drop("_foreign", "translated")
+        english = tagged.where(F.col("lang_code") == "en").withColumn("Translated Review", text)
+        done = english.unionByName(translated)
     return done.withColumn("Original Review Language", F.col("lang_name")).drop(
         "lang_code", "lang_name")

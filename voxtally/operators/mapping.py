@@ -11,10 +11,11 @@ from voxtally.functions.choose import coerce_to_set
 from voxtally.functions.prompts import inject, render_record
 from voxtally.functions.replies import parse_reply
 from voxtally.functions.text import let, words
-from voxtally.operators.infer import infer_batches, infer_resumable
+from voxtally.operators.infer import infer_batches
 from voxtally.operators.joins import (
     MAX_BROADCAST_BYTES, join_bounded, measured_bytes, topic_candidates,
 )
+from voxtally.operators.runlog import SLICE_ROWS, RunLog
 from voxtally.schemas import (
     REPLY_SUBTOPICS, REPLY_SURVEY_DELIGHTS, REPLY_SURVEY_PAINS, SUBTOPIC_LABELS,
 )
@@ -82,7 +83,7 @@ def map_fixed(phrases: DataFrame, labels: Sequence[str], default: str = "Other")
 
 def map_by_model(
     phrases: DataFrame, labels: DataFrame, template: str, predict: Callable, store: str,
-    size: int = SUBTOPIC_BATCH, slices: int = 1, **infer_options,
+    size: int = SUBTOPIC_BATCH, slice_rows: int = SLICE_ROWS, **infer_options,
 ) -> DataFrame:
     """Add `subtopic` by a model that picks from the labels of the phrase's topic.
 
@@ -105,25 +106,26 @@ def map_by_model(
         message = render_record(("id", F.col("id")), ("phrase", F.col("pp_mod"))).alias("message")
         asked = part if prompts is not None else join_bounded(part, by_topic, ["topic", "type"])
         messages = asked.select("topic", "type", "id", message, *([] if prompts is not None else ["prompt"]))
-        replies = infer_batches(messages, "id", "message", predict, F.col("prompt") if prompts is None else prompts,
-                                ["topic", "type"], size, **infer_options)
-        good, _ = parse_reply(replies.where("ok"), "reply", REPLY_SUBTOPICS)
+        return infer_batches(messages, "id", "message", predict, F.col("prompt") if prompts is None else prompts,
+                             ["topic", "type"], size, **infer_options)
+
+    def read(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
+        good, rejects = parse_reply(replies.where("ok"), "reply", REPLY_SUBTOPICS)
         answers = (
             good.select("topic", "type", "record_ids", F.inline("reviews"))
             .where(F.array_contains("record_ids", F.col("id")))
             .groupBy("topic", "type", "id").agg(F.min("subtopic").alias("subtopic")))
         return topic_candidates(answers, labels).select("id", F.when(
             F.array_contains("candidates", F.col("subtopic")), F.col("subtopic"))
-            .otherwise(OTHERS).alias("subtopic"))
+            .otherwise(OTHERS).alias("subtopic")), rejects
 
-    answers = infer_resumable(distinct, "id", ask, store, SUBTOPIC_LABELS, slices)
-    unique = answers.groupBy(F.col("id").alias("_key")).agg(F.min("subtopic").alias("subtopic"))
-    return keyed.join(unique, "_key", "left").drop("_key")
+    answers = RunLog(phrases.sparkSession, store, "id", SUBTOPIC_LABELS).run(distinct, ask, read, slice_rows)
+    return keyed.join(answers.withColumnRenamed("id", "_key"), "_key", "left").drop("_key")
 
 
 def map_fixed_by_model(
     phrases: DataFrame, labels: Sequence[str], template: str, predict: Callable, store: str,
-    default: str = "Other", size: int = SURVEY_BATCH, slices: int = 1, **infer_options,
+    default: str = "Other", size: int = SURVEY_BATCH, slice_rows: int = SLICE_ROWS, **infer_options,
 ) -> DataFrame:
     """Add `subtopic` by a model that picks from one fixed label list (survey form).
 
@@ -135,27 +137,30 @@ def map_fixed_by_model(
         "_key", F.sha2(F.concat_ws("\u0001", "topic", "type", "pp_mod"), 256))
     distinct = keyed.select(F.col("_key").alias("id"), "topic", "type", "pp_mod").distinct()
 
-    def ask(part: DataFrame) -> DataFrame:
-        answers = [_ask_fixed(part, kind, field, schema) for kind, field, schema in (
-            (PAIN, "pain_point", REPLY_SURVEY_PAINS), (DELIGHT, "mod", REPLY_SURVEY_DELIGHTS))]
-        return answers[0].unionByName(answers[1])
-
-    def _ask_fixed(part: DataFrame, kind: str, field: str, schema) -> DataFrame:
-        asked = part.where(F.col("type") == kind)
-        prompt = (template.replace("{item_singular}", kind.lower())
-                  .replace("{subtopics}", ", ".join(labels)))
-        messages = asked.select("id", render_record(
-            (kind, F.col("pp_mod")), ("Current_Topic", F.col("topic"))).alias("message"))
-        replies = infer_batches(messages, "id", "message", predict, prompt, size=size,
-                                **infer_options)
-        good, _ = parse_reply(replies.where("ok"), "reply", schema)
-        given = (
-            good.select("record_ids", F.inline("reviews"))
-            .withColumn("id", F.sha2(F.concat_ws("\u0001", "topic", F.lit(kind), field), 256))
-            .where(F.array_contains("record_ids", F.col("id")))
-            .groupBy("id").agg(F.min("subtopic").alias("subtopic")))
-        return given.withColumn("subtopic", coerce_to_set(F.col("subtopic"), labels, default))
+    sides = ((PAIN, "pain_point", REPLY_SURVEY_PAINS), (DELIGHT, "mod", REPLY_SURVEY_DELIGHTS))
+    prompts = {
+        (kind,): template.replace("{item_singular}", kind.lower()).replace("{subtopics}", ", ".join(labels))
+        for kind, _, _ in sides}
 
-    answers = infer_resumable(distinct, "id", ask, store, SUBTOPIC_LABELS, slices)
-    unique = answers.groupBy(F.col("id").alias("_key")).agg(F.min("subtopic").alias("subtopic"))
-    return keyed.join(unique, "_key", "left").drop("_key")
+    def ask(part: DataFrame) -> DataFrame:
+        item = F.when(F.col("type") == PAIN, render_record((PAIN, F.col("pp_mod")))).otherwise(
+            render_record((DELIGHT, F.col("pp_mod"))))
+        message = F.concat_ws("\n", item, render_record(("Current_Topic", F.col("topic"))))
+        return infer_batches(part.select("type", "id", message.alias("message")), "id", "message", predict, prompts,
+                             ["type"], size, **infer_options)
+
+    def read(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
+        given, refused = [], []
+        for kind, field, schema in sides:
+            good, rejects = parse_reply(replies.where(F.col("ok") & (F.col("type") == kind)), "reply", schema)
+            refused.append(rejects)
+            given.append(
+                good.select("record_ids", F.inline("reviews"))
+                .withColumn("id", F.sha2(F.concat_ws("\u0001", "topic", F.lit(kind), field), 256))
+                .where(F.array_contains("record_ids", F.col("id")))
+                .groupBy("id").agg(F.min("subtopic").alias("subtopic")))
+        both = given[0].unionByName(given[1])
+        return both.withColumn("subtopic", coerce_to_set(F.col("subtopic"), labels, default)), refused[0].unionByName(refused[1])
+
+    answers = RunLog(phrases.sparkSession, store, "id", SUBTOPIC_LABELS).run(distinct, ask, read, slice_rows)
+    return keyed.join(answers.withColumnRenamed("id", "_key"), "_key", "left").drop("_key")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
@@ -11,9 +10,9 @@ from voxtally.constants import SURVEY_BATCH
 from voxtally.operators.extract import model_extract
 from voxtally.operators.keys import batch_id
 from voxtally.operators.rollup import vocabulary
-from voxtally.schemas import EXTRACTION, REPLY_COMMENTS
+from voxtally.operators.runlog import RunLog
+from voxtally.schemas import EXTRACTED, EXTRACTION, REPLY_COMMENTS
 from voxtally.session import shared_path
-from voxtally.sources.files import read_folder_or_empty
 
 
 def known_topics(results: DataFrame, max_topics: int | None = None) -> list[str]:
@@ -44,7 +43,7 @@ def induce_topics(
     spark = df.sparkSession
     store = store or shared_path(spark, "topics")
     key = F.col(f"`{id_col}`").cast("string")
-    answered = read_folder_or_empty(spark, store, EXTRACTION)
+    answered = RunLog(spark, store, "review_id", EXTRACTED).answers()
     done = answered.select(F.col("review_id").alias("_done")).distinct()
     topics = known_topics(answered, max_topics)
     batches = batch_id(df.join(done, key == F.col("_done"), "left_anti"), [id_col], size, "batch_no")
@@ -56,16 +55,12 @@ def induce_topics(
     batches.withColumn("round_no", level.cast("int")).write.partitionBy("round_no").parquet(input_path)
     rounds = spark.read.schema(schema).parquet(input_path)
     last = rounds.agg(F.max("round_no")).collect()[0][0] or 0
-    run = uuid.uuid4().hex
     for number in range(1, last + 1):
-        path = f"{store}/run={run}-{number}"
         instruction = following.replace("{topics}", ", ".join(topics)) if topics else first
-        model_extract(
+        answers = model_extract(
             rounds.where(F.col("round_no") == number), id_col, message_col, instruction, predict,
-            size=size, records="comments", schema=REPLY_COMMENTS, group_cols=["batch_no"], **infer_options,
-        ).select(*EXTRACTION.names).write.parquet(path)
-        found = known_topics(spark.read.schema(EXTRACTION).parquet(path), max_topics)
-        topics = sorted(set(topics) | set(found))
+            size=size, records="comments", schema=REPLY_COMMENTS, store=store, group_cols=["batch_no"], **infer_options)
+        topics = sorted(set(topics) | set(known_topics(answers, max_topics)))
     asked = df.select(key.alias("_asked")).distinct()
-    everything = read_folder_or_empty(spark, store, EXTRACTION)
+    everything = RunLog(spark, store, "review_id", EXTRACTED).answers().select(*EXTRACTION.names)
     return everything.join(asked, F.col("review_id") == F.col("_asked"), "left_semi")

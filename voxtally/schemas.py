@@ -1,7 +1,7 @@
 """Explicit schemas of the feeds, the taxonomy and the model replies."""
 
 from pyspark.sql.types import (
-    ArrayType, DoubleType, StringType, StructField, StructType,
+    ArrayType, DoubleType, IntegerType, StringType, StructField, StructType,
 )
 
 
@@ -62,3 +62,10 @@ def reply_clean_labels(service: str = "service") -> StructType:
 EXTRACTION = StructType(
     _strings("review_id", "sentiment", "topic")
     + [_list("pain_points", StringType()), _list("moments_of_delight", StringType())])
+
+# Answers that a run log keeps, each with the key of its record.
+EXTRACTED = StructType([*EXTRACTION.fields, StructField("topic_pos", IntegerType())])
+TRANSLATIONS = StructType(_strings("text_key", "translated"))
+POST_CLASSES = StructType(_strings("id", "label", "main_entity"))
+SEED_LABELS = StructType(_strings("id", "type", "topic", "root_subtopic", "negative_mods", "positive_mods"))
+CLEANED_LABELS = StructType(_strings("id", "type", "service", "old_subtopic", "cleaned_subtopic"))
