@@ -170,6 +170,20 @@ def test_utc_reads_month_first_and_offsets(spark):
     assert column(spark, list(cases), lambda c: F.date_format(parse_utc(c), "yyyy-MM-dd HH:mm:ss")) == list(cases.values())
 
 
+def test_dates_in_mail_and_half_day_form(spark):
+    noon = dt.datetime(2025, 11, 5, 12)
+    cases = {
+        "2025-11-05 03:15 PM": noon.replace(hour=15, minute=15), "2025-11-05 12:00 am": noon.replace(hour=0), "5-Nov-25": noon.replace(hour=0),
+        "Wed, 05 Nov 2025 12:00:00 GMT": noon, "2025/11/05 12:00": noon, "Nov 5 2025 at 12:00 p.m.": noon, "2025-11-05 13:00 PM": None,
+        "2025-11-05 0:30 am": None, "31/04/2025": None, "2025-13-01": None, "1/2/3": None, "november 5": None, "2025-11-05 x": None, "32/13/2025": None}
+    assert column(spark, list(cases), parse_mixed) == list(cases.values())
+    instants = {
+        "2025/11/05 10:00": "10:00", "2025-11-05 10:00 +03:00": "07:00", "2025-11-05 03:15 PM": "15:15", "5-Nov-25": "00:00",
+        "Wed, 05 Nov 2025 10:00:00 -0430": "14:30", "2025-11-05T10:00:00.1234567Z": "10:00", "5 Nov 2025 10:00 utc": "10:00"}
+    got = column(spark, list(instants), lambda c: F.date_format(parse_utc(c), "yyyy-MM-dd HH:mm"))
+    assert got == [f"2025-11-05 {clock}" for clock in instants.values()]
+
+
 def test_numbered_lines_keep_their_place(spark):
     for reply, want in {
         "1. a\n3. c": ["a", None, "c"], "3. c\n1. a\n1. again\n9. x": ["a", None, "c"], "a\nb\n\nc": ["a", "b", "c"], "a\nb": [None, None, None],

@@ -28,6 +28,7 @@ _EXPORTS = (
     ("d MMM yyyy h:mm a", "%Y-%m-%d %H:%M:00"), ("dd/MM/yy HH:mm", "%Y-%m-%d %H:%M:00"), ("d/M/yyyy'T'HH:mm", "%Y-%m-%d %H:%M:00"),
     ("dd/MM/yyyy HH:mm:ss'.0'", "%Y-%m-%d %H:%M:%S"), ("yyyyMMdd", "%Y-%m-%d 00:00:00"), ("yyyy-MM", "%Y-%m-01 00:00:00"),
     ("d'th' MMMM yyyy", "%Y-%m-%d 00:00:00"), ("dd/MM/yyyy hh:mm a", "%Y-%m-%d %H:%M:00"),
+    ("yyyy-MM-dd hh:mm a", "%Y-%m-%d %H:%M:00"), ("d-MMM-yy", "%Y-%m-%d 00:00:00"), ("EEE, dd MMM yyyy HH:mm:ss 'GMT'", "%Y-%m-%d %H:%M:%S"),
 )
 
 
@@ -70,8 +71,10 @@ SELECT event_id, CASE event_type WHEN 'view' THEN strftime(ts, '%Y-%m-%d %H:%M:%
        WHEN 'purchase' THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
        WHEN 'signup' THEN strftime(ts, '%Y-%m-%d 00:00:00') END AS instant
 FROM events
-UNION ALL SELECT -1 - event_id, CASE event_id % 3 WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
-  WHEN 1 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') ELSE strftime(ts + INTERVAL 5 HOUR, '%Y-%m-%d %H:%M:00') END FROM events""")
+UNION ALL SELECT -1 - event_id, CASE event_id % 8 WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') WHEN 1 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+  WHEN 2 THEN strftime(ts + INTERVAL 5 HOUR, '%Y-%m-%d %H:%M:00') WHEN 3 THEN strftime(ts, '%Y-%m-%d %H:%M:00')
+  WHEN 4 THEN strftime(ts - INTERVAL 3 HOUR, '%Y-%m-%d %H:%M:00') WHEN 5 THEN strftime(ts, '%Y-%m-%d %H:%M:00')
+  WHEN 6 THEN strftime(ts, '%Y-%m-%d 00:00:00') ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END FROM events""")
 def parse_utc_time(spark, sf_dir):
     def written(fmt, suffix=""):
         return F.concat(F.date_format("ts", fmt), F.lit(suffix))
@@ -82,10 +85,12 @@ def parse_utc_time(spark, sf_dir):
             .when(F.col("event_type") == "signup", written("yyyy-MM-dd"))
             .otherwise("soon"))
     events = table(spark, sf_dir, "events")
-    # Times of posts: with the year last, with half-day clocks month first, with an offset behind.
-    posts = (F.when(F.col("event_id") % 3 == 0, written("EEE MMM dd HH:mm:ss '+0000' yyyy"))
-             .when(F.col("event_id") % 3 == 1, written("MM/dd/yyyy hh:mm:ss a"))
-             .otherwise(written("MM/dd/yyyy HH:mm", " -0500")))
+    # Times of posts: with the year last, with half-day clocks month first, with an offset behind, and so on.
+    forms = (("EEE MMM dd HH:mm:ss '+0000' yyyy", ""), ("MM/dd/yyyy hh:mm:ss a", ""), ("MM/dd/yyyy HH:mm", " -0500"), ("yyyy/MM/dd HH:mm", ""),
+             ("yyyy-MM-dd HH:mm", " +03:00"), ("yyyy-MM-dd hh:mm a", ""), ("d-MMM-yy", ""), ("EEE, dd MMM yyyy HH:mm:ss", " GMT"))
+    posts = F.lit(None).cast("string")
+    for i, form in enumerate(forms):
+        posts = F.when(F.col("event_id") % len(forms) == i, written(*form)).otherwise(posts)
     rows = events.select("event_id", text.alias("text")).union(events.select(-1 - F.col("event_id"), posts))
     return rows.select(
         "event_id", F.date_format(parse_utc(F.col("text")), "yyyy-MM-dd HH:mm:ss").alias("instant"))

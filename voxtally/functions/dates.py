@@ -6,64 +6,82 @@ from pyspark.sql import Column, functions as F
 
 from voxtally.functions.text import let, strip
 
-_DAY = r"(0?[1-9]|[12]\d|3[01])"
-_MONTH = r"(0?[1-9]|1[0-2])"
-_REST = "( |$)"
-# (shape, format of the day). A format is only tried on text of its shape, because a failed parse is
-# far dearer than a regular expression.
-_DAY_FIRST = ((rf"^{_DAY}/{_MONTH}/\d{{4}}{_REST}", "d/M/yyyy"), (rf"^{_DAY}/{_MONTH}/\d{{2}}{_REST}", "d/M/yy"))
-_MONTH_FIRST = ((rf"^{_MONTH}/{_DAY}/\d{{4}}{_REST}", "M/d/yyyy"), (rf"^{_MONTH}/{_DAY}/\d{{2}}{_REST}", "M/d/yy"))
-_NAMED = (
-    (rf"^[A-Z][a-z]{{2}} \d{{1,2}} \d{{4}}{_REST}", "MMM d yyyy"),
-    (rf"^\d{{1,2}} [A-Z][a-z]{{2}} \d{{4}}{_REST}", "d MMM yyyy"),
-    (r"^[A-Z][a-z]{2} \d{4}$", "MMM yyyy"),
-    (r"^\d{8}$", "yyyyMMdd"),
-)
-_CLOCK = " H:mm[:ss][.SSSSSS]"
-_HALF_DAY_CLOCK = " h:mm[:ss][.SSSSSS] a"
-_YEAR_FIRST = r"^\d{4}[-/.]\d{1,2}([-/.]\d{1,2}|$)"
-_ZONE = r"(?i)([zZ]|UTC|[+-]\d{2}:?\d{2})$"
-# An offset counts behind a time only, so that `05-11-2025` keeps its year.
-_OFFSET = r"(?i)(:\d{2}(?:\.\d+)?(?: ?[ap]m)?) ?(z|utc|gmt|[+-]\d{2}:?\d{2})$"
-_MAIL = r"^[A-Za-z]{3},? ([A-Za-z]{3}) (\d{1,2}) ([\d:]+) ([+-]\d{4}) (\d{4})$"
-
-
-def _tidy(text: Column) -> Column:
-    """`Wednesday, 5th November, 2025` -> `5 Nov 2025`; `.` and `-` inside the date become `/`, `T` a blank."""
-    named = F.regexp_replace(F.initcap(F.regexp_replace(text, ",", " ")), r"\s+", " ")
-    named = F.regexp_replace(named, r"^(Mon|Tue|Wed|Thu|Fri|Sat|Sun)[a-z]*\.? ", "")
-    named = F.regexp_replace(named, r"(?<=\d)(st|nd|rd|th)\b", "")
-    named = F.regexp_replace(named, r"^(\d{1,2})[-/.]([A-Za-z]{3,9})[-/.](\d{4})", "$1 $2 $3")
-    named = F.initcap(F.regexp_replace(named, r"(?<![A-Za-z])([A-Za-z]{3})[a-z]+\b\.?", "$1"))
-    named = F.regexp_replace(named, r"(?<=\d)t(?=\d)", " ")
-    named = F.regexp_replace(named, r"(?i)(\d)([ap]m)$", "$1 $2")
-    return F.regexp_replace(named, r"^(\d{1,2})[.-](\d{1,2})[.-](\d{2,4})", "$1/$2/$3")
+# Slots of a written date, in the order in which the reader hands them on.
+_SLOTS = ("year", "month", "day", "first", "second", "name", "hour", "minute", "seconds", "half", "offset")
+_MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec"
+_MARK = "\u0001"
+_YEAR = r"\d{4}|\d{2}(?!\d)"
+_NAME = "(" + "|".join(_MONTHS.split()) + r")[a-z]*\.?"
+_DAY = r"(\d{1,2})(?:st|nd|rd|th)?"
+_GAP = r"[\s,./-]+"
+
+
+def _reader() -> tuple[str, str]:
+    """Pattern of all known ways to write a date, and the replacement that puts its groups into slots."""
+    shapes = (
+        (r"(\d{4})[-/.](\d{1,2})(?:[-/.](\d{1,2}))?", ("year", "month", "day")),
+        (r"(\d{4})(\d{2})(\d{2})", ("year", "month", "day")),
+        (rf"(\d{{1,2}})[-/.](\d{{1,2}})[-/.]({_YEAR})", ("first", "second", "year")),
+        (rf"{_DAY}{_GAP}{_NAME}{_GAP}({_YEAR})", ("day", "name", "year")),
+        (rf"{_NAME}\s+{_DAY},?\s+({_YEAR})", ("name", "day", "year")),
+        (rf"{_NAME}[\s,-]+(\d{{4}})", ("name", "year")),
+        (rf"{_NAME}\s+{_DAY}(?=\s+\d{{1,2}}:.*\d{{4}}$)", ("name", "day")),
+    )
+    clock = (r"(?:(?:t|,?\s+(?:at\s+)?)(\d{1,2}):(\d{1,2})(?::(\d{1,2}(?:\.\d{1,6})?)\d*)?(?:\s*([ap])\.?m\.?)?"
+             r"\s*(z|utc|gmt|[+-]\d{2}:?\d{2})?)?", ("hour", "minute", "seconds", "half", "offset"))
+    late = (r"(?:\s+(\d{4}))?", ("year",))
+    groups: dict[str, list[int]] = {slot: [] for slot in _SLOTS}
+    number = 0
+    for _, slots in (*shapes, clock, late):
+        for slot in slots:
+            number += 1
+            groups[slot].append(number)
+    pattern = (r"(?i)^(?:(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+)?(?:" + "|".join(shape for shape, _ in shapes)
+               + r")(?!\d)" + clock[0] + late[0] + "$")
+    return pattern, _MARK.join("".join(f"${n}" for n in groups[slot]) for slot in _SLOTS)
+
+
+def _read(text: Column, day_first: bool, zoned: bool) -> Column:
+    """Date and time in ISO form, with offset when `zoned`; text of no known form stays what it is not: a date.
+
+    The text is matched once. Java leaves the groups of the ways that were not taken empty, so the
+    replacement has each slot filled by one of them.
+    """
+    pattern, slots = _PATTERN
+
+    def assemble(part: Column) -> Column:
+        slot = {name: part[i] for i, name in enumerate(_SLOTS)}
+        number = {name: slot[name].try_cast("int") for name in ("first", "second", "hour")}
+        one, two = (number["first"], number["second"]) if day_first else (number["second"], number["first"])
+        # The usual order unless its month or its day is impossible.
+        usual = (two <= 12) & (one <= 31)
+        day = F.when(slot["first"] == "", F.when(slot["day"] == "", "1").otherwise(slot["day"])).when(
+            usual, one.cast("string")).otherwise(two.cast("string"))
+        named = F.ceil(F.instr(F.lit(_MONTHS), F.lower(slot["name"])) / 4)
+        month = F.when(slot["first"] != "", F.when(usual, two).otherwise(one).cast("string")).when(
+            slot["name"] != "", named.cast("string")).otherwise(slot["month"])
+        year = F.when(F.length(slot["year"]) == 2, F.concat(F.lit("20"), slot["year"])).otherwise(slot["year"])
+        half_hour = F.when(number["hour"].between(1, 12), number["hour"] % 12 + F.when(F.lower(slot["half"]) == "p", 12).otherwise(0))
+        hour = F.when(slot["half"] != "", half_hour.cast("string")).otherwise(slot["hour"])
+        seconds = F.when(slot["seconds"] == "", "00").otherwise(slot["seconds"])
+        time = F.when(slot["hour"] == "", " 00:00:00").otherwise(
+            F.concat(F.lit(" "), hour, F.lit(":"), slot["minute"], F.lit(":"), seconds))
+        offset = F.when(slot["offset"].rlike("^[+-]"), slot["offset"]).otherwise("Z") if zoned else F.lit("")
+        return F.when(F.size(part) == len(_SLOTS), F.concat(year, F.lit("-"), month, F.lit("-"), day, time, offset))
+
+    return let(F.split(F.regexp_replace(strip(text), pattern, slots), _MARK), assemble)
+
+
+_PATTERN = _reader()
 
 
 def parse_mixed(text: Column) -> Column:
     """Timestamp without zone from text in any of the known formats; anything else is NULL.
 
     Year-first text is read as ISO, other numeric text day first, and month first where day first
-    is impossible. A month without a day is its first.
+    is impossible. A month without a day is its first, two digits are a year after 2000. An offset is left out.
     """
-    return let(strip(text), lambda clean: _mixed(clean, _DAY_FIRST + _MONTH_FIRST))
-
-
-def _mixed(text: Column, numeric: tuple) -> Column:
-    iso = F.regexp_replace(text, r"^(\d{4})[/.](\d{1,2})[/.]", "$1-$2-")
-    return F.when(text.rlike(_YEAR_FIRST), iso.try_cast("timestamp_ntz")).otherwise(
-        let(_tidy(text), lambda tidy: _by_shape(tidy, numeric + _NAMED)))
-
-
-def _by_shape(tidy: Column, shapes: tuple) -> Column:
-    parsed = F.lit(None).cast("timestamp_ntz")
-    for shape, day in reversed(shapes):
-        clock = "" if shape.endswith("$") and not shape.endswith(_REST) else f"[{_CLOCK}]"
-        plain = F.try_to_timestamp(tidy, F.lit(day + clock))
-        half = F.try_to_timestamp(tidy, F.lit(day + _HALF_DAY_CLOCK))
-        found = F.when(tidy.rlike("(?i) [ap]m$"), half).otherwise(plain) if clock else plain
-        parsed = F.when(tidy.rlike(shape), found.cast("timestamp_ntz")).otherwise(parsed)
-    return parsed
+    return _read(text, True, False).try_cast("timestamp_ntz")
 
 
 def parse_utc(text: Column) -> Column:
@@ -71,22 +89,7 @@ def parse_utc(text: Column) -> Column:
 
     Numeric dates are read month first, and day first where month first is impossible.
     """
-    return let(strip(text), _utc)
-
-
-def _utc(text: Column) -> Column:
-    full = F.when(F.length(text) <= 10, F.concat(text, F.lit("T00:00:00"))).otherwise(text)
-    iso = F.when(full.rlike(_ZONE), full).otherwise(F.concat(full, F.lit("Z")))
-    return F.when(text.rlike(r"^\d{4}[-/.]\d{1,2}[-/.]\d{1,2}"), iso.try_cast("timestamp")).otherwise(
-        let(F.regexp_replace(text, _MAIL, "$1 $2 $5 $3 $4"), _shifted))
-
-
-def _shifted(text: Column) -> Column:
-    """Text with an optional offset behind its time, as an instant."""
-    offset = F.regexp_replace(F.upper(F.regexp_extract(text, _OFFSET, 2)), r"^(Z|UTC|GMT|)$", "+00:00")
-    offset = F.regexp_replace(offset, r"^([+-]\d{2})(\d{2})$", "$1:$2")
-    local = _mixed(F.regexp_replace(text, _OFFSET, "$1"), _MONTH_FIRST + _DAY_FIRST)
-    return F.convert_timezone(offset, F.current_timezone(), local).cast("timestamp")
+    return _read(text, False, True).try_cast("timestamp")
 
 
 def day_text(col: Column) -> Column:
