@@ -229,3 +229,36 @@ def test_scripts_by_majority(spark):
         "خدمات خیلی خوب بود و کارکنان مهربان بودند": "fa", "سروس بہت اچھی تھی اور عملہ بہت اچھا تھا": "ur", "サービスはとても良かったです": "ja", "服务非常好，谢谢": "zh"}
     df = spark.createDataFrame(list(cases.items()), "t string, want string")
     assert {r.want: r.lang_code for r in detect_language(df, "t").collect()} == {c: c for c in cases.values()}
+
+
+def test_label_index_equals_the_lists(spark):
+    import random
+
+    from voxtally.functions.text import words
+    from voxtally.operators.mapping import _overlap_by_word
+
+    draw = random.Random(4)
+    names = ["".join(draw.choice("abcdefghij") for _ in range(4)) for _ in range(60)]
+    weighted = lambda: names[int(60 * draw.random() ** 3)]  # noqa: E731  (some words stand in most labels)
+    labels = {(t, k, " ".join(weighted() for _ in range(draw.randrange(1, 5)))) for t in "TU" for k in "pd" for _ in range(300)}
+    rows = [(str(i), draw.choice(["T", "U", "V", None]), draw.choice("pd"), " ".join(weighted() for _ in range(draw.randrange(0, 7)))) for i in range(600)]
+    rows += [("x", "T", "p", None), ("y", "T", "p", "unheard of"), ("z", "T", "p", "")]
+    phrases = spark.createDataFrame(rows, "phrase_id string, topic string, type string, pp_mod string")
+    table = spark.createDataFrame(sorted(labels), "topic string, type string, subtopic string")
+    want = {r.phrase_id: r.subtopic for r in map_by_overlap(phrases, table).collect()}
+    entries = table.withColumn("tokens", words(F.col("subtopic")))
+    for common in (0, 5, 40, 10_000):
+        got = _overlap_by_word(phrases, entries, common).collect()
+        assert len(got) == len(rows) and {r.phrase_id: r.subtopic for r in got} == want, common
+
+
+def test_many_labels_are_read_once(spark, tmp_path):
+    n = 100_000
+    spark.range(n).select(F.lit("T").alias("topic"), F.lit("p").alias("type"), F.concat(F.lit("desk w"), F.translate(
+        F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("subtopic")).write.parquet(f"{tmp_path}/labels")
+    labels = spark.read.parquet(f"{tmp_path}/labels")
+    phrases = spark.createDataFrame([("1", "T", "p", "the desk wbcd"), ("2", "T", "p", "desk"), ("3", "T", "p", "none")],
+                                    "phrase_id string, topic string, type string, pp_mod string")
+    got = map_by_overlap(phrases, labels, max_bytes=1000)
+    assert {r.phrase_id: r.subtopic for r in got.collect()} == {"1": "desk wbcd", "2": "desk wa", "3": "Others"}
+    assert f"{tmp_path}/labels" not in plan(got)  # only the written entries are read

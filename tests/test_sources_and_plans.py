@@ -102,6 +102,33 @@ def test_final_airports(spark, tmp_path):
     assert final_table(extraction, None, place_metadata(places(spark)), AIRPORTS, stored).count() == 3
 
 
+def test_final_airports_by_key_and_pushed_instant(spark, tmp_path):
+    write_table(places(spark), f"{tmp_path}/places")
+    stored = spark.read.parquet(f"{tmp_path}/places")
+    keys = {r.Review_No: r.Review_Key for r in stored.collect()}
+    extraction = spark.createDataFrame(
+        [(keys[1], "positive", "Baggage", [], ["fast belt"]), (keys[2], "negative", "Lounge", ["dirty"], [])],
+        "review_id string, sentiment string, topic string, pain_points array<string>, moments_of_delight array<string>")
+    got = final_table(extraction, None, place_metadata(stored, "Review_Key", AIRPORTS.min_date), AIRPORTS)
+    assert got.columns == list(AIRPORT_COLUMNS)
+    assert {(r.Review_No, r.Airport, r.date) for r in got.collect()} == {("1", "RUH", "2025-11-02"), ("2", "DMM", "2025-11-03")}
+    assert "GreaterThanOrEqual(published_at_datetime_x" in got._jdf.queryExecution().executedPlan().toString()
+    late = place_metadata(stored, "Review_Key", "2025-11-03")
+    assert [r.Review_No for r in late.collect()] == [keys[2]]
+
+
+def test_typed_dates_reach_the_scan(spark, tmp_path):
+    df = spark.createDataFrame([("1", "tripadvisor", "a", "03/11/2025", "en", "t", "t", 1.0)], RAW_REVIEWS)
+    write_table(prep_reviews(df, typed=True), f"{tmp_path}/reviews")
+    meta = review_metadata(spark.read.parquet(f"{tmp_path}/reviews"))
+    extraction = spark.createDataFrame(
+        [("1", "negative", "Flights", ["late"], [])],
+        "review_id string, sentiment string, topic string, pain_points array<string>, moments_of_delight array<string>")
+    got = final_table(extraction, None, meta, AIRLINES)
+    assert [r.date for r in got.collect()] == ["2025-11-03"]
+    assert "GreaterThanOrEqual(date" in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_final_airlines_filters_on_the_metadata_side(spark, tmp_path):
     reviews = spark.createDataFrame([("1", "s", "a", "2025-11-03", "en", "t", "t", 1.0)], RAW_REVIEWS)
     write_table(reviews.withColumn("date", F.to_date("date")), f"{tmp_path}/reviews")

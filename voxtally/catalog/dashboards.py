@@ -190,7 +190,7 @@ FROM labelled l JOIN places p ON CAST(p.review_no AS VARCHAR) = l."Review_No" ""
 def final_airports(spark, sf_dir):
     places = prep_places(raw_places(spark, sf_dir), PLACES, MIN_DAY)
     phrases = map_by_overlap(
-        stack_phrases(rule_extract(places, "Review_No", "text", LEXICON)),
+        stack_phrases(rule_extract(places, "Review_Key", "text", LEXICON)),
         taxonomy_labels(taxonomy(spark), "AIRLINE"))
-    return final_table(phrases, None, place_metadata(places),
+    return final_table(phrases, None, place_metadata(places, "Review_Key", MIN_DAY),
                        FinalConfig(AIRPORT_COLUMNS, AIRPORTS.topic_renames, MIN_DAY))

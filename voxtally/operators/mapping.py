@@ -10,6 +10,7 @@ from voxtally.constants import DELIGHT, OTHERS, PAIN, SUBTOPIC_BATCH, SURVEY_BAT
 from voxtally.functions.choose import coerce_to_set
 from voxtally.functions.prompts import inject, render_record
 from voxtally.functions.replies import parse_reply
+from voxtally.functions.staging import settle
 from voxtally.functions.text import let, words
 from voxtally.operators.infer import infer_batches
 from voxtally.operators.joins import (
@@ -21,6 +22,10 @@ from voxtally.schemas import (
 )
 
 
+#: Labels of a topic that share a word until it counts as common.
+COMMON_LABELS = 100
+
+
 def _closest(candidates: Column, tokens: Column, default: str) -> Column:
     """Label with most words in common; ties go to the first label in order."""
     scored = F.transform(candidates, lambda c: F.struct(
@@ -42,7 +47,7 @@ def map_by_overlap(
     entries = labels.select("topic", "type", "subtopic").distinct().withColumn(
         "tokens", words(F.col("subtopic")))
     if measured_bytes(entries) > max_bytes:
-        return _overlap_by_word(phrases, entries)
+        return _overlap_by_word(phrases, settle(entries, "labels"))
     lists = entries.groupBy("topic", "type").agg(F.collect_list(
         F.struct(F.col("subtopic").alias("label"), "tokens")).alias("_candidates"))
     return (
@@ -52,21 +57,40 @@ def map_by_overlap(
         .drop("_candidates", "_tokens"))
 
 
-def _overlap_by_word(phrases: DataFrame, entries: DataFrame) -> DataFrame:
-    """The same labels from an equi-join on (topic, type, word), for any number of labels."""
-    keys = ["topic", "type", "pp_mod"]
+def _overlap_by_word(phrases: DataFrame, entries: DataFrame, common: int = COMMON_LABELS) -> DataFrame:
+    """The same labels from an index of words, for any number of labels.
+
+    A word that more than `common` labels of a topic have is common. Rare words find few labels, and for those all
+    words are counted. A label that shares only common words is looked for once per distinct set of
+    common words and not per phrase, so such a word does not join all its labels with all its phrases.
+    """
+    keys, place = ["topic", "type", "pp_mod"], ["topic", "type"]
+    by_word = entries.select(*place, "subtopic", F.explode(F.array_distinct("tokens")).alias("word"))
+    sizes = by_word.groupBy(*place, "word").agg((F.count("*") > common).alias("_common"))
     distinct = phrases.select(*keys).distinct()
-    by_word = entries.select("topic", "type", "subtopic", F.explode(
-        F.array_distinct("tokens")).alias("word"))
     asked = distinct.select(*keys, F.explode(F.array_distinct(words(F.col("pp_mod")))).alias("word"))
-    best = (
-        join_bounded(asked, by_word, ["topic", "type", "word"])
-        .groupBy(*keys, "subtopic").agg(F.count("*").alias("n"))
-        .groupBy(*keys).agg(F.min(F.struct(-F.col("n"), "subtopic"))["subtopic"].alias("_best")))
-    known = entries.select("topic", "type", F.lit(OTHERS).alias("_default")).distinct()
+    known = settle(join_bounded(asked, sizes, [*place, "word"]), "words")
+    # The common words of a phrase are one text, as sets of words are equal when their sorted texts are.
+    sets = known.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list(F.when(F.col("_common"), F.col("word")))), " ").alias("_set"))
+    single = settle(sets, "sets")
+
+    rare = join_bounded(known.where("NOT _common").select(*keys, "word"), by_word, [*place, "word"])
+    found = rare.groupBy(*keys, "subtopic").agg(F.count("*").alias("n")).join(single, keys)
+    tokens = entries.select(*place, "subtopic", "tokens")
+    shared = F.size(F.array_intersect(F.array_distinct("tokens"), F.split("_set", " ")))
+    by_rare = found.join(tokens, [*place, "subtopic"]).select(*keys, (F.col("n") + shared).alias("n"), "subtopic")
+
+    combined = single.where("_set <> ''").select(*place, "_set").distinct()
+    parts = combined.select(*place, "_set", F.explode(F.split("_set", " ")).alias("word"))
+    scores = join_bounded(parts, by_word, [*place, "word"]).groupBy(*place, "_set", "subtopic").agg(F.count("*").alias("n"))
+    top = scores.groupBy(*place, "_set").agg(F.min(F.struct(-F.col("n"), "subtopic")).alias("_top"))
+    by_common = single.join(top, [*place, "_set"]).select(*keys, (-F.col("_top.col1")).alias("n"), F.col("_top.subtopic"))
+
+    best = by_rare.unionByName(by_common).groupBy(*keys).agg(F.min(F.struct(-F.col("n"), "subtopic"))["subtopic"].alias("_best"))
+    default = entries.select(*place, F.lit(OTHERS).alias("_default")).distinct()
     same = [phrases[k].eqNullSafe(best[k]) for k in keys]
     joined = phrases.join(best, same, "left").select(phrases["*"], "_best")
-    return (join_bounded(joined, known, ["topic", "type"], "left")
+    return (join_bounded(joined, default, place, "left")
             .withColumn("subtopic", F.coalesce("_best", "_default")).drop("_best", "_default"))
 
 

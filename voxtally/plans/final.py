@@ -20,6 +20,8 @@ from voxtally.sources.files import append_if_exists
 
 LANGUAGE, ORIGINAL, TRANSLATED = (
     "Original Review Language", "Original Review", "Translated Review")
+# Number that is shown where the join goes by another key.
+SHOWN = "_shown"
 
 
 @dataclass(frozen=True)
@@ -46,10 +48,18 @@ def review_metadata(reviews: DataFrame) -> DataFrame:
         F.col("translated_text").alias(TRANSLATED))
 
 
-def place_metadata(places: DataFrame) -> DataFrame:
-    """Metadata of prepared map reviews under the names of the dashboard table."""
+def place_metadata(places: DataFrame, key: str = "Review_No", min_date: str | None = None) -> DataFrame:
+    """Metadata of prepared map reviews under the names of the dashboard table.
+
+    `key` is the column by which the phrases name their review. With `Review_Key`, which late reviews do not
+    change, `Review_No` is only what the table shows. `min_date` is compared with the bare instant, so the
+    filter reaches the scan of a stored table; the day is made of what is left.
+    """
+    if min_date is not None:
+        places = places.where(F.col("published_at_datetime_x") >= F.lit(f"{min_date}T00:00:00Z").cast("timestamp"))
+    shown = [] if key == "Review_No" else [F.col("Review_No").cast("string").alias(SHOWN)]
     return places.select(
-        F.col("Review_No").cast("string").alias("Review_No"), "Airport",
+        F.col(key).cast("string").alias("Review_No"), *shown, "Airport",
         utc_day(F.col("published_at_datetime_x")).alias("date"),
         F.col("score_x").alias("rating"), F.col("origin").alias("data_source"),
         F.col("lang").alias(LANGUAGE),
@@ -72,6 +82,8 @@ def final_table(
     elif "subtopic" not in phrases.columns:
         phrases = phrases.withColumn("subtopic", F.lit(None).cast("string"))
     rows = since(join_metadata(phrases, meta), "date", config.min_date)
+    if SHOWN in meta.columns:
+        rows = rows.withColumn("Review_No", F.col(SHOWN))
     topic = F.col("topic")
     final = rows.select(*[
         {

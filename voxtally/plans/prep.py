@@ -19,18 +19,19 @@ from voxtally.operators.keys import dense_id
 
 def prep_reviews(
     df: DataFrame, source: str = "tripadvisor", min_date: str = MIN_DATE,
-    tiebreak: Sequence[str] = (),
+    tiebreak: Sequence[str] = (), typed: bool = False,
 ) -> DataFrame:
     """Parse dates, keep the newest copy of each review, then filter source and date.
 
     The newest copy is chosen before the source filter: a newer copy from another source removes
-    the review. `tiebreak` columns decide between copies of the same date.
+    the review. `tiebreak` columns decide between copies of the same date. The date is text in ISO form or,
+    with `typed`, a date, on which later filters reach the scan of the stored table.
     """
     dated = df.withColumn("date", parse_mixed(F.col("date")))
     order = [F.col(c) for c in tiebreak] or [F.col(f"`{c}`") for c in df.columns if c != "date"]
     latest = keep_latest(dated, "review_unique_id", "date", order)
-    return since(where_ci(latest, "data_source", source), "date", min_date).withColumn(
-        "date", day_text(F.col("date")))
+    day = F.to_date("date") if typed else day_text(F.col("date"))
+    return since(where_ci(latest, "data_source", source), "date", min_date).withColumn("date", day)
 
 
 def prep_places(
