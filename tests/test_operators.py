@@ -262,3 +262,18 @@ def test_many_labels_are_read_once(spark, tmp_path):
     got = map_by_overlap(phrases, labels, max_bytes=1000)
     assert {r.phrase_id: r.subtopic for r in got.collect()} == {"1": "desk wbcd", "2": "desk wa", "3": "Others"}
     assert f"{tmp_path}/labels" not in plan(got)  # only the written entries are read
+
+
+def test_long_value_lists_come_in_chunks(spark):
+    from voxtally.operators.rollup import string_agg_chunks
+
+    df = spark.range(5000).select(F.when(F.col("id") % 10 > 2, "hot").when(F.col("id") % 10 > 0, "b").alias("g"), F.lit(1).alias("h"),
+                                  (F.col("id") % 900).cast("string").alias("v")).union(spark.sql("SELECT 'n', 1, CAST(NULL AS string)"))
+    got = string_agg_chunks(df, ["g", "h"], "v", "line", 100).collect()
+    want = {}
+    for r in df.where("v IS NOT NULL").distinct().collect():
+        want.setdefault(r.g, []).append(r.v)
+    assert {g for g, *_ in got} == {"hot", "b", None}
+    for g, values in want.items():
+        lines = [r.line for r in sorted((r for r in got if r.g == g), key=lambda r: r.chunk)]
+        assert ", ".join(lines).split(", ") == sorted(values) and all(len(line.split(", ")) == 100 for line in lines[:-1])

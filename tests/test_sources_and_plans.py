@@ -33,6 +33,18 @@ def test_read_many_drifted_headers(spark, tmp_path):
         read_many(spark, [f"{tmp_path}/1.csv"], RAW_POSTS).collect()
 
 
+def test_files_of_one_header_share_a_reader(spark, tmp_path):
+    heads = (["CONTENT", "INTERNAL UNIQUE ID"], ["INTERNAL UNIQUE ID", "CONTENT", "PUBLISHED AT"], ["EXTRA", "INTERNAL UNIQUE ID"])
+    for i in range(300):
+        head = heads[i % 3]
+        (tmp_path / f"{i} ä.csv").write_text(",".join(head) + "\n" + ",".join(f"{name[0]}{i}" for name in head) + "\n")
+    (tmp_path / "empty.csv").write_text("")
+    df = read_many(spark, [f"{tmp_path}/*.csv"], RAW_POSTS, per_file=True)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 3
+    got = {r["INTERNAL UNIQUE ID"]: (r.CONTENT, r["PUBLISHED AT"]) for r in df.collect()}
+    assert got == {f"I{i}": ((f"C{i}", None), (f"C{i}", f"P{i}"), (None, None))[i % 3] for i in range(300)}
+
+
 def test_folders(spark, tmp_path):
     schema = StructType().add("a", "long").add("b", "string")
     df = spark.createDataFrame([(1, "x"), (2, None)], schema)

@@ -18,7 +18,7 @@ from voxtally.operators.mapping import map_by_overlap
 from voxtally.operators.phrases import explode_phrases, stack_phrases
 from voxtally.operators.rollup import (
     StepCounts, count_by, date_range, distinct_count, feedback_rollup, label_distribution,
-    lang_split_counts, null_count, string_agg_list, vocabulary,
+    lang_split_counts, null_count, string_agg_chunks, string_agg_list, vocabulary,
 )
 from voxtally.session import shared_path
 from voxtally.sources.files import read_folder_or_empty, write_table
@@ -136,6 +136,15 @@ def string_agg(spark, sf_dir):
     return string_agg_list(table(spark, sf_dir, "documents"), ["lang"], "source", "sources", None)
 
 
+@query("string_agg_chunks", """
+WITH v AS (SELECT DISTINCT event_type, CAST(user_id AS VARCHAR) AS u FROM events),
+n AS (SELECT event_type, u, row_number() OVER (PARTITION BY event_type ORDER BY u) - 1 AS k FROM v)
+SELECT event_type, k // 50 + 1 AS chunk, string_agg(u, ', ' ORDER BY u) AS users FROM n GROUP BY event_type, k // 50""")
+def string_chunks(spark, sf_dir):
+    users = table(spark, sf_dir, "events").select("event_type", F.col("user_id").cast("string").alias("user_id"))
+    return string_agg_chunks(users, ["event_type"], "user_id", "users", 50)
+
+
 def labelled_phrases(spark, sf_dir):
     """Documents to labelled phrases: rule extraction, one explode, labels by shared words."""
     phrases = stack_phrases(

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voxtally.catalog.aggregates import LABELLED, labelled_phrases, rules_sql
-from voxtally.catalog.models import comments
+from voxtally.catalog.models import comments, picking_model, reading_model
 from voxtally.catalog.registry import (
-    LEXICON, REVIEWS, detect_sql, extraction_sql, overlap_sql, query, quoted, reviews, stacked_sql, taxonomy,
+    LEXICON, REVIEWS, detect_sql, extraction_sql, label_rows, overlap_sql, query, quoted, reviews, stacked_sql, taxonomy, values,
 )
 from voxtally.catalog.textual import _MIXED, written_dates
-from voxtally.constants import AIRPORT_COLUMNS, LANGUAGE_NAMES, POST_LABELS
-from voxtally.operators.extract import rule_extract
-from voxtally.operators.mapping import map_by_overlap
+from voxtally.constants import AIRPORT_COLUMNS, LANGUAGE_NAMES, OTHERS, POST_LABELS
+from voxtally.functions.prompts import render_record
+from voxtally.operators.extract import model_extract, rule_extract
+from voxtally.operators.mapping import map_by_model, map_by_overlap
 from voxtally.operators.phrases import stack_phrases
 from voxtally.plans.final import (
     AIRLINES, AIRPORTS, FinalConfig, final_table, place_metadata, review_metadata,
@@ -153,6 +154,39 @@ def social(spark, sf_dir):
     return _social(spark, sf_dir)
 
 
+_FIRST_LABELS = f"""post_phrases_labels AS (
+  SELECT topic, type, min(label) AS label FROM (VALUES {values(label_rows())}) t(topic, type, label) GROUP BY topic, type)"""
+
+
+@query("social_final_by_model", f"""
+WITH {REVIEWS}, ruled AS (
+  SELECT review_unique_id, raw_text, ts, {_RULED} AS label, {_RULED_ENTITY} AS entity FROM reviews),
+chosen AS (SELECT * FROM ruled WHERE label = 'AIRLINE'),
+{extraction_sql('chosen', 'review_unique_id', 'raw_text', 'post_extraction')},
+{stacked_sql('post_extraction', 'post_phrases')}, {_FIRST_LABELS},
+{detect_sql('chosen', 'review_unique_id', 'raw_text')}
+SELECT p."Review_No", p.sentiment, p.topic, p.pp_mod,
+       CASE WHEN l.topic IS NULL THEN NULL WHEN contains(p.pp_mod, 'the') THEN 'Others' ELSE l.label END AS subtopic, p.type, 'X' AS data_source,
+       c.entity AS airline, strftime(c.ts, '%Y-%m-%d') AS date, NULL::DOUBLE AS rating,
+       d.lang_name AS "Original Review Language", c.raw_text AS "Original Review", c.raw_text AS "Translated Review"
+FROM post_phrases p JOIN chosen c ON c.review_unique_id = p."Review_No" JOIN detected d ON d.review_unique_id = p."Review_No"
+LEFT JOIN post_phrases_labels l ON l.topic = p.topic AND l.type = p.type""")
+def social_by_model(spark, sf_dir):
+    """Extraction and labels by stand-in models; each distinct text and each distinct phrase is asked once."""
+    def extract(rows):
+        messages = rows.select("post", render_record(("Review_Number", F.col("post")), ("Review", F.col("Original Review"))).alias("message"))
+        topics = sorted({topic for _, _, topic in LEXICON} | {OTHERS})
+        return model_extract(messages, "post", "message", "Extract.", reading_model(LEXICON), topics)
+
+    def mapper(phrases, labels):
+        return map_by_model(phrases, labels, "Sort each {type} into one of: {subtopics}", picking_model(), shared_path(spark, "labels"))
+
+    posts = prep_posts(raw_posts(spark, sf_dir), POST_RULES)
+    return social_final(
+        posts, POST_LABELS[0], LEXICON, taxonomy_labels(taxonomy(spark), "AIRLINE"), FinalConfig(AIRLINES.columns), "airline",
+        extract=extract, mapper=mapper)
+
+
 # --- dashboard tables ----------------------------------------------------------------------------
 
 @query("final_airlines", f"""

@@ -274,6 +274,17 @@ def standardising_model(labels):
     return predict
 
 
+def both_sides_model(labels):
+    """The survey label stand-in for pains and delights: the field of a reply has the name its side asks for."""
+    pains = standardising_model(labels)
+
+    def predict(instruction, messages):
+        reply = pains(instruction, messages)
+        return reply if messages[0].startswith("Pain Point: ") else reply.replace('"pain_point": ', '"mod": ')
+
+    return predict
+
+
 @query("survey_map_by_model", f"""
 WITH {PHRASES}
 SELECT phrase_id, topic, pp_mod, CASE WHEN contains(pp_mod, 'the') THEN {quoted(SURVEY_LABELS[0])} ELSE 'Other' END AS subtopic
@@ -407,3 +418,26 @@ def survey(spark, sf_dir):
     return survey_flow(
         comments(spark, sf_dir), "Find topics.", "Known topics: [{topics}]", topic_model(),
         SURVEY_LABELS, growth=2).select("Review_No", "topic", "type", "pp_mod", "subtopic")
+
+
+_FLOW_PHRASES = rf"""
+topics AS ({_TOPICS}),
+phrases AS (
+  SELECT review_id AS "Review_No", topic, CASE sentiment WHEN 'negative' THEN 'Pain Point' ELSE 'Moment of Delight' END AS type,
+         regexp_replace(lower(unnest(string_split(text, chr(1)))), '^\s+|\s+$', '', 'g') AS pp_mod
+  FROM topics)"""
+
+
+@query("survey_flow_by_model", f"""
+WITH {_FLOW_PHRASES}
+SELECT "Review_No", topic, type, pp_mod, CASE WHEN contains(pp_mod, 'the') THEN {quoted(SURVEY_LABELS[0])} ELSE 'Other' END AS subtopic
+FROM phrases""")
+def survey_by_model(spark, sf_dir):
+    def mapper(phrases, labels):
+        return map_fixed_by_model(
+            phrases, labels, "Sort each {item_singular} into one of: {subtopics}", both_sides_model(labels),
+            shared_path(spark, "labels"))
+
+    return survey_flow(
+        comments(spark, sf_dir), "Find topics.", "Known topics: [{topics}]", topic_model(),
+        SURVEY_LABELS, mapper=mapper, growth=2).select("Review_No", "topic", "type", "pp_mod", "subtopic")

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
+from voxtally.operators.keys import dense_id_within
+
 
 def count_by(df: DataFrame, *keys: str) -> DataFrame:
     """Rows per key, largest first; NULL keys do not count."""
@@ -78,6 +80,22 @@ def string_agg_list(
     return lists.select(*group, line.alias(name))
 
 
+def string_agg_chunks(
+    df: DataFrame, group: Sequence[str], col: str, name: str, size: int, chunk: str = "chunk",
+) -> DataFrame:
+    """Distinct values per group as sorted `, ` lines of at most `size` values, numbered from 1.
+
+    For vocabularies of any length: values are numbered by range partitions, also inside a group that has most
+    of them, and a task gathers one line at a time. Rows of a group whose `col` is NULL are left out.
+    """
+    key = F.struct(*[F.col(f"`{g}`") for g in group]).alias("_group")
+    values = df.select(key, F.col(f"`{col}`").alias("_value")).where("_value IS NOT NULL").distinct()
+    numbered = dense_id_within(values, "_group", ["_value"], "_number")
+    lines = numbered.groupBy("_group", (F.floor((F.col("_number") - 1) / size) + 1).alias(chunk)).agg(
+        F.array_join(F.array_sort(F.collect_list("_value")), ", ").alias(name))
+    return lines.select("_group.*", chunk, name)
+
+
 def feedback_rollup(final: DataFrame, *keys: str) -> DataFrame:
     """Phrases and distinct records per combination of `keys`.
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
 from voxtally.functions.dates import day_text, utc_day
+from voxtally.functions.staging import settle
 from voxtally.operators.extract import Entry, rule_extract
 from voxtally.operators.language import enrich_language
 from voxtally.operators.mapping import map_by_overlap
@@ -17,11 +18,17 @@ from voxtally.plans.final import FinalConfig
 def social_final(
     posts: DataFrame, label: str, lexicon: Sequence[Entry], labels: DataFrame,
     config: FinalConfig, entity_column: str, translator=None, source: str = "X",
+    extract: Callable[[DataFrame], DataFrame] | None = None,
+    mapper: Callable[[DataFrame, DataFrame], DataFrame] = map_by_overlap,
 ) -> DataFrame:
-    """Posts of one label as rows of the dashboard table of that label.
+    """Posts of one label as rows of the dashboard table of that label. Posts have no rating.
 
-    Language, extraction and labels are all decided inside the row and the post's columns travel
-    along, so nothing is joined back and no text is shuffled. Posts have no rating.
+    By rule, language, extraction and labels are all decided inside the row and the post's columns travel
+    along, so nothing is joined back and no text is shuffled.
+
+    `extract` takes rows with `post` and `Original Review` and gives extraction rows by `review_id` (`model_extract`);
+    a text that several posts have is asked once, under the least of their ids. `mapper` takes phrases and labels
+    and adds `subtopic` (`map_by_model`).
     """
     meta = enrich_language(
         posts.where(F.col("label") == label).select(
@@ -33,6 +40,13 @@ def social_final(
             F.col("CONTENT").alias("Original Review")),
         translator=translator)
     keep = [c for c in meta.columns if c != "post"]
-    extraction = rule_extract(meta, "post", "Original Review", lexicon, keep=keep)
-    phrases = map_by_overlap(stack_phrases(extraction, keep=keep), labels)
+    if extract is None:
+        extraction = rule_extract(meta, "post", "Original Review", lexicon, keep=keep)
+    else:
+        meta = settle(meta.withColumn("_text", F.sha2(F.coalesce("Original Review", F.lit("")), 256)), "posts")
+        first = meta.groupBy("_text").agg(F.min(F.struct("post", "Original Review")).alias("r")).select("_text", "r.*")
+        answers = extract(first.select("post", "Original Review")).withColumnRenamed("review_id", "_first")
+        told = first.select("_text", F.col("post").alias("_first")).join(answers, "_first").drop("_first")
+        extraction = meta.withColumnRenamed("post", "review_id").join(told, "_text").drop("_text")
+    phrases = mapper(stack_phrases(extraction, keep=keep), labels)
     return phrases.select(*[f"`{c}`" for c in config.columns])

@@ -37,10 +37,14 @@ def label_phrases(phrases: DataFrame, labels: Sequence[str]) -> DataFrame:
 
 def survey_flow(
     df: DataFrame, first: str, following: str, predict: Callable, labels: Sequence[str],
-    **topic_options,
+    mapper: Callable[[DataFrame, Sequence[str]], DataFrame] = label_phrases, **topic_options,
 ) -> DataFrame:
-    """Clean comments, find topics, explode phrases and label them."""
+    """Clean comments, find topics, explode phrases and label them.
+
+    `mapper` takes phrases and labels and adds `subtopic`: by rule in the row, or by a model that is asked once per
+    distinct phrase, topic and type (`map_fixed_by_model`).
+    """
     messages = survey_messages(prep_survey(df))
     extraction = induce_topics(messages, "id", "message", first, following, predict,
                                **topic_options)
-    return label_phrases(survey_phrases(extraction), labels)
+    return mapper(survey_phrases(extraction), labels)

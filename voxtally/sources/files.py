@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 import logging
 from collections.abc import Iterable, Sequence
 from functools import reduce
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 log = logging.getLogger(__name__)
 
@@ -35,6 +37,20 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     ])
 
 
+def by_header(spark: SparkSession, paths: Sequence[str], sep: str = ",") -> dict[tuple[str, ...], list[str]]:
+    """The files of each header, found by one job over all files. A file without a line has none and is left out."""
+    lines = spark.read.text(list(paths)).select(
+        F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("n"))
+    # A line per file comes to the driver, which has the list of paths already.
+    heads = lines.where(F.col("_metadata.file_block_start") == 0).groupBy("path").agg(F.min_by("value", "n").alias("head")).collect()
+    given = {unquote(urlsplit(path).path): path for path in paths}
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in sorted(heads):
+        names = tuple(next(csv.reader([row["head"].lstrip("\ufeff").rstrip("\r")], delimiter=sep)))
+        found.setdefault(names, []).append(given[unquote(urlsplit(row["path"]).path)])
+    return found
+
+
 def read_many(
     spark: SparkSession, patterns: Iterable[str], schema: StructType,
     columns: Sequence[str] | None = None, fmt: str = "csv", per_file: bool = False, **options,
@@ -43,7 +59,7 @@ def read_many(
 
     A pattern without files is warned about and skipped; no file at all gives an empty frame. CSV
     headers must agree with `schema`, else the read fails. Exports whose headers differ from file
-    to file are read one by one with `per_file`, and their columns are matched by name.
+    to file are read with `per_file`: one reader for all files of the same header, whose columns are matched by name.
     """
     paths = []
     for pattern in patterns:
@@ -57,7 +73,9 @@ def read_many(
         df = spark.read.format(fmt).options(**options).schema(schema).load(paths)
     elif per_file:
         reader = spark.read.options(**{**CSV_OPTIONS, **options})
-        df = union_all([conform(reader.csv(path), schema) for path in paths])
+        df = union_all([
+            conform(reader.schema(StructType([StructField(name, StringType()) for name in header])).csv(files), schema)
+            for header, files in by_header(spark, paths, options.get("sep", ",")).items()])
     else:
         df = spark.read.options(**{**CSV_OPTIONS, **options}).schema(schema).csv(paths)
     return df.select(*columns) if columns else df
