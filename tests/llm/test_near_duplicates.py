@@ -196,3 +196,25 @@ def test_bands_reach_the_recall():
 def test_very_long_texts(spark, text):
     assert near_duplicates(frame(spark, [(1, text), (2, text)])).where("NOT kept").count() == 1
     assert Paragraphs([text]).words.sum() == len(text.split())
+
+
+def test_runs_are_the_same_with_filter_and_by_join(spark):
+    draw = random.Random(8)
+    word = lambda: "".join(draw.choice("abcdefghijklmnop") for _ in range(5))
+    shared = [[word() for _ in range(n)] for n in (36, 60, 150)]
+    rows = []
+    for i in range(60):  # passages in the middle of a line, some in a third of the documents
+        words = [word() for _ in range(draw.randrange(20, 200))]
+        at = draw.randrange(len(words))
+        rows.append((i, " ".join(words[:at] + (shared[i % 9 % 3] if i % 9 < 3 else []) + words[at:])))
+    rows += [(None, rows[0][1]), (3, rows[3][1]), (90, None), (91, "")]
+    ways = [sorted(map(str, repeated_passages(frame(spark, rows), max_bytes=size).collect())) for size in (64 << 20, 0)]
+    assert ways[0] == ways[1] and len(ways[0]) >= 20
+    # By brute force: a document has a passage exactly where it shares 35 words in a row with another one.
+    runs = {}
+    for i, text in rows:
+        words = (text or "").split()
+        for k in range(len(words) - 34):
+            runs.setdefault(tuple(words[k : k + 35]), set()).add(i)
+    want = {i for ids in runs.values() if len(ids - {None}) > 1 for i in ids - {None}}
+    assert {r.doc_id for r in repeated_passages(frame(spark, rows)).collect()} == want

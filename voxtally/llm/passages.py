@@ -26,6 +26,13 @@ CUT = 4
 RUN = 24
 STEP = 12
 
+#: Bits of the filter of repeated runs per run, places a run has in it, and the size up to which it is broadcast.
+FILTER_BITS = 16
+FILTER_PROBES = 3
+FILTER_BYTES = 64 << 20
+#: Bits of one row of Spark's bitmap functions.
+_BITMAP = 1 << 15
+
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _powers = np.ones(1, np.uint64)
 
@@ -90,7 +97,7 @@ class Paragraphs:
     it only, so the same passage has the same runs in the middle of any line.
     """
 
-    def __init__(self, texts: list[str | None], width: int = WIDTH) -> None:
+    def __init__(self, texts: list[str | None], width: int = WIDTH, inline: bool = True) -> None:
         texts = [t or "" for t in texts]
         codes = np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
         low = "\n".join(texts).encode("utf-8", "surrogatepass").lower().split()
@@ -120,9 +127,10 @@ class Paragraphs:
         owner = np.searchsorted(text_starts, starts, side="right") - 1
         before = np.searchsorted(owner, np.arange(len(texts)))
         self.word = a - before[self.text]
-        at, chosen = _winnowed(hashed, owner)
-        self.runs = (
-            owner[at], starts[at] - text_starts[owner[at]], ends[at + RUN - 1] - text_starts[owner[at]], at - before[owner[at]], chosen)
+        if inline:
+            at, chosen = _winnowed(hashed, owner)
+            self.runs = (
+                owner[at], starts[at] - text_starts[owner[at]], ends[at + RUN - 1] - text_starts[owner[at]], at - before[owner[at]], chosen)
         _, at, count = np.unique(self.text, return_index=True, return_counts=True)
         self.position = np.arange(len(a)) - np.repeat(at, count)
         rank = np.arange(n) - np.repeat(a, self.words)
@@ -166,7 +174,8 @@ def _grouped(batch: pa.RecordBatch, chars: int = 200_000) -> Iterator[tuple[list
         yield ids, texts
 
 
-_PARAGRAPHS = "id bigint, position int, start bigint, end bigint, words int, unit bigint, keys array<bigint>, word int, inline boolean"
+_PARAGRAPHS = "id bigint, position int, start bigint, end bigint, words int, unit bigint, keys array<bigint>, word int"
+_RUNS = "id bigint, start bigint, end bigint, words int, cluster bigint, word int"
 
 
 def _signer(bands: int, rows: int, width: int) -> Callable:
@@ -175,7 +184,7 @@ def _signer(bands: int, rows: int, width: int) -> Callable:
         seen: set[int] = set()
         for batch in batches:
             for ids, texts in _grouped(batch):
-                found = Paragraphs(texts, width)
+                found = Paragraphs(texts, width, inline=False)
                 if not len(found.unit):
                     continue
                 # Copies within a task send their keys once, so a very common paragraph stays cheap.
@@ -190,17 +199,80 @@ def _signer(bands: int, rows: int, width: int) -> Callable:
                 yield pa.record_batch([
                     pa.array([ids[t] for t in found.text.tolist()], pa.int64()), pa.array(found.position, pa.int32()),
                     pa.array(found.start, pa.int64()), pa.array(found.end, pa.int64()), pa.array(found.words, pa.int32()),
-                    pa.array(found.unit), keys, pa.array(found.word, pa.int32()), pa.array(np.zeros(len(found.unit), bool))], names)
-                owner, start, end, word, unit = found.runs
-                n = len(unit)
+                    pa.array(found.unit), keys, pa.array(found.word, pa.int32())], names)
+
+    return run
+
+
+def _run_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hashes of the chosen runs, each once per text."""
+    for batch in batches:
+        for ids, texts in _grouped(batch):
+            owner, _, _, _, hashed = Paragraphs(texts).runs
+            once = np.unique(np.stack([owner, hashed]), axis=1)[1] if len(hashed) else hashed
+            yield pa.record_batch([pa.array(once, pa.int64())], ["cluster"])
+
+
+def _run_rows(filter_bits: Callable[[], bytes | None]) -> Callable:
+    """Rows of the chosen runs whose hash is in the filter (all runs without one)."""
+    names = [part.split()[0] for part in _RUNS.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        raw = filter_bits()
+        bits = None if raw is None else np.frombuffer(raw, np.uint8)
+        for batch in batches:
+            for ids, texts in _grouped(batch):
+                columns = Paragraphs(texts).runs
+                if bits is not None and len(columns[0]):
+                    at = _filter_places(columns[-1], 8 * len(bits))
+                    inside = ((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=0)
+                    columns = tuple(c[inside] for c in columns)
+                owner, start, end, word, unit = columns
                 yield pa.record_batch([
-                    pa.array([ids[t] for t in owner.tolist()], pa.int64()), pa.nulls(n, pa.int32()), pa.array(start, pa.int64()),
-                    pa.array(end, pa.int64()), pa.array(np.full(n, RUN), pa.int32()), pa.array(unit), pa.nulls(n, pa.list_(pa.int64())),
-                    pa.array(word, pa.int32()), pa.array(np.ones(n, bool))], names)
+                    pa.array([ids[t] for t in owner.tolist()], pa.int64()), pa.array(start, pa.int64()), pa.array(end, pa.int64()),
+                    pa.array(np.full(len(unit), RUN), pa.int32()), pa.array(unit, pa.int64()), pa.array(word, pa.int32())], names)
 
     return run
 
 
+def _filter_places(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """(probe, hash) places in a filter of a power of two bits: both halves of the hash, added up."""
+    whole = hashes.view(np.uint64)
+    low, high = whole & np.uint64(0xFFFFFFFF), whole >> np.uint64(32)
+    return np.stack([((low + np.uint64(i) * high) & np.uint64(bits - 1)).astype(np.int64) for i in range(FILTER_PROBES)])
+
+
+def _run_filter(hashes: DataFrame, rows: int) -> bytes:
+    """The filter of so many hashes, built by Spark; `_filter_places` says where a hash stands."""
+    bits = _BITMAP
+    while bits < rows * FILTER_BITS:
+        bits *= 2
+    low, high = F.col("cluster").bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned("cluster", 32)
+    place = F.explode(F.array(*[(low + i * high).bitwiseAND(bits - 1) for i in range(FILTER_PROBES)]))
+    parts = hashes.select(place.alias("p")).groupBy(F.expr(f"p div {_BITMAP}").alias("part")).agg(
+        F.bitmap_construct_agg(F.col("p") % _BITMAP).alias("bits"))
+    out = bytearray(bits // 8)
+    for row in parts.collect():  # bits / 8 bytes in all, which the caller has bounded
+        out[row["part"] * _BITMAP // 8 : (row["part"] + 1) * _BITMAP // 8] = row["bits"]
+    return bytes(out)
+
+
+def _repeated_runs(slim: DataFrame, max_bytes: int) -> DataFrame:
+    """Rows of the runs that stand in two or more texts; a few others may be among them.
+
+    Nearly all runs are unique. First only their hashes are counted. The rows are made from the texts a second
+    time, for the hashes that a filter has; it grows with the repeated hashes and is broadcast up to `max_bytes`.
+    Beyond that the rows of all runs are joined with those hashes.
+    """
+    counts = slim.mapInArrow(_run_hashes, "cluster bigint").groupBy("cluster").agg(F.count("*").alias("n"))
+    several = settle(counts.where("n > 1").select("cluster"), "runs")
+    rows = several.count()
+    if 2 * rows * FILTER_BITS <= 8 * max_bytes:
+        sent = slim.sparkSession.sparkContext.broadcast(_run_filter(several, rows))
+        return settle(slim.mapInArrow(_run_rows(lambda: sent.value), _RUNS), "inline")
+    return settle(slim.mapInArrow(_run_rows(lambda: None), _RUNS).join(several, "cluster", "left_semi"), "inline")
+
+
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, a, b) from rows sorted by key and unit: the least unit of a key with each other one. One row is carried over."""
     key = center = None
@@ -220,7 +292,7 @@ def _sets(width: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, texts in _grouped(batch):
-                found = Paragraphs(texts, width)
+                found = Paragraphs(texts, width, inline=False)
                 parts = [np.unique(p).view(np.int64) for p in np.split(found.shingles, found.first[1:])] if len(found.unit) else []
                 yield pa.record_batch([pa.array(found.unit, pa.int64()), _lists(parts)], ["node", "hashes"])
 
@@ -234,7 +306,7 @@ def _few(df: DataFrame) -> DataFrame:
 
 def repeated_passages(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", *, percent: int = PERCENT, recall: float = RECALL,
-    rows: int = ROWS, least_words: int = LEAST_WORDS, width: int = WIDTH,
+    rows: int = ROWS, least_words: int = LEAST_WORDS, width: int = WIDTH, max_bytes: int = FILTER_BYTES,
 ) -> DataFrame:
     """One row per passage that also stands in another document: id, start, end, words, clusters, kept.
 
@@ -255,8 +327,7 @@ def repeated_passages(
     """
     bands = tune_bands(percent, rows, recall)
     slim = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text")).where("id IS NOT NULL")
-    both = settle(slim.mapInArrow(_signer(bands, rows, width), _PARAGRAPHS), "paragraphs")
-    spots = both.where("NOT inline").drop("inline")
+    spots = settle(slim.mapInArrow(_signer(bands, rows, width), _PARAGRAPHS), "paragraphs")
     keyed = spots.where("size(keys) > 0").select(F.explode("keys").alias("key"), "unit")
     stars = settle(
         keyed.repartition("key").sortWithinPartitions("key", "unit").mapInArrow(_stars, "key bigint, a bigint, b bigint").distinct(), "stars")
@@ -277,7 +348,7 @@ def repeated_passages(
                    .withColumn("cluster", F.coalesce("component", "unit")).drop("component", "unit"))
     marked = settle(marked, "clusters")
     whole = _islands(_repeated(marked).select("id", "start", "end", "word", "words", F.array("cluster").alias("clusters"), "kept"))
-    inline = _repeated(both.where("inline").selectExpr("id", "start", "end", "word", "words", "unit cluster"))
+    inline = _repeated(_repeated_runs(slim, max_bytes))
     inline = inline.select("id", "start", "end", "word", "words", F.array("cluster").alias("clusters"), "kept")
     # Runs inside repeated paragraphs tell nothing new.
     order = Window.partitionBy("id").orderBy("word", F.col("inline"))
