@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F
 
 from voxtally.functions.staging import computed
+from voxtally.llm.common import settle
 from voxtally.operators.keys import dense_id, dense_id_within
 from voxtally.session import shared_path
 
@@ -127,7 +128,8 @@ def build_manifest(
     slim = docs.select(
         F.when(name.isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), name)).alias("tree"),
         F.col(f"`{doc_id}`").alias("_id"), row_digest(*[F.col(f"`{v}`") for v in values]).alias("_digest"), carried.alias("_carried"))
-    numbered = dense_id_within(slim, "tree", [F.col("_id").asc_nulls_first(), "_digest"], "_number")
+    # Written first: finding the ranges of the places would digest every text a second time.
+    numbered = dense_id_within(settle(slim, "digests"), "tree", [F.col("_id").asc_nulls_first(), "_digest"], "_number")
     leaves = numbered.select("tree", (F.col("_number") - 1).alias("at"), F.struct(
         F.col("_digest").alias("digest"), F.col("_carried").alias("carried")).alias("node"))
     levels = _fold_up(_by_slot(leaves, arity, "leaves"), arity, "level")
