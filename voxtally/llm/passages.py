@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -91,13 +92,9 @@ class Paragraphs:
     wherever it stands. `text`, `position`, `start`, `end` (code points), `words` and `unit` (a
     64-bit hash of the words, in order) have one entry per paragraph; `shingles` are grouped by
     paragraph from `first` on. `word` is the number of its first word in the text.
-
-    `runs` holds (text, start, end, word, hash) of runs of RUN words, chosen by winnowing: the least
-    hash of every STEP that follow each other. Whether a run is chosen depends on the words around
-    it only, so the same passage has the same runs in the middle of any line.
     """
 
-    def __init__(self, texts: list[str | None], width: int = WIDTH, inline: bool = True) -> None:
+    def __init__(self, texts: list[str | None], width: int = WIDTH) -> None:
         texts = [t or "" for t in texts]
         codes = np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
         low = "\n".join(texts).encode("utf-8", "surrogatepass").lower().split()
@@ -122,15 +119,11 @@ class Paragraphs:
         self.start, self.end = starts[a] - text_starts[self.text], ends[b - 1] - text_starts[self.text]
         if not n:
             self.position, self.unit, self.first, self.shingles = a, np.empty(0, np.int64), a, hashed
-            self.word, self.runs = a, (a, a, a, a, np.empty(0, np.int64))
+            self.word = a
             return
         owner = np.searchsorted(text_starts, starts, side="right") - 1
         before = np.searchsorted(owner, np.arange(len(texts)))
         self.word = a - before[self.text]
-        if inline:
-            at, chosen = _winnowed(hashed, owner)
-            self.runs = (
-                owner[at], starts[at] - text_starts[owner[at]], ends[at + RUN - 1] - text_starts[owner[at]], at - before[owner[at]], chosen)
         _, at, count = np.unique(self.text, return_index=True, return_counts=True)
         self.position = np.arange(len(a)) - np.repeat(at, count)
         rank = np.arange(n) - np.repeat(a, self.words)
@@ -184,7 +177,7 @@ def _signer(bands: int, rows: int, width: int) -> Callable:
         seen: set[int] = set()
         for batch in batches:
             for ids, texts in _grouped(batch):
-                found = Paragraphs(texts, width, inline=False)
+                found = Paragraphs(texts, width)
                 if not len(found.unit):
                     continue
                 # Copies within a task send their keys once, so a very common paragraph stays cheap.
@@ -204,13 +197,46 @@ def _signer(bands: int, rows: int, width: int) -> Callable:
     return run
 
 
+def _chosen(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, number of the first word in it, hash) of runs of RUN words of a few texts, chosen by winnowing: the least
+    hash of every STEP that follow each other. Whether a run is chosen depends on the words around it only, so
+    the same passage has the same runs in the middle of any line.
+    """
+    words = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]
+    counts = np.fromiter(map(len, words), np.int64, len(words))
+    hashed = np.fromiter(map(xxh64_intdigest, chain.from_iterable(words)), np.uint64, counts.sum())
+    owner = np.repeat(np.arange(len(texts)), counts)
+    at, chosen = _winnowed(hashed, owner)
+    return owner[at], at - (np.cumsum(counts) - counts)[owner[at]], chosen
+
+
+def _places(texts: list[str | None], owner: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) in code points of the runs that begin at these words; texts without one are not looked at."""
+    held, which = np.unique(owner, return_inverse=True)
+    starts, ends = [], []
+    for t in held.tolist():
+        codes = np.frombuffer(texts[t].encode("utf-32-le", "surrogatepass"), np.uint32)
+        blank = (codes == 32) | ((codes >= 9) & (codes <= 13))
+        edge = np.diff(np.concatenate([[1], blank, [1]]).astype(np.int8))
+        starts.append(np.flatnonzero(edge == -1))
+        ends.append(np.flatnonzero(edge == 1))
+    if not len(held):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    sizes = np.array([len(s) for s in starts])
+    at = (np.cumsum(sizes) - sizes)[which] + word
+    return np.concatenate(starts)[at], np.concatenate(ends)[at + RUN - 1]
+
+
 def _run_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The hashes of the chosen runs, each once per text."""
     for batch in batches:
-        for ids, texts in _grouped(batch):
-            owner, _, _, _, hashed = Paragraphs(texts).runs
-            once = np.unique(np.stack([owner, hashed]), axis=1)[1] if len(hashed) else hashed
-            yield pa.record_batch([pa.array(once, pa.int64())], ["cluster"])
+        for _, texts in _grouped(batch):
+            owner, _, hashed = _chosen(texts)
+            order = np.lexsort((hashed, owner))
+            owner, hashed = owner[order], hashed[order]
+            new = np.ones(len(hashed), bool)
+            new[1:] = (hashed[1:] != hashed[:-1]) | (owner[1:] != owner[:-1])
+            yield pa.record_batch([pa.array(hashed[new], pa.int64())], ["cluster"])
 
 
 def _run_rows(filter_bits: Callable[[], bytes | None]) -> Callable:
@@ -222,12 +248,12 @@ def _run_rows(filter_bits: Callable[[], bytes | None]) -> Callable:
         bits = None if raw is None else np.frombuffer(raw, np.uint8)
         for batch in batches:
             for ids, texts in _grouped(batch):
-                columns = Paragraphs(texts).runs
-                if bits is not None and len(columns[0]):
-                    at = _filter_places(columns[-1], 8 * len(bits))
+                owner, word, unit = _chosen(texts)
+                if bits is not None and len(unit):
+                    at = _filter_places(unit, 8 * len(bits))
                     inside = ((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=0)
-                    columns = tuple(c[inside] for c in columns)
-                owner, start, end, word, unit = columns
+                    owner, word, unit = owner[inside], word[inside], unit[inside]
+                start, end = _places(texts, owner, word)
                 yield pa.record_batch([
                     pa.array([ids[t] for t in owner.tolist()], pa.int64()), pa.array(start, pa.int64()), pa.array(end, pa.int64()),
                     pa.array(np.full(len(unit), RUN), pa.int32()), pa.array(unit, pa.int64()), pa.array(word, pa.int32())], names)
@@ -292,7 +318,7 @@ def _sets(width: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, texts in _grouped(batch):
-                found = Paragraphs(texts, width, inline=False)
+                found = Paragraphs(texts, width)
                 parts = [np.unique(p).view(np.int64) for p in np.split(found.shingles, found.first[1:])] if len(found.unit) else []
                 yield pa.record_batch([pa.array(found.unit, pa.int64()), _lists(parts)], ["node", "hashes"])
 
