@@ -3,11 +3,13 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from voxtally.llm.common import settle
 from voxtally.llm.fingerprints import closed_syncmers, code_points, compare_with_next, fingerprint, fingerprint_documents, from_text, likeness, matched_places
 from voxtally.llm.languages import LanguageModel, _path, detect_languages, fit_languages, keep_known_languages, label_texts
 from voxtally.llm.quality import Features, dual_coordinate_descent, fit_quality, log_count_ratios, score_quality
@@ -112,6 +114,36 @@ def test_redaction(spark):
     assert got == {1: "é [SECRET] and [SECRET]!", 2: "nothing", 3: None}
 
 
+def test_a_text_of_many_secrets(spark):
+    draw = random.Random(9)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    kinds = [
+        lambda: "".join(draw.choice("0123456789abcdef") for _ in range(32)), lambda: "AKIA" + "".join(draw.choice("ABCDEFGH0123") for _ in range(14)),
+        lambda: "token=" + "".join(draw.choice("0123456789abcdef") for _ in range(40)), lambda: "".join(draw.choice(letters) for _ in range(30))]
+    text = " ".join(draw.choice(kinds)() + draw.choice([" é😀", "\n", ""]) for _ in range(50_000)) + " end"
+    docs = spark.createDataFrame([(1, text), (2, ORDINARY)], "doc_id bigint, text string")
+    random_ = spark.createDataFrame([(["".join(draw.choice(letters) for _ in range(32)) for _ in range(300)],)], "values array<string>")
+    ordinary = spark.createDataFrame([(re.findall(r"[A-Za-z0-9+/_=-]{3,}", ORDINARY),)], "values array<string>")
+    begun = time.monotonic()
+    found = settle(scan_secrets(docs, fit_secrets(random_, ordinary), into="_f"), "many")
+    got = found.select("doc_id", "_f", redact(F.col("text"), F.col("_f")).alias("t")).where("doc_id = 1").first()
+    assert time.monotonic() - begun < 60
+    base = [s for s in got["_f"] if s["kind"] != "random"]
+    assert ",".join(f"{s['kind']}:{s['start']}:{s['end']}" for s in base) == base_spans(text)
+    other = [s for s in got["_f"] if s["kind"] == "random"]
+    inside = [False] * len(text)
+    for s in base:
+        inside[s["start"]:s["end"]] = [True] * (s["end"] - s["start"])
+    runs = {(m.start(), m.end()) for m in re.finditer(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}", text)}
+    assert len(other) > 5_000 and all((s["start"], s["end"]) in runs and not any(inside[s["start"]:s["end"]]) for s in other)
+    want, at = [], 0
+    for s in got["_f"]:
+        if s["start"] >= at:
+            want += [text[at:s["start"]], "[SECRET]"]
+        at = max(at, s["end"])
+    assert got.t == "".join(want) + text[at:]
+
+
 def test_quality_separates_and_handles_edges(spark):
     draw = random.Random(4)
     word = lambda: "".join(draw.choice("abcdefghijklmnop") for _ in range(5))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -25,6 +26,7 @@ _WORD = f"{_CHAR}{{3,}}"
 _BOUND = 32  # a blank stands before and after a string
 _CODES = 128
 _SYMBOLS = 69
+_PART = 4_096  # code points of a part of a text
 
 #: Rows of each class that the models are fitted on, at most (about).
 FIT_ROWS = 2_000
@@ -32,8 +34,28 @@ FIT_ROWS = 2_000
 THRESHOLD = 10.0
 
 
-def _length_before(parts: Column, n: Column) -> Column:
-    return F.aggregate(F.slice(parts, F.lit(1), n), F.lit(0), lambda total, part: total + F.length(part))
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of the value, which is worked out once. A column named inside a lambda is worked out per element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _before(values: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """For each of some whole numbers, `merge` (sum or largest) of 0 and all before it.
+
+    Blocks of about the root of their count are merged first, so n numbers take n * sqrt(n) steps.
+    """
+    def merged(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0), lambda total, x: merge(total, x))
+
+    def scan(v: Column, step: Column) -> Column:
+        block = lambda i: ((i - i % step) / step).cast("int")
+        starts = F.sequence(F.lit(0), block(F.size(v)))
+        blocks = F.transform(starts, lambda k: merged(F.slice(v, k * step + 1, step)))
+        heads = lambda whole: F.transform(whole, lambda _, k: merged(F.slice(whole, F.lit(1), k)))
+        return _let(_let(blocks, heads), lambda head: F.transform(
+            v, lambda _, i: merge(F.get(head, block(i)), merged(F.slice(v, i - i % step + 1, i % step)))))
+
+    return _let(values, lambda v: _let(F.greatest(F.ceil(F.sqrt(F.size(v))).cast("int"), F.lit(1)), lambda step: scan(v, step)))
 
 
 def _located(text: Column, pattern: str, hits: Column) -> Column:
@@ -41,13 +63,33 @@ def _located(text: Column, pattern: str, hits: Column) -> Column:
 
     Splitting by the same pattern gives what lies between the matches, so lengths add up to places.
     """
-    pieces = F.split(text, pattern, -1)
-    return F.when(F.size(hits) == 0, F.expr("CAST(array() AS array<struct<start:int,end:int>>)")).otherwise(
-        F.transform(hits, lambda hit, i: _span(_length_before(pieces, i + 1) + _length_before(hits, i), hit)))
+    def placed(gaps: Column) -> Column:
+        steps = F.transform(hits, lambda hit, i: F.get(gaps, i) + F.length(hit))
+        start = lambda at, i: F.get(at, i) + F.get(gaps, i)
+        return _let(_before(steps, lambda a, b: a + b), lambda at: F.transform(
+            hits, lambda hit, i: F.struct(start(at, i).alias("start"), (start(at, i) + F.length(hit)).alias("end"))))
 
+    gaps = F.transform(F.split(text, pattern, -1), lambda piece: F.length(piece))
+    return F.when(F.size(hits) == 0, F.expr("CAST(array() AS array<struct<start:int,end:int>>)")).otherwise(_let(gaps, placed))
 
-def _span(start: Column, hit: Column) -> Column:
-    return F.struct(start.alias("start"), (start + F.length(hit)).alias("end"))
+
+def _touched(spans: Column, others: Column) -> Column:
+    """Whether each of `spans` overlaps one of `others`.
+
+    The others stand sorted in blocks of about the root of their count; a span looks into those it reaches.
+    """
+    def marks(blocks: Column) -> Column:
+        meets = lambda s, o: (o["start"] < s["end"]) & (s["start"] < o["end"])
+        return F.transform(spans, lambda s: F.exists(blocks, lambda b: meets(s, b) & F.exists(b["spans"], lambda o: meets(s, o))))
+
+    def in_blocks(found: Column, step: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(0), F.size(found), step), lambda k: F.slice(found, k + 1, step))
+        return F.transform(F.filter(parts, lambda part: F.size(part) > 0), lambda part: F.struct(
+            F.array_min(F.transform(part, lambda o: o["start"])).alias("start"),
+            F.array_max(F.transform(part, lambda o: o["end"])).alias("end"), part.alias("spans")))
+
+    step = lambda found: F.greatest(F.ceil(F.sqrt(F.size(found))).cast("int"), F.lit(1))
+    return _let(F.array_sort(others), lambda found: _let(_let(step(found), lambda n: in_blocks(found, n)), marks))
 
 
 def _matches(text: Column, pattern: str, group: int = 0) -> Column:
@@ -77,7 +119,7 @@ def with_base_spans(df: DataFrame, text: str) -> DataFrame:
     values = F.when(F.size("_assign") > 0, _matches(body, ASSIGN, 2)).otherwise(_none())
     spans = computed(
         found.withColumnRenamed("access", "_access").withColumnRenamed("hex", "_hex"),
-        assign=F.filter(_located(body, ASSIGN, F.col("_assign")), lambda span, i: F.length(F.get(values, i)) >= MIN_VALUE),
+        assign=_let(values, lambda vs: F.filter(_located(body, ASSIGN, F.col("_assign")), lambda span, i: F.length(F.get(vs, i)) >= MIN_VALUE)),
         access=_located(body, ACCESS, F.col("_access")), hex=_located(body, HEX, F.col("_hex")))
     return spans.drop("_body", "_assign", "_access", "_hex")
 
@@ -171,14 +213,13 @@ def scan_secrets(docs: DataFrame, model: SecretModel, text: str = "text", into:
     body = F.coalesce(own[docs.columns.index(text)], F.lit(""))
     based = with_base_spans(docs.toDF(*own), own[docs.columns.index(text)])
     runs = computed(based, _runs=_matches(body, CANDIDATE))
-    base = F.concat("assign", "access", "hex")
-    placed = _located(body, CANDIDATE, F.col("_runs"))
-    apart = lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
     # Places are only worked out for texts that have a random run at all.
-    is_random = F.exists("_runs", lambda run: _ratio(run, model) >= model.threshold)
-    judged = computed(runs, random=F.when(is_random, F.filter(
-        placed, lambda s, i: (_ratio(F.get(F.col("_runs"), i), model) >= model.threshold) & apart(s)))
-        .otherwise(F.expr("CAST(array() AS array<struct<start:int,end:int>>)")))
+    marked = computed(runs, _random=F.transform("_runs", lambda run: _ratio(run, model) >= model.threshold))
+    placed = F.filter(_located(body, CANDIDATE, F.col("_runs")), lambda s, i: F.get(F.col("_random"), i))
+    apart = _let(placed, lambda spans: _let(
+        _touched(spans, F.concat("assign", "access", "hex")), lambda touched: F.filter(spans, lambda s, i: ~F.get(touched, i))))
+    judged = computed(marked, random=F.when(F.exists("_random", lambda r: r), apart)
+                      .otherwise(F.expr("CAST(array() AS array<struct<start:int,end:int>>)")))
     tagged = [_tagged(n, kind) for n, kind in enumerate(KINDS)]
     return judged.select(*[F.col(c).alias(name) for c, name in zip(own, docs.columns)], F.array_sort(F.concat(*tagged)).alias(into))
 
@@ -189,12 +230,24 @@ def as_text(spans: Column) -> Column:
 
 
 def redact(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
-    """The text with every span, or union of overlapping spans, replaced by the mask."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        fresh = F.concat(acc["out"], F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], fresh).otherwise(acc["out"]).alias("out"))
+    """The text with every span, or union of overlapping spans, replaced by the mask.
 
-    whole = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) == 0, text).otherwise(whole)
+    `spans` are sorted by start. What lies between them is read from parts of the text, so that no
+    span walks through the whole of it.
+    """
+    def between(parts: Column, low: Column, high: Column) -> Column:
+        first, last = ((at - at % _PART) / _PART for at in (low, high))
+        first, last = first.cast("int"), last.cast("int")
+        head = F.coalesce(F.substr(F.get(parts, first), low % _PART + 1, F.lit(_PART)), F.lit(""))
+        tail = F.coalesce(F.substr(F.get(parts, last), F.lit(1), high % _PART), F.lit(""))
+        return F.when(first == last, F.coalesce(F.substr(F.get(parts, first), low % _PART + 1, high - low), F.lit(""))).otherwise(
+            F.concat(head, F.array_join(F.slice(parts, first + 2, last - first - 1), ""), tail))
+
+    def whole(parts: Column, ends: Column) -> Column:
+        # A span that begins before the end of an earlier one adds nothing; the gap before any other ends in a mask.
+        kept = F.zip_with(spans, ends, lambda s, end: F.when(s["start"] >= end, F.concat(between(parts, end, s["start"]), F.lit(mask))).otherwise(F.lit("")))
+        return F.concat(F.array_join(kept, ""), between(parts, F.array_max(F.transform(spans, lambda s: s["end"])), F.length(text)))
+
+    ends = _before(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+    cut = _matches(text, f"(?s).{{1,{_PART}}}")
+    return F.when(F.size(spans) == 0, text).otherwise(_let(cut, lambda parts: _let(ends, lambda e: whole(parts, e))))
