@@ -244,18 +244,23 @@ def detect_languages(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_i
 
 
 def keep_known_languages(docs: DataFrame, model: LanguageModel, text: str = "text", least_score: float = 0.25) -> DataFrame:
-    """The rows of `docs` whose text has a language: not `und`, and a score of `least_score` or more.
+    """The rows of `docs` whose text has a language: not `und`, and a score of `least_score` or more,
+    or spans of several languages.
 
-    All columns pass unchanged; no shuffle.
+    A change of language pays the switching penalty, so a text of several spans is known by its
+    parts, however small the share of its main language. A model without languages rejects only
+    texts without letters. All columns pass unchanged; no shuffle.
     """
+    if not model.langs:
+        return docs.where(F.col(text).rlike(r"\p{L}"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = [
-                lang != UNKNOWN and score >= least_score
-                for group in _groups(batch.column(at)) for lang, score, _ in label_texts(group, shared.value)]
+                lang != UNKNOWN and (score >= least_score or len({part[2] for part in spans}) > 1)
+                for group in _groups(batch.column(at)) for lang, score, spans in label_texts(group, shared.value)]
             yield batch.filter(pa.array(good, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
