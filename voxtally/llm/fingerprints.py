@@ -24,6 +24,8 @@ SHORT_S = 2
 
 #: Characters of fingerprints after which a task hands its rows on.
 OUT_CHARS = 4_000_000
+#: Text of a range of ids that is compared in one task, about.
+TASK_BYTES = 1 << 25
 
 _PRIME = np.uint64(0x100000001B3)
 
@@ -184,12 +186,14 @@ def compare_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     first, and a lone row follows itself. Rows without an id come first. A null text counts as empty.
 
     Ids are cut into ranges of about equal size, whose lower ends are the only thing on the driver
-    (one per shuffle partition). The first row of a range is copied to the end of the range before
-    it, so every range is a stream of its own and no window spans the table.
+    (one per TASK_BYTES of text, or per shuffle partition where those are more). The first row of a
+    range is copied to the end of the range before it, so every range is a stream and a task of its
+    own and no window spans the table.
     """
     spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES))
     ends = (rows.where("id IS NOT NULL").select("id").repartitionByRange(n, "id").groupBy(F.spark_partition_id().alias("p"))
                 .agg(F.min("id").alias("low")).select("low"))
     lows = np.array(sorted(r.low for r in ends.collect()), dtype=np.int64)
@@ -208,6 +212,6 @@ def compare_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     before = F.when(F.col("bucket") == 0, last).otherwise(F.col("bucket") - 1)
     own = F.struct("bucket", F.lit(0).alias("copy"))
     spots = F.when(head, F.array(own, F.struct(before.alias("bucket"), F.lit(1).alias("copy")))).otherwise(F.array(own))
-    streams = (placed.select(F.inline(spots), "id", "text").repartition(n, "bucket")
+    streams = (placed.select(F.inline(spots), "id", "text").repartitionById(n, "bucket")
                      .sortWithinPartitions("bucket", "copy", F.asc_nulls_first("id"), "text"))
     return streams.select("bucket", "copy", "id", "text").mapInArrow(_walk(how), _COMPARED).withColumnRenamed("id", doc_id)
