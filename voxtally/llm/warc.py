@@ -12,7 +12,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from voxtally.llm.common import bounded_sample
+from voxtally.llm.common import bounded_sample, settle
 from voxtally.session import shared_path
 
 # Frame magics (little endian) of the Zstandard format, and the skippable frame of a WARC dictionary.
@@ -24,6 +24,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Pages that the dictionary is made from, at most (about), and its size in bytes.
 SAMPLE_ROWS = 400
 DICT_BYTES = 65_536
+#: Digests of several pages that are broadcast, at most (some 30 MB).
+REPEATED = 500_000
 #: Every record carries this time, so that a repeated task writes the same bytes.
 DATE = "2024-01-01T00:00:00Z"
 
@@ -147,13 +149,19 @@ def train_dictionary(pages: DataFrame, page_id: str, html: str, rows: int = SAMP
 
 
 def with_references(pages: DataFrame, page_id: str, html: str, least_bytes: int = 0) -> DataFrame:
-    """(page_id, payload, refers_to): null for the page with the least id among equal payloads of at
-    least `least_bytes`, and for shorter ones."""
+    """`pages` with (_payload, _refers): null for the page with the least id among equal payloads of
+    at least `least_bytes`, and for shorter ones.
+
+    Digests and ids alone are grouped. Digests of one page are dropped; up to REPEATED of the others
+    are broadcast, so that no payload is shuffled. Beyond that they are joined by shuffle.
+    """
     payload = F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8")
-    rows = pages.withColumn("_payload", payload).withColumn("_sha1", F.sha1("_payload"))
-    first = rows.groupBy("_sha1").agg(F.min(page_id).alias("_first"))
-    later = (F.col(page_id) != F.col("_first")) & (F.octet_length("_payload") >= least_bytes)
-    return rows.join(first, "_sha1", "left").withColumn("_refers", F.when(later, F.col("_first"))).drop("_sha1", "_first")
+    rows = pages.withColumn("_payload", payload).withColumn("_sha1", F.unhex(F.sha1("_payload")))
+    long = rows.where(F.octet_length("_payload") >= least_bytes)
+    groups = long.groupBy("_sha1").agg(F.min(page_id).alias("_first"), F.max(page_id).alias("_last"))
+    first = settle(groups.where("_first < _last").select("_sha1", "_first"), "repeated")
+    joined = rows.join(F.broadcast(first) if first.count() <= REPEATED else first, "_sha1", "left")
+    return joined.withColumn("_refers", F.when(F.col(page_id) != F.col("_first"), F.col("_first"))).drop("_sha1", "_first")
 
 
 def write_archives(
