@@ -150,28 +150,65 @@ def test_index_scores_equal_the_formula():
     assert index.neighbours(0).tolist() == want
 
 
+def _owners(rows):
+    owner = {r.slot: r.source for r in rows}
+    assert sorted(owner) == list(range(len(owner))) and len({(r.slot, r.place) for r in rows}) == len(rows)
+    return owner
+
+
+def _worst(owner, horizon, weights):
+    """The largest deviation in blocks; a slot is half a block."""
+    done, total, worst = defaultdict(int), sum(weights.values()), 0
+    for t in range(horizon):
+        done[owner[t]] += 1
+        worst = max(worst, *(abs(done[s] - w * (t + 1) / total) for s, w in weights.items()))
+    return worst / 2
+
+
 def test_mixture_deviates_by_less_than_a_block(spark):
     sizes = {"a": 700, "b": 150, "c": 90, "d": 30, None: 40}
     rows = [(100_000 * k + i, s, f"t{i}", 0) for k, (s, n) in enumerate(sizes.items()) for i in range(n)]
     docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string, slot int").repartition(5)
-    weights = spark.createDataFrame([("a", 45), ("b", 25), ("c", 17), ("d", 6), (None, 7)], "source string, weight bigint")
-    got = mix_sources(docs, weights, block_rows=4, slots=100).collect()
-    assert len(got) == len(rows) and len({(r.slot, r.place) for r in got}) == len(rows)
+    shares = {"a": 45, "b": 25, "c": 17, "d": 6, None: 7}
+    weights = spark.createDataFrame(list(shares.items()), "source string, weight bigint")
+    got = mix_sources(docs, weights, block_rows=4).collect()
+    assert len(got) == len(rows)
     horizon = max(r.slot for r in got if r.in_mix) + 1
-    owner = {r.slot: r.source for r in got if r.in_mix}
-    assert sorted(owner) == list(range(horizon)) and horizon > 20
-    done = defaultdict(int)
-    for t in range(horizon):
-        done[owner[t]] += 1
-        for source, weight in {"a": 45, "b": 25, "c": 17, "d": 6, None: 7}.items():
-            assert abs(done[source] - weight * (t + 1) / 100) < 1
-    kept = keep_mixture(docs, mix_sources(docs, weights, block_rows=4, slots=100))
+    assert horizon > 80 and _worst(_owners(got), horizon, shares) < 1
+    kept = keep_mixture(docs, mix_sources(docs, weights, block_rows=4))
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in got if r.in_mix}
     part = {r.source: r for r in mix_sources(docs, weights.where("source = 'a'"), block_rows=4).collect()}
     assert part["b"].slot is None and not part["b"].in_mix
 
 
+def test_mixture_of_odd_weights_over_a_long_run(spark):
+    sizes = {"a": 100_003, "b": 70_001, "c": 50_009, "d": 33_331, "e": 21_011, "f": 9_991, "g": 4_009, "one": 1, None: 2}
+    docs = spark.createDataFrame(list(sizes.items()), "source string, n int").selectExpr("source", "explode(sequence(1, n)) i")
+    docs = docs.selectExpr("source", "i * 16 + coalesce(ascii(source) % 16, 0) doc_id")
+    shares = {s: n for s, n in sizes.items() if n > 2}
+    weights = spark.createDataFrame(list(shares.items()), "source string, weight bigint")
+    got = mix_sources(docs.where("length(source) = 1"), weights, block_rows=2).select("slot", "place", "source", "in_mix").collect()
+    owner, horizon = _owners(got), max(r.slot for r in got if r.in_mix) + 1
+    assert len(got) == sum(shares.values()) and horizon > 0.999 * len(owner) and _worst(owner, horizon, shares) < 0.75
+    whole = mix_sources(docs).select("slot", "source", "place", "in_mix").collect()
+    _owners(whole)
+    small = [r for r in whole if r.source in ("one", None)]
+    # The weight of "a" is a quarter, so only what it has beyond that is out of the mix; small sources do not end it.
+    assert len(small) == 3 and all(r.in_mix for r in small) and sum(r.in_mix for r in whole) > 0.84 * len(whole)
+
+
+def test_mixture_of_many_sources(spark):
+    """A hot source beside 5,000 small ones."""
+    docs = spark.range(60_000).selectExpr("id doc_id", "IF(id < 20000, 'hot', concat('s', id % 5000)) source")
+    got = mix_sources(docs).select("slot", "source", "place", "in_mix").collect()
+    owner = _owners(got)
+    horizon, at = max(r.slot for r in got if r.in_mix) + 1, sorted(t for t, s in owner.items() if s == "hot")
+    share = 0.25 / (0.25 + 10_000 / len(owner))
+    assert len(got) == 60_000 and max(abs(k + 1 - share * (t + 1)) for k, t in enumerate(at) if t < horizon) < 2
+    assert horizon > 12_000
+
+
 def test_mixture_edges(spark):
     schema = "doc_id bigint, source string"
     odd = spark.createDataFrame([(None, "a"), (None, None), (1, "a"), (1, "a"), (2, None)], schema)

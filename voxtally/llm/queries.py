@@ -143,29 +143,33 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH RECURSIVE numbered AS (
   SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5(doc_id::VARCHAR), doc_id) - 1 AS r FROM documents),
 counts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
-weighed AS (SELECT source, n, least(n * 100, (sum(n) OVER ())::BIGINT * 25) AS w FROM counts),
-slotted AS (
-  SELECT source, n, greatest(1, (4000 * w + sum(w) OVER ()) // (2 * sum(w) OVER ()))::BIGINT AS q,
-    row_number() OVER (ORDER BY source) AS i FROM weighed),
-one AS (SELECT list(q ORDER BY i) AS q, sum(q)::BIGINT AS period, count(*) AS m FROM slotted),
+sized AS (SELECT source, (n + 3) // 4 AS n FROM counts),
+weighed AS (SELECT source, n::HUGEINT AS n, least(n * 100, (sum(n) OVER ())::BIGINT * 25)::HUGEINT AS w FROM sized),
+deep AS (SELECT *, len(list_filter(range(0, 62), lambda e: w * (1::HUGEINT << e::INT) < whole)) AS d
+  FROM (SELECT *, (sum(w) OVER ())::HUGEINT AS whole FROM weighed)),
+widths AS (SELECT *, max(d) OVER () AS deepest FROM deep),
+ranked AS (SELECT *, row_number() OVER (ORDER BY d, source NULLS FIRST) AS i,
+  (sum(1::BIGINT << (deepest - d)::INT) OVER (ORDER BY d, source NULLS FIRST))::BIGINT - (1::BIGINT << (deepest - d)::INT) AS code FROM widths),
+climbs AS (SELECT i, n, w, l, code >> l::INT AS node FROM (SELECT *, unnest(range(deepest - d, deepest)) AS l FROM ranked)),
+nodes AS (SELECT l, node, sum(n)::HUGEINT AS n, sum(w)::HUGEINT AS w FROM climbs GROUP BY l, node),
 steps AS (
-  SELECT -1::BIGINT AS t, list_transform(q, lambda x: 0::BIGINT) AS done, 0::BIGINT AS i, q, period, m FROM one
+  SELECT c.i, c.l, a.node % 2 AS late, a.w AS own, a.w + b.w AS whole, b.n AS other
+  FROM climbs c JOIN nodes a ON a.l = c.l AND a.node = c.node
+  LEFT JOIN nodes b ON b.l = c.l AND b.node = a.node + 1 - 2 * (a.node % 2)),
+blocks AS (
+  SELECT i, unnest(range(0, n::BIGINT)) AS block, false AS beyond FROM ranked UNION ALL SELECT i, n::BIGINT, true FROM ranked),
+places AS (
+  SELECT i, block, beyond, 0 AS l, block::HUGEINT AS p FROM blocks
   UNION ALL
-  SELECT t + 1, list_transform(done, lambda c, k: CASE WHEN k = p THEN c + 1 ELSE c END), p, q, period, m
-  FROM (
-    SELECT *, list_min(list_transform(
-      list_filter(range(1, m + 1), lambda k: done[k] < q[k] AND done[k] * period < (t + 2) * q[k]),
-      lambda k: (((done[k] + 1) * period + q[k] - 1) // q[k]) * m + k - 1)) % m + 1 AS p
-    FROM steps WHERE t + 1 < period)),
-turns AS (SELECT i, t, row_number() OVER (PARTITION BY i ORDER BY t) - 1 AS j FROM steps WHERE t >= 0),
-plan AS (SELECT s.*, o.period FROM slotted s, one o),
-horizon AS (
-  SELECT min((b // q) * p.period + t.t) AS horizon FROM (SELECT *, (n + 7) // 8 AS b FROM plan) p
-  JOIN turns t ON t.i = p.i AND t.j = p.b % p.q),
-placed AS (
-  SELECT d.doc_id, d.source, d.r // 8 AS block, d.r % 8 AS place, ((d.r // 8) // p.q) * p.period + t.t AS slot
-  FROM numbered d JOIN plan p ON p.source = d.source JOIN turns t ON t.i = p.i AND t.j = (d.r // 8) % p.q)
-SELECT doc_id, source, block, place, slot, slot < horizon AS in_mix FROM placed, horizon
+  SELECT c.i, c.block, c.beyond, c.l + 1, CASE WHEN s.other IS NULL THEN c.p
+    WHEN c.beyond THEN ((2 * c.p + 1) * s.whole - 1 + s.late) // (2 * s.own)
+    ELSE least(((2 * c.p + 1) * s.whole - 1 + s.late) // (2 * s.own), s.other + c.p) END
+  FROM places c LEFT JOIN steps s ON s.i = c.i AND s.l = c.l WHERE c.l < 62),
+slots AS (SELECT i, block, beyond, p::BIGINT AS slot FROM places WHERE l = 62),
+horizon AS (SELECT min(slot) AS horizon FROM slots WHERE beyond)
+SELECT d.doc_id, d.source, d.r // 8 AS block, d.r % 8 AS place, s.slot, s.slot < h.horizon AS in_mix
+FROM numbered d JOIN ranked k ON k.source IS NOT DISTINCT FROM d.source
+JOIN slots s ON s.i = k.i AND s.block = d.r // 4 AND NOT s.beyond, horizon h
 """)
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
