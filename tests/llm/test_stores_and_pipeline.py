@@ -1,11 +1,13 @@
 """Archives, packing, mixing, code search and the pipeline."""
 
+import json
 import struct
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -13,7 +15,7 @@ from tokenizers import Tokenizer
 
 from voxtally.llm.binary_search import _segments, search, sign_codes
 from voxtally.llm.mixing import keep_mixture, mix_sources, share_whole_sources
-from voxtally.llm.packing import ByteTokens, Shard, pack
+from voxtally.llm.packing import ByteTokens, Shard, near_keys, pack, term_orders, vocabulary_size
 from voxtally.llm.warc import (
     BadArchive, dictionary_frame, export_archives, make_record, parse_record, payload_digest, read_archive, read_archives,
     train_dictionary, write_archives)
@@ -150,6 +152,53 @@ def test_index_scores_equal_the_formula():
     assert index.neighbours(0).tolist() == want
 
 
+def test_sort_keys_are_the_least_ranks_of_each_order():
+    draw = np.random.default_rng(4)
+    frequency = draw.integers(0, 50, 300).astype(float)
+    ranks = term_orders(frequency, np.log(1 + (60 - frequency + 0.5) / (frequency + 0.5)))
+    lists = [np.unique(np.append(draw.integers(0, 300, n), 0)).astype(np.uint16) for n in (1, 5, 40, 200)]
+    keys = near_keys(pa.array([x.tobytes() for x in lists], pa.binary()), ranks)
+    for x, key in zip(lists, keys.tolist()):
+        assert key == sum(int(min(order[t] for t in x)) << (16 * (3 - i)) for i, order in enumerate(ranks)) >> 1
+    alone = int(np.flatnonzero(frequency <= 1)[0])
+    assert all(order[alone] > order[t] for order in ranks for t in np.flatnonzero(frequency > 1))
+    assert len(near_keys(pa.array([], pa.binary()), ranks)) == 0
+
+
+def test_near_copies_share_a_sequence(spark):
+    draw = np.random.default_rng(5)
+    words = [f"w{i}x{i * 7919 % 1000}" for i in range(20_000)]
+    def text(n):
+        return [words[int(i)] for i in draw.zipf(1.3, n) % 20_000]
+    rows, pairs = [(i, " ".join(text(100))) for i in range(3_000)], []
+    for i in range(60):
+        whole = text(100)
+        edited = whole[:40] + text(1) + whole[41:]
+        rows += [(10_000 + i, " ".join(whole)), (20_000 + (i * 37) % 60, " ".join(edited))]
+        pairs.append((10_000 + i, 20_000 + (i * 37) % 60))
+    sequences = defaultdict(set)
+    for p in pack(spark.createDataFrame(rows, "doc_id bigint, text string"), VOCABULARY).collect():
+        sequences[p.doc_id].add(p.sequence_id)
+    assert sum(bool(sequences[a] & sequences[b]) for a, b in pairs) >= 40
+
+
+def test_other_vocabularies(tmp_path):
+    assert vocabulary_size(VOCABULARY) == 50_257
+    with open(VOCABULARY, encoding="utf-8") as file:
+        whole = json.load(file)
+    whole["model"]["merges"] = [whole["model"]["merges"][i] for i in (1, 0)] + whole["model"]["merges"][2:]
+    (tmp_path / "turned.json").write_text(json.dumps(whole), encoding="utf-8")
+    text = "the other theatre, then 12 Größen"
+    turned = Tokenizer.from_file(str(tmp_path / "turned.json"))
+    assert ByteTokens(str(tmp_path / "turned.json")).of(text).tolist() == turned.encode(text, add_special_tokens=False).ids
+    whole["added_tokens"] = [{**whole["added_tokens"][0], "id": 70_000}]
+    for i in range(20_000):
+        whole["model"]["vocab"][f"extra{i}"] = 50_257 + i
+    (tmp_path / "large.json").write_text(json.dumps(whole), encoding="utf-8")
+    with pytest.raises(ValueError, match="packing keeps ids"):
+        vocabulary_size(str(tmp_path / "large.json"))
+
+
 def _owners(rows):
     owner = {r.slot: r.source for r in rows}
     assert sorted(owner) == list(range(len(owner))) and len({(r.slot, r.place) for r in rows}) == len(rows)

@@ -16,7 +16,13 @@ from voxtally.llm.common import settle
 
 WINDOW = 1024
 END = 0
-VOCABULARY = 50_257
+#: Ids are kept in 16 bits.
+MAX_VOCABULARY = 1 << 16
+#: Weighted min-hashes that order the pieces, 16 bits each.
+ORDERS = 4
+#: Rows are handed on after so many of them, or so many tokens.
+BATCH_ROWS = 500
+BATCH_TOKENS = 4_000_000
 #: Pieces that share one index, at most.
 SHARD = 256
 K1 = 1.2
@@ -41,9 +47,9 @@ def _byte_letters() -> dict[str, int]:
 class ByteTokens:
     """Token ids of a byte-level BPE vocabulary file (the JSON of the tokenizers library).
 
-    Ids of such a vocabulary are its merge ranks, so a ranked coder gives the same ids faster. Texts
-    with a long run of white space, on which that coder's pattern overflows its stack, are left to
-    the tokenizers library. With `added`, so are texts that hold an added token of the file, such as
+    Where ids follow the order of the merges, a ranked coder gives the same ids faster; a file without
+    that order is read by the tokenizers library alone. So are texts with a long run of white space, on
+    which the coder's pattern overflows its stack. With `added`, so are texts that hold an added token of the file, such as
     <|endoftext|>, which is then one id; otherwise its letters are ordinary text.
     """
 
@@ -57,7 +63,14 @@ class ByteTokens:
 
         letters = _byte_letters()
         with open(path, encoding="utf-8") as file:
-            vocabulary = json.load(file)["model"]["vocab"]
+            whole = json.load(file)
+        vocabulary = whole["model"]["vocab"]
+        merges = [m if isinstance(m, str) else " ".join(m) for m in whole["model"].get("merges", [])]
+        places = [vocabulary.get(m.replace(" ", "", 1), -1) for m in merges]
+        bytewise = (whole.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and whole.get("normalizer") is None
+        self._coder = None
+        if not (bytewise and merges and places[0] >= 0 and all(a < b for a, b in zip(places, places[1:]))):
+            return
         ranks = {bytes(letters[c] for c in token): i for token, i in vocabulary.items() if all(c in letters for c in token)}
         ranks.pop(b"<|endoftext|>", None)
         self._coder = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -66,51 +79,90 @@ class ByteTokens:
         if not text:
             return np.empty(0, np.uint16)
         long = any(m.end() - m.start() >= LONG_BLANK for m in _BLANK.finditer(text))
-        if long or any(token in text for token in self._added):
+        if self._coder is None or long or any(token in text for token in self._added):
             return np.array(self._whole.encode(text, add_special_tokens=False).ids, np.uint16)
         return np.array(self._coder.encode_ordinary(text), np.uint16)
 
 
-_TOKENISED = "doc_id bigint, tokens bigint, tail binary, terms binary, counts binary, crcs array<bigint>, near bigint"
+def vocabulary_size(path: str) -> int:
+    """Entries of a vocabulary file, added tokens included; more than 16 bits can tell apart is an error."""
+    from tokenizers import Tokenizer
+
+    size = max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values(), default=-1) + 1
+    if size > MAX_VOCABULARY:
+        raise ValueError(f"{path} has ids up to {size - 1:,}; packing keeps ids below {MAX_VOCABULARY:,}")
+    return size
+
+
+_TOKENISED = "doc_id bigint, tokens bigint, tail binary, terms binary, counts binary, crcs array<bigint>"
 
 
 def _tokenise(path: str, window: int, added: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = ByteTokens(path, added)
         names = [part.split()[0] for part in _TOKENISED.split(", ")]
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.int64())
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
         for batch in batches:
-            rows = []
+            rows, tokens = [], 0
             for i in range(batch.num_rows):
                 ids = np.append(coder.of(batch.column(1)[i].as_py() or ""), np.uint16(END))
                 whole = len(ids) // window * window
                 crcs = [zlib.crc32(ids[a : a + window].astype("<u4").tobytes()) for a in range(0, whole, window)]
                 terms, counts = np.unique(ids, return_counts=True)
-                # Documents that share their least term hash tend to share words; they are sorted together.
-                near = int((terms[1:].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).min() >> np.uint64(1)) if len(terms) > 1 else 0
                 rows.append((
                     batch.column(0)[i].as_py(), len(ids), ids[whole:].tobytes(), terms.tobytes(),
-                    np.minimum(counts, 65_535).astype(np.uint16).tobytes(), crcs, near))
-                if len(rows) >= 500:
+                    np.minimum(counts, 65_535).astype(np.uint16).tobytes(), crcs))
+                tokens += len(ids)
+                if len(rows) >= BATCH_ROWS or tokens >= BATCH_TOKENS:
                     yield pa.record_batch([pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)], names)
-                    rows = []
+                    rows, tokens = [], 0
             if rows:
                 yield pa.record_batch([pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)], names)
 
     return run
 
 
-def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _frequencies(size: int) -> Callable:
     """Documents with each term, and as term -1 and -2 the documents and their tokens, of a partition."""
-    sums, docs, tokens = np.zeros(VOCABULARY, np.int64), 0, 0
-    for batch in batches:
-        for terms in batch.column(0):
-            sums[np.frombuffer(terms.as_buffer(), np.uint16)] += 1
-        docs += batch.num_rows
-        tokens += int(np.asarray(batch.column(1)).sum())
-    used = np.flatnonzero(sums)
-    yield pa.record_batch(
-        [pa.array(np.concatenate([used, [-1, -2]]), pa.int64()), pa.array(np.concatenate([sums[used], [docs, tokens]]), pa.int64())], ["term", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, docs, tokens = np.zeros(size, np.int64), 0, 0
+        for batch in batches:
+            for terms in batch.column(0):
+                sums[np.frombuffer(terms.as_buffer(), np.uint16)] += 1
+            docs += batch.num_rows
+            tokens += int(np.asarray(batch.column(1)).sum())
+        used = np.flatnonzero(sums)
+        yield pa.record_batch(
+            [pa.array(np.concatenate([used, [-1, -2]]), pa.int64()), pa.array(np.concatenate([sums[used], [docs, tokens]]), pa.int64())], ["term", "n"])
+
+    return run
+
+
+def term_orders(frequency: np.ndarray, idf: np.ndarray, orders: int = ORDERS) -> np.ndarray:
+    """`orders` random orders of the vocabulary, as ranks, in which rare terms tend to come first.
+
+    Each is an exponential race: a term's chance to win over others is its squared idf, so two
+    documents agree on their first term as often as their weighted term sets overlap. Terms of one
+    document only can't be shared and come last.
+    """
+    weight = np.where(frequency > 1, idf**2, 0)
+    drawn = np.random.default_rng(1).exponential(size=(orders, len(idf)))
+    race = np.divide(drawn, weight, out=np.full_like(drawn, np.inf), where=weight > 0)
+    return np.argsort(np.argsort(race, axis=1, kind="stable"), axis=1, kind="stable").astype(np.uint16)
+
+
+def near_keys(terms: pa.Array, ranks: np.ndarray) -> np.ndarray:
+    """Sort key of each term list: its least rank in every order, 16 bits each, in 63 bits."""
+    lists = terms.to_pylist()
+    if not lists:
+        return np.empty(0, np.int64)
+    flat = np.frombuffer(b"".join(lists), np.uint16)
+    starts = np.cumsum([0] + [len(x) // 2 for x in lists[:-1]])
+    key = np.zeros(len(lists), np.uint64)
+    for order in ranks:
+        key = key << np.uint64(16) | np.minimum.reduceat(order[flat], starts).astype(np.uint64)
+    return (key >> np.uint64(1)).astype(np.int64)
 
 
 class Shard:
@@ -127,7 +179,7 @@ class Shard:
         weight = idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
         order = np.argsort(terms, kind="stable")
         self._owner, self._weight, terms = owner[order], weight[order], terms[order]
-        self._first = np.searchsorted(terms, np.arange(VOCABULARY + 1))
+        self._first = np.searchsorted(terms, np.arange(len(idf) + 1))
         self.free = np.ones(len(pieces), bool)
 
     def neighbours(self, seed: int) -> np.ndarray:
@@ -249,28 +301,36 @@ def pack(
     A document's ids are those of the vocabulary file, then id 0; `added` reads the file's added
     tokens in a text as their ids, as the tokenizers library does by default. Whole windows of a long document
     are sequences of their own; its rest, and every shorter document, goes to a shard of about
-    `shard` pieces. The rows are range-partitioned by a term hash, so that lexical neighbours sit
-    close; shards follow each other in a partition, and what does not fill a window moves on to the
+    `shard` pieces (a piece holds at most one entry per term of the vocabulary). The rows are
+    range-partitioned by four weighted min-hashes of their terms (`term_orders`), so that documents
+    which share rare terms sit close; shards follow each other in a partition, and what does not fill a window moves on to the
     next, so a partition pads one sequence at most. Each shard has a BM25 inverted index over whole
     documents, with document frequencies and the mean length of all of them (at most one row per
     vocabulary entry reaches the driver).
 
     Null and empty texts have the id 0 alone. Rows with a null id and repeated ids are packed like
     others. Tokenised rows are written once to the shared folder, so a repeated task sees the same
-    order. An empty table gives no pieces. Other columns are not read.
+    order. A vocabulary of more than 65,536 ids is an error. An empty table gives no pieces. Other columns are not read.
     """
-    spark = docs.sparkSession
+    spark, size = docs.sparkSession, vocabulary_size(tokenizer_path)
     slim = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     rows = settle(slim.mapInArrow(_tokenise(tokenizer_path, window, added), _TOKENISED), "tokens")
-    sums = (rows.select("terms", "tokens").mapInArrow(_frequencies, "term bigint, n bigint")
+    sums = (rows.select("terms", "tokens").mapInArrow(_frequencies(size), "term bigint, n bigint")
                 .groupBy("term").agg(F.sum("n").alias("n")).toArrow())
     terms, n = sums.column("term").to_numpy(), sums.column("n").to_numpy()
     totals = defaultdict(int, {int(t): int(c) for t, c in zip(terms, n) if t < 0})
-    frequency = np.zeros(VOCABULARY)
+    frequency = np.zeros(size)
     frequency[terms[terms >= 0]] = n[terms >= 0]
     idf = np.log(1 + (totals[-1] - frequency + 0.5) / (frequency + 0.5))
     shared = spark.sparkContext.broadcast((idf, totals[-2] / max(totals[-1], 1)))
-    packed = (rows.repartitionByRange("near", "doc_id").sortWithinPartitions("near", "doc_id", "tokens", "tail")
+    orders = spark.sparkContext.broadcast(term_orders(frequency, idf))
+
+    @F.arrow_udf("bigint")
+    def near(terms: pa.Array) -> pa.Array:
+        return pa.array(near_keys(terms, orders.value), pa.int64())
+
+    packed = (rows.withColumn("near", near("terms")).repartitionByRange("near", "doc_id")
+                  .sortWithinPartitions("near", "doc_id", "tokens", "tail")
                   .mapInArrow(_packer(shared, window, shard), _PIECES))
     # A sequence lies in one partition: its number there and the partition's make it unique.
     return packed.select(
