@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from voxtally.llm.components import connected_components
-from voxtally.llm.near_duplicates import drop_near_duplicates, near_duplicates, untested_pairs
+from voxtally.llm.near_duplicates import bucket_stars, drop_near_duplicates, hot_keys, join_hot, near_duplicates, new_centers, untested_pairs
 from voxtally.llm.passages import Paragraphs, repeated_passages, tune_bands
 from voxtally.llm.shingles import super_minhash
 
@@ -218,3 +218,21 @@ def test_runs_are_the_same_with_filter_and_by_join(spark):
             runs.setdefault(tuple(words[k : k + 35]), set()).add(i)
     want = {i for ids in runs.values() if len(ids - {None}) > 1 for i in ids - {None}}
     assert {r.doc_id for r in repeated_passages(frame(spark, rows)).collect()} == want
+
+
+def test_rows_of_hot_keys_join_like_all_others(spark):
+    rows = spark.range(6_000).selectExpr("id", "CASE WHEN id < 3000 THEN -1 WHEN id < 3100 THEN -2 ELSE id END key")
+    lookup = spark.createDataFrame([(-1, "hot"), (4_000, "one"), (9_000, "none")], "key bigint, v string")
+    hot = hot_keys(rows.groupBy("key").count(), "key", "count")
+    assert {r.key: r._parts for r in hot.collect()} == {-1: 500, -2: 17}
+    for how in ("inner", "left", "left_semi"):
+        assert sorted(map(str, join_hot(rows, lookup, "key", hot, how).collect())) == sorted(map(str, rows.join(lookup, "key", how).collect()))
+    assert hot_keys(rows.limit(0).groupBy("key").count(), "key", "count").count() == 0
+
+
+def test_members_outside_the_component_of_their_center_get_another(spark):
+    rows = [(7, n, 10 + n) for n in range(1, 7)] + [(8, 1, 11), (8, 2, 12), (9, 5, 15)]
+    stars = bucket_stars(spark.createDataFrame(rows, "key bigint, node bigint, n bigint"))
+    assert {(r.key, r.center, r.m) for r in stars.collect()} == {(7, 1, 11), (8, 1, 11)}
+    found = spark.createDataFrame([(1, 1), (2, 1), (4, 4), (6, 4)], "node bigint, component bigint")
+    assert sorted(tuple(r) for r in new_centers(stars, found).collect()) == [(7, n, 10 + n, 3, 13) for n in (3, 4, 5, 6)]

@@ -17,6 +17,10 @@ ROWS = 4
 PERCENT = 85
 #: Up to so many candidate ids (8 bytes each) are broadcast to pick their texts; beyond, a shuffle.
 BROADCAST_IDS = 1_000_000
+#: A key is hot from this part of all rows on, so there are never more hot keys than that.
+HOT_PART = 1_000
+#: Buckets get new centres as long as a round confirms at least one in so many of the pairs it tried.
+ROUND_PART = 10
 
 
 def _lists(values: list[np.ndarray]) -> pa.ListArray:
@@ -78,13 +82,63 @@ def _could(percent: int, m: str = "m", n: str = "n") -> F.Column:
     return F.expr(f"100 * least({m}, {n}) >= {percent} * greatest({m}, {n})")
 
 
+def hot_keys(counts: DataFrame, key: str, n: str) -> DataFrame:
+    """The keys that hold over a thousandth of all rows, written once: fewer than 1,000, with _parts, the
+    thousandths that they hold, rounded up (in all below 2,000).
+
+    `counts` has a row per key with its number of rows.
+    """
+    total = counts.agg(F.sum(n)).first()[0] or 1
+    parts = F.ceil(F.col(n) * HOT_PART / total).cast("int").alias("_parts")
+    return settle(counts.where(F.col(n) * HOT_PART > total).select(key, parts), "hot")
+
+
+def join_hot(rows: DataFrame, lookup: DataFrame, key: str, hot: DataFrame, how: str = "inner") -> DataFrame:
+    """`rows` joined to a narrow lookup with unique keys. Rows of hot keys stay where they are and meet
+    the fewer than 1,000 lookup rows of those keys by broadcast; all others go by shuffle.
+    """
+    hot = hot.select(key)
+    few = lookup.join(F.broadcast(hot), key, "left_semi")
+    other = rows.join(F.broadcast(hot), key, "left_anti").join(lookup, key, how)
+    return other.unionByName(rows.join(F.broadcast(hot), key, "left_semi").join(F.broadcast(few), key, how))
+
+
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity."""
-    both = (pairs.join(sets.selectExpr("node a", "hashes left"), "a")
-                 .join(sets.selectExpr("node b", "hashes right"), "b"))
+    """The pairs (a, b), a written table, whose full sets reach the similarity. A document `a` with many
+    partners is dealt over tasks.
+    """
+    hot = hot_keys(pairs.groupBy("a").agg(F.count("*").alias("_n")), "a", "_n")
+    parts = F.coalesce("_parts", F.lit(1))
+    dealt = (pairs.select("a", "b").join(F.broadcast(hot), "a", "left")
+                  .select("a", "b", F.pmod(F.xxhash64("b"), parts).cast("int").alias("_part")))
+    firsts = (sets.selectExpr("node a", "hashes left").join(F.broadcast(hot), "a", "left")
+                  .select("a", "left", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part")))
+    both = dealt.join(firsts, ["a", "_part"]).join(sets.selectExpr("node b", "hashes right"), "b")
     return both.select("a", "b", "left", "right").mapInArrow(_confirm(percent), "a bigint, b bigint").distinct()
 
 
+def new_centers(crowded: DataFrame, components: DataFrame) -> DataFrame:
+    """The buckets without the members that are in the component of their center; the least of the rest is the center."""
+    labels = components.withColumnRenamed("component", "c")
+    placed = crowded.join(labels, "node", "left").withColumn("c", F.coalesce("c", "node"))
+    # A center is a member of its bucket, so its component comes with one aggregate by key.
+    kept = F.max(F.when(F.col("node") == F.col("center"), F.col("c"))).alias("_c")
+    rest = placed.groupBy("key").agg(kept, F.min("c").alias("_low"), F.max("c").alias("_high")).where("_low < _high").select("key", "_c")
+    counts = crowded.groupBy("key").agg(F.count("*").alias("_n"))
+    open_rows = join_hot(placed, rest, "key", hot_keys(counts, "key", "_n")).where("c <> _c").select("key", "node", "n")
+    return bucket_stars(settle(open_rows, "open"))
+
+
+def bucket_stars(buckets: DataFrame) -> DataFrame:
+    """(key, node, n, center, m) of the rows (key, node, n) of buckets with two or more members; the center is the
+    least node and m its n.
+    """
+    least = buckets.groupBy("key").agg(F.min(F.struct("node", "n")).alias("_l"), F.count("*").alias("_n")).where("_n > 1")
+    centers = settle(least.select("key", F.col("_l.node").alias("center"), F.col("_l.n").alias("m"), "_n"), "centers")
+    hot = hot_keys(centers, "key", "_n")
+    return settle(join_hot(buckets, centers.drop("_n"), "key", hot).select("key", "node", "n", "center", "m"), "buckets")
+
+
 def untested_pairs(crowded: DataFrame, components: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of a bucket that its star did not try and that are not yet in one component.
 
@@ -94,14 +148,15 @@ def untested_pairs(crowded: DataFrame, components: DataFrame, sets: DataFrame, p
     room for the overlap. Copies that differ from each other fill that prefix with shingles of
     their own, so almost none of the impossible pairs ever meet.
     """
+    hot = hot_keys(crowded.groupBy("key").agg(F.count("*").alias("_n")), "key", "_n")
     placed = (crowded.where("node <> center").join(components.withColumnRenamed("component", "c"), "node", "left")
                      .select("key", "node", "n", F.coalesce("c", "node").alias("c")))
     mixed = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
-    open_nodes = settle(placed.join(mixed.select("key"), "key", "left_semi").select("node", "n", "c").distinct(), "open")
+    open_nodes = settle(join_hot(placed, mixed.select("key"), "key", hot, "left_semi").select("node", "n", "c").distinct(), "open")
     shingles = open_nodes.join(sets, "node").select("node", "n", "c", F.explode("hashes").alias("s"))
     shared = (shingles.groupBy("s").agg(F.count("*").alias("f"), F.min("c").alias("low"), F.max("c").alias("high"))
                       .where("f > 1"))
-    common = shingles.join(shared, "s")
+    common = join_hot(shingles, shared, "s", hot_keys(shared, "s", "f"))
     # Shingles of one document only come first in the order; their number is what is missing here.
     own = common.groupBy("node").agg(F.count("*").alias("k"))
     order = Window.partitionBy("node").orderBy("f", "s")
@@ -109,8 +164,8 @@ def untested_pairs(crowded: DataFrame, components: DataFrame, sets: DataFrame, p
     prefix = settle(ranked.where(f"i <= n - ceil({percent} * n / 100) + 1 AND low < high").select("s", "node", "n", "c", "i"), "prefix")
     left, right = prefix.selectExpr("s", "node a", "n m", "c d", "i j"), prefix.withColumnRenamed("node", "b")
     room = F.expr(f"{100 + percent} * (1 + least(m - j, n - i)) >= {percent} * (m + n)")
-    return (left.join(right, "s").where("a < b AND c <> d").where(_could(percent)).where(room)
-                .select("a", "b").distinct())
+    pairs = left.join(right, "s").where("a < b AND c <> d").where(_could(percent)).where(room)
+    return settle(pairs.select("a", "b").distinct(), "pairs")
 
 
 def near_duplicates(
@@ -124,8 +179,9 @@ def near_duplicates(
     the row with the least id (class_id) goes on. SuperMinHash signatures of bands * rows
     components are banded; with 20 bands of 4, a pair at 0.85 shares no band in fewer than one of a
     million cases. In every bucket the least id is paired with each other member (a star, never all
-    pairs), confirmed on the full sets and joined to components; what the stars left untested
-    between components follows by prefix filter. No cap on buckets, partners or sizes.
+    pairs), confirmed on the full sets and joined to components. Members outside the component of their
+    center get a new center among themselves, as long as a round confirms a tenth of what it tries; what
+    all stars left untested between components follows by prefix filter. No cap on buckets, partners or sizes.
 
     A null text and a text without words have no shingles, are linked with nothing and kept. Rows
     that share an id count as one document. A row without an id has no component and is kept. Other
@@ -134,32 +190,38 @@ def near_duplicates(
     slim = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
     signed = settle(slim.mapInArrow(
         _signer(bands, rows, width), "id bigint, n bigint, digest binary, keys array<bigint>"), "signed")
-    classes = settle(signed.where("n > 0 AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("class_id")), "classes")
+    sizes = settle(signed.where("n > 0").groupBy("digest").agg(F.min("id").alias("class_id"), F.count("*").alias("_n")), "classes")
+    classes = sizes.where("class_id IS NOT NULL").drop("_n")
     heads = (signed.join(classes, "digest").where("id = class_id")
                    .select(F.col("id").alias("node"), "n", "keys").distinct())
-    buckets = heads.select("node", "n", F.explode("keys").alias("key"))
-    centers = (buckets.groupBy("key").agg(F.min("node").alias("center"), F.count("*").alias("_c"))
-                      .where("_c > 1").drop("_c"))
-    crowded = settle(buckets.join(centers, "key").select("key", "node", "n", "center"), "buckets")
+    crowded = bucket_stars(heads.select("node", "n", F.explode("keys").alias("key")))
     wanted = settle(crowded.select("node").distinct(), "candidates")
     picked = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
     sets = settle(slim.join(picked.withColumnRenamed("node", "id"), "id", "left_semi")
                       .mapInArrow(_setter(width), "node bigint, hashes array<bigint>").distinct(), "sets")
-    sizes = crowded.where("node = center").select("key", F.col("n").alias("m"))
-    stars = (crowded.where("node <> center").join(sizes, "key").where(_could(percent))
-                    .select(F.col("center").alias("a"), F.col("node").alias("b")).distinct())
-    links = settle(verify(stars, sets, percent), "links")
-    found = connected_components(links, "a", "b")
+    links, found, stars = None, None, crowded
+    while True:
+        tried = (stars.where("node <> center").where(_could(percent))
+                      .select(F.col("center").alias("a"), F.col("node").alias("b")).distinct())
+        tried = settle(tried, "stars")
+        fresh = settle(verify(tried, sets, percent), "links")
+        links = fresh if links is None else links.union(fresh)
+        found = connected_components(links, "a", "b")
+        if fresh.count() * ROUND_PART <= tried.count():
+            break
+        stars = new_centers(stars, found)
     more = settle(verify(untested_pairs(crowded, found, sets, percent), sets, percent), "links")
     if not more.isEmpty():
         found = connected_components(links.union(more), "a", "b")
+    # Labels of classes first, so that every member, however many copies it has, meets one row by its digest.
     labels = found.withColumnRenamed("node", "class_id")
-    members = signed.where("n > 0").select("id", "n", "digest").join(classes, "digest", "left")
+    members = join_hot(signed.where("n > 0").select("id", "n", "digest"), classes.join(labels, "class_id", "left"),
+                       "digest", hot_keys(sizes, "digest", "_n"), "left").select("id", "n", "class_id", "component")
     rest = signed.where("n = 0").select("id", "n", F.col("id").alias("class_id"))
-    whole = members.select("id", "n", "class_id").union(rest)
+    named = rest.where("id IS NOT NULL").join(labels, "class_id", "left").select("id", "n", "class_id", "component")
+    whole = members.union(named).union(rest.where("id IS NULL").withColumn("component", F.lit(None).cast("bigint")))
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "class_id", "id"))
-    return (whole.join(labels, "class_id", "left")
-                 .select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"),
+    return (whole.select(F.col("id").alias(doc_id), F.col("n").alias("n_shingles"),
                          F.when(F.col("id").isNotNull(), F.col("class_id")).alias("class_id"),
                          component.alias("component_id"),
                          F.coalesce(F.col("id") == component, F.lit(True)).alias("kept")))

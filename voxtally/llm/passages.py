@@ -363,7 +363,7 @@ def repeated_passages(
     where = settle(spots.join(_few(nodes), "unit", "left_semi").groupBy("unit").agg(F.min("id").alias("id")).select("id").distinct(), "holders")
     sets = slim.join(_few(where), "id", "left_semi").mapInArrow(_sets(width), "node bigint, hashes array<bigint>")
     sets = settle(sets.join(_few(nodes.selectExpr("unit node")), "node", "left_semi").dropDuplicates(["node"]), "sets")
-    links = settle(verify(pairs, sets, percent), "links")
+    links = settle(verify(settle(pairs, "pairs"), sets, percent), "links")
     found = connected_components(links, "a", "b")
     crowded = stars.selectExpr("key", "a center", "b node").join(sets.selectExpr("node", "CAST(size(hashes) AS bigint) n"), "node")
     more = settle(verify(untested_pairs(crowded, found, sets, percent), sets, percent), "links")
