@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -94,12 +95,18 @@ def vocabulary_size(path: str) -> int:
     return size
 
 
+@lru_cache(maxsize=2)
+def _coder(path: str, added: bool) -> ByteTokens:
+    """One coder per worker process, however many tasks it runs."""
+    return ByteTokens(path, added)
+
+
 _TOKENISED = "doc_id bigint, tokens bigint, tail binary, terms binary, counts binary, crcs array<bigint>"
 
 
 def _tokenise(path: str, window: int, added: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = ByteTokens(path, added)
+        coder = _coder(path, added)
         names = [part.split()[0] for part in _TOKENISED.split(", ")]
         kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
         for batch in batches:
