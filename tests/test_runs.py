@@ -7,11 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from voxtally.constants import PAIN
 from voxtally.functions.replies import parse_numbered
 from voxtally.operators.extract import model_extract
 from voxtally.operators.idstore import IdStore
 from voxtally.operators.infer import infer_batches, infer_resumable
 from voxtally.operators.language import enrich_language, translate
+from voxtally.operators.mapping import map_by_model, map_fixed_by_model
 from voxtally.operators.runlog import RunLog
 from voxtally.operators.taxonomy_jobs import clean_labels, expand_seed
 from voxtally.schemas import EXTRACTED, EXTRACTION, RAW_POSTS, TRANSLATIONS
@@ -74,6 +76,53 @@ def test_a_crash_loses_one_slice_and_no_reply(spark):
     assert log().failures().count() == 0
 
 
+def test_slices_stay_few_and_hold_every_record(spark, monkeypatch):
+    from voxtally.operators import runlog
+
+    monkeypatch.setattr(runlog, "SLICE_ROWS", 4)
+    ask, read = upper_case(spark.sparkContext.accumulator(0))
+    slices = []
+    got = RunLog(spark, shared_path(spark, "test"), "id", PAIR).run(
+        records(spark, 400), lambda part: slices.append(part.count()) or ask(part), read).collect()
+    assert sorted(r.id for r in got) == sorted(str(i) for i in range(400))
+    assert sum(slices) == 400 and len(slices) <= runlog.SLICES + 1
+
+
+def test_outcomes_are_read_without_a_broadcast(spark):
+    def predict(instruction, messages):
+        ids = [m.split("\n")[0].split(": ")[1] for m in messages]
+        return json.dumps({"reviews": [{"id": i, "subtopic": label} for i in ids for label in ("z", "b", "a")]})
+
+    plans = []
+    settled = RunLog._settle
+
+    def watched(log, name, read):
+        def seen(replies):
+            found = read(replies)
+            plans.extend(f._jdf.queryExecution().executedPlan().toString() for f in (found if isinstance(found, tuple) else (found,)))
+            return found
+
+        settled(log, name, seen)
+
+    phrases = spark.createDataFrame([("T", PAIN, f"p{i}") for i in range(20)] + [("none", PAIN, "p")], "topic string, type string, pp_mod string")
+    labels = spark.createDataFrame([("T", PAIN, "b"), ("T", PAIN, "z")], "topic string, type string, subtopic string")
+    RunLog._settle = watched
+    try:
+        store = shared_path(spark, "test")
+        got = map_by_model(phrases, labels, "go {subtopics}", predict, store).collect()
+        fixed = map_fixed_by_model(
+            phrases, ["b", "z"], "go", lambda i, m: json.dumps({"reviews": [
+                {"pain_point": x.split("\n")[0].split(": ")[1], "topic": "T", "subtopic": s} for x in m for s in ("z", "b")]}),
+            shared_path(spark, "test")).collect()
+    finally:
+        RunLog._settle = settled
+    # The least of several answers counts; it is `a` here, which is no label.
+    assert {(r.topic, r.subtopic) for r in got} == {("T", "Others"), ("none", None)}
+    assert {(r.topic, r.subtopic) for r in fixed} == {("T", "b"), ("none", None)}
+    assert plans and not any("left_anti" in p.lower() or "LeftAnti" in p or "SortAggregate" in p for p in plans)
+    assert "Broadcast" not in plans[-1]
+
+
 def test_failures_name_their_reason_and_go_when_answered(spark):
     def model(broken):
         def predict(instruction, messages):

@@ -62,11 +62,22 @@ def parse_reply(
     df: DataFrame, reply: str, schema: StructType, enums: dict[str, tuple[str, ...]] | None = None,
     optional: tuple[str, ...] = ("pain_points", "moments_of_delight"),
 ) -> tuple[DataFrame, DataFrame]:
-    """Typed replies and rejects.
+    """Typed replies and rejects, the rows of `judge_reply` with and without a reason."""
+    judged = judge_reply(df, reply, schema, enums, optional)
+    good = judged.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    rejects = judged.where(F.col("reject_reason").isNotNull()).select(*df.columns, "reject_reason")
+    return good, rejects
+
+
+def judge_reply(
+    df: DataFrame, reply: str, schema: StructType, enums: dict[str, tuple[str, ...]] | None = None,
+    optional: tuple[str, ...] = ("pain_points", "moments_of_delight"),
+) -> DataFrame:
+    """Add the columns of `schema`, read from the reply, and `reject_reason`, NULL for a good reply.
 
     `schema` holds lists of records and plain fields. Every string and list is required, at any
-    depth, but for those in `optional`; `enums` restricts some strings of a record. Good rows get the columns of `schema`; rejects keep the reply and get
-    `reject_reason`: truncated, malformed, missing or invalid.
+    depth, but for those in `optional`; `enums` restricts some strings of a record. The reasons are truncated, malformed,
+    missing or invalid.
     """
     enums = enums or {}
     corrupt = "_corrupt"
@@ -93,11 +104,25 @@ def parse_reply(
         .when(F.coalesce(missing, F.lit(True)), "missing")
         .when(F.coalesce(invalid, F.lit(True)), "invalid")
     )
-    judged = computed(parsed, reject_reason=reason)
-    good = judged.where(F.col("reject_reason").isNull()).select(
-        *df.columns, *[F.col(f"_reply.{f.name}").alias(f.name) for f in schema.fields])
-    rejects = judged.where(F.col("reject_reason").isNotNull()).select(*df.columns, "reject_reason")
-    return good, rejects
+    return computed(parsed, reject_reason=reason).select(
+        *df.columns, *[F.col(f"_reply.{f.name}").alias(f.name) for f in schema.fields], "reject_reason")
+
+
+def by_record(judged: DataFrame, given: Column, *keep: str) -> DataFrame:
+    """A row per record of a batch that was asked: id, given, reason, error, attempts and the columns `keep`.
+
+    `given` are the answers of a reply, structs with an `id`, of which the first with the id of a record counts; others are
+    ignored. `reason` is NULL for an answer, else `call`, the `reject_reason` of the reply or `unanswered`. All is
+    decided inside the row of the batch, without a join.
+    """
+    good = F.col("ok") & F.col("reject_reason").isNull()
+    listed = computed(judged, _given=F.when(good, given))
+    named = computed(listed, _ids=F.transform("_given", lambda g: g["id"]))
+    rows = F.transform(F.array_distinct("record_ids"), lambda i: F.struct(
+        i.alias("id"), F.get("_given", F.array_position("_ids", i) - 1).alias("given")))
+    reason = F.when(~F.col("ok"), "call").when(F.col("given").isNull(), F.coalesce("reject_reason", F.lit("unanswered")))
+    return named.select(*keep, "ok", "reject_reason", "error", "attempts", F.inline(rows)).select(
+        *keep, "id", "given", reason.alias("reason"), "error", "attempts")
 
 
 def _cut_off(text: Column) -> Column:

@@ -12,7 +12,7 @@ from voxtally.functions.prompts import render_record
 from voxtally.functions.replies import parse_reply
 from voxtally.functions.staging import computed
 from voxtally.operators.infer import infer_batches
-from voxtally.operators.runlog import SLICE_ROWS, open_log
+from voxtally.operators.runlog import open_log
 from voxtally.schemas import POST_CLASSES, REPLY_CLASSES
 
 Rule = tuple[str, str, Sequence[str]]
@@ -75,7 +75,7 @@ def keyword_classify(
 
 def classify_fallback(
     df: DataFrame, id_col: str, text_col: str, instruction: str, predict, store: str | None = None,
-    slice_rows: int = SLICE_ROWS, **infer_options,
+    slice_rows: int | None = None, **infer_options,
 ) -> DataFrame:
     """Let a model decide the posts that no rule or only a generic rule decided.
 

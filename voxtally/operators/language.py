@@ -13,7 +13,7 @@ from voxtally.functions.replies import parse_numbered
 from voxtally.functions.staging import computed
 from voxtally.functions.text import let, words
 from voxtally.operators.infer import infer_batches
-from voxtally.operators.runlog import SLICE_ROWS, open_log
+from voxtally.operators.runlog import open_log
 from voxtally.schemas import TRANSLATIONS
 from voxtally.session import shared_path
 
@@ -103,7 +103,7 @@ def language_name(code: Column) -> Column:
 
 def translate(
     df: DataFrame, id_col: str, text_col: str, predict: Callable, instruction: str,
-    size: int = TRANSLATION_BATCH, store: str | None = None, slice_rows: int = SLICE_ROWS, **infer_options,
+    size: int = TRANSLATION_BATCH, store: str | None = None, slice_rows: int | None = None, **infer_options,
 ) -> DataFrame:
     """Add `translated`. Each distinct text is sent once, in numbered batches; a line the reply
     lacks and a failed batch leave NULL.

@@ -9,14 +9,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from voxtally.constants import DELIGHT, OTHERS, PAIN, SUBTOPIC_BATCH, SURVEY_BATCH
 from voxtally.functions.choose import coerce_to_set
 from voxtally.functions.prompts import inject, render_record
-from voxtally.functions.replies import parse_reply
+from voxtally.functions.replies import by_record, judge_reply
 from voxtally.functions.staging import settle
 from voxtally.functions.text import let, words
 from voxtally.operators.infer import infer_batches
-from voxtally.operators.joins import (
-    MAX_BROADCAST_BYTES, join_bounded, measured_bytes, topic_candidates,
-)
-from voxtally.operators.runlog import SLICE_ROWS, RunLog
+from voxtally.operators.joins import MAX_BROADCAST_BYTES, join_bounded, measured_bytes
+from voxtally.operators.runlog import RunLog
 from voxtally.schemas import (
     REPLY_SUBTOPICS, REPLY_SURVEY_DELIGHTS, REPLY_SURVEY_PAINS, SUBTOPIC_LABELS,
 )
@@ -105,20 +103,25 @@ def map_fixed(phrases: DataFrame, labels: Sequence[str], default: str = "Other")
         .drop("_tokens"))
 
 
+def _distinct_phrases(phrases: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The phrases with their `_key`, and each distinct one (id, topic, type, pp_mod) once."""
+    key = F.sha2(F.concat_ws("\u0001", "topic", "type", "pp_mod"), 256)
+    distinct = phrases.select("topic", "type", "pp_mod").distinct()
+    return phrases.withColumn("_key", key), distinct.select(key.alias("id"), "topic", "type", "pp_mod")
+
+
 def map_by_model(
     phrases: DataFrame, labels: DataFrame, template: str, predict: Callable, store: str,
-    size: int = SUBTOPIC_BATCH, slice_rows: int = SLICE_ROWS, **infer_options,
+    size: int = SUBTOPIC_BATCH, slice_rows: int | None = None, **infer_options,
 ) -> DataFrame:
     """Add `subtopic` by a model that picks from the labels of the phrase's topic.
 
     Each distinct (topic, type, phrase) is asked once and joined back, so repeated phrases cost one
     call. Answers are kept in `store` and reused. An answer outside the allowed labels is `Others`.
     """
-    keyed = phrases.withColumn(
-        "_key", F.sha2(F.concat_ws("\u0001", "topic", "type", "pp_mod"), 256))
-    distinct = keyed.select(F.col("_key").alias("id"), "topic", "type", "pp_mod").distinct()
-
-    lists = labels.groupBy("topic", "type").agg(F.array_sort(F.collect_set("subtopic")).alias("candidates"))
+    keyed, distinct = _distinct_phrases(phrases)
+    # Made once: every slice reads them.
+    lists = settle(labels.groupBy("topic", "type").agg(F.array_sort(F.collect_set("subtopic")).alias("candidates")), "candidates")
     prompt = inject(template, type=F.lower("type"), subtopics=F.array_join("candidates", ", "))
     by_topic = lists.select("topic", "type", prompt.alias("prompt"))
     # One prompt per topic goes to the tasks apart from the phrases, unless there are too many.
@@ -133,15 +136,14 @@ def map_by_model(
         return infer_batches(messages, "id", "message", predict, F.col("prompt") if prompts is None else prompts,
                              ["topic", "type"], size, **infer_options)
 
-    def read(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
-        good, rejects = parse_reply(replies.where("ok"), "reply", REPLY_SUBTOPICS)
-        answers = (
-            good.select("topic", "type", "record_ids", F.inline("reviews"))
-            .where(F.array_contains("record_ids", F.col("id")))
-            .groupBy("topic", "type", "id").agg(F.min("subtopic").alias("subtopic")))
-        return topic_candidates(answers, labels).select("id", F.when(
-            F.array_contains("candidates", F.col("subtopic")), F.col("subtopic"))
-            .otherwise(OTHERS).alias("subtopic")), rejects
+    def read(replies: DataFrame) -> DataFrame:
+        # Sorted, so that of several answers for an id the least label counts.
+        told = by_record(judge_reply(replies, "reply", REPLY_SUBTOPICS), F.array_sort("reviews"), "topic", "type")
+        listed = join_bounded(told, lists, ["topic", "type"], "left")
+        subtopic, known = F.col("given.subtopic"), F.col("candidates").isNotNull()
+        return listed.select(
+            "id", F.when(F.array_contains("candidates", subtopic), subtopic).otherwise(OTHERS).alias("subtopic"),
+            F.when(known | F.col("reason").isNotNull(), F.col("reason")).otherwise("unanswered").alias("reason"), "error", "attempts")
 
     answers = RunLog(phrases.sparkSession, store, "id", SUBTOPIC_LABELS).run(distinct, ask, read, slice_rows)
     return keyed.join(answers.withColumnRenamed("id", "_key"), "_key", "left").drop("_key")
@@ -149,7 +151,7 @@ def map_by_model(
 
 def map_fixed_by_model(
     phrases: DataFrame, labels: Sequence[str], template: str, predict: Callable, store: str,
-    default: str = "Other", size: int = SURVEY_BATCH, slice_rows: int = SLICE_ROWS, **infer_options,
+    default: str = "Other", size: int = SURVEY_BATCH, slice_rows: int | None = None, **infer_options,
 ) -> DataFrame:
     """Add `subtopic` by a model that picks from one fixed label list (survey form).
 
@@ -157,10 +159,7 @@ def map_fixed_by_model(
     phrase) is asked once and joined back; an answer outside the list is `default`, a phrase the
     model rewords stays open for the next run.
     """
-    keyed = phrases.withColumn(
-        "_key", F.sha2(F.concat_ws("\u0001", "topic", "type", "pp_mod"), 256))
-    distinct = keyed.select(F.col("_key").alias("id"), "topic", "type", "pp_mod").distinct()
-
+    keyed, distinct = _distinct_phrases(phrases)
     sides = ((PAIN, "pain_point", REPLY_SURVEY_PAINS), (DELIGHT, "mod", REPLY_SURVEY_DELIGHTS))
     prompts = {
         (kind,): template.replace("{item_singular}", kind.lower()).replace("{subtopics}", ", ".join(labels))
@@ -173,18 +172,17 @@ def map_fixed_by_model(
         return infer_batches(part.select("type", "id", message.alias("message")), "id", "message", predict, prompts,
                              ["type"], size, **infer_options)
 
-    def read(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
-        given, refused = [], []
-        for kind, field, schema in sides:
-            good, rejects = parse_reply(replies.where(F.col("ok") & (F.col("type") == kind)), "reply", schema)
-            refused.append(rejects)
-            given.append(
-                good.select("record_ids", F.inline("reviews"))
-                .withColumn("id", F.sha2(F.concat_ws("\u0001", "topic", F.lit(kind), field), 256))
-                .where(F.array_contains("record_ids", F.col("id")))
-                .groupBy("id").agg(F.min("subtopic").alias("subtopic")))
-        both = given[0].unionByName(given[1])
-        return both.withColumn("subtopic", coerce_to_set(F.col("subtopic"), labels, default)), refused[0].unionByName(refused[1])
+    def read(replies: DataFrame) -> DataFrame:
+        def named(kind: str, field: str) -> Column:
+            return F.transform("reviews", lambda r: F.struct(
+                F.sha2(F.concat_ws("\u0001", r["topic"], F.lit(kind), r[field]), 256).alias("id"), r["subtopic"].alias("subtopic")))
+
+        # Sorted, so that of several answers for a phrase the least label counts.
+        told = [
+            by_record(judge_reply(replies.where(F.col("type") == kind), "reply", schema), F.array_sort(named(kind, field)))
+            for kind, field, schema in sides]
+        return told[0].unionByName(told[1]).select(
+            "id", coerce_to_set(F.col("given.subtopic"), labels, default).alias("subtopic"), "reason", "error", "attempts")
 
     answers = RunLog(phrases.sparkSession, store, "id", SUBTOPIC_LABELS).run(distinct, ask, read, slice_rows)
     return keyed.join(answers.withColumnRenamed("id", "_key"), "_key", "left").drop("_key")

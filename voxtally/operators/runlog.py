@@ -14,6 +14,10 @@ from voxtally.sources.files import matching_files, read_folder_or_empty
 
 #: Records a task should have at least, so that small runs use several tasks and no task is empty.
 TASK_ROWS = 50
+#: Slices of a run at most, unless the number of records per slice is given, so that the jobs of a run stay as many.
+SLICES = 8
+#: Files of open records per slice, at least.
+SLICE_FILES = 4
 FAILURE = (
     StructField("reason", StringType()), StructField("error", StringType()),
     StructField("attempts", IntegerType()), StructField("asked_at", TimestampType()))
@@ -71,14 +75,15 @@ class RunLog:
 
     def run(
         self, records: DataFrame, ask: Callable[[DataFrame], DataFrame],
-        read: Callable[[DataFrame], tuple[DataFrame, DataFrame] | DataFrame], slice_rows: int = SLICE_ROWS,
+        read: Callable[[DataFrame], tuple[DataFrame, DataFrame] | DataFrame], slice_rows: int | None = None,
     ) -> DataFrame:
         """Ask for the records without an answer, and return all answers.
 
         `ask` sends records to the model (`infer_batches`), `read` turns its rows into answers with the columns of
         the schema and rejects (`parse_reply`: the same rows with `reject_reason`), or into one table of both, a row per
-        record that was asked, with `reason` (NULL for an answer), `error` and `attempts`. Records without a key are left out.
-        The open records are written once and cut into slices by a hash of the key, as many as their number asks for.
+        record that was asked, with `reason` (NULL for an answer), `error` and `attempts` (`by_record`). Records without a key are left out.
+        The open records are written once, in files of a part of a slice; a slice is some of these files. It has at most
+        `slice_rows` records, by default SLICE_ROWS, or more where there would be more than SLICES of them.
         """
         for name in sorted(self._ended("replies") - self._ended("outcomes")):
             self._settle(name, read)
@@ -86,24 +91,30 @@ class RunLog:
         todo = records.where(F.col(self.key).isNotNull())
         if self._ended("outcomes"):
             todo = todo.join(self.answers().select(self.key).distinct(), self.key, "left_anti")
-        todo.write.parquet(path)
-        staged = self.spark.read.schema(todo.schema).parquet(path)
-        rows = staged.count()
-        slices = -(-rows // slice_rows)
-        if slices > 1:
-            path = shared_path(self.spark, "slices")
-            number = F.pmod(F.xxhash64(self.key), F.lit(slices)).cast("int")
-            staged.withColumn("_slice", number).repartition("_slice").write.partitionBy("_slice").parquet(path)
-            staged = self.spark.read.schema(staged.withColumn("_slice", number).schema).parquet(path)
-        tasks = min(self.spark.sparkContext.defaultParallelism, 1 + rows // max(1, slices) // TASK_ROWS)
+        todo.write.option("maxRecordsPerFile", max(1, (slice_rows or SLICE_ROWS) // SLICE_FILES)).parquet(path)
         run = uuid.uuid4().hex
-        for i in range(slices):
-            part = staged if slices == 1 else staged.where(F.col("_slice") == i).drop("_slice")
+        for i, (files, rows) in enumerate(self._slices(path, slice_rows)):
             name = f"{run}-{i}"
-            ask(part.repartition(tasks)).write.parquet(f"{self.path}/replies/slice={name}")
+            part = self.spark.read.schema(todo.schema).parquet(*files)
+            tasks = min(self.spark.sparkContext.defaultParallelism, 1 + rows // TASK_ROWS)
+            ask(part.repartition(tasks) if len(files) < tasks else part).write.parquet(f"{self.path}/replies/slice={name}")
             self._settle(name, read)
         return self.answers()
 
+    def _slices(self, path: str, slice_rows: int | None) -> list[tuple[list[str], int]]:
+        """The files of each slice of the open records, and how many records they have."""
+        # A row per file comes to the driver, which lists them anyway.
+        counts = self.spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("name")).count().collect()
+        most = slice_rows or max(SLICE_ROWS, -(-sum(r["count"] for r in counts) // SLICES))
+        slices: list[tuple[list[str], int]] = []
+        for name, n in sorted(counts):
+            files, rows = slices[-1] if slices else ([], 0)
+            if not files or rows + n > most:
+                slices.append(([f"{path}/{name}"], n))
+            else:
+                slices[-1] = ([*files, f"{path}/{name}"], rows + n)
+        return slices
+
     def _settle(self, name: str, read: Callable) -> None:
         """Write the outcomes of a slice from its replies."""
         replies = self.spark.read.parquet(f"{self.path}/replies/slice={name}")
@@ -121,7 +132,9 @@ class RunLog:
             F.min("reject_reason").alias("_why"))
         asked = replies.select(F.explode("record_ids").alias(self.key), "ok", "error", "attempts")
         reason = F.when(~F.col("ok"), "call").otherwise(F.coalesce("_why", F.lit("unanswered")))
-        failed = asked.join(answers.select(self.key).distinct(), self.key, "left_anti").join(refused, self.key, "left").select(
+        # Merged and not broadcast: what reaches the driver must not grow with the records.
+        answered = answers.select(self.key).distinct().hint("merge")
+        failed = asked.join(answered, self.key, "left_anti").join(refused.hint("merge"), self.key, "left").select(
             self.key, reason.alias("reason"), "error", "attempts")
         none = [F.lit(None).cast(f.dataType).alias(f.name) for f in FAILURE[:3]]
         return answers.select("*", *none).unionByName(failed, allowMissingColumns=True)

@@ -12,13 +12,13 @@ from voxtally.functions.prompts import render_record
 from voxtally.functions.replies import parse_reply
 from voxtally.functions.text import concat_label, join_or_null
 from voxtally.operators.infer import infer_batches
-from voxtally.operators.runlog import SLICE_ROWS, open_log
+from voxtally.operators.runlog import open_log
 from voxtally.schemas import CLEANED_LABELS, SEED_LABELS, reply_clean_labels, reply_taxonomy
 
 
 def expand_seed(
     df: DataFrame, instruction: str, predict: Callable, service: str = "service", store: str | None = None,
-    slice_rows: int = SLICE_ROWS, **infer_options,
+    slice_rows: int | None = None, **infer_options,
 ) -> DataFrame:
     """Distinct (CATEGORY_NAME, TYPE) to taxonomy rows, one model call per pair. `service` names the
     category in message and reply. Answers are kept in `store` by pair.
@@ -53,7 +53,7 @@ def combined_label(df: DataFrame) -> DataFrame:
 
 def clean_labels(
     df: DataFrame, predict: Callable | None = None, instruction: str = "",
-    size: int = CLEANUP_BATCH, service: str = "service", store: str | None = None, slice_rows: int = SLICE_ROWS,
+    size: int = CLEANUP_BATCH, service: str = "service", store: str | None = None, slice_rows: int | None = None,
     **infer_options,
 ) -> DataFrame:
     """`type, topic, subtopic` to readable labels: by rule, or by a model when one is given.
