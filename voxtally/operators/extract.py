@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from voxtally.constants import EXTRACTION_BATCH, EXTRACTION_LIMIT, OTHERS, SENTIMENTS
 from voxtally.functions.choose import coerce_to_set
-from voxtally.functions.replies import flatten_reply, parse_reply
+from voxtally.functions.replies import by_record, judge_reply
 from voxtally.operators.infer import infer_batches
-from voxtally.operators.runlog import SLICE_ROWS, open_log
+from voxtally.operators.runlog import open_log
 from voxtally.schemas import EXTRACTED, REPLY_REVIEWS
 
 Entry = tuple[str, str, str]  # phrase, "pain" or "delight", topic
@@ -75,7 +75,7 @@ def rule_extract(
 def model_extract(
     df: DataFrame, id_col: str, message_col: str, instruction: str, predict: Callable,
     topics: Sequence[str] | None = None, size: int = EXTRACTION_BATCH, records: str = "reviews",
-    schema=REPLY_REVIEWS, store: str | None = None, slice_rows: int = SLICE_ROWS,
+    schema=REPLY_REVIEWS, store: str | None = None, slice_rows: int | None = None,
     limit: int = EXTRACTION_LIMIT, **infer_options,
 ) -> DataFrame:
     """Extraction by a model: batches out, typed rows back.
@@ -103,19 +103,19 @@ def model_extract(
 
 def _read_extraction(
     replies: DataFrame, topics: Sequence[str] | None, records: str, schema, limit: int,
-) -> tuple[DataFrame, DataFrame]:
-    good, rejects = parse_reply(replies.where("ok"), "reply", schema, {"sentiment": SENTIMENTS})
-    # Within a batch an id repeats at most in one reply, so the first one is found in the row.
-    first = F.transform(F.col(records), lambda r: r["id"])
-    asked = good.withColumn("_first", first).withColumn(records, F.filter(
-        F.col(records), lambda r, i: F.array_contains(F.col("record_ids"), r["id"])
-        & (F.array_position(F.col("_first"), r["id"]) == i + 1)))
-    flat = flatten_reply(asked, records)
-    topic = F.col("topic")
+) -> DataFrame:
+    told = by_record(judge_reply(replies, "reply", schema, {"sentiment": SENTIMENTS}), F.col(records))
+    # A record without topics, or without an answer, keeps one row with NULL topic.
+    flat = told.select(
+        F.col("id").alias("review_id"), F.col("given.sentiment").alias("sentiment"), "reason", "error", "attempts",
+        F.posexplode_outer("given.topics").alias("topic_pos", "detail"))
+    topic = F.col("detail.topic")
     if topics is not None:
         topic = F.when(topic.isNotNull(), coerce_to_set(topic, topics, OTHERS))
-    answers = flat.select(
-        F.col("id").alias("review_id"), "sentiment", topic.alias("topic"),
-        F.coalesce("topic_pos", F.lit(0)).alias("topic_pos"), F.slice("pain_points", 1, limit).alias("pain_points"),
-        F.slice("moments_of_delight", 1, limit).alias("moments_of_delight"))
-    return answers, rejects
+
+    def first(name: str) -> Column:
+        return F.slice(F.coalesce(f"detail.{name}", F.array().cast("array<string>")), 1, limit).alias(name)
+
+    return flat.select(
+        "review_id", "sentiment", topic.alias("topic"), F.coalesce("topic_pos", F.lit(0)).alias("topic_pos"),
+        first("pain_points"), first("moments_of_delight"), "reason", "error", "attempts")
