@@ -246,6 +246,21 @@ def test_ids_are_found_exactly_after_the_filter(spark):
     assert store.unseen(id_frame(spark, [0, 3, 5, 7])).count() == 1 and store.batches() == {"a", "b", "c"}
 
 
+def test_long_ids_are_kept_as_digests(spark):
+    path, long = shared_path(spark, "test"), "x" * 5000
+    frame = lambda values: spark.createDataFrame([(v,) for v in values], "id string")
+    store = IdStore(spark, path, "id", "string")
+    store.add(frame([f"{long}{i}" for i in range(20)] + ["short", "ü" * 36]), "a")
+    stored = [r.id for r in spark.read.parquet(f"{path}/32x64/ids").collect()]
+    assert len(stored) == 22 and "short" in stored and max(len(v.encode()) for v in stored) == 71
+    asked = frame([f"{long}{i}" for i in range(25)] + ["short", "ü" * 36, None])
+    new = {f"{long}{i}" for i in range(20, 25)}
+    assert {r.id for r in store.unseen(asked).collect()} == new | {None}
+    assert {r.id for r in store.known(asked).collect()} == {f"{long}{i}" for i in range(20)} | {"short", "ü" * 36}
+    store.add(frame([None]), "b")
+    assert store.merge(folders=1) and {r.id for r in store.unseen(asked).collect()} == new
+
+
 def test_only_touched_buckets_are_read(spark):
     path = shared_path(spark, "test")
     store = IdStore(spark, path, "id", "bigint", buckets=32)

@@ -151,9 +151,11 @@ def enrich_language(
         done = tagged.withColumn("Translated Review", text)
     else:
         path = shared_path(df.sparkSession, "foreign")
-        foreign = tagged.where(F.col("lang_code") != "en").withColumn("_foreign", text)
+        # The text is written once, as `_foreign`, and named back.
+        foreign = tagged.where(F.col("lang_code") != "en").withColumnRenamed(text_col, "_foreign")
         foreign.write.parquet(path)
-        held = df.sparkSession.read.schema(foreign.schema).parquet(path)
+        held = df.sparkSession.read.schema(foreign.schema).parquet(path).select(
+            *[F.col("_foreign" if c == text_col else f"`{c}`").alias(c) for c in tagged.columns], "_foreign")
         translated = translator(held).withColumn("Translated Review", F.col("translated")).drop("_foreign", "translated")
         english = tagged.where(F.col("lang_code") == "en").withColumn("Translated Review", text)
         done = english.unionByName(translated)

@@ -33,8 +33,8 @@ def start_ingest(
     Posts get `label` and `main_entity` and, with `languages`, `Original Review Language` and `Translated
     Review`, for which `translator` is given the posts that are not English (see `enrich_language`).
 
-    A micro-batch is reduced to one row per id before it meets the stored ids, so copies of one id
-    never gather in a task, and no state grows with the history. Stored ids are kept in buckets beside
+    The ids of a micro-batch meet the stored ones each once, and what is new is reduced to one row per id with a
+    limit before the shuffle, so copies of one id never gather in a task, and no state grows with the history. Stored ids are kept in buckets beside
     the rows (`IdStore`): a micro-batch reads the buckets in which a filter finds its ids, and no stored row.
     The batch is written to a folder of its own, named by stream and batch, and its ids are compared
     with those of other folders only: a repeated batch after a crash overwrites itself with the same rows.
@@ -48,7 +48,7 @@ def start_ingest(
         store = IdStore(session, ids.root, ids.key, ids.kind, buckets)
         folder = batch_folder(session, number)
         store.merge(without=folder)
-        fresh = keyword_classify(store.unseen(keep_first(batch, id_col, order), folder), text_col, rules)
+        fresh = keyword_classify(keep_first(store.unseen(batch, folder), id_col, order), text_col, rules)
         if languages and translator is not None:
             # Written once: the model's answers, the English and the other rows are all read from it.
             path = shared_path(session, "fresh")
