@@ -12,7 +12,7 @@ from voxtally.operators.extract import Entry, rule_extract
 from voxtally.operators.language import enrich_language
 from voxtally.operators.mapping import map_by_overlap
 from voxtally.operators.phrases import stack_phrases
-from voxtally.plans.final import FinalConfig
+from voxtally.plans.final import TRANSLATED, FinalConfig
 
 
 def social_final(
@@ -43,10 +43,16 @@ def social_final(
     if extract is None:
         extraction = rule_extract(meta, "post", "Original Review", lexicon, keep=keep)
     else:
-        meta = settle(meta.withColumn("_text", F.sha2(F.coalesce("Original Review", F.lit("")), 256)), "posts")
-        first = meta.groupBy("_text").agg(F.min(F.struct("post", "Original Review")).alias("r")).select("_text", "r.*")
-        answers = extract(first.select("post", "Original Review")).withColumnRenamed("review_id", "_first")
+        # Without a translator both texts of a post are one, which is written and shuffled once.
+        held = meta if translator else meta.drop(TRANSLATED)
+        held = settle(held.withColumn("_text", F.sha2(F.coalesce("Original Review", F.lit("")), 256)), "posts")
+        # The first post of a text is found by the digest, and the texts of first posts are picked then.
+        first = settle(held.groupBy("_text").agg(F.min(F.struct("post")).alias("r")).select("_text", "r.post"), "first")
+        asked = held.select("post", "_text", "Original Review").join(first, ["post", "_text"], "left_semi")
+        asked = asked.groupBy("post", "_text").agg(F.min(F.struct("Original Review")).alias("r")).select("post", "r.*")
+        answers = extract(asked).withColumnRenamed("review_id", "_first")
         told = first.select("_text", F.col("post").alias("_first")).join(answers, "_first").drop("_first")
-        extraction = meta.withColumnRenamed("post", "review_id").join(told, "_text").drop("_text")
+        extraction = held.withColumnRenamed("post", "review_id").join(told, "_text").drop("_text")
+        extraction = extraction if translator else extraction.withColumn(TRANSLATED, F.col("Original Review"))
     phrases = mapper(stack_phrases(extraction, keep=keep), labels)
     return phrases.select(*[f"`{c}`" for c in config.columns])
