@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from voxtally.functions.text import unwrapped
+
 
 def render_record(*parts: tuple[str, Column], sep: str = "\n") -> Column:
     """One message per row, `name: value` joined by `sep`; a NULL value renders as empty text."""
@@ -32,4 +34,4 @@ def numbered_prompt(df: DataFrame, batch: str, position: str, text: str) -> Data
 
 def one_line(text: Column) -> Column:
     """Line breaks inside a text would shift the numbering of the reply."""
-    return F.regexp_replace(F.coalesce(text, F.lit("")), r"\s*[\r\n]+\s*", " ")
+    return unwrapped(F.coalesce(text, F.lit("")))

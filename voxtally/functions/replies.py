@@ -7,7 +7,7 @@ from pyspark.sql.types import ArrayType, DataType, StringType, StructField, Stru
 
 from voxtally.constants import FENCE
 from voxtally.functions.staging import computed
-from voxtally.functions.text import let, strip
+from voxtally.functions.text import let, strip, unwrapped
 
 
 # A line that starts with `7.` or `7)`, but not with a decimal such as `7.5`.
@@ -29,7 +29,9 @@ def numbered_texts(reply: Column) -> Column:
     lines, joined by a blank. What stands before the first number is left out.
     """
     parts = F.split(reply, _BEFORE_NUMBER)
-    flat = lambda part: strip(F.regexp_replace(F.regexp_replace(part, _NUMBER, ""), r"\s*[\r\n]+\s*", " "))
+    # Without the number, which is cut off by its length, and the white space around it.
+    bare = lambda part: strip(F.substr(part, F.length(F.regexp_extract(part, _NUMBER, 0)) + 1))
+    flat = lambda part: let(bare(part), unwrapped)
     read = F.transform(parts, lambda part, i: F.struct(
         F.regexp_extract(part, _NUMBER, 1).try_cast("int").alias("number"), i.alias("place"), flat(part).alias("text")))
     return F.filter(read, lambda part: part["number"].isNotNull())
