@@ -8,7 +8,7 @@ import pytest
 
 from voxtally.llm.components import connected_components
 from voxtally.llm.near_duplicates import bucket_stars, drop_near_duplicates, hot_keys, join_hot, near_duplicates, new_centers, untested_pairs
-from voxtally.llm.passages import Paragraphs, repeated_passages, tune_bands
+from voxtally.llm.passages import Paragraphs, _uncovered, repeated_passages, tune_bands
 from voxtally.llm.shingles import super_minhash
 
 SCHEMA = "doc_id bigint, text string, lang string, n int, keys string, id int"
@@ -161,6 +161,17 @@ def test_inline_passages_with_and_without_full_stops(spark):
         assert a <= got[d].start < got[d].end <= b and got[d].words >= 51 - 2 * 11 and got[d].kept == (d % 2 == 0)
 
 
+def test_runs_inside_repeated_paragraphs_go_before_their_clusters_are_looked_up(spark):
+    runs = spark.createDataFrame(
+        [(1, 0, 9, 24, 7, 10), (1, 0, 9, 24, 8, 30), (1, 0, 9, 24, 9, 5), (2, 0, 9, 24, 7, 10)],
+        "id bigint, start bigint, end bigint, words int, cluster bigint, word int")
+    whole = spark.createDataFrame([(1, 40, 10)], "id bigint, words bigint, word int")
+    left = _uncovered(runs, whole)
+    # Of document 1 the run from word 10 on lies inside the paragraph; those from 5 and 30 on reach beyond it.
+    assert sorted((r.id, r.word, r.cluster) for r in left.collect()) == [(1, 5, 9), (1, 30, 8), (2, 10, 7)]
+    assert left.columns == ["id", "start", "end", "word", "words", "cluster"]
+
+
 def test_units_hash_all_their_words():
     texts = [" ".join(f"w{i}" for i in range(40)), " ".join(f"w{i}" for i in range(39)) + " end"]
     assert len(set(Paragraphs(texts).unit.tolist())) == 2

@@ -373,23 +373,36 @@ def repeated_passages(
     marked = (spots.drop("keys", "position").join(_few(clusters), "unit", "left")
                    .withColumn("cluster", F.coalesce("component", "unit")).drop("component", "unit"))
     marked = settle(marked, "clusters")
-    whole = _islands(_repeated(marked).select("id", "start", "end", "word", "words", F.array("cluster").alias("clusters"), "kept"))
-    inline = _repeated(_repeated_runs(slim, max_bytes))
-    inline = inline.select("id", "start", "end", "word", "words", F.array("cluster").alias("clusters"), "kept")
-    # Runs inside repeated paragraphs tell nothing new.
-    order = Window.partitionBy("id").orderBy("word", F.col("inline"))
-    reach = F.max(F.when(~F.col("inline"), F.expr("word + words"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    spans = whole.withColumn("inline", F.lit(False)).unionByName(inline.withColumn("inline", F.lit(True))).withColumn("reach", reach)
-    spans = spans.where("NOT inline OR reach IS NULL OR reach < word + words").drop("inline", "reach")
-    return (_islands(spans).where(F.col("words") >= least_words)
+    whole = settle(_islands(_spans(marked, _common(marked))), "whole")
+    runs = _repeated_runs(slim, max_bytes)
+    inline = _spans(_uncovered(runs, whole), _common(runs))
+    return (_islands(whole.unionByName(inline)).where(F.col("words") >= least_words)
             .select(F.col("id").alias(doc_id), "start", "end", "words", "clusters", "kept"))
 
 
-def _repeated(marked: DataFrame) -> DataFrame:
-    """The rows whose cluster stands in two or more documents, with kept: none of them has a smaller id."""
+def _common(marked: DataFrame) -> DataFrame:
+    """(cluster, first) of the clusters that stand in two or more documents, with the least id of them."""
     common = (marked.groupBy("cluster").agg(F.min("id").alias("first"), F.max("id").alias("last"))
                     .where("first < last").drop("last"))
-    return marked.join(_few(settle(common, "repeated")), "cluster").withColumn("kept", F.col("first") == F.col("id"))
+    return settle(common, "repeated")
+
+
+def _spans(marked: DataFrame, common: DataFrame) -> DataFrame:
+    """The rows whose cluster is common, with kept: no document of it has a smaller id."""
+    return marked.join(_few(common), "cluster").select(
+        "id", "start", "end", "word", "words", F.array("cluster").alias("clusters"), (F.col("first") == F.col("id")).alias("kept"))
+
+
+def _uncovered(runs: DataFrame, whole: DataFrame) -> DataFrame:
+    """The runs that reach beyond the repeated paragraphs around them; the others, most of them, tell nothing new.
+
+    They go before their clusters are looked up, so that only rows which count meet the clusters.
+    """
+    order = Window.partitionBy("id").orderBy("word", F.col("cluster").isNotNull())
+    reach = F.max(F.when(F.col("cluster").isNull(), F.expr("word + words"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    slim = runs.select("id", "start", "end", "word", "words", "cluster")
+    both = slim.unionByName(whole.select("id", "word", "words"), allowMissingColumns=True).withColumn("reach", reach)
+    return settle(both.where("cluster IS NOT NULL AND (reach IS NULL OR reach < word + words)").drop("reach"), "uncovered")
 
 
 def _islands(spans: DataFrame) -> DataFrame:
