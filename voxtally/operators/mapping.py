@@ -97,8 +97,10 @@ def map_fixed(phrases: DataFrame, labels: Sequence[str], default: str = "Other")
     entries = F.array(*[
         F.struct(F.lit(label).alias("label"), words(F.lit(label)).alias("tokens"))
         for label in labels])
+    # One pass keeps the words that any label has, so that each label is compared with few words.
+    known = F.array_distinct(F.flatten(F.array(*[words(F.lit(label)) for label in labels])))
     return (
-        phrases.withColumn("_tokens", words(F.col("pp_mod")))
+        phrases.withColumn("_tokens", F.array_intersect(words(F.col("pp_mod")), known))
         .withColumn("subtopic", _closest(entries, F.col("_tokens"), default))
         .drop("_tokens"))
 

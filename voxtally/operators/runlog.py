@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
@@ -54,9 +54,14 @@ class RunLog:
         broken = begun - self._ended(kind)
         return rows.where(~F.col("slice").isin(*broken)) if broken else rows
 
-    def answers(self) -> DataFrame:
-        """All answers so far."""
-        return self._table("outcomes", self._outcome, ("ok", "true")).select(*self.schema.names)
+    def ended(self) -> set[str]:
+        """The names of the slices whose outcomes are there."""
+        return self._ended("outcomes")
+
+    def answers(self, but: Collection[str] = ()) -> DataFrame:
+        """All answers so far, without those of the slices `but`."""
+        rows = self._table("outcomes", self._outcome, ("ok", "true"))
+        return (rows.where(~F.col("slice").isin(*but)) if but else rows).select(*self.schema.names)
 
     def replies(self) -> DataFrame:
         """The replies as they came, a row per batch."""
@@ -86,25 +91,26 @@ class RunLog:
         `slice_rows` records, by default SLICE_ROWS, or more where there would be more than SLICES of them.
         """
         for name in sorted(self._ended("replies") - self._ended("outcomes")):
-            self._settle(name, read)
+            self._settle(name, read, self.spark.read.parquet(f"{self.path}/replies/slice={name}").schema)
         path = shared_path(self.spark, "open")
         todo = records.where(F.col(self.key).isNotNull())
         if self._ended("outcomes"):
             todo = todo.join(self.answers().select(self.key).distinct(), self.key, "left_anti")
         todo.write.option("maxRecordsPerFile", max(1, (slice_rows or SLICE_ROWS) // SLICE_FILES)).parquet(path)
         run = uuid.uuid4().hex
-        for i, (files, rows) in enumerate(self._slices(path, slice_rows)):
+        for i, (files, rows) in enumerate(self._slices(path, todo.schema, slice_rows)):
             name = f"{run}-{i}"
             part = self.spark.read.schema(todo.schema).parquet(*files)
             tasks = min(self.spark.sparkContext.defaultParallelism, 1 + rows // TASK_ROWS)
-            ask(part.repartition(tasks) if len(files) < tasks else part).write.parquet(f"{self.path}/replies/slice={name}")
-            self._settle(name, read)
+            asked = ask(part.repartition(tasks) if len(files) < tasks else part)
+            asked.write.parquet(f"{self.path}/replies/slice={name}")
+            self._settle(name, read, asked.schema)
         return self.answers()
 
-    def _slices(self, path: str, slice_rows: int | None) -> list[tuple[list[str], int]]:
+    def _slices(self, path: str, schema: StructType, slice_rows: int | None) -> list[tuple[list[str], int]]:
         """The files of each slice of the open records, and how many records they have."""
         # A row per file comes to the driver, which lists them anyway.
-        counts = self.spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("name")).count().collect()
+        counts = self.spark.read.schema(schema).parquet(path).groupBy(F.col("_metadata.file_name").alias("name")).count().collect()
         most = slice_rows or max(SLICE_ROWS, -(-sum(r["count"] for r in counts) // SLICES))
         slices: list[tuple[list[str], int]] = []
         for name, n in sorted(counts):
@@ -115,9 +121,9 @@ class RunLog:
                 slices[-1] = ([*files, f"{path}/{name}"], rows + n)
         return slices
 
-    def _settle(self, name: str, read: Callable) -> None:
-        """Write the outcomes of a slice from its replies."""
-        replies = self.spark.read.parquet(f"{self.path}/replies/slice={name}")
+    def _settle(self, name: str, read: Callable, schema: StructType) -> None:
+        """Write the outcomes of a slice from its replies, which have this schema."""
+        replies = self.spark.read.schema(schema).parquet(f"{self.path}/replies/slice={name}")
         found = read(replies)
         both = found if isinstance(found, DataFrame) else self._with_failures(replies, *found)
         typed = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in self._outcome.fields if f.name != "asked_at"]

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 from voxtally.constants import SURVEY_BATCH
 from voxtally.operators.extract import model_extract
 from voxtally.operators.keys import batch_id
-from voxtally.operators.rollup import vocabulary
 from voxtally.operators.runlog import RunLog
 from voxtally.schemas import EXTRACTED, EXTRACTION, REPLY_COMMENTS
 from voxtally.session import shared_path
@@ -17,8 +16,8 @@ from voxtally.session import shared_path
 
 def known_topics(results: DataFrame, max_topics: int | None = None) -> list[str]:
     """Sorted topic vocabulary. It becomes part of a prompt; with `max_topics` more are an error."""
-    found = vocabulary("topic", results)
-    topics = [row.topic for row in (found if max_topics is None else found.limit(max_topics + 1)).collect()]
+    found = results.select("topic").na.drop().distinct()
+    topics = sorted(row.topic for row in (found if max_topics is None else found.limit(max_topics + 1)).collect())
     if max_topics is not None and len(topics) > max_topics:
         raise ValueError(f"more than {max_topics} topics")
     return topics
@@ -43,10 +42,13 @@ def induce_topics(
     spark = df.sparkSession
     store = store or shared_path(spark, "topics")
     key = F.col(f"`{id_col}`").cast("string")
-    answered = RunLog(spark, store, "review_id", EXTRACTED).answers()
-    done = answered.select(F.col("review_id").alias("_done")).distinct()
-    topics = known_topics(answered, max_topics)
-    batches = batch_id(df.join(done, key == F.col("_done"), "left_anti"), [id_col], size, "batch_no")
+    log = RunLog(spark, store, "review_id", EXTRACTED)
+    # Only these columns are asked for and travel through the rounds.
+    records, topics = df.select(*[f"`{name}`" for name in dict.fromkeys((id_col, message_col))]), []
+    if log.ended():
+        done = log.answers().select(F.col("review_id").alias("_done")).distinct()
+        records, topics = records.join(done, key == F.col("_done"), "left_anti"), known_topics(log.answers(), max_topics)
+    batches = batch_id(records, [id_col], size, "batch_no")
     number = F.col("batch_no")
     level = number if growth == 1 else F.floor(
         F.log(number * (growth - 1) + 1 - F.lit(0.5)) / F.log(F.lit(float(growth)))) + 1
@@ -57,10 +59,13 @@ def induce_topics(
     last = rounds.agg(F.max("round_no")).collect()[0][0] or 0
     for number in range(1, last + 1):
         instruction = following.replace("{topics}", ", ".join(topics)) if topics else first
-        answers = model_extract(
+        before = log.ended()
+        model_extract(
             rounds.where(F.col("round_no") == number), id_col, message_col, instruction, predict,
             size=size, records="comments", schema=REPLY_COMMENTS, store=store, group_cols=["batch_no"], **infer_options)
-        topics = sorted(set(topics) | set(known_topics(answers, max_topics)))
+        # What was answered before is known already, so a round reads the slices it wrote.
+        if log.ended() - before:
+            topics = sorted(set(topics) | set(known_topics(log.answers(before), max_topics)))
     asked = df.select(key.alias("_asked")).distinct()
-    everything = RunLog(spark, store, "review_id", EXTRACTED).answers().select(*EXTRACTION.names)
+    everything = log.answers().select(*EXTRACTION.names)
     return everything.join(asked, F.col("review_id") == F.col("_asked"), "left_semi")
