@@ -1,7 +1,8 @@
 """A training corpus from `documents`: language, near duplicates, secrets, mixture, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read
-again as the next one's docs. All but the last return the columns of `documents`.
+again as the next one's docs. All but the last return the columns of `documents`. The mixture hands
+its slots on as the order of the rows it writes, which packing follows.
 """
 
 from __future__ import annotations
@@ -9,9 +10,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from voxtally.llm.common import settle
+from voxtally.llm.common import settle, stored_order
 from voxtally.llm.languages import fit_languages, keep_known_languages
-from voxtally.llm.mixing import keep_mixture, mix_sources, share_whole_sources
+from voxtally.llm.mixing import keep_mixture, mix_sources, share_whole_sources, sort_by_mixture
 from voxtally.llm.near_duplicates import drop_near_duplicates
 from voxtally.llm.packing import pack
 from voxtally.llm.secrets import fit_on_documents, redact, scan_secrets
@@ -39,13 +40,14 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources whole, none above a quarter of all rows: only what one has beyond that goes."""
-    return keep_mixture(docs, share_whole_sources(mix_sources(docs)))
+    """Rows in the order of their slots; sources whole, none above a quarter of all rows: only what one has beyond that goes."""
+    placed = settle(share_whole_sources(mix_sources(docs)), "placed")
+    return sort_by_mixture(keep_mixture(docs, placed), placed)
 
 
 def packed_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in windows of 1024 tokens."""
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), added=True)
+    """Pieces of the documents in windows of 1024 tokens, which follow the order of the mix by stretches."""
+    return pack(stored_order(docs, "_place"), public_tokenizers.path("byte_bpe_50k.json"), added=True, order="_place")
 
 
 STAGES = [

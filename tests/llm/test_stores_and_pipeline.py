@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from voxtally.llm.binary_search import _segments, search, sign_codes
-from voxtally.llm.mixing import keep_mixture, mix_sources, share_whole_sources
+from voxtally.llm.common import settle, stored_order
+from voxtally.llm.mixing import keep_mixture, mix_sources, share_whole_sources, sort_by_mixture
 from voxtally.llm.packing import ByteTokens, Shard, near_keys, pack, term_orders, vocabulary_size
 from voxtally.llm.warc import (
     BadArchive, dictionary_frame, export_archives, make_record, parse_record, payload_digest, read_archive, read_archives,
@@ -278,6 +279,67 @@ def test_small_sources_do_not_end_the_mixture(spark):
     assert share_whole_sources(mix_sources(docs.limit(0))).count() == 0
 
 
+def test_rows_are_written_in_the_order_of_the_mix(spark):
+    sizes = {"a": 900, "b": 500, "c": 500, "d": 300, "e": 1_200, "f": 1_000, None: 400}
+    rows = [(100_000 * k + i, s, i) for k, (s, n) in enumerate(sizes.items()) for i in range(n)]
+    odd = [(None, "a", 1), (None, "a", 2), (None, None, 3), (7, "a", 8), (7, "a", 8)]
+    docs = spark.createDataFrame(rows + odd, "doc_id bigint, source string, slot int").repartition(5)
+    placed = settle(share_whole_sources(mix_sources(docs)), "placed")
+    whole = sort_by_mixture(docs, placed)
+    assert whole.columns == docs.columns and sorted(map(str, whole.collect())) == sorted(map(str, docs.collect()))
+    got = sorted(stored_order(settle(whole, "mix"), "at").collect(), key=lambda r: r.at)
+    assert [r.at for r in got] == list(range(len(rows) + len(odd)))
+    done, total = defaultdict(int), len(got)
+    for k, r in enumerate(got):
+        done[r.source] += 1
+        assert all(abs(done[s] - n * (k + 1) / total) < 16 for s, n in sizes.items())
+
+
+def test_places_in_files(spark, tmp_path):
+    table = spark.range(10_000).repartition(7).orderBy(F.desc("id"))
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 300)
+    try:
+        table.write.parquet(f"{tmp_path}/t")
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    stored = stored_order(spark.read.parquet(f"{tmp_path}/t").where("id % 3 = 0"), "at")
+    assert [r.id for r in sorted(stored.collect(), key=lambda r: r.at)] == list(range(9_999, -1, -3))
+    # Not from files, and empty.
+    made = spark.createDataFrame([(i,) for i in range(50)], "id bigint")
+    assert [r.id for r in sorted(stored_order(made, "at").collect(), key=lambda r: r.at)] == list(range(50))
+    assert stored_order(made.limit(0), "at").count() == 0
+
+
+def test_sequences_follow_a_given_order(spark):
+    draw = np.random.default_rng(8)
+    rows = [(i, " ".join(f"w{int(w)}" for w in draw.zipf(1.4, 30) % 5_000), int(p)) for i, p in enumerate(draw.permutation(2_000))]
+    docs = spark.createDataFrame(rows + [(5_000, None, None)], "doc_id bigint, text string, at int").repartition(6)
+    pieces = pack(docs, VOCABULARY, window=64, shard=16, order="at", stretch=100).collect()
+    assert sum(p.length for p in pieces) == sum({p.doc_id: p.doc_tokens for p in pieces}.values())
+    first = {}
+    for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
+        first.setdefault(p.doc_id, len(first))
+    assert len(first) == 2_001 and all(abs(first[i] // 100 - p // 100) <= 1 for i, _, p in rows)
+
+
+def test_packing_follows_the_mixture(spark, tmp_path):
+    """No source has a quarter, so every row stays; the order of the mix decides the windows."""
+    import corpus_pipeline
+
+    draw = np.random.default_rng(9)
+    rows = [(i, " ".join(f"w{int(w)}" for w in draw.zipf(1.4, 100) % 5_000), "en", f"s{i // 500}", 1) for i in range(4_000)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    mixed = settle(corpus_pipeline.source_mixture(spark, docs, ""), "mixed")
+    assert mixed.columns == docs.columns and sorted(mixed.collect()) == sorted(docs.collect())
+    first = {}
+    for p in sorted(corpus_pipeline.packed_windows(spark, mixed, "").collect(), key=lambda p: (p.sequence_id, p.offset)):
+        first.setdefault(p.doc_id, len(first))
+    # The first of two stretches has every source by its share.
+    early = [i // 500 for i, at in first.items() if at < 2_048]
+    assert len(first) == 4_000 and all(abs(early.count(s) - 256) <= 40 for s in range(8))
+
+
 def test_near_copies_at_082_leave_the_pipeline(spark):
     import corpus_pipeline
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from voxtally.session import shared_path
@@ -20,6 +23,28 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_order(df: DataFrame, name: str) -> DataFrame:
+    """`df` with `name`, the place of each row in its Parquet files, from 0 on: file after file, row after row.
+
+    Files are read in any order, but a sorted table is written one partition after the other, so its
+    files and their rows have its order. A table that was not read from Parquet files is written first.
+    """
+    try:
+        stored = _in_files(df)
+    except AnalysisException:
+        stored = _in_files(settle(df, "stored"))
+    # One row per file. Of parts above 99,999 the names are longer.
+    sizes = sorted(stored.groupBy("_file").agg(F.max("_row")).collect(), key=lambda r: (len(r[0]), r[0]))
+    before = accumulate((last + 1 for _, last in sizes), initial=0)
+    offsets = df.sparkSession.createDataFrame([(file, n) for (file, _), n in zip(sizes, before)], "_file string, _before bigint")
+    return stored.join(F.broadcast(offsets), "_file").withColumn(name, F.col("_before") + F.col("_row")).drop("_file", "_before", "_row")
+
+
+def _in_files(df: DataFrame) -> DataFrame:
+    at = df.metadataColumn("_metadata")
+    return df.select("*", at["file_path"].alias("_file"), at["row_index"].alias("_row"))
+
+
 def crc_of_id(doc_id: str | Column) -> Column:
     """crc32 of the id as text, the hash by which rows are held out."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string"))

@@ -152,3 +152,16 @@ def keep_mixture(docs: DataFrame, placed: DataFrame, *, doc_id: str = "doc_id",
     inside = ends["_end"].isNull() | (_order_key(doc_id) < ends["_end"])
     few = F.broadcast(ends) if ends.count() <= BROADCAST_SOURCES else ends
     return docs.join(few, docs[source].eqNullSafe(ends["_s"]), "left").where(inside).select(docs["*"])
+
+
+def sort_by_mixture(docs: DataFrame, placed: DataFrame, *, doc_id: str = "doc_id", source: str = "source") -> DataFrame:
+    """`docs` in the order of the mix: by slot, then by place, so that every stretch of it has the sources by their shares.
+
+    Rows of a source with the same id stand together, in the first of their slots; rows without a
+    slot come last. Written as Parquet, the table keeps this order (`stored_order`).
+    """
+    first = (placed.where("slot IS NOT NULL").groupBy(F.col(source).alias("_s"), F.col(doc_id).alias("_i"))
+                   .agg(F.min("slot").alias("_slot"), F.min("place").alias("_place")))
+    same = docs[source].eqNullSafe(first["_s"]) & docs[doc_id].cast("bigint").eqNullSafe(first["_i"])
+    return (docs.join(first, same, "left").orderBy(F.asc_nulls_last("_slot"), "_place", "_i")
+                .select(*(docs[c] for c in docs.columns)))

@@ -26,6 +26,8 @@ BATCH_ROWS = 500
 BATCH_TOKENS = 4_000_000
 #: Pieces that share one index, at most.
 SHARD = 256
+#: Documents of a given order that are packed together, by what they share.
+STRETCH = 2048
 K1 = 1.2
 B = 0.75
 
@@ -101,14 +103,14 @@ def _coder(path: str, added: bool) -> ByteTokens:
     return ByteTokens(path, added)
 
 
-_TOKENISED = "doc_id bigint, tokens bigint, tail binary, terms binary, counts binary, crcs array<bigint>"
+_TOKENISED = "doc_id bigint, tokens bigint, tail binary, terms binary, counts binary, crcs array<bigint>, place bigint"
 
 
 def _tokenise(path: str, window: int, added: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(path, added)
         names = [part.split()[0] for part in _TOKENISED.split(", ")]
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.int64())
         for batch in batches:
             rows, tokens = [], 0
             for i in range(batch.num_rows):
@@ -118,7 +120,7 @@ def _tokenise(path: str, window: int, added: bool) -> Callable:
                 terms, counts = np.unique(ids, return_counts=True)
                 rows.append((
                     batch.column(0)[i].as_py(), len(ids), ids[whole:].tobytes(), terms.tobytes(),
-                    np.minimum(counts, 65_535).astype(np.uint16).tobytes(), crcs))
+                    np.minimum(counts, 65_535).astype(np.uint16).tobytes(), crcs, batch.column(2)[i].as_py()))
                 tokens += len(ids)
                 if len(rows) >= BATCH_ROWS or tokens >= BATCH_TOKENS:
                     yield pa.record_batch([pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)], names)
@@ -203,10 +205,10 @@ class Shard:
 class Piece:
     """What is left of a document: its tokens from `start` on, and the document's terms."""
 
-    __slots__ = ("doc_id", "tokens", "start", "ids", "terms", "counts")
+    __slots__ = ("doc_id", "tokens", "start", "ids", "terms", "counts", "place")
 
-    def __init__(self, doc_id, tokens, start, ids, terms, counts) -> None:
-        self.doc_id, self.tokens, self.start, self.ids, self.terms, self.counts = doc_id, tokens, start, ids, terms, counts
+    def __init__(self, doc_id, tokens, start, ids, terms, counts, place) -> None:
+        self.doc_id, self.tokens, self.start, self.ids, self.terms, self.counts, self.place = doc_id, tokens, start, ids, terms, counts, place
 
     def cut(self, n: int) -> tuple:
         """The first n tokens, as (doc_id, start, length, crc32, tokens); they leave the piece."""
@@ -219,11 +221,12 @@ class Piece:
 def fill_windows(pieces: list[Piece], idf: np.ndarray, mean: float, window: int, last: bool) -> tuple[list[list[tuple]], list[Piece]]:
     """Full windows of the pieces, and what was left over for the next shard.
 
-    The first free piece is the seed of a window. Its neighbours follow by score as long as they
+    The first free piece, by place, is the seed of a window. Its neighbours follow by score as long as they
     fit whole; if a gap stays, the best neighbour that does not fit is cut to fill it and its rest
     stays free. Without enough tokens for a full window the rest is handed on, or, as the `last`
     one, makes one short window.
     """
+    pieces = sorted(pieces, key=lambda p: p.place)
     shard = Shard([(p.terms, p.counts, p.tokens) for p in pieces], idf, mean)
     left = sum(len(p.ids) for p in pieces)
     windows, seed = [], 0
@@ -277,17 +280,17 @@ def _packer(statistics, window: int, shard: int) -> Callable:
             return pa.record_batch([pa.array([r[i] for r in rows], pa.int64()) for i in range(len(names))], names)
 
         for batch in batches:
-            columns = [batch.column(name) for name in ("doc_id", "tokens", "tail", "terms", "counts", "crcs")]
+            columns = [batch.column(name) for name in ("doc_id", "tokens", "tail", "terms", "counts", "crcs", "place")]
             windows = []
             for i in range(batch.num_rows):
-                doc, tokens, tail, terms, counts, crcs = (c[i] for c in columns)
+                doc, tokens, tail, terms, counts, crcs, place = (c[i] for c in columns)
                 doc, tokens, crcs = doc.as_py(), tokens.as_py(), crcs.as_py()
                 windows += [[(doc, j * window, window, crc, tokens)] for j, crc in enumerate(crcs)]
                 ids = np.frombuffer(tail.as_buffer(), np.uint16).copy()
                 if len(ids):
                     waiting.append(Piece(
                         doc, tokens, len(crcs) * window, ids, np.frombuffer(terms.as_buffer(), np.uint16).copy(),
-                        np.frombuffer(counts.as_buffer(), np.uint16).copy()))
+                        np.frombuffer(counts.as_buffer(), np.uint16).copy(), place.as_py()))
                 if len(waiting) >= shard:
                     full, waiting = fill_windows(waiting, idf, mean, window, False)
                     windows += full
@@ -301,7 +304,7 @@ def _packer(statistics, window: int, shard: int) -> Callable:
 
 def pack(
     docs: DataFrame, tokenizer_path: str, *, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, shard: int = SHARD,
-    added: bool = False,
+    added: bool = False, order: str | None = None, stretch: int = STRETCH,
 ) -> DataFrame:
     """Pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
@@ -315,12 +318,16 @@ def pack(
     documents, with document frequencies and the mean length of all of them (at most one row per
     vocabulary entry reaches the driver).
 
+    `order` names a column with each document's number (null counts as 0). Sequences follow it by
+    their ids: documents are packed by stretches of `stretch` numbers, in each by what they share,
+    and of a shard the first one left is the next seed. Without it the whole table is one stretch.
+
     Null and empty texts have the id 0 alone. Rows with a null id and repeated ids are packed like
     others. Tokenised rows are written once to the shared folder, so a repeated task sees the same
     order. A vocabulary of more than 65,536 ids is an error. An empty table gives no pieces. Other columns are not read.
     """
     spark, size = docs.sparkSession, vocabulary_size(tokenizer_path)
-    slim = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    slim = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), F.coalesce(F.col(order) if order else F.lit(None), F.lit(0)).cast("bigint").alias("place"))
     rows = settle(slim.mapInArrow(_tokenise(tokenizer_path, window, added), _TOKENISED), "tokens")
     sums = (rows.select("terms", "tokens").mapInArrow(_frequencies(size), "term bigint, n bigint")
                 .groupBy("term").agg(F.sum("n").alias("n")).toArrow())
@@ -336,8 +343,9 @@ def pack(
     def near(terms: pa.Array) -> pa.Array:
         return pa.array(near_keys(terms, orders.value), pa.int64())
 
-    packed = (rows.withColumn("near", near("terms")).repartitionByRange("near", "doc_id")
-                  .sortWithinPartitions("near", "doc_id", "tokens", "tail")
+    keys = [F.expr(f"place div {stretch}")] if order else []
+    packed = (rows.withColumn("near", near("terms")).repartitionByRange(*keys, "near", "doc_id")
+                  .sortWithinPartitions(*keys, "near", "doc_id", "tokens", "tail")
                   .mapInArrow(_packer(shared, window, shard), _PIECES))
     # A sequence lies in one partition: its number there and the partition's make it unique.
     return packed.select(
