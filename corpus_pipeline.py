@@ -46,7 +46,7 @@ def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def packed_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in windows of 1024 tokens, which follow the order of the mix by stretches."""
+    """Pieces of the documents in windows of 1024 tokens, which follow each other in the order of the mix."""
     return pack(stored_order(docs, "_place"), public_tokenizers.path("byte_bpe_50k.json"), added=True, order="_place")
 
 

@@ -310,34 +310,44 @@ def test_places_in_files(spark, tmp_path):
     assert stored_order(made.limit(0), "at").count() == 0
 
 
+def _leads(pieces, places, window):
+    """Places of the first documents of the sequences, by id; every sequence is gapless, and its first document the least."""
+    sequences = defaultdict(list)
+    for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
+        assert p.offset == sum(q.length for q in sequences[p.sequence_id])
+        sequences[p.sequence_id].append(p)
+    assert all(sum(p.length for p in s) <= window for s in sequences.values())
+    assert all(places[s[0].doc_id] == min(places[p.doc_id] for p in s) for s in sequences.values())
+    return [places[s[0].doc_id] for s in sequences.values()]
+
+
 def test_sequences_follow_a_given_order(spark):
     draw = np.random.default_rng(8)
-    rows = [(i, " ".join(f"w{int(w)}" for w in draw.zipf(1.4, 30) % 5_000), int(p)) for i, p in enumerate(draw.permutation(2_000))]
-    docs = spark.createDataFrame(rows + [(5_000, None, None)], "doc_id bigint, text string, at int").repartition(6)
-    pieces = pack(docs, VOCABULARY, window=64, shard=16, order="at", stretch=100).collect()
-    assert sum(p.length for p in pieces) == sum({p.doc_id: p.doc_tokens for p in pieces}.values())
-    first = {}
-    for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
-        first.setdefault(p.doc_id, len(first))
-    assert len(first) == 2_001 and all(abs(first[i] // 100 - p // 100) <= 1 for i, _, p in rows)
+    sizes = [1, 30, 30, 30, 200]
+    rows = [(i, " ".join(f"w{int(w)}" for w in draw.zipf(1.4, sizes[i % 5]) % 5_000), int(p)) for i, p in enumerate(draw.permutation(2_001))]
+    rows[7] = (7, None, rows[7][2])
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, at int").repartition(6)
+    pieces = pack(docs, VOCABULARY, window=64, shard=16, order="at").collect()
+    tokens = {p.doc_id: p.doc_tokens for p in pieces}
+    assert len(tokens) == 2_001 and sum(p.length for p in pieces) == sum(tokens.values())
+    leads = _leads(pieces, {i: p for i, _, p in rows}, 64)
+    assert leads == sorted(leads) and -(-sum(tokens.values()) // 64) <= len(leads) <= -(-sum(tokens.values()) // 64) + 8
 
 
 def test_packing_follows_the_mixture(spark, tmp_path):
-    """No source has a quarter, so every row stays; the order of the mix decides the windows."""
+    """No source has a quarter, so every row stays; the order of the mix decides the sequences."""
     import corpus_pipeline
 
     draw = np.random.default_rng(9)
-    rows = [(i, " ".join(f"w{int(w)}" for w in draw.zipf(1.4, 100) % 5_000), "en", f"s{i // 500}", 1) for i in range(4_000)]
+    rows = [(i, " ".join(f"w{int(w)}" for w in draw.zipf(1.4, 100) % 5_000), "en", f"s{i // 250}", 1) for i in range(2_000)]
     spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/docs")
     docs = spark.read.parquet(f"{tmp_path}/docs")
     mixed = settle(corpus_pipeline.source_mixture(spark, docs, ""), "mixed")
     assert mixed.columns == docs.columns and sorted(mixed.collect()) == sorted(docs.collect())
-    first = {}
-    for p in sorted(corpus_pipeline.packed_windows(spark, mixed, "").collect(), key=lambda p: (p.sequence_id, p.offset)):
-        first.setdefault(p.doc_id, len(first))
-    # The first of two stretches has every source by its share.
-    early = [i // 500 for i, at in first.items() if at < 2_048]
-    assert len(first) == 4_000 and all(abs(early.count(s) - 256) <= 40 for s in range(8))
+    slots = sorted((r.slot, r.place, r.doc_id) for r in mix_sources(docs).collect())
+    pieces = corpus_pipeline.packed_windows(spark, mixed, "").collect()
+    leads = _leads(pieces, {doc: at for at, (_, _, doc) in enumerate(slots)}, 1024)
+    assert leads == sorted(leads) and len({p.doc_id for p in pieces}) == 2_000
 
 
 def test_near_copies_at_082_leave_the_pipeline(spark):

@@ -26,8 +26,8 @@ BATCH_ROWS = 500
 BATCH_TOKENS = 4_000_000
 #: Pieces that share one index, at most.
 SHARD = 256
-#: Documents of a given order that are packed together, by what they share.
-STRETCH = 2048
+#: Windows that a document can lead in a given order, at most: 17 billion tokens.
+LEADS = 1 << 24
 K1 = 1.2
 B = 0.75
 
@@ -211,9 +211,9 @@ class Piece:
         self.doc_id, self.tokens, self.start, self.ids, self.terms, self.counts, self.place = doc_id, tokens, start, ids, terms, counts, place
 
     def cut(self, n: int) -> tuple:
-        """The first n tokens, as (doc_id, start, length, crc32, tokens); they leave the piece."""
+        """The first n tokens, as (doc_id, start, length, crc32, tokens, place); they leave the piece."""
         taken = self.ids[:n]
-        out = (self.doc_id, self.start, n, zlib.crc32(taken.astype("<u4").tobytes()), self.tokens)
+        out = (self.doc_id, self.start, n, zlib.crc32(taken.astype("<u4").tobytes()), self.tokens, self.place)
         self.ids, self.start = self.ids[n:], self.start + n
         return out
 
@@ -257,7 +257,7 @@ def fill_windows(pieces: list[Piece], idf: np.ndarray, mean: float, window: int,
     return windows, [pieces[i] for i in np.flatnonzero(shard.free)]
 
 
-_PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence bigint, offset bigint"
+_PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence bigint, offset bigint, lead bigint"
 
 
 def _packer(statistics, window: int, shard: int) -> Callable:
@@ -273,8 +273,10 @@ def _packer(statistics, window: int, shard: int) -> Callable:
             rows = []
             for placed in windows:
                 offset = 0
-                for doc, start, length, crc, tokens in placed:
-                    rows.append((doc, start, length, crc, tokens, sequence, offset))
+                # The windows that a document leads start in different windows of its own.
+                lead = placed[0][5] * LEADS + placed[0][1] // window
+                for doc, start, length, crc, tokens, _ in placed:
+                    rows.append((doc, start, length, crc, tokens, sequence, offset, lead))
                     offset += length
                 sequence += 1
             return pa.record_batch([pa.array([r[i] for r in rows], pa.int64()) for i in range(len(names))], names)
@@ -284,13 +286,13 @@ def _packer(statistics, window: int, shard: int) -> Callable:
             windows = []
             for i in range(batch.num_rows):
                 doc, tokens, tail, terms, counts, crcs, place = (c[i] for c in columns)
-                doc, tokens, crcs = doc.as_py(), tokens.as_py(), crcs.as_py()
-                windows += [[(doc, j * window, window, crc, tokens)] for j, crc in enumerate(crcs)]
+                doc, tokens, crcs, place = doc.as_py(), tokens.as_py(), crcs.as_py(), place.as_py()
+                windows += [[(doc, j * window, window, crc, tokens, place)] for j, crc in enumerate(crcs)]
                 ids = np.frombuffer(tail.as_buffer(), np.uint16).copy()
                 if len(ids):
                     waiting.append(Piece(
                         doc, tokens, len(crcs) * window, ids, np.frombuffer(terms.as_buffer(), np.uint16).copy(),
-                        np.frombuffer(counts.as_buffer(), np.uint16).copy(), place.as_py()))
+                        np.frombuffer(counts.as_buffer(), np.uint16).copy(), place))
                 if len(waiting) >= shard:
                     full, waiting = fill_windows(waiting, idf, mean, window, False)
                     windows += full
@@ -304,7 +306,7 @@ def _packer(statistics, window: int, shard: int) -> Callable:
 
 def pack(
     docs: DataFrame, tokenizer_path: str, *, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, shard: int = SHARD,
-    added: bool = False, order: str | None = None, stretch: int = STRETCH,
+    added: bool = False, order: str | None = None,
 ) -> DataFrame:
     """Pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
@@ -318,16 +320,16 @@ def pack(
     documents, with document frequencies and the mean length of all of them (at most one row per
     vocabulary entry reaches the driver).
 
-    `order` names a column with each document's number (null counts as 0). Sequences follow it by
-    their ids: documents are packed by stretches of `stretch` numbers, in each by what they share,
-    and of a shard the first one left is the next seed. Without it the whole table is one stretch.
+    `order` names a column with a number of each row below 2^39, from 0 on, no two equal. Documents
+    are packed by what they share all the same, but of a shard the first one left is the next seed,
+    and sequences follow each other, by their ids, as their first documents do.
 
     Null and empty texts have the id 0 alone. Rows with a null id and repeated ids are packed like
     others. Tokenised rows are written once to the shared folder, so a repeated task sees the same
     order. A vocabulary of more than 65,536 ids is an error. An empty table gives no pieces. Other columns are not read.
     """
     spark, size = docs.sparkSession, vocabulary_size(tokenizer_path)
-    slim = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), F.coalesce(F.col(order) if order else F.lit(None), F.lit(0)).cast("bigint").alias("place"))
+    slim = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), (F.col(order) if order else F.lit(0)).cast("bigint").alias("place"))
     rows = settle(slim.mapInArrow(_tokenise(tokenizer_path, window, added), _TOKENISED), "tokens")
     sums = (rows.select("terms", "tokens").mapInArrow(_frequencies(size), "term bigint, n bigint")
                 .groupBy("term").agg(F.sum("n").alias("n")).toArrow())
@@ -343,11 +345,10 @@ def pack(
     def near(terms: pa.Array) -> pa.Array:
         return pa.array(near_keys(terms, orders.value), pa.int64())
 
-    keys = [F.expr(f"place div {stretch}")] if order else []
-    packed = (rows.withColumn("near", near("terms")).repartitionByRange(*keys, "near", "doc_id")
-                  .sortWithinPartitions(*keys, "near", "doc_id", "tokens", "tail")
+    packed = (rows.withColumn("near", near("terms")).repartitionByRange("near", "doc_id")
+                  .sortWithinPartitions("near", "doc_id", "tokens", "tail")
                   .mapInArrow(_packer(shared, window, shard), _PIECES))
-    # A sequence lies in one partition: its number there and the partition's make it unique.
+    # A sequence lies in one partition: its number there and the partition's make it unique, as does its lead in a given order.
+    sequence = F.col("lead") if order else F.spark_partition_id().cast("bigint") * (1 << 40) + F.col("sequence")
     return packed.select(
-        F.col("doc_id").alias(doc_id), "start", "length", "ids_crc32", "doc_tokens",
-        (F.spark_partition_id().cast("bigint") * (1 << 40) + F.col("sequence")).alias("sequence_id"), "offset")
+        F.col("doc_id").alias(doc_id), "start", "length", "ids_crc32", "doc_tokens", sequence.alias("sequence_id"), "offset")
